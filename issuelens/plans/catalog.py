@@ -304,7 +304,8 @@ def q_incremental_upsert(spark, sf):
                 F.col("ts").alias("updated_at"), as_of.alias("created_at"), as_of.alias("loaded_at"))
             return upsert(current, rows, ["issue_key"], keep_cols=["created_at"],
                           order=["updated_at", "last_event_id"], latest=True)
-        run_incremental(spark, landing, store, "issue_status", raw_schema, merge, ckpt)
+        run_incremental(spark, landing, store, "issue_status", raw_schema, merge, ckpt,
+                        table_schema=ISSUE_STATUS)
     return store.read("issue_status", ISSUE_STATUS)
 
 

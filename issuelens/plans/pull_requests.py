@@ -58,7 +58,9 @@ def commit_views(pull_request_commits: DataFrame) -> tuple[DataFrame, DataFrame]
 def commits_of_pull_request(prs: DataFrame, pr_commits: DataFrame, commits: DataFrame,
                             number: int) -> DataFrame:
     """Q6 / JN-9: all commits of the PR with this number."""
-    pr = one_pull_request(prs, number).select("id")
-    j = pr.join(pr_commits, pr["id"] == pr_commits["pr_id"], "inner")
-    j = j.join(commits, j["commit_sha"] == commits["sha"], "inner")
-    return j.select(*[commits[c] for c in commits.columns])
+    pr = one_pull_request(prs, number).select(F.col("id").alias("_pr_id")).alias("pr")
+    pc = pr_commits.alias("pc")
+    c = commits.alias("c")
+    j = pr.join(pc, F.col("pr._pr_id") == F.col("pc.pr_id"), "inner")
+    j = j.join(c, F.col("pc.commit_sha") == F.col("c.sha"), "inner")
+    return j.select(*[F.col(f"c.{name}") for name in commits.columns])

@@ -21,7 +21,7 @@ from issuelens.sources.tables import SnapshotStore
 MergeFn = Callable[[DataFrame, DataFrame, int], DataFrame]
 
 
-def batch_writer(store: SnapshotStore, table: str, merge: MergeFn):
+def batch_writer(store: SnapshotStore, table: str, merge: MergeFn, table_schema=None):
     """The ``foreachBatch`` function: merge the batch into the latest snapshot."""
     def write(batch: DataFrame, batch_id: int) -> None:
         version = int(batch_id) + 1
@@ -29,14 +29,15 @@ def batch_writer(store: SnapshotStore, table: str, merge: MergeFn):
             return  # replayed batch: already applied
         if batch.isEmpty():
             return
-        current = store.read(table, below=version)
+        current = store.read(table, schema=table_schema, below=version)
         store.commit(table, merge(current, batch, int(batch_id)), version)
     return write
 
 
 def run_incremental(spark: SparkSession, landing: str, store: SnapshotStore, table: str,
                     raw_schema, merge: MergeFn, checkpoint: str, multi_line: bool = False,
-                    max_files_per_trigger: int | None = None, fmt: str = "json") -> None:
+                    max_files_per_trigger: int | None = None, fmt: str = "json",
+                    table_schema=None) -> None:
     """Process every landed file not yet seen by ``checkpoint`` and stop."""
     reader = spark.readStream.schema(raw_schema)
     if fmt == "json":
@@ -44,7 +45,7 @@ def run_incremental(spark: SparkSession, landing: str, store: SnapshotStore, tab
     if max_files_per_trigger:
         reader = reader.option("maxFilesPerTrigger", int(max_files_per_trigger))
     q = (reader.format(fmt).load(landing).writeStream
-         .foreachBatch(batch_writer(store, table, merge))
+         .foreachBatch(batch_writer(store, table, merge, table_schema))
          .option("checkpointLocation", checkpoint)
          .trigger(availableNow=True)
          .start())
