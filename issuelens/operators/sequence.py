@@ -4,11 +4,11 @@
 holding a third of all rows would then be one task.  ``sequence_rows``
 splits such groups instead:
 
-1. range-partition on (group, order) so a hot group spans many partitions,
-   and freeze that assignment with a reliable checkpoint (re-runs after an
-   executor loss see the same partitions);
+1. range-partition on (group, order) so a hot group spans many partitions;
 2. number rows and take ``lag`` inside (partition, group) — every window
-   holds at most one range partition;
+   holds at most one range partition — and write that stage to the
+   checkpoint folder, so the partition assignment (range bounds come from
+   sampling) is fixed for everything read from it, also after executor loss;
 3. per partition keep a one-row summary (first group, last group, rows of the
    last group, values of the last row); a window over these ``n`` rows
    (``n`` = number of partitions, a proven bound) gives each partition the
@@ -26,6 +26,7 @@ from collections.abc import Sequence
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
+from issuelens.operators.stage import materialize
 from issuelens.session import default_partitions, ensure_checkpoint_dir
 
 _CONST_GROUP = "_seq_group"
@@ -68,13 +69,15 @@ def sequence_rows(df: DataFrame, group_cols: Sequence[str], order_cols: Sequence
     group_sort = [F.col(c).asc_nulls_first() for c in gcols]
 
     ranged = (df.repartitionByRange(n, *group_sort, *orders)
-                .withColumn("_pid", F.spark_partition_id())
-                .checkpoint(eager=True))
+                .withColumn("_pid", F.spark_partition_id()))
 
     w_local = Window.partitionBy("_pid", *gcols).orderBy(*orders)
     local = ranged.withColumn("_lrn", F.row_number().over(w_local).cast("long"))
     for c in lag_cols:
         local = local.withColumn("_lag_" + c, F.lag(c).over(w_local))
+    # Freeze partition assignment and local numbering (range bounds come from
+    # sampling): summary and final rows then read the same written stage.
+    local = materialize(local, "sequence")
 
     gk = F.struct(*[F.col(c) for c in gcols])
     last_vals = F.struct(*[F.col(c).alias(c) for c in lag_cols]) if lag_cols else F.lit(0)

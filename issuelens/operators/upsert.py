@@ -15,29 +15,34 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 
-def _pick(df: DataFrame, keys: Sequence[str], order: Sequence[str | Column], fn) -> DataFrame:
+def _pick(df: DataFrame, keys: Sequence[str], order: Sequence[str | Column], largest: bool) -> DataFrame:
     keys = list(keys)
-    rest = [c for c in df.columns if c not in keys]
-    if not rest:
-        return df.select(*keys).distinct()
-    order_cols = [F.col(o) if isinstance(o, str) else o for o in order] or [F.col(c) for c in rest]
-    picked = df.groupBy(*keys).agg(fn(F.struct(*[F.col(c) for c in rest]),
-                                      F.struct(*order_cols)).alias("_row"))
-    return picked.select(*keys, *[F.col("_row")[c].alias(c) for c in rest])
+    order_cols = [F.col(o) if isinstance(o, str) else o for o in order]
+    order_names = {o for o in order if isinstance(o, str)}
+    rest = [c for c in df.columns if c not in keys and c not in order_names]
+    if not order_cols:
+        order_cols = [F.col(c) for c in rest]
+    # One struct (order first, then the row): min/max of it is the row with the
+    # smallest/largest order.  Partial aggregation runs before the shuffle.
+    both = F.struct(F.struct(*order_cols).alias("o"),
+                    F.struct(*[F.col(c) for c in rest + sorted(order_names)]).alias("v"))
+    agg = F.max(both) if largest else F.min(both)
+    picked = df.groupBy(*keys).agg(agg.alias("_row"))
+    return picked.select(*keys, *[F.col("_row.v")[c].alias(c) for c in rest + sorted(order_names)])
 
 
 def dedupe_first(df: DataFrame, keys: Sequence[str], order: Sequence[str | Column] = ()) -> DataFrame:
     """One row per key: the smallest in ``order`` (default: all other columns).
 
-    An aggregate (``min_by``), not a window: partial aggregation collapses a
-    hot key map-side before the shuffle.
+    An aggregate, not a window: partial aggregation collapses a hot key
+    map-side before the shuffle.
     """
-    return _pick(df, keys, order, F.min_by)
+    return _pick(df, keys, order, largest=False)
 
 
 def dedupe_last(df: DataFrame, keys: Sequence[str], order: Sequence[str | Column] = ()) -> DataFrame:
     """One row per key: the largest in ``order`` (the latest version)."""
-    return _pick(df, keys, order, F.max_by)
+    return _pick(df, keys, order, largest=True)
 
 
 def upsert(target: DataFrame, source: DataFrame, keys: Sequence[str], *,

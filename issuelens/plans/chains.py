@@ -7,6 +7,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from issuelens.operators.sequence import global_rank, sequence_rows
+from issuelens.operators.stage import materialize
 from issuelens.plans.transitions import status_transitions
 
 
@@ -57,7 +58,7 @@ def chain_ids(labels: DataFrame) -> DataFrame:
 def status_chains(issues: DataFrame, changelog: DataFrame, lookup: DataFrame,
                   strategy: str = "ranged") -> DataFrame:
     """Q3: Q2's rows plus ``chain`` and ``chain_id`` of the issue (JN-8)."""
-    tr = status_transitions(issues, changelog, lookup, strategy=strategy).checkpoint(eager=True)
+    tr = materialize(status_transitions(issues, changelog, lookup, strategy=strategy), "transitions")
     kept = collapse_repeats(tr, keep_pid=True, strategy=strategy)
     labels = chain_labels(kept)
     per_issue = labels.join(chain_ids(labels), "chain", "inner")
