@@ -11,32 +11,33 @@ import datetime as _dt
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
-JIRA_FORMAT = "yyyy-MM-dd'T'HH:mm:ss.SSSZ"      # 2024-01-31T10:00:00.000+0000
-ISO_Z_FORMAT = "yyyy-MM-dd'T'HH:mm:ssXXX"        # 2024-01-31T10:00:00Z
 
 
 def _c(col) -> Column:
     return F.col(col) if isinstance(col, str) else col
 
 
+def _try_ts(col) -> Column:
+    # The string -> timestamp cast reads ISO-8601 with or without a zone
+    # (``Z``, ``+02:00``, ``+0200``) and applies the offset; it returns NULL
+    # instead of throwing, and needs no pattern formatter.  In the UTC session
+    # the timestamp_ntz cast then keeps the UTC wall clock.
+    return _c(col).try_cast("timestamp").cast("timestamp_ntz")
+
+
 def parse_jira_ts(col) -> Column:
-    """FN-12 (issue tracker text): NULL when the text does not parse."""
-    return F.try_to_timestamp(_c(col), F.lit(JIRA_FORMAT)).cast("timestamp_ntz")
+    """FN-12 (issue tracker text ``2024-01-31T10:00:00.000+0000``); NULL if it does not parse."""
+    return _try_ts(col)
 
 
 def parse_iso_utc(col) -> Column:
-    """FN-6/12 (code host text): ISO-8601 with ``Z`` or an offset."""
-    return F.try_to_timestamp(_c(col), F.lit(ISO_Z_FORMAT)).cast("timestamp_ntz")
+    """FN-6/12 (code host text ``2024-01-31T10:00:00Z``)."""
+    return _try_ts(col)
 
 
 def try_parse_iso_utc(col) -> Column:
-    """FN-7: like ``errors='coerce'`` — anything that is not ISO-8601 becomes NULL."""
-    c = _c(col)
-    return F.coalesce(
-        F.try_to_timestamp(c, F.lit(ISO_Z_FORMAT)),
-        F.try_to_timestamp(c, F.lit("yyyy-MM-dd'T'HH:mm:ss.SSSXXX")),
-        F.try_to_timestamp(c, F.lit("yyyy-MM-dd'T'HH:mm:ss")),
-    ).cast("timestamp_ntz")
+    """FN-7: like ``errors='coerce'`` — text that is not ISO-8601 becomes NULL."""
+    return _try_ts(col)
 
 
 def epoch_seconds_between(later, earlier) -> Column:
