@@ -1,0 +1,80 @@
+import datetime as dt
+
+from pyspark.sql import functions as F
+
+from issuelens.operators.upsert import dedupe_first, upsert, upsert_changelog, upsert_issues, upsert_links
+
+SCHEMA = "k long, a string, b string, ts timestamp_ntz"
+
+
+def _df(spark, rows):
+    return spark.createDataFrame(rows, SCHEMA)
+
+
+def _rows(df):
+    return sorted(tuple(r) for r in df.collect())
+
+
+T1 = dt.datetime(2024, 1, 1)
+T2 = dt.datetime(2024, 1, 2)
+
+
+def test_update_null_overwrites_and_inserts(spark):
+    target = _df(spark, [(1, "x", "keep", T1), (2, "y", "y", T1)])
+    source = _df(spark, [(1, None, "new", T2), (3, "z", "z", T2)])
+    out = upsert(target, source, ["k"])
+    assert _rows(out) == [(1, None, "new", T2), (2, "y", "y", T1), (3, "z", "z", T2)]
+
+
+def test_keep_columns(spark):
+    target = _df(spark, [(1, "x", "old", T1)])
+    source = _df(spark, [(1, "x2", "new", T2), (2, "n", "n", T2)])
+    out = upsert(target, source, ["k"], keep_cols=["ts"])
+    assert _rows(out) == [(1, "x2", "new", T1), (2, "n", "n", T2)]
+
+
+def test_do_nothing(spark):
+    target = _df(spark, [(1, "x", "old", T1)])
+    source = _df(spark, [(1, "x2", "new", T2), (2, "n", "n", T2), (2, "m", "m", T2)])
+    out = upsert(target, source, ["k"], on_conflict="nothing")
+    assert _rows(out) == [(1, "x", "old", T1), (2, "m", "m", T2)]   # first by remaining columns
+
+
+def test_idempotent_and_order_free(spark):
+    target = _df(spark, [(1, "x", "old", T1)])
+    source = _df(spark, [(1, "a", "p", T2), (1, "b", "q", T1), (2, "c", "r", T2)])
+    once = upsert(target, source, ["k"], order=["ts", "a"], latest=True)
+    twice = upsert(once, source, ["k"], order=["ts", "a"], latest=True)
+    shuffled = upsert(target, source.orderBy(F.rand(7)).repartition(3), ["k"], order=["ts", "a"], latest=True)
+    assert _rows(once) == _rows(twice) == _rows(shuffled) == [(1, "a", "p", T2), (2, "c", "r", T2)]
+
+
+def test_empty_source_is_noop(spark):
+    target = _df(spark, [(1, "x", "old", T1)])
+    assert _rows(upsert(target, _df(spark, []), ["k"])) == _rows(target)
+
+
+def test_dedupe_first_hot_key(spark):
+    df = spark.createDataFrame([(0, i % 17, f"v{i}") for i in range(2000)] + [(1, 3, "w")],
+                               "k long, o long, v string")
+    got = {r["k"]: (r["o"], r["v"]) for r in dedupe_first(df, ["k"], ["o", "v"]).collect()}
+    assert got == {0: (0, "v0"), 1: (3, "w")}
+
+
+def test_table_instances(spark):
+    iss = spark.createDataFrame([("P-1", "1", "{}", T1, T1)],
+                                "key string, id string, fields string, created_at timestamp_ntz, updated_at timestamp_ntz")
+    new = spark.createDataFrame([("P-1", "9", '{"a":1}', T2, T2)], iss.schema)
+    r = upsert_issues(iss, new).first()
+    assert (r["id"], r["fields"], r["created_at"], r["updated_at"]) == ("9", '{"a":1}', T1, T2)
+    chg_schema = ("id string, issue_key string, created timestamp_ntz, author_account_id string, "
+                  "author_display_name string, field string, field_type string, from_value string, "
+                  "from_string string, to_value string, to_string string")
+    old = spark.createDataFrame([("1", "P-1", T1, "a", "A", "status", "jira", None, "Open", None, "Done")], chg_schema)
+    upd = spark.createDataFrame([("1", "P-2", T2, "b", "B", "status", "custom", None, "Open", None, "Won't Do")], chg_schema)
+    r = upsert_changelog(old, upd).first()
+    assert (r["issue_key"], r["field_type"], r["to_string"], r["created"]) == ("P-1", "jira", "Won't Do", T2)
+    links = spark.createDataFrame([("A", "B", "Blocks", T1)],
+                                  "source_issue_key string, target_issue_key string, link_type string, created_at timestamp_ntz")
+    again = spark.createDataFrame([("A", "B", "Blocks", T2), ("B", "C", "", T2)], links.schema)
+    assert _rows(upsert_links(links, again)) == [("A", "B", "Blocks", T1), ("B", "C", "", T2)]
