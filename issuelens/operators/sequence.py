@@ -39,17 +39,42 @@ def _order_exprs(order_cols) -> list[Column]:
     return out
 
 
+MIN_HOT_ROWS = 1_000_000
+
+
+def hot_groups(df: DataFrame, group_cols: Sequence[str], num_partitions: int,
+               min_hot_rows: int = MIN_HOT_ROWS) -> bool:
+    """True when some group is too big for one window task: larger than two
+    average shuffle partitions (and than ``min_hot_rows``).  One aggregate job;
+    partial aggregation keeps it cheap even when a group is huge."""
+    sizes = df.groupBy(*group_cols).agg(F.count(F.lit(1)).alias("n"))
+    row = sizes.agg(F.max("n").alias("mx"), F.sum("n").alias("total")).first()
+    if row is None or row["mx"] is None:
+        return False
+    return row["mx"] > max(min_hot_rows, 2 * row["total"] / max(num_partitions, 1))
+
+
 def sequence_rows(df: DataFrame, group_cols: Sequence[str], order_cols: Sequence,
                   lag_cols: Sequence[str] = (), step_col: str = "step",
                   prev_prefix: str = "prev_", num_partitions: int | None = None,
-                  keep_pid: bool = False, strategy: str = "ranged") -> DataFrame:
+                  keep_pid: bool = False, strategy: str = "auto",
+                  min_hot_rows: int = MIN_HOT_ROWS) -> DataFrame:
     """Add ``step_col`` (1, 2, … per group, long) and ``prev_<c>`` for ``lag_cols``.
 
-    ``strategy="window"`` is the plain one-shuffle window, for data known to
-    have no hot group; ``"ranged"`` (default) is the skew-safe plan above.
+    ``strategy``: ``"window"`` is the plain one-shuffle window; ``"ranged"``
+    the skew-safe plan above; ``"auto"`` (default) measures group sizes first
+    and takes ``"ranged"`` only when a group is hot (``hot_groups``).  All
+    three give the same rows.
     """
     gcols = list(group_cols)
     orders = _order_exprs(order_cols)
+    if strategy == "auto":
+        n = num_partitions or default_partitions(df.sparkSession)
+        if not gcols:
+            from issuelens.operators.sizing import has_at_most
+            strategy = "window" if has_at_most(df, min_hot_rows) else "ranged"
+        else:
+            strategy = "ranged" if hot_groups(df, gcols, n, min_hot_rows) else "window"
     if strategy == "window":
         w = Window.partitionBy(*gcols).orderBy(*orders) if gcols else Window.orderBy(*orders)
         out = df.withColumn(step_col, F.row_number().over(w).cast("long"))
@@ -119,6 +144,10 @@ def group_sizes(df: DataFrame, group_cols: Sequence[str], name: str = "n") -> Da
 
 
 def global_rank(df: DataFrame, order_cols: Sequence, name: str = "rank",
-                num_partitions: int | None = None) -> DataFrame:
-    """1, 2, 3 … over the whole frame in ``order_cols`` order, without a one-task window."""
-    return sequence_rows(df, [], order_cols, step_col=name, num_partitions=num_partitions)
+                num_partitions: int | None = None, strategy: str = "auto",
+                min_hot_rows: int = MIN_HOT_ROWS) -> DataFrame:
+    """1, 2, 3 … over the whole frame in ``order_cols`` order.  A one-task
+    window only when the frame is proven small (at most ``min_hot_rows``),
+    otherwise the range-split plan."""
+    return sequence_rows(df, [], order_cols, step_col=name, num_partitions=num_partitions,
+                         strategy=strategy, min_hot_rows=min_hot_rows)

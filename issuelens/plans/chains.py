@@ -12,7 +12,7 @@ from issuelens.plans.transitions import status_transitions
 
 
 def collapse_repeats(transitions: DataFrame, keep_pid: bool = False,
-                     strategy: str = "ranged") -> DataFrame:
+                     strategy: str = "auto") -> DataFrame:
     """WIN-4: keep a transition when it is the issue's first or its target
     differs from the previous transition's target (the same as comparing with
     the last kept target, since a dropped row repeats that target)."""
@@ -46,20 +46,20 @@ def chain_labels(kept: DataFrame) -> DataFrame:
     return labels.select("issue_key", F.concat_ws(" > ", "first_source", "targets").alias("chain"))
 
 
-def chain_ids(labels: DataFrame) -> DataFrame:
+def chain_ids(labels: DataFrame, strategy: str = "auto") -> DataFrame:
     """AGG-9: 1, 2, 3 … per distinct chain, in the order chains first appear
     when issues are visited by ascending key — i.e. ordered by the smallest
     issue key carrying the chain.  A distributed global rank, not a one-task
     window."""
     firsts = labels.groupBy("chain").agg(F.min("issue_key").alias("k0"))
-    return global_rank(firsts, ["k0"], name="chain_id").select("chain", "chain_id")
+    return global_rank(firsts, ["k0"], name="chain_id", strategy=strategy).select("chain", "chain_id")
 
 
 def status_chains(issues: DataFrame, changelog: DataFrame, lookup: DataFrame,
-                  strategy: str = "ranged") -> DataFrame:
+                  strategy: str = "auto") -> DataFrame:
     """Q3: Q2's rows plus ``chain`` and ``chain_id`` of the issue (JN-8)."""
     tr = materialize(status_transitions(issues, changelog, lookup, strategy=strategy), "transitions")
     kept = collapse_repeats(tr, keep_pid=True, strategy=strategy)
     labels = chain_labels(kept)
-    per_issue = labels.join(chain_ids(labels), "chain", "inner")
+    per_issue = labels.join(chain_ids(labels, strategy), "chain", "inner")
     return tr.join(per_issue, "issue_key", "inner")

@@ -27,7 +27,7 @@ def status_history(changelog: DataFrame) -> DataFrame:
     return status_changes(changelog).select("issue_key", "id", "created", "from_string", "to_string")
 
 
-def number_steps(changelog: DataFrame, strategy: str = "ranged") -> DataFrame:
+def number_steps(changelog: DataFrame, strategy: str = "auto") -> DataFrame:
     """WIN-1: ``step`` = 1, 2, … per issue in time order, with the previous
     change's time (WIN-3) — hot issues are split, not sent to one task."""
     return sequence_rows(status_history(changelog), ["issue_key"], step_order(),
@@ -46,7 +46,7 @@ def _per_issue(issues: DataFrame, changelog: DataFrame) -> DataFrame:
 
 
 def transitions_unclassified(issues: DataFrame, changelog: DataFrame,
-                             include_created: bool = False, strategy: str = "ranged") -> DataFrame:
+                             include_created: bool = False, strategy: str = "auto") -> DataFrame:
     """Transitions of loaded issues with previous time and duration.
 
     Union-free form of the synthetic "Created" step: step 1's previous time is
@@ -84,7 +84,7 @@ def classify_transitions(transitions: DataFrame, lookup: DataFrame, how: str = "
 
 def status_transitions(issues: DataFrame, changelog: DataFrame, lookup: DataFrame,
                        include_created: bool = False, lookup_how: str = "inner",
-                       strategy: str = "ranged") -> DataFrame:
+                       strategy: str = "auto") -> DataFrame:
     """Q2: issue_key, step, source, target, previous/transition time, duration,
     chain length, issue type, current status, classification, type.
     Sort (issue_key, step) at the sink."""

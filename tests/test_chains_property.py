@@ -29,7 +29,7 @@ def test_hot_issue_chain(spark):
     # one issue holds most rows and spans several range partitions
     rows = [("K-0", i + 1, "A", "A" if i % 5 else "B") for i in range(400)] + [("K-1", 1, "A", "B")]
     df = spark.createDataFrame(rows, "issue_key string, step long, source string, target string")
-    kept = chains.collapse_repeats(df, keep_pid=True)
+    kept = chains.collapse_repeats(df, keep_pid=True, strategy="ranged")
     labels = {r["issue_key"]: r["chain"] for r in chains.chain_labels(kept).collect()}
     want = model.chains([dict(issue_key=k, step=s, source=a, target=b) for k, s, a, b in rows])
     assert labels == {k: v[0] for k, v in want.items()}

@@ -8,7 +8,7 @@ from issuelens.operators.sequence import global_rank, sequence_rows
 
 def _compare(spark, rows, n_parts):
     df = spark.createDataFrame(rows, "g long, o long, v string")
-    a = sequence_rows(df, ["g"], ["o"], lag_cols=["v"], num_partitions=n_parts)
+    a = sequence_rows(df, ["g"], ["o"], lag_cols=["v"], num_partitions=n_parts, strategy="ranged")
     b = sequence_rows(df, ["g"], ["o"], lag_cols=["v"], strategy="window")
     cols = ["g", "o", "step", "prev_v"]
     got = sorted(tuple(r) for r in a.select(cols).collect())
@@ -25,7 +25,8 @@ def test_hot_group_matches_window(spark):
 def test_hot_group_spans_partitions(spark):
     rows = [(1, i, str(i)) for i in range(500)] + [(2, i, str(i)) for i in range(5)]
     df = spark.createDataFrame(rows, "g long, o long, v string")
-    out = sequence_rows(df, ["g"], ["o"], lag_cols=["v"], num_partitions=6, keep_pid=True)
+    out = sequence_rows(df, ["g"], ["o"], lag_cols=["v"], num_partitions=6, keep_pid=True,
+                        strategy="ranged")
     # the hot group was split over several partitions …
     assert out.filter("g = 1").select("_pid").distinct().count() > 1
     # … and still numbered 1..500 in order with the right previous value
@@ -35,13 +36,27 @@ def test_hot_group_spans_partitions(spark):
 
 def test_empty_input(spark):
     df = spark.createDataFrame([], "g long, o long, v string")
-    assert sequence_rows(df, ["g"], ["o"], lag_cols=["v"]).count() == 0
+    for strategy in ("auto", "ranged", "window"):
+        assert sequence_rows(df, ["g"], ["o"], lag_cols=["v"], strategy=strategy).count() == 0
+
+
+def test_auto_detects_hot_group(spark):
+    from issuelens.operators.sequence import hot_groups
+    rows = [(0, i, "x") for i in range(900)] + [(i, 0, "y") for i in range(1, 101)]
+    df = spark.createDataFrame(rows, "g long, o long, v string")
+    assert hot_groups(df, ["g"], 8, min_hot_rows=100)
+    assert not hot_groups(df.filter("g > 0"), ["g"], 8, min_hot_rows=100)
+    a = sequence_rows(df, ["g"], ["o"], lag_cols=["v"], min_hot_rows=100)
+    b = sequence_rows(df, ["g"], ["o"], lag_cols=["v"], strategy="window")
+    assert a.exceptAll(b).count() == 0 and b.exceptAll(a).count() == 0
 
 
 def test_global_rank(spark):
     df = spark.createDataFrame([(f"k{i:04d}",) for i in range(300)], "k string")
     shuffled = df.orderBy(F.rand(3))
-    got = {r["k"]: r["rank"] for r in global_rank(shuffled, ["k"], num_partitions=5).collect()}
+    got = {r["k"]: r["rank"] for r in global_rank(shuffled, ["k"], num_partitions=5, strategy="ranged").collect()}
+    assert got == {f"k{i:04d}": i + 1 for i in range(300)}
+    got = {r["k"]: r["rank"] for r in global_rank(shuffled, ["k"]).collect()}
     assert got == {f"k{i:04d}": i + 1 for i in range(300)}
 
 

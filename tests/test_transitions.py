@@ -60,6 +60,8 @@ def test_include_created(spark):
 def test_chains_match_model(spark):
     i, c, lk = tables.issues(spark), tables.changelog(spark), tables.lookup(spark)
     out = chains.status_chains(i, c, lk).collect()
+    ranged = chains.status_chains(i, c, lk, strategy="ranged").collect()
+    assert sorted(tuple(r) for r in out) == sorted(tuple(r) for r in ranged)
     tr = [r.asDict() for r in transitions.status_transitions(i, c, lk).collect()]
     want = model.chains(tr)
     got = {r["issue_key"]: (r["chain"], r["chain_id"]) for r in out}
