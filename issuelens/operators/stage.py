@@ -19,3 +19,14 @@ def materialize(df: DataFrame, name: str = "stage") -> DataFrame:
     path = scratch_path(spark, name)
     df.write.mode("overwrite").parquet(path)
     return spark.read.schema(df.schema).parquet(path)
+
+
+def spread(df: DataFrame) -> DataFrame:
+    """Spread an input that arrives in fewer splits than the cluster has task
+    slots (e.g. one small file with a single row group) over all slots, so the
+    narrow work before the first shuffle is not single-threaded.  Large inputs
+    already have many splits and pass through unchanged."""
+    slots = df.sparkSession.sparkContext.defaultParallelism
+    if df.rdd.getNumPartitions() < slots:
+        return df.repartition(slots)
+    return df

@@ -19,6 +19,7 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from issuelens.operators.sequence import sequence_rows
+from issuelens.operators.stage import spread
 from issuelens.operators.upsert import dedupe_first
 from issuelens import schemas
 
@@ -39,7 +40,7 @@ COMMIT_ORDER = ["l_partkey", "l_suppkey", "l_quantity", "l_extendedprice", "l_di
 
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
-    return spark.read.parquet(f"{sf_dir.rstrip('/')}/{name}.parquet")
+    return spread(spark.read.parquet(f"{sf_dir.rstrip('/')}/{name}.parquet"))
 
 
 def _key(col: str | Column, prefix: str = PROJECT) -> Column:
