@@ -58,3 +58,10 @@ def updated_within(issues: DataFrame, days: int, as_of=None) -> DataFrame:
     """FLT-10: issues whose ``fields.updated`` is within ``days`` of ``as_of`` (parsed, not text)."""
     updated = parse_jira_ts(json_text("fields", ISSUE_PATHS["updated"]))
     return issues.filter(updated >= days_before(as_of_lit(as_of), days))
+
+
+def first_per_group(df: DataFrame, keys, order) -> DataFrame:
+    """FLT-12/WIN-2: the first row of each group in ``order`` (``row_num = 1``),
+    as an aggregate so a hot group is reduced map-side."""
+    from issuelens.operators.upsert import dedupe_first
+    return dedupe_first(df, keys, order).select(*df.columns)

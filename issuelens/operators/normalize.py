@@ -11,18 +11,19 @@ from issuelens.functions.text import or_empty, strip_quotes
 from issuelens.functions.timefmt import parse_iso_utc, parse_jira_ts, try_parse_iso_utc
 
 
-def normalize_pull_requests(raw: DataFrame) -> DataFrame:
-    """PRJ-1: PR objects → ``pull_requests`` rows (``user.login`` → ``user_login``)."""
+def normalize_pull_requests(raw: DataFrame, keep=()) -> DataFrame:
+    """PRJ-1: PR objects → ``pull_requests`` rows (``user.login`` → ``user_login``).
+    ``keep``: extra raw columns carried through (e.g. landing order)."""
     return raw.select(
         F.col("id").cast("long").alias("id"), F.col("number").cast("int").alias("number"),
         "title", F.col("user.login").alias("user_login"), "state",
         parse_iso_utc("created_at").alias("created_at"),
         parse_iso_utc("updated_at").alias("updated_at"),
         parse_iso_utc("closed_at").alias("closed_at"),
-        parse_iso_utc("merged_at").alias("merged_at"), "html_url")
+        parse_iso_utc("merged_at").alias("merged_at"), "html_url", *keep)
 
 
-def normalize_commits(raw: DataFrame) -> DataFrame:
+def normalize_commits(raw: DataFrame, keep=()) -> DataFrame:
     """PRJ-2/PRJ-3: commit objects → ``pull_request_commits`` rows; dates that
     do not parse become NULL (FN-7); columns in table order."""
     return raw.select(
@@ -35,35 +36,35 @@ def normalize_commits(raw: DataFrame) -> DataFrame:
         F.col("commit.committer.name").alias("committer_name"),
         F.col("commit.committer.email").alias("committer_email"),
         try_parse_iso_utc("commit.committer.date").alias("commit_date"),
-        F.col("commit.message").alias("message"), "html_url")
+        F.col("commit.message").alias("message"), "html_url", *keep)
 
 
-def normalize_issues(raw: DataFrame, as_of: Column | None = None) -> DataFrame:
+def normalize_issues(raw: DataFrame, as_of: Column | None = None, keep=()) -> DataFrame:
     """PRJ-4: ``key``, ``id`` and ``fields`` as raw JSON text, plus load times."""
     now = as_of if as_of is not None else F.current_timestamp().cast("timestamp_ntz")
-    return raw.select("key", "id", "fields", now.alias("created_at"), now.alias("updated_at"))
+    return raw.select("key", "id", "fields", now.alias("created_at"), now.alias("updated_at"), *keep)
 
 
-def explode_issue_page(page: DataFrame) -> DataFrame:
+def explode_issue_page(page: DataFrame, keep=()) -> DataFrame:
     """SRC-3: issue search envelope → one row per issue."""
-    return page.select(F.explode("issues").alias("i")).select("i.*")
+    return page.select(F.posexplode("issues").alias("_ipos", "i"), *keep).select("i.*", "_ipos", *keep)
 
 
-def changelog_histories(raw: DataFrame) -> DataFrame:
+def changelog_histories(raw: DataFrame, keep=()) -> DataFrame:
     """SRC-4: one row per history entry from either the v2 shape
     (``changelog.histories``) or the v3 shape (``values``)."""
     key = F.coalesce(F.col("issue_key"), F.col("key"))
     entries = F.coalesce(F.col("changelog.histories"), F.col("values"),
                          F.array().cast(T.ArrayType(schemas.HISTORY)))
-    return raw.select(key.alias("issue_key"), F.posexplode(entries).alias("entry_pos", "h"))
+    return raw.select(key.alias("issue_key"), F.posexplode(entries).alias("entry_pos", "h"), *keep)
 
 
-def flatten_changelog(raw: DataFrame) -> DataFrame:
+def flatten_changelog(raw: DataFrame, keep=()) -> DataFrame:
     """PRJ-5: one row per (entry, item); an entry without items gives no rows;
     missing author or item name → ``''``; from/to values keep NULL (cleared)."""
-    hist = changelog_histories(raw)
+    hist = changelog_histories(raw, keep)
     items = hist.select("issue_key", "entry_pos", "h.id", "h.created", "h.author",
-                        F.posexplode("h.items").alias("item_pos", "it"))
+                        F.posexplode("h.items").alias("item_pos", "it"), *keep)
     return items.select(
         F.col("id"), F.col("issue_key"),
         parse_jira_ts("created").alias("created"),
@@ -73,14 +74,20 @@ def flatten_changelog(raw: DataFrame) -> DataFrame:
         or_empty("it.fieldtype").alias("field_type"),
         F.col("it.from").alias("from_value"), F.col("it.fromString").alias("from_string"),
         F.col("it.to").alias("to_value"), F.col("it.toString").alias("to_string"),
-        "entry_pos", "item_pos")
+        "entry_pos", "item_pos", *keep)
 
 
-def first_item_per_key(flat: DataFrame) -> DataFrame:
+def first_item_per_key(flat: DataFrame, latest_by=()) -> DataFrame:
     """§2.14-9: two items of one field in one entry collide on (id, field);
-    the first by position wins."""
-    from issuelens.operators.upsert import dedupe_first
-    return dedupe_first(flat, ["id", "field"], ["entry_pos", "item_pos"]).drop("entry_pos", "item_pos")
+    the first by position wins.  With ``latest_by`` (landing order columns)
+    a later landed copy of the entry wins over an earlier one."""
+    from issuelens.operators.upsert import dedupe_first, dedupe_last
+    if latest_by:
+        order = [F.col(c) for c in latest_by] + [-F.col("entry_pos"), -F.col("item_pos")]
+        out = dedupe_last(flat, ["id", "field"], order)
+    else:
+        out = dedupe_first(flat, ["id", "field"], ["entry_pos", "item_pos"])
+    return out.drop("entry_pos", "item_pos")
 
 
 def extract_links(issues: DataFrame) -> DataFrame:

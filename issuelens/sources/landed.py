@@ -33,7 +33,7 @@ def read_commit_pages(spark: SparkSession, path: str, multi_line: bool = True) -
 
 def read_issue_pages(spark: SparkSession, path: str, multi_line: bool = True) -> DataFrame:
     """SRC-3: search envelopes → one row per issue, ``fields`` as raw JSON text."""
-    return explode_issue_page(_json(spark, schemas.ISSUE_PAGE, path, multi_line))
+    return explode_issue_page(_json(spark, schemas.ISSUE_PAGE, path, multi_line)).drop("_ipos")
 
 
 def read_changelog_pages(spark: SparkSession, path: str, multi_line: bool = False) -> DataFrame:

@@ -1,0 +1,72 @@
+import datetime as dt
+import json
+import os
+import shutil
+
+from conftest import fixture_path
+from issuelens.sources import providers
+from issuelens.streaming.pipelines import ingest_issues, ingest_pull_requests
+
+
+def _copy(src, dst_dir, name):
+    os.makedirs(dst_dir, exist_ok=True)
+    shutil.copy(src, os.path.join(dst_dir, name))
+
+
+def test_ingest_pull_requests(spark, tmp_dir):
+    _copy(fixture_path("pull_requests_page.json"), f"{tmp_dir}/prs", "page-0001.json")
+    os.makedirs(f"{tmp_dir}/commits", exist_ok=True)
+    with open(fixture_path("commits.jsonl")) as f, open(f"{tmp_dir}/commits/page-0001.json", "w") as g:
+        g.write("[" + ",".join(line.strip() for line in f if line.strip()) + "]")
+    store = ingest_pull_requests(spark, f"{tmp_dir}/prs", f"{tmp_dir}/commits", f"{tmp_dir}/wh", f"{tmp_dir}/ck")
+    prs = store.read("pull_requests")
+    commits = {(r["sha"], r["pull_request_id"]): r for r in store.read("pull_request_commits").collect()}
+    assert prs.count() == 9 and len(commits) == 5
+    assert commits[("aaa", 1001)]["message"] == "first, amended"     # later landed version wins
+    assert commits[("ccc", 1003)]["author_date"] is None
+    # second page: one PR updated, one not newer than the watermark
+    with open(fixture_path("pull_requests_page.json")) as f:
+        page = json.load(f)
+    upd = dict(page[0], title="PROJ-12 again", updated_at="2024-03-01T00:00:00Z")
+    stale = dict(page[1], title="stale", updated_at="2024-01-08T10:00:00Z")
+    with open(f"{tmp_dir}/prs/page-0002.json", "w") as g:
+        json.dump([upd, stale], g)
+    store = ingest_pull_requests(spark, f"{tmp_dir}/prs", f"{tmp_dir}/commits", f"{tmp_dir}/wh", f"{tmp_dir}/ck")
+    titles = {r["id"]: r["title"] for r in store.read("pull_requests").collect()}
+    assert titles[1001] == "PROJ-12 again" and titles[1002] == page[1]["title"]
+    assert store.versions("pull_requests") == [1, 2]
+
+
+def test_ingest_issues_links_changelog(spark, tmp_dir):
+    _copy(fixture_path("issues_page.json"), f"{tmp_dir}/issues", "page-0001.json")
+    _copy(fixture_path("changelog.jsonl"), f"{tmp_dir}/changelog", "part-0001.json")
+    store = ingest_issues(spark, f"{tmp_dir}/issues", f"{tmp_dir}/changelog", f"{tmp_dir}/wh",
+                          f"{tmp_dir}/ck", as_of="2024-02-01 00:00:00")
+    assert store.read("jira_issues").count() == 4
+    links = sorted(tuple(r)[:3] for r in store.read("jira_links").collect())
+    assert links == [("PROJ-1", "PROJ-2", "Blocks"), ("PROJ-2", "PROJ-4", ""),
+                     ("PROJ-3", "PROJ-1", "Relates"), ("PROJ-5", "PROJ-2", "")]
+    chg = store.read("jira_changelog")
+    assert chg.filter("id = '11'").first()["to_string"] == "Won't Do"
+    # re-landed issue page with an edited summary: updated, created_at kept
+    with open(fixture_path("issues_page.json")) as f:
+        page = json.load(f)
+    page["issues"] = [dict(page["issues"][0], fields=dict(page["issues"][0]["fields"], summary="edited"))]
+    with open(f"{tmp_dir}/issues/page-0002.json", "w") as g:
+        json.dump(page, g)
+    store = ingest_issues(spark, f"{tmp_dir}/issues", f"{tmp_dir}/changelog", f"{tmp_dir}/wh",
+                          f"{tmp_dir}/ck", as_of="2024-03-01 00:00:00")
+    row = store.read("jira_issues").filter("key = 'PROJ-1'").first()
+    assert json.loads(row["fields"])["summary"] == "edited"
+    assert row["created_at"] == dt.datetime(2024, 2, 1) and row["updated_at"] == dt.datetime(2024, 3, 1)
+    assert store.read("jira_links").count() == 4
+
+
+def test_provider_registry():
+    assert "github" in providers.names()
+    try:
+        providers.get("nope")
+    except KeyError:
+        pass
+    else:
+        raise AssertionError
