@@ -58,8 +58,9 @@ def sequence_rows(df: DataFrame, group_cols: Sequence[str], order_cols: Sequence
                   lag_cols: Sequence[str] = (), step_col: str = "step",
                   prev_prefix: str = "prev_", num_partitions: int | None = None,
                   keep_pid: bool = False, strategy: str = "auto",
-                  min_hot_rows: int = MIN_HOT_ROWS) -> DataFrame:
-    """Add ``step_col`` (1, 2, … per group, long) and ``prev_<c>`` for ``lag_cols``.
+                  min_hot_rows: int = MIN_HOT_ROWS, size_col: str | None = None) -> DataFrame:
+    """Add ``step_col`` (1, 2, … per group, long) and ``prev_<c>`` for ``lag_cols``;
+    with ``size_col`` also the number of rows of the group (long).
 
     ``strategy``: ``"window"`` is the plain one-shuffle window; ``"ranged"``
     the skew-safe plan above; ``"auto"`` (default) measures group sizes first
@@ -80,6 +81,9 @@ def sequence_rows(df: DataFrame, group_cols: Sequence[str], order_cols: Sequence
         out = df.withColumn(step_col, F.row_number().over(w).cast("long"))
         for c in lag_cols:
             out = out.withColumn(prev_prefix + c, F.lag(c).over(w))
+        if size_col:
+            whole = Window.partitionBy(*gcols) if gcols else Window.partitionBy()
+            out = out.withColumn(size_col, F.count(F.lit(1)).over(whole).cast("long"))
         return out
     if strategy != "ranged":
         raise ValueError(f"unknown strategy {strategy!r}")
@@ -130,6 +134,11 @@ def sequence_rows(df: DataFrame, group_cols: Sequence[str], order_cols: Sequence
         out = out.withColumn(prev_prefix + c, F.when(first_group & (F.col("_lrn") == 1),
                                                      F.col("_carryv")[c])
                              .otherwise(F.col("_lag_" + c)))
+    if size_col:
+        # Rows per group from the written stage, aggregated map-side; the join
+        # back is inner on the group key (adaptive skew-join splits a hot one).
+        sizes = local.groupBy(*gcols).agg(F.count(F.lit(1)).cast("long").alias(size_col))
+        out = out.join(sizes, gcols, "inner")
     drop = ["_lrn", "_fk", "_carry", "_carryv"] + ["_lag_" + c for c in lag_cols]
     if const:
         drop.append(_CONST_GROUP)

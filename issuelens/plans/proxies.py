@@ -59,13 +59,16 @@ def _plus_minutes(ts: Column, minutes: Column) -> Column:
 # ---------------------------------------------------------------- changelog
 def changelog(spark: SparkSession, sf_dir: str) -> DataFrame:
     """``jira_changelog`` status rows from ``events``."""
-    ev = table(spark, sf_dir, "events").select("event_id", "ts", "user_id", "event_type")
-    seq = sequence_rows(ev, ["user_id"], ["ts", "event_id"], lag_cols=["event_type"],
+    ev = table(spark, sf_dir, "events").select(
+        "event_id", "ts", "user_id", "event_type", _key("user_id").alias("issue_key"))
+    # Partitioned by the issue key (1:1 with the user), so the queries' own
+    # per-issue windows reuse this partitioning.
+    seq = sequence_rows(ev, ["issue_key"], ["ts", "event_id"], lag_cols=["event_type"],
                         step_col="_n")
     prev = F.coalesce(F.col("prev_event_type"), F.lit(FIRST_STATUS))
     return seq.select(
         F.col("event_id").cast("string").alias("id"),
-        _key("user_id").alias("issue_key"),
+        "issue_key",
         F.col("ts").alias("created"),
         F.concat(F.lit("acct-"), F.col("user_id").cast("string")).alias("author_account_id"),
         F.concat(F.lit("User "), F.col("user_id").cast("string")).alias("author_display_name"),

@@ -7,7 +7,7 @@ from pyspark.sql import functions as F
 
 from issuelens.functions.timefmt import epoch_seconds_between
 from issuelens.operators.filters import status_changes
-from issuelens.operators.sequence import group_sizes, sequence_rows
+from issuelens.operators.sequence import sequence_rows
 from issuelens.operators.sizing import sized_broadcast
 from issuelens.plans.timeline import issue_attributes
 
@@ -27,22 +27,19 @@ def status_history(changelog: DataFrame) -> DataFrame:
     return status_changes(changelog).select("issue_key", "id", "created", "from_string", "to_string")
 
 
-def number_steps(changelog: DataFrame, strategy: str = "auto") -> DataFrame:
+def number_steps(changelog: DataFrame, strategy: str = "auto", size_col: str | None = None) -> DataFrame:
     """WIN-1: ``step`` = 1, 2, … per issue in time order, with the previous
     change's time (WIN-3) — hot issues are split, not sent to one task."""
     return sequence_rows(status_history(changelog), ["issue_key"], step_order(),
-                         lag_cols=["created"], step_col="step", strategy=strategy)
+                         lag_cols=["created"], step_col="step", strategy=strategy,
+                         size_col=size_col)
 
 
-def _per_issue(issues: DataFrame, changelog: DataFrame) -> DataFrame:
-    """One row per issue: attributes, creation time and chain length (AGG-7)."""
-    attrs = issue_attributes(issues).select(
+def _per_issue(issues: DataFrame) -> DataFrame:
+    """One row per issue: creation time, type and current status."""
+    return issue_attributes(issues).select(
         F.col("key").alias("issue_key"), F.col("created").alias("issue_created"),
         "issue_type", "current_status")
-    lengths = group_sizes(status_history(changelog), ["issue_key"], "n")
-    return attrs.join(lengths, "issue_key", "inner").select(
-        "issue_key", "issue_created", "issue_type", "current_status",
-        (F.col("n") + F.lit(1)).cast("long").alias("chain_length"))
 
 
 def transitions_unclassified(issues: DataFrame, changelog: DataFrame,
@@ -50,17 +47,18 @@ def transitions_unclassified(issues: DataFrame, changelog: DataFrame,
     """Transitions of loaded issues with previous time and duration.
 
     Union-free form of the synthetic "Created" step: step 1's previous time is
-    the issue's creation time, and the chain length counts that step.  With
-    ``include_created`` the step-0 rows themselves are added (SET-1).
+    the issue's creation time, and the chain length (AGG-7) counts that step.
+    With ``include_created`` the step-0 rows themselves are added (SET-1).
     """
-    steps = number_steps(changelog, strategy)
-    t = steps.join(_per_issue(issues, changelog), "issue_key", "inner")  # JN-4/5/6
+    steps = number_steps(changelog, strategy, size_col="n_changes")
+    t = steps.join(_per_issue(issues), "issue_key", "inner")  # JN-4/5/6
     prev = F.when(F.col("step") == 1, F.col("issue_created")).otherwise(F.col("prev_created"))
+    length = (F.col("n_changes") + F.lit(1)).cast("long").alias("chain_length")
     real = t.select(
         "issue_key", "step", F.col("from_string").alias("source"), F.col("to_string").alias("target"),
         prev.alias("previous_timestamp"), F.col("created").alias("transition_timestamp"),
         epoch_seconds_between(F.col("created"), prev).alias("duration_seconds"),
-        "chain_length", "issue_type", "current_status")
+        length, "issue_type", "current_status")
     if not include_created:
         return real
     created = t.filter(F.col("step") == 1).select(
@@ -69,7 +67,7 @@ def transitions_unclassified(issues: DataFrame, changelog: DataFrame,
         F.lit(None).cast("timestamp_ntz").alias("previous_timestamp"),
         F.col("issue_created").alias("transition_timestamp"),
         F.lit(None).cast("double").alias("duration_seconds"),
-        "chain_length", "issue_type", "current_status")
+        length, "issue_type", "current_status")
     return created.unionByName(real)
 
 
