@@ -57,7 +57,7 @@ def _plus_minutes(ts: Column, minutes: Column) -> Column:
 
 
 # ---------------------------------------------------------------- changelog
-def changelog(spark: SparkSession, sf_dir: str) -> DataFrame:
+def build_changelog(spark: SparkSession, sf_dir: str) -> DataFrame:
     """``jira_changelog`` status rows from ``events``."""
     ev = table(spark, sf_dir, "events").select(
         "event_id", "ts", "user_id", "event_type", _key("user_id").alias("issue_key"))
@@ -116,7 +116,7 @@ def _issue_links() -> Column:
     return F.when(F.col("c_acctbal") <= 9000, links)
 
 
-def issues(spark: SparkSession, sf_dir: str) -> DataFrame:
+def build_issues(spark: SparkSession, sf_dir: str) -> DataFrame:
     """``jira_issues`` from ``customer``; absent attributes are left out of the JSON."""
     c = table(spark, sf_dir, "customer")
     fields = F.to_json(F.struct(
@@ -136,7 +136,7 @@ def issues(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 # ---------------------------------------------------------------- pull requests
-def pull_requests(spark: SparkSession, sf_dir: str) -> DataFrame:
+def build_pull_requests(spark: SparkSession, sf_dir: str) -> DataFrame:
     o = table(spark, sf_dir, "orders")
     cust = F.col("o_custkey").cast("string")
     pri = F.col("o_orderpriority")
@@ -199,7 +199,7 @@ def commits_landed(spark: SparkSession, sf_dir: str, where: Column | None = None
 COMMIT_ORDER_COLS = [f"_o{i}" for i in range(len(COMMIT_ORDER))]
 
 
-def pull_request_commits(spark: SparkSession, sf_dir: str, where: Column | None = None) -> DataFrame:
+def build_pull_request_commits(spark: SparkSession, sf_dir: str, where: Column | None = None) -> DataFrame:
     """``pull_request_commits``: landed commits, one row per key (first in dedupe order)."""
     landed = commits_landed(spark, sf_dir, where)
     return dedupe_first(landed, schemas.KEYS["pull_request_commits"], COMMIT_ORDER_COLS) \
@@ -221,3 +221,41 @@ def status_lookup_rows() -> list[tuple[str, str, str, str]]:
 
 def status_lookup(spark: SparkSession) -> DataFrame:
     return spark.createDataFrame(status_lookup_rows(), schemas.STATUS_LOOKUP)
+
+
+# ---------------------------------------------------------------- persisted
+# The canonical tables are persisted once per session (as the ingest would
+# persist them) and queries read the written Parquet: data Spark derived from
+# the given tables, under the session's checkpoint folder.
+_PERSISTED: dict[tuple[str, str, str], str] = {}
+
+
+def _persisted(spark: SparkSession, sf_dir: str, name: str, build) -> DataFrame:
+    from issuelens.session import ensure_checkpoint_dir, path_exists, scratch_path
+    key = (ensure_checkpoint_dir(spark), sf_dir.rstrip("/"), name)
+    path = _PERSISTED.get(key)
+    if path is None or not path_exists(spark, f"{path}/_SUCCESS"):
+        df = build(spark, sf_dir)
+        path = scratch_path(spark, f"table-{name}")
+        df.write.mode("overwrite").parquet(path)
+        _PERSISTED[key] = path
+    return spark.read.schema(schemas.TABLES[name]).parquet(path)
+
+
+def changelog(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return _persisted(spark, sf_dir, "jira_changelog", build_changelog)
+
+
+def issues(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return _persisted(spark, sf_dir, "jira_issues", build_issues)
+
+
+def pull_requests(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return _persisted(spark, sf_dir, "pull_requests", build_pull_requests)
+
+
+def pull_request_commits(spark: SparkSession, sf_dir: str, where: Column | None = None) -> DataFrame:
+    if where is not None:
+        return build_pull_request_commits(spark, sf_dir, where)
+    return _persisted(spark, sf_dir, "pull_request_commits",
+                      lambda s, d: build_pull_request_commits(s, d))
