@@ -26,3 +26,27 @@ def json_text(col: str | Column, path: str) -> Column:
 
 def issue_field(name: str, fields: str | Column = "fields") -> Column:
     return json_text(fields, ISSUE_PATHS[name]).alias(name)
+
+
+# The attributes the queries read from an issue's ``fields``, as one schema so
+# the JSON text is parsed once per row instead of once per path.
+ISSUE_FIELDS_SCHEMA = (
+    "summary string, status struct<name: string>, issuetype struct<name: string>, "
+    "assignee struct<displayName: string>, created string, updated string, "
+    "project struct<key: string>")
+
+ISSUE_FIELD_COLUMNS = {
+    "summary": "summary",
+    "current_status": "status.name",
+    "issue_type": "issuetype.name",
+    "assignee": "assignee.displayName",
+    "created": "created",
+    "updated": "updated",
+    "project": "project.key",
+}
+
+
+def parsed_issue_fields(fields: str | Column = "fields") -> Column:
+    """``fields`` parsed once into a struct of the attributes above."""
+    c = F.col(fields) if isinstance(fields, str) else fields
+    return F.from_json(c, ISSUE_FIELDS_SCHEMA)

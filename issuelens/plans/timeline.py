@@ -8,7 +8,7 @@ from collections.abc import Sequence
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from issuelens.functions.jsonpath import issue_field
+from issuelens.functions.jsonpath import ISSUE_FIELD_COLUMNS, parsed_issue_fields
 from issuelens.functions.timefmt import parse_jira_ts
 from issuelens.operators.filters import status_changes
 from issuelens.operators.pivot import distinct_values, pivot_by_value, pivot_values
@@ -17,12 +17,15 @@ ATTRS = ["key", "summary", "current_status", "issue_type", "assignee"]
 
 
 def issue_attributes(issues: DataFrame) -> DataFrame:
-    """PRJ-7: typed attributes read from ``fields`` (FN-1..3, FN-12)."""
-    return issues.select(
-        "key", issue_field("summary"), issue_field("current_status"), issue_field("issue_type"),
-        issue_field("assignee"),
-        parse_jira_ts(issue_field("created")).alias("created"),
-        parse_jira_ts(issue_field("updated")).alias("updated"))
+    """PRJ-7: typed attributes read from ``fields`` (FN-1..3, FN-12), with one
+    JSON parse per issue."""
+    f = issues.select("key", parsed_issue_fields("fields").alias("_f"))
+    col = {k: F.col("_f." + v) for k, v in ISSUE_FIELD_COLUMNS.items()}
+    return f.select(
+        "key", col["summary"].alias("summary"), col["current_status"].alias("current_status"),
+        col["issue_type"].alias("issue_type"), col["assignee"].alias("assignee"),
+        parse_jira_ts(col["created"]).alias("created"),
+        parse_jira_ts(col["updated"]).alias("updated"))
 
 
 def status_rows(changelog: DataFrame) -> DataFrame:
