@@ -54,6 +54,20 @@ def hot_groups(df: DataFrame, group_cols: Sequence[str], num_partitions: int,
     return row["mx"] > max(min_hot_rows, 2 * row["total"] / max(num_partitions, 1))
 
 
+def resolve_strategy(df: DataFrame, group_cols: Sequence[str], strategy: str = "auto",
+                     num_partitions: int | None = None, min_hot_rows: int = MIN_HOT_ROWS) -> str:
+    """``"window"`` or ``"ranged"``; ``"auto"`` measures the groups of ``df``.
+    Resolve once and pass the result on when later steps group the same keys
+    over a subset of these rows."""
+    if strategy != "auto":
+        return strategy
+    n = num_partitions or default_partitions(df.sparkSession)
+    if not group_cols:
+        from issuelens.operators.sizing import has_at_most
+        return "window" if has_at_most(df, min_hot_rows) else "ranged"
+    return "ranged" if hot_groups(df, group_cols, n, min_hot_rows) else "window"
+
+
 def sequence_rows(df: DataFrame, group_cols: Sequence[str], order_cols: Sequence,
                   lag_cols: Sequence[str] = (), step_col: str = "step",
                   prev_prefix: str = "prev_", num_partitions: int | None = None,
@@ -69,13 +83,7 @@ def sequence_rows(df: DataFrame, group_cols: Sequence[str], order_cols: Sequence
     """
     gcols = list(group_cols)
     orders = _order_exprs(order_cols)
-    if strategy == "auto":
-        n = num_partitions or default_partitions(df.sparkSession)
-        if not gcols:
-            from issuelens.operators.sizing import has_at_most
-            strategy = "window" if has_at_most(df, min_hot_rows) else "ranged"
-        else:
-            strategy = "ranged" if hot_groups(df, gcols, n, min_hot_rows) else "window"
+    strategy = resolve_strategy(df, gcols, strategy, num_partitions, min_hot_rows)
     if strategy == "window":
         w = Window.partitionBy(*gcols).orderBy(*orders) if gcols else Window.orderBy(*orders)
         out = df.withColumn(step_col, F.row_number().over(w).cast("long"))

@@ -17,6 +17,7 @@ from issuelens.functions.timefmt import as_of_lit, iso_z, parse_jira_ts, try_par
 from issuelens.operators import filters, quality
 from issuelens.operators.normalize import (
     first_item_per_key, flatten_changelog, normalize_commits, normalize_pull_requests)
+from issuelens.operators.sequence import resolve_strategy
 from issuelens.operators.upsert import upsert
 from issuelens.plans import chains, issues as issue_q, params as P, proxies as X
 from issuelens.plans import pull_requests as pr_q, timeline, transitions
@@ -79,8 +80,9 @@ def q_status_transitions_with_created(spark, sf):
 
 def q_collapsed_transitions(spark, sf):
     i, c = _tables(spark, sf)
-    tr = transitions.status_transitions(i, c, X.status_lookup(spark))
-    return chains.collapse_repeats(tr)
+    strategy = resolve_strategy(transitions.status_history(c), ["issue_key"])
+    tr = transitions.status_transitions(i, c, X.status_lookup(spark), strategy=strategy)
+    return chains.collapse_repeats(tr, strategy=strategy)
 
 
 def q_status_chains(spark, sf):

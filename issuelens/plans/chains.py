@@ -6,9 +6,9 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from issuelens.operators.sequence import global_rank, sequence_rows
+from issuelens.operators.sequence import global_rank, resolve_strategy, sequence_rows
 from issuelens.operators.stage import materialize
-from issuelens.plans.transitions import status_transitions
+from issuelens.plans.transitions import status_history, status_transitions
 
 
 def collapse_repeats(transitions: DataFrame, keep_pid: bool = False,
@@ -58,6 +58,9 @@ def chain_ids(labels: DataFrame, strategy: str = "auto") -> DataFrame:
 def status_chains(issues: DataFrame, changelog: DataFrame, lookup: DataFrame,
                   strategy: str = "auto") -> DataFrame:
     """Q3: Q2's rows plus ``chain`` and ``chain_id`` of the issue (JN-8)."""
+    # Chains group the same issues over a subset of their history rows, so the
+    # plan chosen for the history holds for every per-issue step below.
+    strategy = resolve_strategy(status_history(changelog), ["issue_key"], strategy)
     tr = materialize(status_transitions(issues, changelog, lookup, strategy=strategy), "transitions")
     kept = collapse_repeats(tr, keep_pid=True, strategy=strategy)
     labels = chain_labels(kept)

@@ -10,6 +10,7 @@ from issuelens.operators.filters import updated_within
 from issuelens.operators.normalize import extract_links
 from issuelens.operators.upsert import upsert_links
 from issuelens.plans.timeline import issue_attributes
+from issuelens.schemas import empty_frame
 
 DEFAULT_WATERMARK = "2000-01-01 00:00:00"
 
@@ -24,7 +25,7 @@ def issue_links(issues: DataFrame, existing: DataFrame | None = None, as_of=None
     """Q8: link edges of the issues, upserted with DO NOTHING into ``existing``."""
     edges = extract_links(issues).withColumn("created_at", as_of_lit(as_of))
     if existing is None:
-        existing = edges.sparkSession.createDataFrame([], edges.schema)
+        existing = empty_frame(edges.sparkSession, edges.schema)
     return upsert_links(existing, edges)
 
 

@@ -220,7 +220,10 @@ def status_lookup_rows() -> list[tuple[str, str, str, str]]:
 
 
 def status_lookup(spark: SparkSession) -> DataFrame:
-    return spark.createDataFrame(status_lookup_rows(), schemas.STATUS_LOOKUP)
+    """The lookup as an inline table (a local relation: no RDD, no Python workers)."""
+    rows = F.array(*[F.struct(*[F.lit(v).alias(n) for v, n in zip(r, schemas.STATUS_LOOKUP.names)])
+                     for r in status_lookup_rows()])
+    return spark.range(1).select(F.inline(rows))
 
 
 # ---------------------------------------------------------------- persisted

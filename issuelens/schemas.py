@@ -91,6 +91,13 @@ ISSUE_LINK = _struct(("type", _struct(("name", S))),
 ISSUE_LINKS = T.ArrayType(ISSUE_LINK)
 
 
+def empty_frame(spark, schema: T.StructType):
+    """An empty DataFrame of ``schema`` as a local relation (no RDD job)."""
+    from pyspark.sql import functions as F
+    cols = [F.lit(None).cast(f.dataType).alias(f.name) for f in schema.fields]
+    return spark.range(0).select(*cols)
+
+
 def empty_table(spark, name: str):
     """SNK-1: the typed, empty table (create-if-absent)."""
-    return spark.createDataFrame([], TABLES[name])
+    return empty_frame(spark, TABLES[name])

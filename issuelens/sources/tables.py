@@ -45,7 +45,7 @@ class SnapshotStore:
         if v is None:
             if schema is None:
                 raise ValueError(f"no snapshot of {name} and no schema")
-            return self.spark.createDataFrame([], schema)
+            return schemas.empty_frame(self.spark, schema)
         reader = self.spark.read
         if schema is not None:
             reader = reader.schema(schema)
