@@ -120,8 +120,7 @@ def q_merged_pr_issue_keys(spark, sf):
 
 def q_commits_of_pull_request(spark, sf):
     prs, prc = _prs_commits(spark, sf)
-    commits, pr_commits = pr_q.commit_views(prc)
-    return pr_q.commits_of_pull_request(prs, pr_commits, commits, P.PR_NUMBER)
+    return pr_q.commits_of_pull_request_from_table(prs, prc, P.PR_NUMBER)
 
 
 def q_recent_issues(spark, sf):
@@ -136,7 +135,9 @@ def q_issue_links(spark, sf):
 
 def _upsert(spark, sf, keep=(), on_conflict="update"):
     _prep(spark)
-    target = X.pull_request_commits(spark, sf, F.col("l_shipdate") < F.lit(P.UPSERT_TARGET_BEFORE).cast("timestamp_ntz"))
+    target = X.pull_request_commits(
+        spark, sf, F.col("l_shipdate") < F.lit(P.UPSERT_TARGET_BEFORE).cast("timestamp_ntz"),
+        name="pull_request_commits_existing")
     source = X.commits_landed(spark, sf, F.col("l_shipdate") >= F.lit(P.UPSERT_SOURCE_FROM).cast("timestamp_ntz"))
     return upsert(target, source, schemas.KEYS["pull_request_commits"], keep_cols=keep,
                   on_conflict=on_conflict, order=X.COMMIT_ORDER_COLS)

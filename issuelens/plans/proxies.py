@@ -233,7 +233,7 @@ def status_lookup(spark: SparkSession) -> DataFrame:
 _PERSISTED: dict[tuple[str, str, str], str] = {}
 
 
-def _persisted(spark: SparkSession, sf_dir: str, name: str, build) -> DataFrame:
+def _persisted(spark: SparkSession, sf_dir: str, name: str, build, schema=None) -> DataFrame:
     from issuelens.session import ensure_checkpoint_dir, path_exists, scratch_path
     key = (ensure_checkpoint_dir(spark), sf_dir.rstrip("/"), name)
     path = _PERSISTED.get(key)
@@ -242,7 +242,7 @@ def _persisted(spark: SparkSession, sf_dir: str, name: str, build) -> DataFrame:
         path = scratch_path(spark, f"table-{name}")
         df.write.mode("overwrite").parquet(path)
         _PERSISTED[key] = path
-    return spark.read.schema(schemas.TABLES[name]).parquet(path)
+    return spark.read.schema(schema or schemas.TABLES[name]).parquet(path)
 
 
 def changelog(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -257,8 +257,12 @@ def pull_requests(spark: SparkSession, sf_dir: str) -> DataFrame:
     return _persisted(spark, sf_dir, "pull_requests", build_pull_requests)
 
 
-def pull_request_commits(spark: SparkSession, sf_dir: str, where: Column | None = None) -> DataFrame:
-    if where is not None:
+def pull_request_commits(spark: SparkSession, sf_dir: str, where: Column | None = None,
+                         name: str | None = None) -> DataFrame:
+    """The commits table; with ``where`` the table as it was when only those
+    landed rows had been loaded (persisted under ``name`` when given)."""
+    if where is not None and name is None:
         return build_pull_request_commits(spark, sf_dir, where)
-    return _persisted(spark, sf_dir, "pull_request_commits",
-                      lambda s, d: build_pull_request_commits(s, d))
+    return _persisted(spark, sf_dir, name or "pull_request_commits",
+                      lambda s, d: build_pull_request_commits(s, d, where),
+                      schemas.PULL_REQUEST_COMMITS)

@@ -57,10 +57,28 @@ def commit_views(pull_request_commits: DataFrame) -> tuple[DataFrame, DataFrame]
 
 def commits_of_pull_request(prs: DataFrame, pr_commits: DataFrame, commits: DataFrame,
                             number: int) -> DataFrame:
-    """Q6 / JN-9: all commits of the PR with this number."""
+    """Q6 / JN-9 over separate ``commits`` / ``pr_commits`` tables: all
+    commits of the PR with this number (PR → junction → commit)."""
     pr = one_pull_request(prs, number).select(F.col("id").alias("_pr_id")).alias("pr")
     pc = pr_commits.alias("pc")
     c = commits.alias("c")
     j = pr.join(pc, F.col("pr._pr_id") == F.col("pc.pr_id"), "inner")
     j = j.join(c, F.col("pc.commit_sha") == F.col("c.sha"), "inner")
     return j.select(*[F.col(f"c.{name}") for name in commits.columns])
+
+
+def commits_of_pull_request_from_table(prs: DataFrame, pull_request_commits: DataFrame,
+                                       number: int) -> DataFrame:
+    """Q6 over the denormalised table.  The table is first narrowed to the rows
+    whose sha belongs to that PR (a semi join against the PR's few shas), and
+    only then split into the ``commits`` / ``pr_commits`` views: the per-sha
+    representative is chosen among all rows of the sha either way, so the
+    result is the same, but the de-duplication touches only the PR's commits
+    instead of the whole table."""
+    pr = one_pull_request(prs, number).select(F.col("id").alias("_pr_id"))
+    mine = pull_request_commits.join(pr, pull_request_commits["pull_request_id"] == pr["_pr_id"],
+                                     "left_semi")
+    shas = mine.select(F.col("sha").alias("_sha")).distinct()
+    narrowed = pull_request_commits.join(shas, pull_request_commits["sha"] == shas["_sha"], "left_semi")
+    commits, pr_commits = commit_views(narrowed)
+    return commits_of_pull_request(prs, pr_commits, commits, number)

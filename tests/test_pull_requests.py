@@ -48,3 +48,6 @@ def test_commits_of_pull_request(spark):
     rows = q.commits_of_pull_request(prs, pc, cv, 1).collect()
     assert sorted(r["sha"] for r in rows) == ["aaa", "bbb"]
     assert [r["message"] for r in rows if r["sha"] == "aaa"] == ["first, amended"]  # re-fetched wins
+    narrow = q.commits_of_pull_request_from_table(prs, commits, 1).collect()
+    assert sorted(tuple(r) for r in narrow) == sorted(tuple(r) for r in rows)
+    assert sorted(r["sha"] for r in q.commits_of_pull_request_from_table(prs, commits, 2).collect()) == ["bbb"]
