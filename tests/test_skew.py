@@ -1,0 +1,37 @@
+"""A hot issue holding a third of all status changes: the range-split plan
+gives exactly the rows of the plain window plan, and the automatic choice
+picks it."""
+
+from pyspark.sql import functions as F
+
+from issuelens.operators.sequence import hot_groups, resolve_strategy
+from issuelens.plans import chains, proxies as X, transitions
+from issuelens.plans.transitions import status_history
+
+SF = "/root/testdata/sf0.001"
+
+
+def _skewed(spark):
+    # every third event is re-assigned to issue PROJ-0
+    ch = X.build_changelog(spark, SF)
+    n = F.col("id").cast("long")
+    return ch.withColumn("issue_key", F.when(n % 3 == 0, F.lit("PROJ-0")).otherwise(F.col("issue_key")))
+
+
+def test_auto_picks_ranged_for_hot_issue(spark):
+    hist = status_history(_skewed(spark))
+    assert hot_groups(hist, ["issue_key"], 8, min_hot_rows=100)
+    assert resolve_strategy(hist, ["issue_key"], num_partitions=8, min_hot_rows=100) == "ranged"
+
+
+def test_transitions_and_chains_equal_under_skew(spark):
+    i, c, lk = X.build_issues(spark, SF), _skewed(spark), X.status_lookup(spark)
+    a = transitions.status_transitions(i, c, lk, strategy="ranged")
+    b = transitions.status_transitions(i, c, lk, strategy="window")
+    assert a.count() > 0
+    assert a.exceptAll(b).count() == 0 and b.exceptAll(a).count() == 0
+    ca = chains.status_chains(i, c, lk, strategy="ranged")
+    cb = chains.status_chains(i, c, lk, strategy="window")
+    assert ca.exceptAll(cb).count() == 0 and cb.exceptAll(ca).count() == 0
+    hot = ca.filter("issue_key = 'PROJ-0'").select("chain_length").distinct().collect()
+    assert len(hot) == 1 and hot[0][0] > 300
