@@ -14,6 +14,8 @@ from collections.abc import Sequence
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from issuelens.operators.sizing import has_at_most
+
 
 def _pick(df: DataFrame, keys: Sequence[str], order: Sequence[str | Column], largest: bool) -> DataFrame:
     keys = list(keys)
@@ -45,9 +47,29 @@ def dedupe_last(df: DataFrame, keys: Sequence[str], order: Sequence[str | Column
     return _pick(df, keys, order, largest=True)
 
 
+BROADCAST_BATCH_ROWS = 1_000_000
+
+
+def _merge_rows(target: DataFrame, src: DataFrame, keys: list[str], keep: set[str]) -> DataFrame:
+    cols = target.columns
+    t = target.withColumn("_in_t", F.lit(True)).alias("t")
+    s = src.withColumn("_in_s", F.lit(True)).alias("s")
+    j = t.join(s, keys, "full_outer")
+    out = []
+    for c in cols:
+        if c in keys:
+            out.append(F.col(c))
+        elif c in keep:
+            out.append(F.when(F.col("t._in_t"), F.col(f"t.{c}")).otherwise(F.col(f"s.{c}")).alias(c))
+        else:
+            out.append(F.when(F.col("s._in_s"), F.col(f"s.{c}")).otherwise(F.col(f"t.{c}")).alias(c))
+    return j.select(*out)
+
+
 def upsert(target: DataFrame, source: DataFrame, keys: Sequence[str], *,
            keep_cols: Sequence[str] = (), on_conflict: str = "update",
-           order: Sequence[str | Column] = (), latest: bool = False) -> DataFrame:
+           order: Sequence[str | Column] = (), latest: bool = False,
+           broadcast_batch_rows: int = BROADCAST_BATCH_ROWS) -> DataFrame:
     """``INSERT … ON CONFLICT (keys) DO UPDATE / DO NOTHING``.
 
     * ``source`` is de-duplicated first: the first row per key in ``order``
@@ -59,30 +81,35 @@ def upsert(target: DataFrame, source: DataFrame, keys: Sequence[str], *,
     * ``on_conflict="nothing"``: matched rows keep the target row;
     * unmatched target rows stay, unmatched source rows are inserted.
     Columns come out in the target's order; the source must have them all.
+
+    Plan: when the de-duplicated batch has at most ``broadcast_batch_rows``
+    rows (checked), its keys are broadcast and the table is only scanned —
+    untouched rows pass through an anti join, touched rows (no more than the
+    batch) are merged with it — so the table is never shuffled.  Larger
+    batches use one full outer join on the key (both sides unique per key).
     """
     keys = list(keys)
     cols = target.columns
     missing = [c for c in cols if c not in source.columns]
     if missing:
         raise ValueError(f"source lacks columns {missing}")
+    if on_conflict not in ("update", "nothing"):
+        raise ValueError(f"unknown on_conflict {on_conflict!r}")
     src = (dedupe_last if latest else dedupe_first)(source, keys, order).select(*cols)
+    keep = set(keep_cols)
+    small = has_at_most(src, broadcast_batch_rows)
     if on_conflict == "nothing":
+        if small:
+            batch_keys = F.broadcast(src.select(*keys))
+            existing = target.select(*keys).join(batch_keys, keys, "left_semi")
+            return target.unionByName(src.join(existing, keys, "left_anti"))
         return target.unionByName(src.join(target.select(*keys), keys, "left_anti"))
-    if on_conflict != "update":
-        raise ValueError(f"unknown on_conflict {on_conflict!r}")
-    keep = set(keep_cols)
-    t = target.withColumn("_in_t", F.lit(True)).alias("t")
-    s = src.withColumn("_in_s", F.lit(True)).alias("s")
-    j = t.join(s, keys, "full_outer")
-    out = []
-    for c in cols:
-        if c in keys:
-            out.append(F.col(c))
-        elif c in keep:
-            out.append(F.when(F.col("t._in_t"), F.col(f"t.{c}")).otherwise(F.col(f"s.{c}")).alias(c))
-        else:
-            out.append(F.when(F.col("s._in_s"), F.col(f"s.{c}")).otherwise(F.col(f"t.{c}")).alias(c))
-    return j.select(*out)
+    if not small:
+        return _merge_rows(target, src, keys, keep)
+    batch_keys = F.broadcast(src.select(*keys))
+    untouched = target.join(batch_keys, keys, "left_anti")
+    touched = target.join(batch_keys, keys, "left_semi")
+    return untouched.unionByName(_merge_rows(touched, src, keys, keep))
 
 
 # The five instances of the reference tables.

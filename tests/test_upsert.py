@@ -78,3 +78,14 @@ def test_table_instances(spark):
                                   "source_issue_key string, target_issue_key string, link_type string, created_at timestamp_ntz")
     again = spark.createDataFrame([("A", "B", "Blocks", T2), ("B", "C", "", T2)], links.schema)
     assert _rows(upsert_links(links, again)) == [("A", "B", "Blocks", T1), ("B", "C", "", T2)]
+
+
+def test_large_batch_path_equals_broadcast_path(spark):
+    target = spark.createDataFrame([(i, f"t{i}", "old", T1) for i in range(50)], SCHEMA)
+    source = spark.createDataFrame([(i, None if i % 7 == 0 else f"s{i}", "new", T2) for i in range(40, 70)]
+                                   + [(45, "dup", "new", T1)], SCHEMA)
+    for kw in ({}, {"keep_cols": ["ts"]}, {"on_conflict": "nothing"}):
+        small = upsert(target, source, ["k"], order=["ts", "a"], latest=True, **kw)
+        big = upsert(target, source, ["k"], order=["ts", "a"], latest=True, broadcast_batch_rows=0, **kw)
+        assert _rows(small) == _rows(big)
+        assert len(_rows(small)) == 70
