@@ -13,7 +13,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from issuelens import schemas
-from issuelens.functions.timefmt import as_of_lit, iso_z, parse_jira_ts, try_parse_iso_utc
+from issuelens.functions.timefmt import as_of_lit, iso_z, try_parse_iso_utc
 from issuelens.operators import filters, quality
 from issuelens.operators.normalize import (
     first_item_per_key, flatten_changelog, normalize_commits, normalize_pull_requests)
