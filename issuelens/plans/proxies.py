@@ -235,14 +235,19 @@ _PERSISTED: dict[tuple[str, str, str], str] = {}
 
 def _persisted(spark: SparkSession, sf_dir: str, name: str, build, schema=None) -> DataFrame:
     from issuelens.session import ensure_checkpoint_dir, path_exists, scratch_path
+    from issuelens.sources.tables import PARTITION_BY
     key = (ensure_checkpoint_dir(spark), sf_dir.rstrip("/"), name)
     path = _PERSISTED.get(key)
     if path is None or not path_exists(spark, f"{path}/_SUCCESS"):
         df = build(spark, sf_dir)
         path = scratch_path(spark, f"table-{name}")
-        df.write.mode("overwrite").parquet(path)
+        writer = df.write.mode("overwrite")
+        if PARTITION_BY.get(name):
+            writer = writer.partitionBy(*PARTITION_BY[name])
+        writer.parquet(path)
         _PERSISTED[key] = path
-    return spark.read.schema(schema or schemas.TABLES[name]).parquet(path)
+    schema = schema or schemas.TABLES[name]
+    return spark.read.option("basePath", path).schema(schema).parquet(path).select(*schema.names)
 
 
 def changelog(spark: SparkSession, sf_dir: str) -> DataFrame:

@@ -15,11 +15,16 @@ from issuelens.session import list_dirs, path_exists, write_text_file
 
 MARKER = "_COMMITTED"
 
+# Directory partitioning per table: the changelog by ``field``, so the
+# ``field = 'status'`` filter of every status query prunes whole folders.
+PARTITION_BY = {"jira_changelog": ["field"]}
+
 
 class SnapshotStore:
-    def __init__(self, spark: SparkSession, root: str):
+    def __init__(self, spark: SparkSession, root: str, partition_by: dict | None = None):
         self.spark = spark
         self.root = root.rstrip("/")
+        self.partition_by = PARTITION_BY if partition_by is None else partition_by
 
     def _dir(self, name: str, version: int) -> str:
         return f"{self.root}/{name}/v={version:08d}"
@@ -46,17 +51,23 @@ class SnapshotStore:
             if schema is None:
                 raise ValueError(f"no snapshot of {name} and no schema")
             return schemas.empty_frame(self.spark, schema)
-        reader = self.spark.read
+        path = self._dir(name, v)
+        reader = self.spark.read.option("basePath", path)
         if schema is not None:
             reader = reader.schema(schema)
-        return reader.parquet(self._dir(name, v))
+        df = reader.parquet(path)
+        return df.select(*schema.names) if schema is not None else df
 
     def commit(self, name: str, df: DataFrame, version: int) -> bool:
         """Write ``df`` as ``version`` unless that version is already committed."""
         if self.is_committed(name, version):
             return False
         path = self._dir(name, version)
-        df.write.mode("overwrite").parquet(path)
+        writer = df.write.mode("overwrite")
+        parts = [c for c in self.partition_by.get(name, []) if c in df.columns]
+        if parts:
+            writer = writer.partitionBy(*parts)
+        writer.parquet(path)
         write_text_file(self.spark, f"{path}/{MARKER}", str(version))
         return True
 

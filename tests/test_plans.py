@@ -38,3 +38,17 @@ def test_timeline_pivot_is_one_aggregate_shuffle(spark):
     p = piv._jdf.queryExecution().executedPlan().toString()
     # the pivot itself adds exactly one hash exchange on the issue key
     assert p.count("Exchange hashpartitioning(issue_key") == 1
+
+
+def test_changelog_status_filter_prunes_partitions(spark, tmp_dir):
+    from issuelens.sources.tables import SnapshotStore
+    import tables
+    from issuelens import schemas
+    store = SnapshotStore(spark, tmp_dir)
+    store.commit("jira_changelog", tables.changelog(spark).select(*schemas.JIRA_CHANGELOG.names), 1)
+    back = store.read("jira_changelog")
+    assert back.columns == schemas.JIRA_CHANGELOG.names
+    p = _plan(timeline.status_rows(back))
+    assert "PartitionFilters: [isnotnull(field" in p and "(field#" in p
+    p = _plan(timeline.status_rows(X.changelog(spark, SF)))
+    assert "PartitionFilters: [isnotnull(field" in p
