@@ -61,10 +61,14 @@ def resolve_strategy(df: DataFrame, group_cols: Sequence[str], strategy: str = "
     over a subset of these rows."""
     if strategy != "auto":
         return strategy
-    n = num_partitions or default_partitions(df.sparkSession)
+    from issuelens.operators.sizing import has_at_most
+    # Cheap first: no group can be hot when the whole input is within the
+    # bound (a count that stops after ``min_hot_rows + 1`` rows).
+    if has_at_most(df, min_hot_rows):
+        return "window"
     if not group_cols:
-        from issuelens.operators.sizing import has_at_most
-        return "window" if has_at_most(df, min_hot_rows) else "ranged"
+        return "ranged"
+    n = num_partitions or default_partitions(df.sparkSession)
     return "ranged" if hot_groups(df, group_cols, n, min_hot_rows) else "window"
 
 
