@@ -47,7 +47,7 @@ def dedupe_last(df: DataFrame, keys: Sequence[str], order: Sequence[str | Column
     return _pick(df, keys, order, largest=True)
 
 
-BROADCAST_BATCH_ROWS = 1_000_000
+BROADCAST_BATCH_ROWS = 500_000
 
 
 def _merge_rows(target: DataFrame, src: DataFrame, keys: list[str], keep: set[str]) -> DataFrame:
@@ -82,8 +82,8 @@ def upsert(target: DataFrame, source: DataFrame, keys: Sequence[str], *,
     * unmatched target rows stay, unmatched source rows are inserted.
     Columns come out in the target's order; the source must have them all.
 
-    Plan: when the de-duplicated batch has at most ``broadcast_batch_rows``
-    rows (checked), its keys are broadcast and the table is only scanned —
+    Plan: when the batch has at most ``broadcast_batch_rows`` rows (checked),
+    its keys are broadcast and the table is only scanned —
     untouched rows pass through an anti join, touched rows (no more than the
     batch) are merged with it — so the table is never shuffled.  Larger
     batches use one full outer join on the key (both sides unique per key).
@@ -95,9 +95,11 @@ def upsert(target: DataFrame, source: DataFrame, keys: Sequence[str], *,
         raise ValueError(f"source lacks columns {missing}")
     if on_conflict not in ("update", "nothing"):
         raise ValueError(f"unknown on_conflict {on_conflict!r}")
+    # Checked on the raw batch: a count that stops early, and a bound on the
+    # raw rows bounds the de-duplicated ones.
+    small = has_at_most(source, broadcast_batch_rows)
     src = (dedupe_last if latest else dedupe_first)(source, keys, order).select(*cols)
     keep = set(keep_cols)
-    small = has_at_most(src, broadcast_batch_rows)
     if on_conflict == "nothing":
         if small:
             batch_keys = F.broadcast(src.select(*keys))
