@@ -37,6 +37,27 @@ def build_session(master: str = "local[*]", shuffle_partitions: int = 8,
     return spark
 
 
+def cluster_settings(input_bytes: int, target_partition_bytes: int = 128 << 20,
+                     min_partitions: int = 200) -> dict[str, str]:
+    """Settings sized for ``input_bytes`` of (compressed) input.
+
+    Shuffle partitions are sized so each holds about ``target_partition_bytes``
+    (AQE coalesces small ones at run time and splits skewed join partitions);
+    scans read splits of the same size.  The sequencing operator's range
+    partitions use the same count, so a split hot group also lands in
+    partitions of this size.  Example: 100 TB → about 800k shuffle partitions.
+    """
+    parts = max(min_partitions, -(-int(input_bytes) // target_partition_bytes))
+    return {
+        "spark.sql.shuffle.partitions": str(parts),
+        "spark.sql.files.maxPartitionBytes": str(target_partition_bytes),
+        "spark.sql.adaptive.advisoryPartitionSizeInBytes": str(target_partition_bytes),
+        "spark.sql.adaptive.skewJoin.skewedPartitionThresholdInBytes": str(2 * target_partition_bytes),
+        "spark.sql.adaptive.coalescePartitions.enabled": "true",
+        "spark.sql.adaptive.skewJoin.enabled": "true",
+    }
+
+
 def apply_session_defaults(spark: SparkSession) -> None:
     """Set the SQL settings the queries need on an existing session."""
     for k, v in SESSION_DEFAULTS.items():

@@ -53,3 +53,10 @@ def test_scalar_functions(spark):
                   join_chain([F.lit("A"), F.lit("B")]).alias("c")).first()
     assert (r["a"], r["k"], r["u"], r["c"]) == ("quoted", "proj-12", "PROJ-12", "A > B")
     assert strip_json_quotes(df).first()["a"] == "quoted"
+
+
+def test_cluster_settings():
+    from issuelens.session import cluster_settings
+    conf = cluster_settings(100 * 10**12)
+    assert int(conf["spark.sql.shuffle.partitions"]) > 700_000
+    assert cluster_settings(10)["spark.sql.shuffle.partitions"] == "200"
