@@ -63,6 +63,7 @@ def status_chains(issues: DataFrame, changelog: DataFrame, lookup: DataFrame,
     strategy = resolve_strategy(status_history(changelog), ["issue_key"], strategy)
     tr = materialize(status_transitions(issues, changelog, lookup, strategy=strategy), "transitions")
     kept = collapse_repeats(tr, keep_pid=True, strategy=strategy)
-    labels = chain_labels(kept)
+    # One row per issue, read twice (ranking and the final join): written once.
+    labels = materialize(chain_labels(kept), "chain-labels")
     per_issue = labels.join(chain_ids(labels, strategy), "chain", "inner")
     return tr.join(per_issue, "issue_key", "inner")
