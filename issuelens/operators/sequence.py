@@ -100,17 +100,22 @@ def sequence_rows(df: DataFrame, group_cols: Sequence[str], order_cols: Sequence
     if strategy != "ranged":
         raise ValueError(f"unknown strategy {strategy!r}")
 
-    spark = df.sparkSession
-    ensure_checkpoint_dir(spark)
-    n = num_partitions or default_partitions(spark)
+    ensure_checkpoint_dir(df.sparkSession)
     const = not gcols
     if const:
         df = df.withColumn(_CONST_GROUP, F.lit(0))
         gcols = [_CONST_GROUP]
     group_sort = [F.col(c).asc_nulls_first() for c in gcols]
 
-    ranged = (df.repartitionByRange(n, *group_sort, *orders)
-                .withColumn("_pid", F.spark_partition_id()))
+    # Without an explicit count the range shuffle is sized by
+    # spark.sql.shuffle.partitions and AQE may coalesce adjacent ranges into
+    # partitions of the advisory size; coalescing keeps range order, so the
+    # partition ids below stay ordered.
+    if num_partitions:
+        ranged = df.repartitionByRange(num_partitions, *group_sort, *orders)
+    else:
+        ranged = df.repartitionByRange(*group_sort, *orders)
+    ranged = ranged.withColumn("_pid", F.spark_partition_id())
 
     w_local = Window.partitionBy("_pid", *gcols).orderBy(*orders)
     local = ranged.withColumn("_lrn", F.row_number().over(w_local).cast("long"))
