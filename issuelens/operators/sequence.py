@@ -2,9 +2,13 @@
 
 ``Window.partitionBy(key)`` sends every row of one key to one task; a key
 holding a third of all rows would then be one task.  ``sequence_rows``
-splits such groups instead:
+first measures the groups (``resolve_strategy``: a count that stops early,
+then one partially aggregated size job).  When no group is larger than two
+average partitions, the plain one-shuffle window is used.  Otherwise it
+splits the hot groups:
 
-1. range-partition on (group, order) so a hot group spans many partitions;
+1. range-partition on (group, order) so a hot group spans many partitions
+   (without an explicit count AQE may coalesce adjacent ranges);
 2. number rows and take ``lag`` inside (partition, group) — every window
    holds at most one range partition — and write that stage to the
    checkpoint folder, so the partition assignment (range bounds come from
