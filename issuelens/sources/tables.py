@@ -80,3 +80,22 @@ def read_table(spark: SparkSession, root: str, name: str) -> DataFrame:
 def table_exists(spark: SparkSession, root: str, name: str) -> bool:
     """SRC-7: has the table ever been committed?"""
     return SnapshotStore(spark, root).current_version(name) is not None
+
+
+def register_views(store: SnapshotStore) -> list[str]:
+    """SNK-2: the current snapshots as temporary views, so SQL written against
+    the tables runs as is: the five tables, the derived ``commits`` /
+    ``pr_commits`` views, and ``json_extract_string(json, path)`` as a SQL
+    function (inlined to ``get_json_object``; no Python)."""
+    from issuelens.plans.pull_requests import commit_views
+    spark = store.spark
+    names = []
+    for name in schemas.TABLES:
+        store.read(name).createOrReplaceTempView(name)
+        names.append(name)
+    commits, pr_commits = commit_views(store.read("pull_request_commits"))
+    commits.createOrReplaceTempView("commits")
+    pr_commits.createOrReplaceTempView("pr_commits")
+    spark.sql("CREATE OR REPLACE TEMPORARY FUNCTION json_extract_string(j STRING, p STRING) "
+              "RETURNS STRING RETURN get_json_object(j, p)")
+    return names + ["commits", "pr_commits"]

@@ -70,3 +70,27 @@ def test_provider_registry():
         pass
     else:
         raise AssertionError
+
+
+def test_sql_over_registered_views(spark, tmp_dir):
+    from issuelens.sources.tables import register_views
+    _copy(fixture_path("pull_requests_page.json"), f"{tmp_dir}/prs", "page-0001.json")
+    os.makedirs(f"{tmp_dir}/commits", exist_ok=True)
+    with open(fixture_path("commits.jsonl")) as f, open(f"{tmp_dir}/commits/page-0001.json", "w") as g:
+        g.write("[" + ",".join(line.strip() for line in f if line.strip()) + "]")
+    store = ingest_pull_requests(spark, f"{tmp_dir}/prs", f"{tmp_dir}/commits", f"{tmp_dir}/wh", f"{tmp_dir}/ck")
+    _copy(fixture_path("issues_page.json"), f"{tmp_dir}/issues", "page-0001.json")
+    _copy(fixture_path("changelog.jsonl"), f"{tmp_dir}/changelog", "part-0001.json")
+    ingest_issues(spark, f"{tmp_dir}/issues", f"{tmp_dir}/changelog", f"{tmp_dir}/wh", f"{tmp_dir}/ck2",
+                  as_of="2024-02-01 00:00:00")
+    register_views(store)
+    rows = spark.sql("""
+        SELECT c.*
+        FROM pull_requests pr
+        JOIN pr_commits pc ON pr.id = pc.pr_id
+        JOIN commits c ON pc.commit_sha = c.sha
+        WHERE pr.number = 1""").collect()
+    assert sorted(r["sha"] for r in rows) == ["aaa", "bbb"]
+    keys = spark.sql("""SELECT key, JSON_EXTRACT_STRING(fields, '$.summary') AS summary FROM jira_issues
+                        WHERE JSON_EXTRACT_STRING(fields, '$.status.name') = 'Done'""").collect()
+    assert sorted(r["key"] for r in keys) == ["PROJ-1", "PROJ-4"]
