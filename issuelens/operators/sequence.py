@@ -94,13 +94,12 @@ def sequence_rows(df: DataFrame, group_cols: Sequence[str], order_cols: Sequence
     strategy = resolve_strategy(df, gcols, strategy, num_partitions, min_hot_rows)
     if strategy == "window":
         w = Window.partitionBy(*gcols).orderBy(*orders) if gcols else Window.orderBy(*orders)
-        out = df.withColumn(step_col, F.row_number().over(w).cast("long"))
-        for c in lag_cols:
-            out = out.withColumn(prev_prefix + c, F.lag(c).over(w))
+        new_cols = {step_col: F.row_number().over(w).cast("long")}
+        new_cols.update({prev_prefix + c: F.lag(c).over(w) for c in lag_cols})
         if size_col:
             whole = Window.partitionBy(*gcols) if gcols else Window.partitionBy()
-            out = out.withColumn(size_col, F.count(F.lit(1)).over(whole).cast("long"))
-        return out
+            new_cols[size_col] = F.count(F.lit(1)).over(whole).cast("long")
+        return df.withColumns(new_cols)
     if strategy != "ranged":
         raise ValueError(f"unknown strategy {strategy!r}")
 
@@ -122,9 +121,9 @@ def sequence_rows(df: DataFrame, group_cols: Sequence[str], order_cols: Sequence
     ranged = ranged.withColumn("_pid", F.spark_partition_id())
 
     w_local = Window.partitionBy("_pid", *gcols).orderBy(*orders)
-    local = ranged.withColumn("_lrn", F.row_number().over(w_local).cast("long"))
-    for c in lag_cols:
-        local = local.withColumn("_lag_" + c, F.lag(c).over(w_local))
+    local_cols = {"_lrn": F.row_number().over(w_local).cast("long")}
+    local_cols.update({"_lag_" + c: F.lag(c).over(w_local) for c in lag_cols})
+    local = ranged.withColumns(local_cols)
     # Freeze partition assignment and local numbering (range bounds come from
     # sampling): summary and final rows then read the same written stage.
     local = materialize(local, "sequence")
@@ -139,22 +138,21 @@ def sequence_rows(df: DataFrame, group_cols: Sequence[str], order_cols: Sequence
     w_all = Window.orderBy("_pid")
     w_grp = (Window.partitionBy(F.col("_last.g")).orderBy("_pid")
              .rowsBetween(Window.unboundedPreceding, Window.currentRow))
+    same = F.lag(F.col("_last.g")).over(w_all).eqNullSafe(F.col("_fk"))
     carry = (summary
-             .withColumn("_cum", F.sum(F.col("_last.n")).over(w_grp))
-             .withColumn("_same", F.lag(F.col("_last.g")).over(w_all).eqNullSafe(F.col("_fk")))
-             .withColumn("_carry", F.when(F.col("_same"), F.lag("_cum").over(w_all))
-                         .otherwise(F.lit(0)).cast("long"))
-             .withColumn("_carryv", F.when(F.col("_same"), F.lag("_lastv").over(w_all)))
-             .select("_pid", "_fk", "_carry", "_carryv"))
+             .withColumns({"_cum": F.sum(F.col("_last.n")).over(w_grp), "_same": same})
+             .select("_pid", "_fk",
+                     F.when(F.col("_same"), F.lag("_cum").over(w_all)).otherwise(F.lit(0))
+                     .cast("long").alias("_carry"),
+                     F.when(F.col("_same"), F.lag("_lastv").over(w_all)).alias("_carryv")))
 
     first_group = gk.eqNullSafe(F.col("_fk"))
     out = local.join(F.broadcast(carry), "_pid", "left")
-    out = out.withColumn(step_col, (F.col("_lrn") + F.when(first_group, F.col("_carry"))
-                                    .otherwise(F.lit(0))).cast("long"))
-    for c in lag_cols:
-        out = out.withColumn(prev_prefix + c, F.when(first_group & (F.col("_lrn") == 1),
-                                                     F.col("_carryv")[c])
-                             .otherwise(F.col("_lag_" + c)))
+    fixed = {step_col: (F.col("_lrn") + F.when(first_group, F.col("_carry"))
+                        .otherwise(F.lit(0))).cast("long")}
+    fixed.update({prev_prefix + c: F.when(first_group & (F.col("_lrn") == 1), F.col("_carryv")[c])
+                  .otherwise(F.col("_lag_" + c)) for c in lag_cols})
+    out = out.withColumns(fixed)
     if size_col:
         # Rows per group from the written stage, aggregated map-side; the join
         # back is inner on the group key (adaptive skew-join splits a hot one).
