@@ -8,10 +8,13 @@ retried write of the same version simply rewrites its own folder.
 
 from __future__ import annotations
 
+import json
+
 from pyspark.sql import DataFrame, SparkSession
 
 from issuelens import schemas
-from issuelens.session import list_dirs, path_exists, write_text_file
+from issuelens.session import list_dirs, path_exists, read_text_file, write_text_file
+from issuelens.sources.sinks import with_counters
 
 MARKER = "_COMMITTED"
 
@@ -59,18 +62,28 @@ class SnapshotStore:
         return df.select(*schema.names) if schema is not None else df
 
     def commit(self, name: str, df: DataFrame, version: int) -> bool:
-        """Write ``df`` as ``version`` unless that version is already committed."""
+        """Write ``df`` as ``version`` unless that version is already committed.
+
+        The commit marker records the rows written (SNK-5), counted by an
+        ``Observation`` on the write itself — no extra job."""
         if self.is_committed(name, version):
             return False
         path = self._dir(name, version)
+        df, obs = with_counters(df, f"{name}-v{version}")
         writer = df.write.mode("overwrite")
         parts = [c for c in self.partition_by.get(name, []) if c in df.columns]
         if parts:
             writer = writer.partitionBy(*parts)
         writer.parquet(path)
-        write_text_file(self.spark, f"{path}/{MARKER}", str(version))
+        info = {"version": version, "rows": int(obs.get["rows"])}
+        write_text_file(self.spark, f"{path}/{MARKER}", json.dumps(info))
         return True
 
+    def commit_info(self, name: str, version: int) -> dict | None:
+        """What the commit marker of ``version`` recorded (version, rows written)."""
+        text = read_text_file(self.spark, f"{self._dir(name, version)}/{MARKER}")
+        return json.loads(text) if text else None
+
 
 def read_table(spark: SparkSession, root: str, name: str) -> DataFrame:
     """SRC-5: scan the current snapshot of a table (pruning and pushdown apply)."""

@@ -49,6 +49,7 @@ def test_batches_equal_one_batch_and_replay_is_noop(spark, tmp_dir):
     assert rows(a) == rows(b) and len(rows(a)) == 9
     versions = a.versions("pull_requests")
     assert versions == [1, 2, 3]
+    assert [a.commit_info("pull_requests", v)["rows"] for v in versions] == [3, 6, 9]
     # no new files: nothing to do, no new snapshot
     run_incremental(spark, f"{tmp_dir}/a/landing", a, "pull_requests", schemas.PR_RAW, _merge,
                     f"{tmp_dir}/a/ckpt", table_schema=schemas.PULL_REQUESTS)
