@@ -56,12 +56,15 @@ def chain_ids(labels: DataFrame, strategy: str = "auto") -> DataFrame:
 
 
 def status_chains(issues: DataFrame, changelog: DataFrame, lookup: DataFrame,
-                  strategy: str = "auto") -> DataFrame:
-    """Q3: Q2's rows plus ``chain`` and ``chain_id`` of the issue (JN-8)."""
+                  strategy: str = "auto", lookup_how: str = "inner") -> DataFrame:
+    """Q3: Q2's rows plus ``chain`` and ``chain_id`` of the issue (JN-8).
+    ``lookup_how="left"`` keeps transitions missing from the lookup (with NULL
+    classification) instead of dropping them before the chains are built."""
     # Chains group the same issues over a subset of their history rows, so the
     # plan chosen for the history holds for every per-issue step below.
     strategy = resolve_strategy(status_history(changelog), ["issue_key"], strategy)
-    tr = materialize(status_transitions(issues, changelog, lookup, strategy=strategy), "transitions")
+    tr = materialize(status_transitions(issues, changelog, lookup, strategy=strategy,
+                                        lookup_how=lookup_how), "transitions")
     kept = collapse_repeats(tr, keep_pid=True, strategy=strategy)
     # One row per issue, read twice (ranking and the final join): written once.
     labels = materialize(chain_labels(kept), "chain-labels")

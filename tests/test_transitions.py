@@ -67,3 +67,14 @@ def test_chains_match_model(spark):
     got = {r["issue_key"]: (r["chain"], r["chain_id"]) for r in out}
     assert got == want
     assert got["PROJ-1"][0] == "Open > In Progress > Review > In Progress > Done"
+
+
+def test_left_lookup_keeps_unlisted_transitions(spark):
+    i, c, lk = tables.issues(spark), tables.changelog(spark), tables.lookup(spark)
+    inner = transitions.status_transitions(i, c, lk).collect()
+    left = transitions.status_transitions(i, c, lk, lookup_how="left").collect()
+    wont = [r for r in left if r["target"] == "Won't Do"]
+    assert len(wont) == 1 and wont[0]["classification"] is None
+    assert len(left) > len(inner)
+    labels = {r["issue_key"]: r["chain"] for r in chains.status_chains(i, c, lk, lookup_how="left").collect()}
+    assert labels["PROJ-2"].endswith("In Progress > Won't Do")
