@@ -1,4 +1,4 @@
-"""The two ingest pipelines as ``availableNow`` streams (STR-1, STR-2).
+"""The two ingest flows as ``availableNow`` streams (STR-1, STR-2).
 
 * pull requests + commits: landed PR pages and commit pages → normalise →
   keep PRs newer than the table's high watermark (FLT-1/AGG-1) → upsert

@@ -5,7 +5,7 @@ import shutil
 
 from conftest import fixture_path
 from issuelens.sources import providers
-from issuelens.streaming.pipelines import ingest_issues, ingest_pull_requests
+from issuelens.streaming.ingest import ingest_issues, ingest_pull_requests
 
 
 def _copy(src, dst_dir, name):
