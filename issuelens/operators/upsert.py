@@ -47,7 +47,7 @@ def dedupe_last(df: DataFrame, keys: Sequence[str], order: Sequence[str | Column
     return _pick(df, keys, order, largest=True)
 
 
-BROADCAST_BATCH_ROWS = 500_000
+BROADCAST_BATCH_ROWS = 100_000  # ~5 MB of key hash table: within the usual broadcast sizes
 
 
 def _merge_rows(target: DataFrame, src: DataFrame, keys: list[str], keep: set[str]) -> DataFrame:
