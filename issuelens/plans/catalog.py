@@ -205,15 +205,13 @@ def _landed_commit_json(spark, sf) -> DataFrame:
         .alias("commit"),
         cols["pull_request_id"].alias("pull_request_id"),
         cols["pull_request_number"].alias("pull_request_number"))
-    return li.select(F.to_json(obj).alias("json"), date_text.alias("author_date_text"))
+    return li.select(F.to_json(obj).alias("json"))
 
 
 def q_unparsable_dates(spark, sf):
     _prep(spark)
-    j = _landed_commit_json(spark, sf)
-    raw = j.select(F.from_json("json", schemas.COMMIT_RAW).alias("r"), "author_date_text")
-    rows = raw.select(F.col("r.sha").alias("sha"), F.col("r.pull_request_id").alias("pull_request_id"),
-                      "author_date_text")
+    raw = parse_json_column(_landed_commit_json(spark, sf), "json", schemas.COMMIT_RAW)
+    rows = raw.select("sha", "pull_request_id", F.col("commit.author.date").alias("author_date_text"))
     return quality.unparsable(rows, "author_date_text", try_parse_iso_utc("author_date_text"))
 
 
