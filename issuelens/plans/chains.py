@@ -30,11 +30,16 @@ def _ordered_join(items, order_field: str, text_field: str):
 def chain_labels(kept: DataFrame) -> DataFrame:
     """AGG-8: ``first source > target > target …`` in step order.
 
-    Two levels so no task gathers a hot issue whole: parts per (range
-    partition, issue), then at most one part per partition per issue.
+    After a range split (``_pid`` present) two levels, so no task gathers a
+    hot issue whole: parts per (range partition, issue), then at most one part
+    per partition per issue.  Otherwise one aggregate per issue.
     """
     if "_pid" not in kept.columns:
-        kept = kept.withColumn("_pid", F.lit(0))
+        # Window plan: no issue is hot (checked), one aggregate per issue.
+        labels = kept.groupBy("issue_key").agg(
+            F.min_by("source", "step").alias("first_source"),
+            _ordered_join(F.collect_list(F.struct("step", "target")), "step", "target").alias("targets"))
+        return labels.select("issue_key", F.concat_ws(" > ", "first_source", "targets").alias("chain"))
     parts = kept.groupBy("_pid", "issue_key").agg(
         F.min("step").alias("first_step"),
         F.min_by("source", "step").alias("first_source"),
