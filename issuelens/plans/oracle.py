@@ -111,33 +111,35 @@ def with_tables(names: list[str], body: str, extra: list[str] | None = None) ->
 
 STEP_WINDOW = "PARTITION BY issue_key ORDER BY created, TRY_CAST(id AS BIGINT), id"
 
-# Q2 as in the original: synthetic "Created" rows UNION ALL real ones, chain
-# lengths, LAG, then the joins and step > 0.
+# Q2: number each issue's status changes, take the previous change's time
+# (the issue's creation for the first one), count the changes, keep issues
+# that are loaded, classify (source, target) through the lookup.
 _Q2_CTES = [
-    "issue_created AS (SELECT key AS issue_key, created FROM jira_issues)",
-    "issue_types AS (SELECT key AS issue_key, current_status, issue_type FROM jira_issues)",
-    f"""st AS (SELECT issue_key, created, from_string, to_string,
-             ROW_NUMBER() OVER ({STEP_WINDOW}) AS step
-           FROM jira_changelog WHERE field = 'status')""",
-    """synthetic AS (SELECT ic.issue_key, 0 AS step, 'Created' AS source, ft.from_string AS target,
-                    ic.created AS transition_timestamp
-                  FROM issue_created ic JOIN st ft ON ic.issue_key = ft.issue_key WHERE ft.step = 1)""",
-    """real_t AS (SELECT issue_key, step, from_string AS source, to_string AS target,
-                 created AS transition_timestamp FROM st)""",
-    "combined AS (SELECT * FROM synthetic UNION ALL SELECT * FROM real_t)",
-    "chain_lengths AS (SELECT issue_key, MAX(step) + 1 AS chain_length FROM combined GROUP BY issue_key)",
-    """twd AS (SELECT *, LAG(transition_timestamp) OVER (PARTITION BY issue_key ORDER BY step)
-              AS previous_timestamp FROM combined)""",
+    f"""numbered AS (
+      SELECT issue_key, from_string AS source, to_string AS target, created AS transition_timestamp,
+             ROW_NUMBER() OVER ({STEP_WINDOW}) AS step,
+             LAG(created) OVER ({STEP_WINDOW}) AS prior_change,
+             COUNT(*) OVER (PARTITION BY issue_key) + 1 AS chain_length
+      FROM jira_changelog WHERE field = 'status')""",
+    """timed AS (
+      SELECT n.issue_key, n.step, n.source, n.target,
+             CASE WHEN n.step = 1 THEN i.created ELSE n.prior_change END AS previous_timestamp,
+             n.transition_timestamp, n.chain_length, i.issue_type, i.current_status
+      FROM numbered n JOIN jira_issues i ON i.key = n.issue_key)""",
+    """with_created AS (
+      SELECT issue_key, step, source, target, previous_timestamp, transition_timestamp, chain_length,
+             issue_type, current_status FROM timed
+      UNION ALL
+      SELECT issue_key, 0, 'Created', source, NULL, previous_timestamp, chain_length, issue_type, current_status
+      FROM timed WHERE step = 1)""",
 ]
 
 
 def _q2_select(where: str) -> str:
     return f"""SELECT t.issue_key, t.step, t.source, t.target, t.previous_timestamp, t.transition_timestamp,
        CAST(epoch_us(t.transition_timestamp) - epoch_us(t.previous_timestamp) AS DOUBLE) / 1000000 AS duration_seconds,
-       cl.chain_length, it.issue_type, it.current_status, lk.classification, lk.type
-FROM twd t
-JOIN chain_lengths cl ON t.issue_key = cl.issue_key
-JOIN issue_types it ON t.issue_key = it.issue_key
+       t.chain_length, t.issue_type, t.current_status, lk.classification, lk.type
+FROM with_created t
 JOIN status_lookup lk ON t.source = lk.source AND t.target = lk.target
 WHERE {where}"""
 
@@ -262,12 +264,11 @@ FROM tr JOIN labels ON tr.issue_key = labels.issue_key JOIN ids ON labels.chain
     q["json_scalars"] = "SELECT event_id, json_extract_string(props, '$.k') AS k FROM events"
     q["pull_requests_with_commits"] = W(["pull_requests", "pull_request_commits"], """SELECT pr.id, pr.number, pr.state, pr.merged_at, c.sha, c.commit_date, c.message
 FROM pull_requests pr LEFT JOIN pull_request_commits c ON c.pull_request_id = pr.id""")
-    q["merged_pr_issue_keys"] = W(["pull_requests", "pull_request_commits"], f"""SELECT * FROM (
-  SELECT pr.number, pr.title, pr.state, pr.created_at, pr.merged_at, c.sha, c.commit_date, c.message,
-         regexp_extract(pr.title, '(?i)({X.PROJECT}-[0-9]{{1,5}})', 1) AS jira_key
-  FROM pull_requests pr LEFT JOIN pull_request_commits c ON c.pull_request_id = pr.id
-  WHERE pr.state IN ('closed') AND pr.merged_at IS NOT NULL) a
-WHERE jira_key <> '' AND jira_key IS NOT NULL""")
+    q["merged_pr_issue_keys"] = W(["pull_requests", "pull_request_commits"], f"""SELECT m.number, m.title, m.state, m.created_at, m.merged_at, c.sha, c.commit_date, c.message, m.jira_key
+FROM merged m LEFT JOIN pull_request_commits c ON c.pull_request_id = m.id
+WHERE m.jira_key <> ''""", [f"""merged AS (
+  SELECT *, regexp_extract(title, '(?i)({X.PROJECT}-[0-9]{{1,5}})', 1) AS jira_key
+  FROM pull_requests WHERE state = 'closed' AND merged_at IS NOT NULL)"""])
     q["commits_of_pull_request"] = W(["pull_requests", "pull_request_commits"], f"""SELECT c.*
 FROM pull_requests pr JOIN pr_commits pc ON pr.id = pc.pr_id JOIN commits c ON pc.commit_sha = c.sha
 WHERE pr.number = {int(P.PR_NUMBER)}""", [
