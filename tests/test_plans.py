@@ -14,10 +14,10 @@ def _plan(df):
 
 def test_no_python_in_registered_queries(spark):
     qs = E.queries()
-    for name in ["status_timeline", "status_transitions", "merged_pr_issue_keys", "upsert_update",
-                 "issue_links", "flatten_changelog", "lookup_gaps"]:
-        p = _plan(qs[name](spark, SF))
+    for name, fn in qs.items():
+        p = _plan(fn(spark, SF))
         assert "BatchEvalPython" not in p and "ArrowEvalPython" not in p, name
+        assert "PythonUDF" not in p and "MapInPandas" not in p, name
 
 
 def test_status_filter_and_columns_reach_scan(spark):
