@@ -2,9 +2,13 @@
 
 from __future__ import annotations
 
+import os
+import tempfile
+import zipfile
+
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 # The white space that separates words, and the ASCII letters.
@@ -54,3 +58,26 @@ def text_bytes(column: pa.Array) -> tuple[np.ndarray, np.ndarray]:
         if offsets is not None and len(column) else np.zeros(len(column) + 1, np.int64)
     raw = np.frombuffer(data, dtype=np.uint8) if data is not None and data.size else np.zeros(0, np.uint8)
     return raw[at[0]:at[-1]], at - at[0]
+
+
+_SHIPPED: set[str] = set()
+
+
+def ship_package(spark: SparkSession) -> None:
+    """Send this package's modules to the Python workers (once per application),
+    as ``--py-files`` does, so that tasks find them wherever the driver was started."""
+    sc = spark.sparkContext
+    if sc.applicationId in _SHIPPED:
+        return
+    package = os.path.dirname(os.path.dirname(os.path.abspath(__file__)))
+    root = os.path.dirname(package)
+    if os.path.isdir(package):  # else it came as a zip already
+        bundle = os.path.join(tempfile.mkdtemp(prefix="issuelens-code-"), "issuelens-code.zip")
+        with zipfile.ZipFile(bundle, "w") as z:
+            for folder, _, names in os.walk(package):
+                for name in sorted(names):
+                    if name.endswith(".py"):
+                        full = os.path.join(folder, name)
+                        z.write(full, os.path.relpath(full, root))
+        sc.addPyFile(bundle)
+    _SHIPPED.add(sc.applicationId)

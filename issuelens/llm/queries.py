@@ -7,8 +7,16 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from issuelens.llm import line_dedup, mixing, quality_rules, url_filters
+from issuelens.llm import (collision_ann, language_id, line_dedup, mixing, piece_bpe, quality_rules, token_files,
+                           url_filters)
 from issuelens.llm.common import read
+from issuelens.session import scratch_path
+
+
+def tokenizer_path(name: str) -> str:
+    """A vocabulary file of the installed public tokenizers (same path on all executors)."""
+    import public_tokenizers
+    return public_tokenizers.path(name)
 
 # The rules of the URL query, in the order given.
 SITE_RULES = (
@@ -26,6 +34,26 @@ def op3_line_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return out.select("doc_id", "n_lines", "n_dropped", F.sha2("text", 256).alias("kept_sha256"))
 
 
+def op2_collision_ann(spark: SparkSession, sf_dir: str) -> DataFrame:
+    vectors = read(spark, sf_dir, "embeddings")
+    return collision_ann.nearest(vectors, F.col("vec_id") % 50 == 0)
+
+
+def op4_sentencepiece(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = read(spark, sf_dir, "documents").select("doc_id", "text")
+    out = piece_bpe.encode_texts(docs, tokenizer_path("piece_bpe_32k.model"))
+    return out.select("doc_id", F.size("ids").cast("long").alias("n_tokens"),
+                      F.sha2(F.array_join(F.col("ids").cast("array<string>"), " "), 256).alias("ids_sha256"),
+                      F.sha2("decoded", 256).alias("decoded_sha256"))
+
+
+def op5_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = read(spark, sf_dir, "documents").select("doc_id", "text", "lang")
+    model = language_id.learn(docs.where(language_id.learning_row("doc_id")), "text", "lang", "doc_id")
+    texts = docs.select("doc_id", "text", (language_id.fold("doc_id") == 1).alias("held_out"))
+    return language_id.predict(texts, model).select("doc_id", "held_out", "lang_pred", "score")
+
+
 def op6_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = read(spark, sf_dir, "documents")
     return quality_rules.score_rows(docs).select("doc_id", *quality_rules.BASE, "base_failed", "kept")
@@ -37,14 +65,25 @@ def op8_source_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return out.select("doc_id", "size", "source_size", "target", (F.col("size") * F.col("copies")).alias("taken"))
 
 
+def op9_token_files(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = read(spark, sf_dir, "documents").select("doc_id", "text")
+    path = scratch_path(spark, "token-files")
+    token_files.write_token_files(docs, path, tokenizer_path("byte_bpe_50k.json"))
+    return token_files.read_token_files(spark, path)
+
+
 def op10_url_filters(spark: SparkSession, sf_dir: str) -> DataFrame:
     pages = read(spark, sf_dir, "pages").select("page_id", "url")
     return url_filters.url_filter(pages, SITE_RULES).select("page_id", "host", "path", "rule", "verdict")
 
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
+    "op2_collision_ann": op2_collision_ann,
     "op3_line_dedup": op3_line_dedup,
+    "op4_sentencepiece": op4_sentencepiece,
+    "op5_language_id": op5_language_id,
     "op6_quality_rules": op6_quality_rules,
     "op8_source_mixing": op8_source_mixing,
+    "op9_token_files": op9_token_files,
     "op10_url_filters": op10_url_filters,
 }
