@@ -7,8 +7,8 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from issuelens.llm import (collision_ann, language_id, line_dedup, mixing, piece_bpe, quality_rules, token_files,
-                           url_filters)
+from issuelens.llm import (collision_ann, language_id, line_dedup, mixing, ngram_join, piece_bpe, quality_rules,
+                           token_files, url_filters)
 from issuelens.llm.common import read
 from issuelens.session import scratch_path
 
@@ -34,6 +34,11 @@ def op3_line_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return out.select("doc_id", "n_lines", "n_dropped", F.sha2("text", 256).alias("kept_sha256"))
 
 
+def op1_ngram_join(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = read(spark, sf_dir, "documents").select("doc_id", "text")
+    return ngram_join.jaccard_components(docs, words=3, percent=90)
+
+
 def op2_collision_ann(spark: SparkSession, sf_dir: str) -> DataFrame:
     vectors = read(spark, sf_dir, "embeddings")
     return collision_ann.nearest(vectors, F.col("vec_id") % 50 == 0)
@@ -78,6 +83,7 @@ def op10_url_filters(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
+    "op1_ngram_join": op1_ngram_join,
     "op2_collision_ann": op2_collision_ann,
     "op3_line_dedup": op3_line_dedup,
     "op4_sentencepiece": op4_sentencepiece,
