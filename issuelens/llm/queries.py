@@ -7,8 +7,8 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from issuelens.llm import (collision_ann, language_id, line_dedup, mixing, ngram_join, piece_bpe, quality_rules,
-                           token_files, url_filters)
+from issuelens.llm import (collision_ann, cotraining, language_id, line_dedup, mixing, ngram_join, piece_bpe,
+                           quality_rules, token_files, url_filters)
 from issuelens.llm.common import read
 from issuelens.session import scratch_path
 
@@ -64,6 +64,10 @@ def op6_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
     return quality_rules.score_rows(docs).select("doc_id", *quality_rules.BASE, "base_failed", "kept")
 
 
+def op7_quality_classifier(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return cotraining.classify(read(spark, sf_dir, "documents"), read(spark, sf_dir, "labels"))
+
+
 def op8_source_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = read(spark, sf_dir, "documents").select("doc_id", "text", "source")
     out = mixing.mix_sources(docs)
@@ -89,6 +93,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op4_sentencepiece": op4_sentencepiece,
     "op5_language_id": op5_language_id,
     "op6_quality_rules": op6_quality_rules,
+    "op7_quality_classifier": op7_quality_classifier,
     "op8_source_mixing": op8_source_mixing,
     "op9_token_files": op9_token_files,
     "op10_url_filters": op10_url_filters,
