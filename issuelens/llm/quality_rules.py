@@ -34,7 +34,7 @@ PART = 0.75            # part of a group's rows that the estimate rests on
 CONSISTENCY = 1.42     # makes the covariance of that part fit all rows (5 dimensions, normal)
 REWEIGHT_AT = 12.83    # 0.975 point of chi-square with 5 degrees
 REWEIGHTED = 1.06
-REJECT_AT = 60.0       # squared distance from which a row is an outlier
+REJECT_AT = 40.0       # squared distance of an outlier: a normal row in ten million has more
 STEPS = 4
 MIN_GROUP = 50
 BASE = ("n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words")
