@@ -2,24 +2,25 @@
 
 ``Window.partitionBy(key)`` sends every row of one key to one task; a key
 holding a third of all rows would then be one task.  ``sequence_rows``
-first measures the groups (``resolve_strategy``: a count that stops early,
-then one partially aggregated size job).  When no group is larger than two
-average partitions, the plain one-shuffle window is used.  Otherwise it
-splits the hot groups:
+first measures the groups (``resolve_strategy``: one count, then one partially
+aggregated size job).  When no group has more rows than a task may hold
+(``HOT_ROWS``, whatever the size of the input), it uses a plain window (one
+shuffle).  Otherwise it splits the hot groups:
 
 1. range-partition on (group, order) so a hot group spans many partitions
    (without an explicit count AQE may coalesce adjacent ranges);
-2. number rows and take ``lag`` inside (partition, group) — every window
-   holds at most one range partition — and write that stage to the
+2. number and count rows and take ``lag`` inside (partition, group) — every
+   window holds at most one range partition — and write that stage to the
    checkpoint folder, so the partition assignment (range bounds come from
    sampling) is fixed for everything read from it, also after executor loss;
-3. per partition keep a one-row summary (first group, last group, rows of the
-   last group, values of the last row); a window over these ``n`` rows
-   (``n`` = number of partitions, a proven bound) gives each partition the
-   count and the last row carried in from earlier partitions of the same group;
-4. broadcast that ``n``-row table and add the carried offset / lag.
-
-The result equals ``row_number()`` / ``lag()`` over
+3. per partition keep a one-row summary of its first and its last group; only
+   those can reach over a partition's edge.  Windows over these ``n`` rows
+   (``n`` = number of partitions) give the rows carried in, the last row before
+   and the whole size of the groups that do;
+4. join the summaries of the partitions where a group crosses an edge on the
+   partition id.  The rows are never joined on their group again.
+
+The result equals ``row_number()`` / ``lag()`` / ``count()`` over
 ``Window.partitionBy(group).orderBy(order)`` when the order is total.
 """
 
@@ -30,8 +31,9 @@ from collections.abc import Sequence
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
+from issuelens.operators.sizing import has_at_most
 from issuelens.operators.stage import materialize
-from issuelens.session import default_partitions, ensure_checkpoint_dir
+from issuelens.session import ensure_checkpoint_dir
 
 _CONST_GROUP = "_seq_group"
 
@@ -43,44 +45,37 @@ def _order_exprs(order_cols) -> list[Column]:
     return out
 
 
-MIN_HOT_ROWS = 1_000_000
+#: Rows of one group that one task may hold: at some 100 bytes a row about 100 MB.
+HOT_ROWS = 1_000_000
 
 
-def hot_groups(df: DataFrame, group_cols: Sequence[str], num_partitions: int,
-               min_hot_rows: int = MIN_HOT_ROWS) -> bool:
-    """True when some group is too big for one window task: larger than two
-    average shuffle partitions (and than ``min_hot_rows``).  One aggregate job;
+def hot_groups(df: DataFrame, group_cols: Sequence[str], hot_rows: int = HOT_ROWS) -> bool:
+    """True when some group has more than ``hot_rows`` rows.  One aggregate job;
     partial aggregation keeps it cheap even when a group is huge."""
     sizes = df.groupBy(*group_cols).agg(F.count(F.lit(1)).alias("n"))
-    row = sizes.agg(F.max("n").alias("mx"), F.sum("n").alias("total")).first()
-    if row is None or row["mx"] is None:
-        return False
-    return row["mx"] > max(min_hot_rows, 2 * row["total"] / max(num_partitions, 1))
+    return (sizes.agg(F.max("n")).first()[0] or 0) > hot_rows
 
 
 def resolve_strategy(df: DataFrame, group_cols: Sequence[str], strategy: str = "auto",
-                     num_partitions: int | None = None, min_hot_rows: int = MIN_HOT_ROWS) -> str:
+                     hot_rows: int = HOT_ROWS) -> str:
     """``"window"`` or ``"ranged"``; ``"auto"`` measures the groups of ``df``.
     Resolve once and pass the result on when later steps group the same keys
     over a subset of these rows."""
     if strategy != "auto":
         return strategy
-    from issuelens.operators.sizing import has_at_most
-    # Cheap first: no group can be hot when the whole input is within the
-    # bound (a count that stops after ``min_hot_rows + 1`` rows).
-    if has_at_most(df, min_hot_rows):
+    # Cheap first: no group can be hot when the whole input is within the bound.
+    if has_at_most(df, hot_rows):
         return "window"
     if not group_cols:
         return "ranged"
-    n = num_partitions or default_partitions(df.sparkSession)
-    return "ranged" if hot_groups(df, group_cols, n, min_hot_rows) else "window"
+    return "ranged" if hot_groups(df, group_cols, hot_rows) else "window"
 
 
 def sequence_rows(df: DataFrame, group_cols: Sequence[str], order_cols: Sequence,
                   lag_cols: Sequence[str] = (), step_col: str = "step",
                   prev_prefix: str = "prev_", num_partitions: int | None = None,
                   keep_pid: bool = False, strategy: str = "auto",
-                  min_hot_rows: int = MIN_HOT_ROWS, size_col: str | None = None) -> DataFrame:
+                  hot_rows: int = HOT_ROWS, size_col: str | None = None) -> DataFrame:
     """Add ``step_col`` (1, 2, … per group, long) and ``prev_<c>`` for ``lag_cols``;
     with ``size_col`` also the number of rows of the group (long).
 
@@ -91,7 +86,7 @@ def sequence_rows(df: DataFrame, group_cols: Sequence[str], order_cols: Sequence
     """
     gcols = list(group_cols)
     orders = _order_exprs(order_cols)
-    strategy = resolve_strategy(df, gcols, strategy, num_partitions, min_hot_rows)
+    strategy = resolve_strategy(df, gcols, strategy, hot_rows)
     if strategy == "window":
         w = Window.partitionBy(*gcols).orderBy(*orders) if gcols else Window.orderBy(*orders)
         new_cols = {step_col: F.row_number().over(w).cast("long")}
@@ -123,6 +118,7 @@ def sequence_rows(df: DataFrame, group_cols: Sequence[str], order_cols: Sequence
     w_local = Window.partitionBy("_pid", *gcols).orderBy(*orders)
     local_cols = {"_lrn": F.row_number().over(w_local).cast("long")}
     local_cols.update({"_lag_" + c: F.lag(c).over(w_local) for c in lag_cols})
+    local_cols["_lcnt"] = F.count(F.lit(1)).over(Window.partitionBy("_pid", *gcols))
     local = ranged.withColumns(local_cols)
     # Freeze partition assignment and local numbering (range bounds come from
     # sampling): summary and final rows then read the same written stage.
@@ -131,34 +127,42 @@ def sequence_rows(df: DataFrame, group_cols: Sequence[str], order_cols: Sequence
     gk = F.struct(*[F.col(c) for c in gcols])
     last_vals = F.struct(*[F.col(c).alias(c) for c in lag_cols]) if lag_cols else F.lit(0)
     summary = (local.groupBy("_pid").agg(
-        F.min(gk).alias("_fk"),
+        F.min(F.struct(gk.alias("g"), F.col("_lcnt").alias("n"))).alias("_first"),
         F.max(F.struct(gk.alias("g"), F.col("_lrn").alias("n"))).alias("_last"),
         F.max_by(last_vals, F.struct(gk, F.col("_lrn"))).alias("_lastv")))
+    summary = materialize(summary, "sequence-parts")
     # n rows: one per non-empty partition, ordered windows over them are cheap.
     w_all = Window.orderBy("_pid")
     w_grp = (Window.partitionBy(F.col("_last.g")).orderBy("_pid")
              .rowsBetween(Window.unboundedPreceding, Window.currentRow))
-    same = F.lag(F.col("_last.g")).over(w_all).eqNullSafe(F.col("_fk"))
-    carry = (summary
-             .withColumns({"_cum": F.sum(F.col("_last.n")).over(w_grp), "_same": same})
-             .select("_pid", "_fk",
-                     F.when(F.col("_same"), F.lag("_cum").over(w_all)).otherwise(F.lit(0))
-                     .cast("long").alias("_carry"),
-                     F.when(F.col("_same"), F.lag("_lastv").over(w_all)).alias("_carryv")))
+    same = F.lag(F.col("_last.g")).over(w_all).eqNullSafe(F.col("_first.g"))
+    goes_on = F.lead(F.col("_first.g")).over(w_all).eqNullSafe(F.col("_last.g"))
+    ends = summary.select("_pid", F.explode(F.when(
+        F.col("_first.g").eqNullSafe(F.col("_last.g")), F.array("_first")).otherwise(
+        F.array("_first", "_last"))).alias("e")).groupBy(F.col("e.g").alias("g")).agg(F.sum("e.n").alias("size"))
+    edge = (summary
+            .withColumns({"_cum": F.sum(F.col("_last.n")).over(w_grp), "_same": same, "_on": goes_on})
+            .withColumns({"_carry": F.when(F.col("_same"), F.lag("_cum").over(w_all)).otherwise(F.lit(0)),
+                          "_carryv": F.when(F.col("_same"), F.lag("_lastv").over(w_all))})
+            .where(F.col("_same") | F.col("_on")))
+    one, two = ends.select(F.col("g").alias("g1"), F.col("size").alias("_size1")), ends.select(
+        F.col("g").alias("g2"), F.col("size").alias("_size2"))
+    edge = (edge.join(one, F.col("_first.g").eqNullSafe(F.col("g1"))).join(two, F.col("_last.g").eqNullSafe(F.col("g2")))
+            .select("_pid", F.col("_first.g").alias("_fk"), F.col("_last.g").alias("_lk"),
+                    F.col("_carry").cast("long").alias("_carry"), "_carryv", "_size1", "_size2"))
+    edge = materialize(edge, "sequence-edges")
 
     first_group = gk.eqNullSafe(F.col("_fk"))
-    out = local.join(F.broadcast(carry), "_pid", "left")
+    out = local.join(edge, "_pid", "left")
     fixed = {step_col: (F.col("_lrn") + F.when(first_group, F.col("_carry"))
                         .otherwise(F.lit(0))).cast("long")}
     fixed.update({prev_prefix + c: F.when(first_group & (F.col("_lrn") == 1), F.col("_carryv")[c])
                   .otherwise(F.col("_lag_" + c)) for c in lag_cols})
-    out = out.withColumns(fixed)
     if size_col:
-        # Rows per group from the written stage, aggregated map-side; the join
-        # back is inner on the group key (adaptive skew-join splits a hot one).
-        sizes = local.groupBy(*gcols).agg(F.count(F.lit(1)).cast("long").alias(size_col))
-        out = out.join(sizes, gcols, "inner")
-    drop = ["_lrn", "_fk", "_carry", "_carryv"] + ["_lag_" + c for c in lag_cols]
+        fixed[size_col] = (F.when(first_group, F.col("_size1")).when(gk.eqNullSafe(F.col("_lk")), F.col("_size2"))
+                           .otherwise(F.col("_lcnt"))).cast("long")
+    out = out.withColumns(fixed)
+    drop = ["_lrn", "_lcnt", "_fk", "_lk", "_carry", "_carryv", "_size1", "_size2"] + ["_lag_" + c for c in lag_cols]
     if const:
         drop.append(_CONST_GROUP)
     if not keep_pid:
@@ -166,16 +170,11 @@ def sequence_rows(df: DataFrame, group_cols: Sequence[str], order_cols: Sequence
     return out.drop(*drop)
 
 
-def group_sizes(df: DataFrame, group_cols: Sequence[str], name: str = "n") -> DataFrame:
-    """Rows per group; partial aggregation keeps hot groups cheap."""
-    return df.groupBy(*group_cols).agg(F.count(F.lit(1)).alias(name))
-
-
 def global_rank(df: DataFrame, order_cols: Sequence, name: str = "rank",
                 num_partitions: int | None = None, strategy: str = "auto",
-                min_hot_rows: int = MIN_HOT_ROWS) -> DataFrame:
+                hot_rows: int = HOT_ROWS) -> DataFrame:
     """1, 2, 3 … over the whole frame in ``order_cols`` order.  A one-task
-    window only when the frame is proven small (at most ``min_hot_rows``),
-    otherwise the range-split plan."""
+    window only when the frame is counted and small (at most ``hot_rows``),
+    otherwise the range-split plan.  Keep the frame narrow."""
     return sequence_rows(df, [], order_cols, step_col=name, num_partitions=num_partitions,
-                         strategy=strategy, min_hot_rows=min_hot_rows)
+                         strategy=strategy, hot_rows=hot_rows)

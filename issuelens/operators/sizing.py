@@ -1,4 +1,4 @@
-"""Broadcast only behind a checked size bound."""
+"""Row counts that choose a plan."""
 
 from __future__ import annotations
 
@@ -9,12 +9,16 @@ DEFAULT_MAX_BROADCAST_ROWS = 100_000
 
 
 def has_at_most(df: DataFrame, max_rows: int) -> bool:
-    """True when ``df`` has at most ``max_rows`` rows (reads at most ``max_rows + 1``)."""
-    return df.limit(max_rows + 1).count() <= max_rows
+    """True when ``df`` has at most ``max_rows`` rows.
+
+    One partially aggregated count: every split is read (without columns where
+    the source allows it), and only one number per task is shuffled.
+    """
+    return df.count() <= max_rows
 
 
 def sized_broadcast(df: DataFrame, max_rows: int = DEFAULT_MAX_BROADCAST_ROWS) -> DataFrame:
     """``broadcast(df)`` when its row count is within ``max_rows``; otherwise ``df``
     unchanged, so the planner falls back to a shuffle join (AQE may still pick a
-    broadcast from runtime sizes)."""
+    broadcast from runtime sizes).  Counts ``df``, so give it a written table."""
     return F.broadcast(df) if has_at_most(df, max_rows) else df

@@ -182,9 +182,11 @@ def q_key_duplicates(spark, sf):
 
 
 def q_orphan_commits(spark, sf):
+    """All commits against all PRs; those of one line number name a PR that does not exist."""
     prs, commits = _prs_commits(spark, sf)
-    loaded = prs.filter(F.col("created_at") <= F.lit(P.LOADED_PRS_UNTIL).cast("timestamp_ntz"))
-    return quality.orphans(commits.select("sha", "pull_request_id"), loaded, "pull_request_id", "id")
+    stray = F.col("sha").endswith(f"-{P.STRAY_LINE}")
+    parent = F.when(stray, -F.col("pull_request_id")).otherwise(F.col("pull_request_id"))
+    return quality.orphans(commits.select("sha", parent.alias("pull_request_id")), prs, "pull_request_id", "id")
 
 
 def _landed_commit_json(spark, sf) -> DataFrame:

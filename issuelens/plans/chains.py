@@ -28,36 +28,39 @@ def _ordered_join(items, order_field: str, text_field: str):
 
 
 def chain_labels(kept: DataFrame) -> DataFrame:
-    """AGG-8: ``first source > target > target …`` in step order.
+    """AGG-8: ``first source > target > target …`` in step order, one row per issue,
+    with a 128-bit ``digest`` that stands for the chain.
 
-    After a range split (``_pid`` present) two levels, so no task gathers a
-    hot issue whole: parts per (range partition, issue), then at most one part
-    per partition per issue.  Otherwise one aggregate per issue.
+    After a range split (``_pid`` present) two levels: parts per (range
+    partition, issue), then the parts of an issue.  The label is one value, so
+    the task that makes it holds all of it; the first level has by then reduced
+    the rows to text.  Otherwise no issue is hot, and it is one aggregate.
     """
     if "_pid" not in kept.columns:
-        # Window plan: no issue is hot (checked), one aggregate per issue.
         labels = kept.groupBy("issue_key").agg(
             F.min_by("source", "step").alias("first_source"),
             _ordered_join(F.collect_list(F.struct("step", "target")), "step", "target").alias("targets"))
-        return labels.select("issue_key", F.concat_ws(" > ", "first_source", "targets").alias("chain"))
-    parts = kept.groupBy("_pid", "issue_key").agg(
-        F.min("step").alias("first_step"),
-        F.min_by("source", "step").alias("first_source"),
-        _ordered_join(F.collect_list(F.struct("step", "target")), "step", "target").alias("part"))
-    labels = parts.groupBy("issue_key").agg(
-        F.min_by("first_source", "first_step").alias("first_source"),
-        _ordered_join(F.collect_list(F.struct("first_step", "part")), "first_step", "part")
-        .alias("targets"))
-    return labels.select("issue_key", F.concat_ws(" > ", "first_source", "targets").alias("chain"))
+    else:
+        parts = kept.groupBy("_pid", "issue_key").agg(
+            F.min("step").alias("first_step"),
+            F.min_by("source", "step").alias("first_source"),
+            _ordered_join(F.collect_list(F.struct("step", "target")), "step", "target").alias("part"))
+        labels = parts.groupBy("issue_key").agg(
+            F.min_by("first_source", "first_step").alias("first_source"),
+            _ordered_join(F.collect_list(F.struct("first_step", "part")), "first_step", "part")
+            .alias("targets"))
+    chain = F.concat_ws(" > ", "first_source", "targets")
+    return labels.select("issue_key", chain.alias("chain"), F.md5(chain).alias("digest"))
 
 
 def chain_ids(labels: DataFrame, strategy: str = "auto") -> DataFrame:
-    """AGG-9: 1, 2, 3 … per distinct chain, in the order chains first appear
-    when issues are visited by ascending key — i.e. ordered by the smallest
-    issue key carrying the chain.  A distributed global rank, not a one-task
-    window."""
-    firsts = labels.groupBy("chain").agg(F.min("issue_key").alias("k0"))
-    return global_rank(firsts, ["k0"], name="chain_id", strategy=strategy).select("chain", "chain_id")
+    """AGG-9: (issue_key, chain_id): 1, 2, 3 … per distinct chain, in the order chains
+    first appear when issues are visited by ascending key — i.e. ordered by the
+    smallest issue key carrying the chain.  Chains are told apart by their
+    digest, and only (digest, smallest key) is ranked; no label is shuffled."""
+    firsts = labels.groupBy("digest").agg(F.min("issue_key").alias("k0"))
+    ranks = global_rank(firsts, ["k0"], name="chain_id", strategy=strategy).select("digest", "chain_id")
+    return labels.select("issue_key", "digest").join(ranks, "digest").select("issue_key", "chain_id")
 
 
 def status_chains(issues: DataFrame, changelog: DataFrame, lookup: DataFrame,
@@ -71,7 +74,9 @@ def status_chains(issues: DataFrame, changelog: DataFrame, lookup: DataFrame,
     tr = materialize(status_transitions(issues, changelog, lookup, strategy=strategy,
                                         lookup_how=lookup_how), "transitions")
     kept = collapse_repeats(tr, keep_pid=True, strategy=strategy)
-    # One row per issue, read twice (ranking and the final join): written once.
     labels = materialize(chain_labels(kept), "chain-labels")
-    per_issue = labels.join(chain_ids(labels, strategy), "chain", "inner")
+    per_issue = labels.select("issue_key", "chain").join(chain_ids(labels), "issue_key")
+    if strategy == "ranged":
+        # Written, so that the join below is between plain scans and a hot issue can be split.
+        per_issue = materialize(per_issue, "chains")
     return tr.join(per_issue, "issue_key", "inner")

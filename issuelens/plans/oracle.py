@@ -1,9 +1,12 @@
 """The registered queries as DuckDB SQL over the driver's tables.
 
 Each string first derives the canonical tables with the rules of
-``plans/proxies.py`` (as CTEs), then states the query the way the original
-SQL does (PIVOT, ROW_NUMBER/LAG, UNION ALL, LEFT JOIN …).  Column names
-match the Spark results.
+``plans/proxies.py`` (as CTEs), then states the query on its own terms, by
+another route than the engine's plan where there is one: pivots as filtered
+aggregates over a fixed status list, the synthetic "Created" step as a row of
+its own under ``UNION ALL`` with ``LAG`` and ``MAX(step)``, the left join as
+matches plus rows without a match.  Column names match the Spark results, and
+every string can be made a view.
 """
 
 from __future__ import annotations
@@ -111,27 +114,27 @@ def with_tables(names: list[str], body: str, extra: list[str] | None = None) ->
 
 STEP_WINDOW = "PARTITION BY issue_key ORDER BY created, TRY_CAST(id AS BIGINT), id"
 
-# Q2: number each issue's status changes, take the previous change's time
-# (the issue's creation for the first one), count the changes, keep issues
-# that are loaded, classify (source, target) through the lookup.
+# Q2: every loaded issue's history is its creation (step 0) followed by its
+# status changes (steps 1, 2, …); a row's previous time is that of the row
+# before it, and the chain length is one more than the issue's last step.
 _Q2_CTES = [
-    f"""numbered AS (
-      SELECT issue_key, from_string AS source, to_string AS target, created AS transition_timestamp,
-             ROW_NUMBER() OVER ({STEP_WINDOW}) AS step,
-             LAG(created) OVER ({STEP_WINDOW}) AS prior_change,
-             COUNT(*) OVER (PARTITION BY issue_key) + 1 AS chain_length
+    f"""changes AS (
+      SELECT issue_key, from_string AS source, to_string AS target, created AS at,
+             ROW_NUMBER() OVER ({STEP_WINDOW}) AS step
       FROM jira_changelog WHERE field = 'status')""",
-    """timed AS (
-      SELECT n.issue_key, n.step, n.source, n.target,
-             CASE WHEN n.step = 1 THEN i.created ELSE n.prior_change END AS previous_timestamp,
-             n.transition_timestamp, n.chain_length, i.issue_type, i.current_status
-      FROM numbered n JOIN jira_issues i ON i.key = n.issue_key)""",
-    """with_created AS (
-      SELECT issue_key, step, source, target, previous_timestamp, transition_timestamp, chain_length,
-             issue_type, current_status FROM timed
+    """history AS (
+      SELECT c.issue_key, 0 AS step, 'Created' AS source, c.source AS target, i.created AS at
+      FROM changes c JOIN jira_issues i ON i.key = c.issue_key WHERE c.step = 1
       UNION ALL
-      SELECT issue_key, 0, 'Created', source, NULL, previous_timestamp, chain_length, issue_type, current_status
-      FROM timed WHERE step = 1)""",
+      SELECT c.issue_key, c.step, c.source, c.target, c.at
+      FROM changes c WHERE c.issue_key IN (SELECT key FROM jira_issues))""",
+    """with_created AS (
+      SELECT h.issue_key, h.step, h.source, h.target,
+             LAG(h.at) OVER (PARTITION BY h.issue_key ORDER BY h.step) AS previous_timestamp,
+             h.at AS transition_timestamp,
+             MAX(h.step) OVER (PARTITION BY h.issue_key) + 1 AS chain_length,
+             i.issue_type, i.current_status
+      FROM history h JOIN jira_issues i ON i.key = h.issue_key)""",
 ]
 
 
@@ -232,23 +235,31 @@ SELECT {KEY.format('user_id')} AS issue_key, event_id AS last_event_id, event_ty
 FROM r WHERE rn = 1"""
 
 
+# The proxy changelog's statuses are the event types (the engine finds them itself).
+STATUSES = ("click", "error", "purchase", "signup", "view")
+
+
+def _pivot_body(attrs: str, parts: list[tuple[str, str]], where: str = "TRUE") -> str:
+    """Issue attributes and one filtered aggregate per (function, name suffix) and status."""
+    cells = ", ".join(f'{fn}(h.created) FILTER (WHERE h.status = {_q(v)}) AS "{v}{suffix}"'
+                      for v in STATUSES for fn, suffix in parts)
+    return f"""SELECT {attrs}, {cells}
+FROM jira_issues i JOIN h ON h.issue_key = i.key
+WHERE {where} GROUP BY {attrs}"""
+
+
 def oracle_sql() -> dict[str, str]:
     W = with_tables
     q: dict[str, str] = {}
-    q["status_timeline"] = W(["jira_changelog", "jira_issues"], """SELECT i.key, i.summary, i.current_status, i.issue_type, i.assignee, p.* EXCLUDE (issue_key)
-FROM jira_issues i JOIN (PIVOT h ON status USING MIN(created) AS min, MAX(created) AS max GROUP BY issue_key) p
-  ON i.key = p.issue_key""", [_STATUS_ROWS])
+    attrs = "i.key, i.summary, i.current_status, i.issue_type, i.assignee"
+    q["status_timeline"] = W(["jira_changelog", "jira_issues"], _pivot_body(
+        attrs, [("MIN", "_min"), ("MAX", "_max")]), [_STATUS_ROWS])
     q["status_values"] = W(["jira_changelog"],
                            "SELECT DISTINCT to_string AS status FROM jira_changelog WHERE field = 'status'")
-    q["status_first_seen"] = W(["jira_changelog", "jira_issues"], """SELECT i.key, i.summary, i.current_status, i.issue_type, i.assignee, p.* EXCLUDE (issue_key)
-FROM jira_issues i JOIN (PIVOT h ON status USING MIN(created) GROUP BY issue_key) p
-  ON i.key = p.issue_key""", [_STATUS_ROWS])
-    q["status_last_seen"] = W(["jira_changelog", "jira_issues"], """SELECT i.key, p.* EXCLUDE (issue_key)
-FROM jira_issues i JOIN (PIVOT h ON status USING MAX(created) GROUP BY issue_key) p
-  ON i.key = p.issue_key""", [_STATUS_ROWS])
-    q["single_issue_status"] = W(["jira_changelog", "jira_issues"], f"""SELECT i.key, p.* EXCLUDE (issue_key)
-FROM jira_issues i JOIN (PIVOT h ON status USING MIN(created) GROUP BY issue_key) p
-  ON i.key = p.issue_key WHERE i.key = {_q(P.SINGLE_ISSUE)}""", [_STATUS_ROWS])
+    q["status_first_seen"] = W(["jira_changelog", "jira_issues"], _pivot_body(attrs, [("MIN", "")]), [_STATUS_ROWS])
+    q["status_last_seen"] = W(["jira_changelog", "jira_issues"], _pivot_body("i.key", [("MAX", "")]), [_STATUS_ROWS])
+    q["single_issue_status"] = W(["jira_changelog", "jira_issues"], _pivot_body(
+        "i.key", [("MIN", "")], f"i.key = {_q(P.SINGLE_ISSUE)}"), [_STATUS_ROWS])
     q["status_steps"] = W(["jira_changelog"], f"""SELECT issue_key, id, created, from_string, to_string,
        ROW_NUMBER() OVER ({STEP_WINDOW}) AS step, LAG(created) OVER ({STEP_WINDOW}) AS prev_created
 FROM jira_changelog WHERE field = 'status'""")
@@ -264,17 +275,20 @@ FROM tr JOIN labels ON tr.issue_key = labels.issue_key JOIN ids ON labels.chain
     q["json_scalars"] = "SELECT event_id, json_extract_string(props, '$.k') AS k FROM events"
     q["pull_requests_with_commits"] = W(["pull_requests", "pull_request_commits"], """SELECT pr.id, pr.number, pr.state, pr.merged_at, c.sha, c.commit_date, c.message
 FROM pull_requests pr LEFT JOIN pull_request_commits c ON c.pull_request_id = pr.id""")
-    q["merged_pr_issue_keys"] = W(["pull_requests", "pull_request_commits"], f"""SELECT m.number, m.title, m.state, m.created_at, m.merged_at, c.sha, c.commit_date, c.message, m.jira_key
-FROM merged m LEFT JOIN pull_request_commits c ON c.pull_request_id = m.id
-WHERE m.jira_key <> ''""", [f"""merged AS (
-  SELECT *, regexp_extract(title, '(?i)({X.PROJECT}-[0-9]{{1,5}})', 1) AS jira_key
-  FROM pull_requests WHERE state = 'closed' AND merged_at IS NOT NULL)"""])
-    q["commits_of_pull_request"] = W(["pull_requests", "pull_request_commits"], f"""SELECT c.*
-FROM pull_requests pr JOIN pr_commits pc ON pr.id = pc.pr_id JOIN commits c ON pc.commit_sha = c.sha
-WHERE pr.number = {int(P.PR_NUMBER)}""", [
-        """commits AS (SELECT * EXCLUDE (pull_request_id, pull_request_number) FROM pull_request_commits
-                  QUALIFY ROW_NUMBER() OVER (PARTITION BY sha ORDER BY pull_request_id) = 1)""",
-        "pr_commits AS (SELECT pull_request_id AS pr_id, sha AS commit_sha FROM pull_request_commits)"])
+    q["merged_pr_issue_keys"] = W(["pull_requests", "pull_request_commits"], """SELECT t.*, c.sha, c.commit_date, c.message, t2.jira_key
+FROM named t2 JOIN cols t USING (number) JOIN pull_request_commits c ON c.pull_request_id = t2.id
+UNION ALL
+SELECT t.*, NULL, NULL, NULL, t2.jira_key FROM named t2 JOIN cols t USING (number)
+WHERE NOT EXISTS (SELECT 1 FROM pull_request_commits c WHERE c.pull_request_id = t2.id)""", [
+        f"""named AS (
+  SELECT id, number, list_filter(regexp_extract_all(title, '(?i){X.PROJECT}-[0-9]{{1,5}}'), lambda k: k <> '')[1] AS jira_key
+  FROM pull_requests
+  WHERE merged_at IS NOT NULL AND state = 'closed' AND regexp_matches(title, '(?i){X.PROJECT}-[0-9]'))""",
+        "cols AS (SELECT number, title, state, created_at, merged_at FROM pull_requests)"])
+    q["commits_of_pull_request"] = W(["pull_request_commits"], f"""SELECT * EXCLUDE (pull_request_id, pull_request_number)
+FROM pull_request_commits c
+WHERE EXISTS (SELECT 1 FROM pull_request_commits m WHERE m.sha = c.sha AND m.pull_request_number = {int(P.PR_NUMBER)})
+  AND NOT EXISTS (SELECT 1 FROM pull_request_commits e WHERE e.sha = c.sha AND e.pull_request_id < c.pull_request_id)""")
     q["recent_issues"] = W(["jira_issues"], f"""SELECT key, summary FROM jira_issues
 WHERE updated >= TIMESTAMP '{P.RECENT_AS_OF}' - INTERVAL {int(P.RECENT_DAYS)} DAY""")
     q["issue_links"] = _links_body()
@@ -291,9 +305,10 @@ FROM pull_requests""")
 WHERE updated >= date_trunc('minute', TIMESTAMP '{P.SINCE}')""")
     q["key_duplicates"] = W(["commits_landed"], """SELECT sha, pull_request_id, COUNT(*) AS n FROM commits_landed
 GROUP BY sha, pull_request_id HAVING COUNT(*) > 1""")
-    q["orphan_commits"] = W(["pull_requests", "pull_request_commits"], f"""SELECT c.sha, c.pull_request_id FROM pull_request_commits c
-WHERE NOT EXISTS (SELECT 1 FROM pull_requests p WHERE p.id = c.pull_request_id
-                  AND p.created_at <= TIMESTAMP '{P.LOADED_PRS_UNTIL}')""")
+    q["orphan_commits"] = W(["pull_requests", "pull_request_commits"], f"""SELECT sha, parent AS pull_request_id FROM (
+  SELECT sha, CASE WHEN ends_with(sha, '-{P.STRAY_LINE}') THEN -pull_request_id ELSE pull_request_id END AS parent
+  FROM pull_request_commits) c
+WHERE NOT EXISTS (SELECT 1 FROM pull_requests p WHERE p.id = c.parent)""")
     q["unparsable_dates"] = W(["commits_landed"], f"""SELECT sha, pull_request_id, author_date_text FROM (
   SELECT c.sha, c.pull_request_id, {_parsed_commit_text()} AS author_date_text
   FROM commits_landed c) x

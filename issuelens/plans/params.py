@@ -7,7 +7,7 @@ RECENT_AS_OF = "2023-12-20 00:00:00"         # Q7: now()
 RECENT_DAYS = 7
 NEWER_THAN = "2001-01-01 00:00:00"           # FLT-1 watermark
 SINCE = "2023-12-15 10:30:45"                # FLT-3 watermark (truncated to the minute)
-LOADED_PRS_UNTIL = "2000-12-31 00:00:00"     # DQ-2: PRs loaded so far (created up to this)
+STRAY_LINE = 3                               # DQ-2: commits of this line name a PR that does not exist
 UPSERT_TARGET_BEFORE = "1998-01-01 00:00:00" # UPS: table holds commits shipped before …
 UPSERT_SOURCE_FROM = "1997-01-01 00:00:00"   # … and the batch those shipped from here on
 UPSERT_KEEP = ["author_name", "author_date"] # columns kept from the existing row

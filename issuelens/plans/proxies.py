@@ -230,13 +230,15 @@ def status_lookup(spark: SparkSession) -> DataFrame:
 # The canonical tables are persisted once per session (as the ingest would
 # persist them) and queries read the written Parquet: data Spark derived from
 # the given tables, under the session's checkpoint folder.
-_PERSISTED: dict[tuple[str, str, str], str] = {}
+_PERSISTED: dict[tuple[str, ...], str] = {}
+_BASE = {"jira_changelog": "events", "jira_issues": "customer", "pull_requests": "orders"}
 
 
 def _persisted(spark: SparkSession, sf_dir: str, name: str, build, schema=None) -> DataFrame:
-    from issuelens.session import ensure_checkpoint_dir, path_exists, scratch_path
+    from issuelens.session import ensure_checkpoint_dir, path_exists, path_state, scratch_path
     from issuelens.sources.tables import PARTITION_BY
-    key = (ensure_checkpoint_dir(spark), sf_dir.rstrip("/"), name)
+    base = f"{sf_dir.rstrip('/')}/{_BASE.get(name, 'lineitem')}.parquet"
+    key = (ensure_checkpoint_dir(spark), base, path_state(spark, base), name)
     path = _PERSISTED.get(key)
     if path is None or not path_exists(spark, f"{path}/_SUCCESS"):
         df = build(spark, sf_dir)

@@ -8,7 +8,6 @@ from pyspark.sql import functions as F
 from issuelens.functions.timefmt import epoch_seconds_between
 from issuelens.operators.filters import status_changes
 from issuelens.operators.sequence import sequence_rows
-from issuelens.operators.sizing import sized_broadcast
 from issuelens.plans.timeline import issue_attributes
 
 # Changes with equal ``created`` are ordered by changelog id, numerically when
@@ -51,6 +50,7 @@ def transitions_unclassified(issues: DataFrame, changelog: DataFrame,
     With ``include_created`` the step-0 rows themselves are added (SET-1).
     """
     steps = number_steps(changelog, strategy, size_col="n_changes")
+    # The only join of the history on its issue, so that adaptive execution can split a hot one.
     t = steps.join(_per_issue(issues), "issue_key", "inner")  # JN-4/5/6
     prev = F.when(F.col("step") == 1, F.col("issue_created")).otherwise(F.col("prev_created"))
     length = (F.col("n_changes") + F.lit(1)).cast("long").alias("chain_length")
@@ -71,13 +71,12 @@ def transitions_unclassified(issues: DataFrame, changelog: DataFrame,
     return created.unionByName(real)
 
 
-def classify_transitions(transitions: DataFrame, lookup: DataFrame, how: str = "inner",
-                         max_lookup_rows: int = 100_000) -> DataFrame:
+def classify_transitions(transitions: DataFrame, lookup: DataFrame, how: str = "inner") -> DataFrame:
     """JN-7: join the (source, target) lookup; inner drops unlisted pairs and
-    duplicated lookup rows multiply.  The lookup is broadcast only when its
-    row count is within ``max_lookup_rows``."""
+    duplicated lookup rows multiply.  A lookup of the usual size is broadcast by
+    Spark's own size check."""
     lk = lookup.select("source", "target", "classification", "type")
-    return transitions.join(sized_broadcast(lk, max_lookup_rows), ["source", "target"], how)
+    return transitions.join(lk, ["source", "target"], how)
 
 
 def status_transitions(issues: DataFrame, changelog: DataFrame, lookup: DataFrame,

@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 import os
+import re
 import tempfile
 import uuid
 
@@ -59,22 +60,22 @@ def cluster_settings(input_bytes: int, target_partition_bytes: int = 128 << 20,
 
 
 def apply_session_defaults(spark: SparkSession) -> None:
-    """Set the SQL settings the queries need on an existing session."""
+    """Set the SQL settings the queries need on an existing session; a session
+    that does not take the ones the results rest on is refused."""
     for k, v in SESSION_DEFAULTS.items():
-        if k.startswith("spark.ui"):
-            continue
-        try:
+        if not k.startswith("spark.ui") and spark.conf.isModifiable(k):
             spark.conf.set(k, v)
-        except Exception:  # static or locked settings are left as they are
-            pass
+    for k in ("spark.sql.session.timeZone", "spark.sql.ansi.enabled"):
+        if spark.conf.get(k) != SESSION_DEFAULTS[k]:
+            raise RuntimeError(f"{k} must be {SESSION_DEFAULTS[k]}, is {spark.conf.get(k)}")
 
 
 def ensure_checkpoint_dir(spark: SparkSession) -> str:
     """Return the session's checkpoint folder.
 
     On a cluster ``spark.checkpoint.dir`` names a shared folder and is used
-    as is.  Only when nothing is configured (local tests) a private folder is
-    created.
+    as is.  Only in a single-process session (local tests) with nothing
+    configured a private folder is created; elsewhere executors would not see it.
     """
     sc = spark.sparkContext
     current = sc.getCheckpointDir()
@@ -84,6 +85,8 @@ def ensure_checkpoint_dir(spark: SparkSession) -> str:
     if configured:
         sc.setCheckpointDir(configured)
         return sc.getCheckpointDir() or configured
+    if not re.match(r"local(\[|$)", sc.master):
+        raise RuntimeError("set spark.checkpoint.dir to a folder that all executors share")
     local = tempfile.mkdtemp(prefix="issuelens-ckpt-")
     sc.setCheckpointDir(local)
     return sc.getCheckpointDir() or local
@@ -95,14 +98,6 @@ def scratch_path(spark: SparkSession, name: str) -> str:
     return f"{root}/{name}-{uuid.uuid4().hex[:12]}"
 
 
-def is_local_path(path: str) -> bool:
-    return path.startswith("/") or path.startswith("file:")
-
-
-def local_os_path(path: str) -> str:
-    return path[len("file:"):] if path.startswith("file:") else path
-
-
 def path_exists(spark: SparkSession, path: str) -> bool:
     """Existence check through the Hadoop file system of the path."""
     jvm = spark.sparkContext._jvm
@@ -111,6 +106,27 @@ def path_exists(spark: SparkSession, path: str) -> bool:
     return bool(fs.exists(p))
 
 
+def path_state(spark: SparkSession, path: str) -> str:
+    """Bytes, files and last change of what is under ``path``: tells rewritten data apart."""
+    jvm = spark.sparkContext._jvm
+    p = jvm.org.apache.hadoop.fs.Path(path)
+    fs = p.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration())
+    if not fs.exists(p):
+        return "missing"
+    size, newest, files = 0, 0, fs.listFiles(p, True)
+    n = 0
+    while files.hasNext():
+        f = files.next()
+        size, newest, n = size + f.getLen(), max(newest, f.getModificationTime()), n + 1
+    return f"{size}-{n}-{newest}"
+
+
+def delete_path(spark: SparkSession, path: str) -> None:
+    jvm = spark.sparkContext._jvm
+    p = jvm.org.apache.hadoop.fs.Path(path)
+    p.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).delete(p, True)
+
+
 def list_dirs(spark: SparkSession, path: str) -> list[str]:
     """Names of the sub-folders of ``path`` (empty when it does not exist)."""
     jvm = spark.sparkContext._jvm

@@ -4,6 +4,7 @@ on small fixtures (no Spark)."""
 from __future__ import annotations
 
 import datetime as dt
+import itertools
 from collections import defaultdict
 
 
@@ -30,45 +31,42 @@ def steps(history):
 
 def transitions(issues, history, lookup):
     """issues: {key: {created, issue_type, current_status}}; lookup: list of
-    (source, target, classification, type)."""
+    (source, target, classification, type).  Each issue's history starts with a
+    creation row (step 0); a row's previous time is that of the row before it."""
+    classes = defaultdict(list)
+    for s, t, c, ty in lookup:
+        classes[s, t].append((c, ty))
     rows = []
     for k, seq in steps(history).items():
         if k not in issues:
             continue
         info = issues[k]
-        prev = info["created"]
-        for r in seq:
-            dur = None
-            if prev is not None and r["created"] is not None:
-                dur = (r["created"] - prev) / dt.timedelta(microseconds=1) / 1e6
-            for s, t, c, ty in lookup:
-                if s == r["from_string"] and t == r["to_string"]:
-                    rows.append(dict(issue_key=k, step=r["step"], source=s, target=t,
-                                     previous_timestamp=prev, transition_timestamp=r["created"],
-                                     duration_seconds=dur, chain_length=len(seq) + 1,
-                                     issue_type=info["issue_type"],
-                                     current_status=info["current_status"],
-                                     classification=c, type=ty))
-            prev = r["created"]
+        full = [dict(step=0, created=info["created"])] + seq
+        last = max(r["step"] for r in full)
+        for before, r in zip(full, seq):
+            known = before["created"] is not None and r["created"] is not None
+            for c, ty in classes[r["from_string"], r["to_string"]]:
+                rows.append(dict(
+                    issue_key=k, step=r["step"], source=r["from_string"], target=r["to_string"],
+                    previous_timestamp=before["created"], transition_timestamp=r["created"],
+                    duration_seconds=(r["created"] - before["created"]).total_seconds() if known else None,
+                    chain_length=last + 1, issue_type=info["issue_type"],
+                    current_status=info["current_status"], classification=c, type=ty))
     return rows
 
 
+def _label(rows):
+    """First source, then the target of each run of equal targets."""
+    rows = sorted(rows, key=lambda r: r["step"])
+    runs = [target for target, _ in itertools.groupby(r["target"] for r in rows)]
+    return " > ".join([rows[0]["source"], *runs])
+
+
 def chains(transition_rows):
-    """{issue_key: (chain, chain_id)} — walk issues by ascending key, drop a
-    transition whose target equals the last kept target, number new chains."""
-    by = defaultdict(list)
-    for r in transition_rows:
-        by[r["issue_key"]].append(r)
-    ids: dict[str, int] = {}
-    out = {}
-    for k in sorted(by):
-        rows = sorted(by[k], key=lambda r: r["step"])
-        kept = []
-        for r in rows:
-            if kept and kept[-1]["target"] == r["target"]:
-                continue
-            kept.append(r)
-        label = " > ".join([kept[0]["source"]] + [r["target"] for r in kept])
-        ids.setdefault(label, len(ids) + 1)
-        out[k] = (label, ids[label])
-    return out
+    """{issue_key: (chain, chain_id)}: all labels first, then each distinct label
+    is numbered by the rank of the smallest issue key that has it."""
+    issues = {r["issue_key"] for r in transition_rows}
+    labels = {k: _label([r for r in transition_rows if r["issue_key"] == k]) for k in issues}
+    smallest = {label: min(k for k in issues if labels[k] == label) for label in set(labels.values())}
+    rank = {label: 1 + sum(other < first for other in smallest.values()) for label, first in smallest.items()}
+    return {k: (labels[k], rank[labels[k]]) for k in issues}

@@ -21,7 +21,7 @@ def test_chain_labels_and_ids_equal_loop(spark, raw):
     kept = chains.collapse_repeats(df, keep_pid=True)
     labels = chains.chain_labels(kept)
     ids = chains.chain_ids(labels)
-    got = {r["issue_key"]: (r["chain"], r["chain_id"]) for r in labels.join(ids, "chain").collect()}
+    got = {r["issue_key"]: (r["chain"], r["chain_id"]) for r in labels.join(ids, "issue_key").collect()}
     assert got == model.chains(rows)
 
 

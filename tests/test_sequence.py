@@ -8,9 +8,9 @@ from issuelens.operators.sequence import global_rank, sequence_rows
 
 def _compare(spark, rows, n_parts):
     df = spark.createDataFrame(rows, "g long, o long, v string")
-    a = sequence_rows(df, ["g"], ["o"], lag_cols=["v"], num_partitions=n_parts, strategy="ranged")
-    b = sequence_rows(df, ["g"], ["o"], lag_cols=["v"], strategy="window")
-    cols = ["g", "o", "step", "prev_v"]
+    a = sequence_rows(df, ["g"], ["o"], lag_cols=["v"], num_partitions=n_parts, strategy="ranged", size_col="n")
+    b = sequence_rows(df, ["g"], ["o"], lag_cols=["v"], strategy="window", size_col="n")
+    cols = ["g", "o", "step", "prev_v", "n"]
     got = sorted(tuple(r) for r in a.select(cols).collect())
     want = sorted(tuple(r) for r in b.select(cols).collect())
     assert got == want
@@ -44,9 +44,9 @@ def test_auto_detects_hot_group(spark):
     from issuelens.operators.sequence import hot_groups
     rows = [(0, i, "x") for i in range(900)] + [(i, 0, "y") for i in range(1, 101)]
     df = spark.createDataFrame(rows, "g long, o long, v string")
-    assert hot_groups(df, ["g"], 8, min_hot_rows=100)
-    assert not hot_groups(df.filter("g > 0"), ["g"], 8, min_hot_rows=100)
-    a = sequence_rows(df, ["g"], ["o"], lag_cols=["v"], min_hot_rows=100)
+    assert hot_groups(df, ["g"], hot_rows=100)
+    assert not hot_groups(df.filter("g > 0"), ["g"], hot_rows=100)
+    a = sequence_rows(df, ["g"], ["o"], lag_cols=["v"], hot_rows=100)
     b = sequence_rows(df, ["g"], ["o"], lag_cols=["v"], strategy="window")
     assert a.exceptAll(b).count() == 0 and b.exceptAll(a).count() == 0
 

@@ -20,8 +20,8 @@ def _skewed(spark):
 
 def test_auto_picks_ranged_for_hot_issue(spark):
     hist = status_history(_skewed(spark))
-    assert hot_groups(hist, ["issue_key"], 8, min_hot_rows=100)
-    assert resolve_strategy(hist, ["issue_key"], num_partitions=8, min_hot_rows=100) == "ranged"
+    assert hot_groups(hist, ["issue_key"], hot_rows=100)
+    assert resolve_strategy(hist, ["issue_key"], hot_rows=100) == "ranged"
 
 
 def test_transitions_and_chains_equal_under_skew(spark):
