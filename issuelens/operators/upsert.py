@@ -15,6 +15,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from issuelens.operators.sizing import has_at_most
+from issuelens.operators.stage import materialize
 
 
 def _pick(df: DataFrame, keys: Sequence[str], order: Sequence[str | Column], largest: bool) -> DataFrame:
@@ -50,11 +51,16 @@ def dedupe_last(df: DataFrame, keys: Sequence[str], order: Sequence[str | Column
 BROADCAST_BATCH_ROWS = 100_000  # ~5 MB of key hash table: within the usual broadcast sizes
 
 
-def _merge_rows(target: DataFrame, src: DataFrame, keys: list[str], keep: set[str]) -> DataFrame:
+def _merge_rows(target: DataFrame, src: DataFrame, keys: list[str], keep: set[str],
+                version_col: str | None = None) -> DataFrame:
     cols = target.columns
     t = target.withColumn("_in_t", F.lit(True)).alias("t")
     s = src.withColumn("_in_s", F.lit(True)).alias("s")
     j = t.join(s, keys, "full_outer")
+    takes = F.col("s._in_s")
+    if version_col:  # an older version never overwrites a newer one
+        older = F.col(f"s.{version_col}") < F.col(f"t.{version_col}")
+        takes = takes & ~F.coalesce(older, F.col(f"s.{version_col}").isNull() & F.col(f"t.{version_col}").isNotNull())
     out = []
     for c in cols:
         if c in keys:
@@ -62,13 +68,13 @@ def _merge_rows(target: DataFrame, src: DataFrame, keys: list[str], keep: set[st
         elif c in keep:
             out.append(F.when(F.col("t._in_t"), F.col(f"t.{c}")).otherwise(F.col(f"s.{c}")).alias(c))
         else:
-            out.append(F.when(F.col("s._in_s"), F.col(f"s.{c}")).otherwise(F.col(f"t.{c}")).alias(c))
+            out.append(F.when(takes, F.col(f"s.{c}")).otherwise(F.col(f"t.{c}")).alias(c))
     return j.select(*out)
 
 
 def upsert(target: DataFrame, source: DataFrame, keys: Sequence[str], *,
            keep_cols: Sequence[str] = (), on_conflict: str = "update",
-           order: Sequence[str | Column] = (), latest: bool = False,
+           order: Sequence[str | Column] = (), latest: bool = False, version_col: str | None = None,
            broadcast_batch_rows: int = BROADCAST_BATCH_ROWS) -> DataFrame:
     """``INSERT … ON CONFLICT (keys) DO UPDATE / DO NOTHING``.
 
@@ -78,11 +84,14 @@ def upsert(target: DataFrame, source: DataFrame, keys: Sequence[str], *,
     * ``on_conflict="update"``: matched rows take every non-key column from
       the source — a NULL in the source overwrites — except ``keep_cols``,
       which keep the target's value;
+    * ``version_col``: a matched row is updated only when the source's version is
+      not older than the target's (a NULL version is older than any other);
     * ``on_conflict="nothing"``: matched rows keep the target row;
     * unmatched target rows stay, unmatched source rows are inserted.
     Columns come out in the target's order; the source must have them all.
 
-    Plan: when the batch has at most ``broadcast_batch_rows`` rows (checked),
+    Plan: the de-duplicated batch is written once, so that its source is parsed
+    once and its size is known.  With at most ``broadcast_batch_rows`` rows
     its keys are broadcast and the table is only scanned —
     untouched rows pass through an anti join, touched rows (no more than the
     batch) are merged with it — so the table is never shuffled.  Larger
@@ -95,10 +104,8 @@ def upsert(target: DataFrame, source: DataFrame, keys: Sequence[str], *,
         raise ValueError(f"source lacks columns {missing}")
     if on_conflict not in ("update", "nothing"):
         raise ValueError(f"unknown on_conflict {on_conflict!r}")
-    # Checked on the raw batch: a count that stops early, and a bound on the
-    # raw rows bounds the de-duplicated ones.
-    small = has_at_most(source, broadcast_batch_rows)
-    src = (dedupe_last if latest else dedupe_first)(source, keys, order).select(*cols)
+    src = materialize((dedupe_last if latest else dedupe_first)(source, keys, order).select(*cols), "upsert-batch")
+    small = has_at_most(src, broadcast_batch_rows)
     keep = set(keep_cols)
     if on_conflict == "nothing":
         if small:
@@ -107,17 +114,17 @@ def upsert(target: DataFrame, source: DataFrame, keys: Sequence[str], *,
             return target.unionByName(src.join(existing, keys, "left_anti"))
         return target.unionByName(src.join(target.select(*keys), keys, "left_anti"))
     if not small:
-        return _merge_rows(target, src, keys, keep)
+        return _merge_rows(target, src, keys, keep, version_col)
     batch_keys = F.broadcast(src.select(*keys))
     untouched = target.join(batch_keys, keys, "left_anti")
     touched = target.join(batch_keys, keys, "left_semi")
-    return untouched.unionByName(_merge_rows(touched, src, keys, keep))
+    return untouched.unionByName(_merge_rows(touched, src, keys, keep, version_col))
 
 
 # The five instances of the reference tables.
 def upsert_pull_requests(target: DataFrame, source: DataFrame, **kw) -> DataFrame:
-    """UPS-1: every non-key column is updated."""
-    return upsert(target, source, ["id"], **kw)
+    """UPS-1: every non-key column is updated, by a version not older (``updated_at``)."""
+    return upsert(target, source, ["id"], **{"version_col": "updated_at", **kw})
 
 
 def upsert_pull_request_commits(target: DataFrame, source: DataFrame, **kw) -> DataFrame:

@@ -3,7 +3,9 @@
 Layout: ``<root>/<table>/v=<version>/`` holds one complete snapshot; a
 ``_COMMITTED`` marker written after the data makes it visible.  A reader takes
 the highest committed version, so a half-written snapshot is never read and a
-retried write of the same version simply rewrites its own folder.
+retried write of the same version simply rewrites its own folder.  The marker
+also carries the last applied batch of every stream that feeds the table.
+After a commit, versions older than the last ``KEEP_VERSIONS`` are deleted.
 """
 
 from __future__ import annotations
@@ -13,10 +15,11 @@ import json
 from pyspark.sql import DataFrame, SparkSession
 
 from issuelens import schemas
-from issuelens.session import list_dirs, path_exists, read_text_file, write_text_file
+from issuelens.session import delete_path, list_dirs, path_exists, read_text_file, write_text_file
 from issuelens.sources.sinks import with_counters
 
 MARKER = "_COMMITTED"
+KEEP_VERSIONS = 3  # a reader of the version before the latest is not cut off
 
 # Directory partitioning per table: the changelog by ``field``, so the
 # ``field = 'status'`` filter of every status query prunes whole folders.
@@ -61,7 +64,20 @@ class SnapshotStore:
         df = reader.parquet(path)
         return df.select(*schema.names) if schema is not None else df
 
-    def commit(self, name: str, df: DataFrame, version: int) -> bool:
+    def last_batch(self, name: str, stream: str) -> int:
+        """The last batch of ``stream`` that the table holds; -1 if none."""
+        v = self.current_version(name)
+        info = self.commit_info(name, v) if v is not None else None
+        return (info or {}).get("batches", {}).get(stream, -1)
+
+    def commit_batch(self, name: str, df: DataFrame, stream: str, batch_id: int) -> bool:
+        """Write ``df`` as the next version, holding ``stream`` up to ``batch_id``;
+        a batch that the table already holds is skipped."""
+        if self.last_batch(name, stream) >= batch_id:
+            return False
+        return self.commit(name, df, (self.current_version(name) or 0) + 1, {stream: batch_id})
+
+    def commit(self, name: str, df: DataFrame, version: int, batches: dict | None = None) -> bool:
         """Write ``df`` as ``version`` unless that version is already committed.
 
         The commit marker records the rows written (SNK-5), counted by an
@@ -69,14 +85,18 @@ class SnapshotStore:
         if self.is_committed(name, version):
             return False
         path = self._dir(name, version)
+        before = self.current_version(name, below=version)
+        held = (self.commit_info(name, before) or {}).get("batches", {}) if before is not None else {}
         df, obs = with_counters(df, f"{name}-v{version}")
         writer = df.write.mode("overwrite")
         parts = [c for c in self.partition_by.get(name, []) if c in df.columns]
         if parts:
             writer = writer.partitionBy(*parts)
         writer.parquet(path)
-        info = {"version": version, "rows": int(obs.get["rows"])}
+        info = {"version": version, "rows": int(obs.get["rows"]), "batches": {**held, **(batches or {})}}
         write_text_file(self.spark, f"{path}/{MARKER}", json.dumps(info))
+        for old in self.versions(name)[:-KEEP_VERSIONS]:
+            delete_path(self.spark, self._dir(name, old))
         return True
 
     def commit_info(self, name: str, version: int) -> dict | None:

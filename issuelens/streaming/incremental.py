@@ -2,50 +2,73 @@
 ``foreachBatch(upsert)`` into Parquet snapshots.
 
 The stream checkpoint decides which landed files are new (replacing the
-reference's "fetch only records newer than the last run"); every micro-batch
-is merged into the table by key and committed as snapshot ``batch_id + 1``.
-A batch replayed after a failure finds its snapshot already committed and
-does nothing, so the load is idempotent; a half-written snapshot has no
-commit marker and is never read.
+reference's "fetch only records newer than the last run").  Every micro-batch
+is merged into its tables by key and committed as the next snapshot of each.
+A commit marker carries, per stream (the id that its checkpoint keeps), the
+last batch it holds, so a batch replayed after a failure finds itself applied
+and does nothing, while another stream, landing folder or a fresh checkpoint on
+the same table is merged as new.  A half-written snapshot has no commit marker
+and is never read.  A table has one writer at a time.
 """
 
 from __future__ import annotations
 
-from collections.abc import Callable
+import json
+from collections.abc import Callable, Mapping
 
 from pyspark.sql import DataFrame, SparkSession
 
+from issuelens.operators.stage import materialize
+from issuelens.session import read_text_file
 from issuelens.sources.landed import NTZ_MICROS
 from issuelens.sources.tables import SnapshotStore
 
 MergeFn = Callable[[DataFrame, DataFrame, int], DataFrame]
 
 
-def batch_writer(store: SnapshotStore, table: str, merge: MergeFn, table_schema=None):
-    """The ``foreachBatch`` function: merge the batch into the latest snapshot."""
+def stream_id(spark: SparkSession, checkpoint: str) -> str:
+    """The id of the stream that a checkpoint folder belongs to."""
+    text = read_text_file(spark, f"{checkpoint}/metadata")
+    if not text:
+        raise RuntimeError(f"{checkpoint} holds no stream")
+    return json.loads(text)["id"]
+
+
+def batch_writer(store: SnapshotStore, checkpoint: str, merges: Mapping[str, MergeFn],
+                 prepare: Callable[[DataFrame], DataFrame] | None = None, schemas_: Mapping | None = None):
+    """The ``foreachBatch`` function: merge the batch into the latest snapshot of
+    each table.  The batch is parsed (and ``prepare``d) once and written, and
+    all merges read that."""
     def write(batch: DataFrame, batch_id: int) -> None:
-        version = int(batch_id) + 1
-        if store.is_committed(table, version):
+        stream = stream_id(store.spark, checkpoint)
+        todo = {t: m for t, m in merges.items() if store.last_batch(t, stream) < batch_id}
+        if not todo:
             return  # replayed batch: already applied
-        if batch.isEmpty():
+        rows = materialize(prepare(batch) if prepare else batch, "batch")
+        if rows.isEmpty():
             return
-        current = store.read(table, schema=table_schema, below=version)
-        store.commit(table, merge(current, batch, int(batch_id)), version)
+        for table, merge in todo.items():
+            current = store.read(table, schema=(schemas_ or {}).get(table))
+            store.commit_batch(table, merge(current, rows, int(batch_id)), stream, int(batch_id))
     return write
 
 
-def run_incremental(spark: SparkSession, landing: str, store: SnapshotStore, table: str,
-                    raw_schema, merge: MergeFn, checkpoint: str, multi_line: bool = False,
+def run_incremental(spark: SparkSession, landing: str, store: SnapshotStore, table: str | None,
+                    raw_schema, merge: MergeFn | Mapping[str, MergeFn], checkpoint: str, multi_line: bool = False,
                     max_files_per_trigger: int | None = None, fmt: str = "json",
-                    table_schema=None) -> None:
-    """Process every landed file not yet seen by ``checkpoint`` and stop."""
+                    table_schema=None, prepare: Callable[[DataFrame], DataFrame] | None = None) -> None:
+    """Process every landed file not yet seen by ``checkpoint`` and stop.
+
+    ``merge`` is one table's merge function, or one per table name where a
+    landing folder feeds several tables (``table`` is then None)."""
+    merges = dict(merge) if isinstance(merge, Mapping) else {table: merge}
     reader = spark.readStream.schema(raw_schema)
     if fmt == "json":
         reader = reader.option("multiLine", multi_line).option("timestampNTZFormat", NTZ_MICROS)
     if max_files_per_trigger:
         reader = reader.option("maxFilesPerTrigger", int(max_files_per_trigger))
     q = (reader.format(fmt).load(landing).writeStream
-         .foreachBatch(batch_writer(store, table, merge, table_schema))
+         .foreachBatch(batch_writer(store, checkpoint, merges, prepare, {table: table_schema} if table else None))
          .option("checkpointLocation", checkpoint)
          .trigger(availableNow=True)
          .start())

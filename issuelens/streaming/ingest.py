@@ -1,17 +1,19 @@
 """The two ingest flows as ``availableNow`` streams (STR-1, STR-2).
 
 * pull requests + commits: landed PR pages and commit pages → normalise →
-  keep PRs newer than the table's high watermark (FLT-1/AGG-1) → upsert
-  ``pull_requests`` (UPS-1) and ``pull_request_commits`` (UPS-2);
-* issues + changelogs: landed issue pages → ``jira_issues`` (UPS-3) and the
-  link edges of their ``fields`` → ``jira_links`` (UPS-5, DO NOTHING);
-  landed changelog records (either API shape) → flatten → ``jira_changelog``
-  (UPS-4).
-
-Each table is its own stream with its own checkpoint folder; every
-micro-batch is one snapshot commit (retry-safe, see ``incremental``).  Within
-a batch the last landed version of a key wins (landed files are named so that
-lexical order is landing order); across batches the later batch wins.
+  upsert ``pull_requests`` (UPS-1) and ``pull_request_commits`` (UPS-2);
+* issues + changelogs: landed issue pages (all, or one project's) → ``jira_issues``
+  (UPS-3) and the link edges of their ``fields`` → ``jira_links`` (UPS-5, DO
+  NOTHING), both from one parse; landed changelog records (either API shape) →
+  flatten → ``jira_changelog`` (UPS-4).
+
+Which files are new is the stream checkpoint's business alone; no row is left
+out by a watermark, so a page that lands late, in any order, is never lost.
+Of a pull request's versions the latest by ``updated_at`` stays, then the last
+landed.  Elsewhere the last landed version of a key wins within a batch
+(landed files are named so that lexical order is landing order), and the later
+batch wins across batches.  Several landing folders or providers may feed one
+warehouse, each with a checkpoint folder of its own.
 """
 
 from __future__ import annotations
@@ -21,12 +23,11 @@ from pyspark.sql import functions as F
 
 from issuelens import schemas
 from issuelens.functions.timefmt import as_of_lit
-from issuelens.operators.filters import newer_than
+from issuelens.operators.filters import for_project
 from issuelens.operators.normalize import (
     explode_issue_page, extract_links, first_item_per_key, flatten_changelog, normalize_issues)
 from issuelens.operators.upsert import (
     upsert_changelog, upsert_issues, upsert_links, upsert_pull_request_commits, upsert_pull_requests)
-from issuelens.plans.issues import high_watermark
 from issuelens.sources import providers
 from issuelens.sources.tables import SnapshotStore
 from issuelens.streaming.incremental import run_incremental
@@ -47,53 +48,51 @@ def ingest_pull_requests(spark: SparkSession, pr_landing: str, commit_landing: s
     store = SnapshotStore(spark, warehouse)
 
     def merge_prs(current, batch, batch_id):
-        wm = high_watermark(current).first()["high_watermark"]
-        fresh = newer_than(p.normalize_pull_requests(landing_order(batch), keep=ORDER), wm)
-        return upsert_pull_requests(current, fresh, order=ORDER, latest=True)
+        rows = p.normalize_pull_requests(batch, keep=ORDER)
+        return upsert_pull_requests(current, rows, order=["updated_at", *ORDER], latest=True)
 
     def merge_commits(current, batch, batch_id):
-        rows = p.normalize_commits(landing_order(batch), keep=ORDER)
+        rows = p.normalize_commits(batch, keep=ORDER)
         return upsert_pull_request_commits(current, rows, order=ORDER, latest=True)
 
     run_incremental(spark, pr_landing, store, "pull_requests", p.pull_request_schema, merge_prs,
                     f"{checkpoint_root}/pull_requests", multi_line=multi_line,
-                    table_schema=schemas.PULL_REQUESTS)
+                    table_schema=schemas.PULL_REQUESTS, prepare=landing_order)
     run_incremental(spark, commit_landing, store, "pull_request_commits", p.commit_schema,
                     merge_commits, f"{checkpoint_root}/pull_request_commits", multi_line=multi_line,
-                    table_schema=schemas.PULL_REQUEST_COMMITS)
+                    table_schema=schemas.PULL_REQUEST_COMMITS, prepare=landing_order)
     return store
 
 
 def ingest_issues(spark: SparkSession, issue_landing: str, changelog_landing: str,
                   warehouse: str, checkpoint_root: str, as_of=None,
-                  multi_line_issues: bool = True) -> SnapshotStore:
-    """STR-2: issues, their links, and changelogs."""
+                  multi_line_issues: bool = True, project: str | None = None) -> SnapshotStore:
+    """STR-2: issues, their links, and changelogs; with ``project`` (FLT-4) only that
+    project's issues and links."""
     store = SnapshotStore(spark, warehouse)
     now = as_of_lit(as_of)
 
     def issue_rows(batch):
         issues = explode_issue_page(landing_order(batch), keep=ORDER)
+        if project is not None:
+            issues = for_project(issues, project)
         return normalize_issues(issues, now, keep=["_file", "_pos", "_ipos"])
 
-    def merge_issues(current, batch, batch_id):
-        return upsert_issues(current, issue_rows(batch), order=ORDER + ["_ipos"], latest=True)
+    def merge_issues(current, rows, batch_id):
+        return upsert_issues(current, rows, order=ORDER + ["_ipos"], latest=True)
 
-    def merge_links(current, batch, batch_id):
-        edges = extract_links(issue_rows(batch)).withColumn("created_at", now)
-        return upsert_links(current, edges)
+    def merge_links(current, rows, batch_id):
+        return upsert_links(current, extract_links(rows).withColumn("created_at", now))
 
     def merge_changelog(current, batch, batch_id):
-        flat = flatten_changelog(landing_order(batch), keep=ORDER)
+        flat = flatten_changelog(batch, keep=ORDER)
         rows = first_item_per_key(flat, latest_by=ORDER)
         return upsert_changelog(current, rows, order=ORDER, latest=True)
 
-    run_incremental(spark, issue_landing, store, "jira_issues", schemas.ISSUE_PAGE, merge_issues,
-                    f"{checkpoint_root}/jira_issues", multi_line=multi_line_issues,
-                    table_schema=schemas.JIRA_ISSUES)
-    run_incremental(spark, issue_landing, store, "jira_links", schemas.ISSUE_PAGE, merge_links,
-                    f"{checkpoint_root}/jira_links", multi_line=multi_line_issues,
-                    table_schema=schemas.JIRA_LINKS)
+    run_incremental(spark, issue_landing, store, None, schemas.ISSUE_PAGE,
+                    {"jira_issues": merge_issues, "jira_links": merge_links},
+                    f"{checkpoint_root}/jira_issues", multi_line=multi_line_issues, prepare=issue_rows)
     run_incremental(spark, changelog_landing, store, "jira_changelog", schemas.CHANGELOG_RAW,
                     merge_changelog, f"{checkpoint_root}/jira_changelog",
-                    table_schema=schemas.JIRA_CHANGELOG)
+                    table_schema=schemas.JIRA_CHANGELOG, prepare=landing_order)
     return store

@@ -6,7 +6,6 @@ from pyspark.sql import functions as F
 
 from conftest import fixture_path
 from issuelens import schemas
-from issuelens.operators.filters import newer_than
 from issuelens.operators.normalize import normalize_pull_requests
 from issuelens.operators.upsert import upsert_pull_requests
 from issuelens.plans.issues import high_watermark
@@ -22,9 +21,7 @@ def _land(path, name, objs):
 
 
 def _merge(current, batch, batch_id):
-    wm = high_watermark(current).first()["high_watermark"]
-    fresh = newer_than(normalize_pull_requests(batch), wm)
-    return upsert_pull_requests(current, fresh, order=["updated_at"], latest=True)
+    return upsert_pull_requests(current, normalize_pull_requests(batch), order=["updated_at"], latest=True)
 
 
 def _prs():
@@ -56,16 +53,61 @@ def test_batches_equal_one_batch_and_replay_is_noop(spark, tmp_dir):
     assert a.versions("pull_requests") == versions
 
 
-def test_watermark_and_late_versions(spark, tmp_dir):
+def test_versions_by_time_not_by_landing(spark, tmp_dir):
     prs = _prs()
-    first = [dict(p) for p in prs]
     newer = dict(prs[0], title="PROJ-12 retitled", updated_at="2024-02-01T00:00:00Z")
-    same_time = dict(prs[1], title="ignored: not newer than the watermark", updated_at="2024-01-08T10:00:00Z")
     older = dict(prs[2], title="ignored: older", updated_at="2023-01-01T00:00:00Z")
-    store = _run(spark, tmp_dir, [first, [newer, same_time, older]])
+    store = _run(spark, tmp_dir, [prs, [newer, older]])
     got = {r["id"]: r["title"] for r in store.read("pull_requests").collect()}
-    assert got[1001] == "PROJ-12 retitled"
-    assert got[1002] == prs[1]["title"] and got[1003] == prs[2]["title"]
+    assert got[1001] == "PROJ-12 retitled" and got[1003] == prs[2]["title"]
+
+
+def test_unseen_older_id_is_kept(spark, tmp_dir):
+    """Pages are fetched newest first: the older page lands one run later."""
+    prs = _prs()
+    store = _run(spark, tmp_dir, [prs[6:], prs[3:6], prs[:3]])
+    assert store.read("pull_requests").count() == 9
+
+
+def _load(spark, root, landing, ckpt, store):
+    run_incremental(spark, landing, store, "pull_requests", schemas.PR_RAW, _merge, ckpt,
+                    table_schema=schemas.PULL_REQUESTS)
+
+
+def test_second_landing_folder_on_one_table(spark, tmp_dir):
+    prs = _prs()
+    store = SnapshotStore(spark, f"{tmp_dir}/wh")
+    _land(f"{tmp_dir}/a", "page-0.json", prs[:5])
+    _land(f"{tmp_dir}/b", "page-0.json", prs[5:])
+    _load(spark, tmp_dir, f"{tmp_dir}/a", f"{tmp_dir}/ck-a", store)
+    _load(spark, tmp_dir, f"{tmp_dir}/b", f"{tmp_dir}/ck-b", store)
+    assert store.read("pull_requests").count() == 9 and store.versions("pull_requests") == [1, 2]
+
+
+def test_reset_checkpoint_merges_again(spark, tmp_dir):
+    prs = _prs()
+    store = SnapshotStore(spark, f"{tmp_dir}/wh")
+    _land(f"{tmp_dir}/a", "page-0.json", prs[:5])
+    _load(spark, tmp_dir, f"{tmp_dir}/a", f"{tmp_dir}/ck-1", store)
+    _land(f"{tmp_dir}/a", "page-1.json", prs[5:])
+    _load(spark, tmp_dir, f"{tmp_dir}/a", f"{tmp_dir}/ck-2", store)  # starts at batch 0 again
+    assert store.read("pull_requests").count() == 9
+
+
+def test_replayed_batch_is_skipped(spark, tmp_dir):
+    from issuelens.streaming.incremental import batch_writer, stream_id
+    prs = _prs()
+    store = _run(spark, tmp_dir, [prs])
+    write = batch_writer(store, f"{tmp_dir}/ckpt", {"pull_requests": _merge})
+    write(spark.read.schema(schemas.PR_RAW).json(f"{tmp_dir}/landing"), 0)
+    assert store.versions("pull_requests") == [1]
+    assert store.last_batch("pull_requests", stream_id(spark, f"{tmp_dir}/ckpt")) == 0
+
+
+def test_old_versions_are_removed(spark, tmp_dir):
+    prs = _prs()
+    store = _run(spark, tmp_dir, [[p] for p in prs[:5]])
+    assert store.versions("pull_requests") == [3, 4, 5] and store.read("pull_requests").count() == 5
 
 
 def test_empty_table_reads_typed(spark, tmp_dir):
