@@ -2,18 +2,21 @@
 
 from __future__ import annotations
 
+import re
+
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
 
-def issue_key_in(title: str | Column, project: str, upper: bool = False) -> Column:
-    """FN-5: first ``<project>-<1..5 digits>`` in the text, case-insensitive.
+def issue_key_in(title: str | Column, project: str, upper: bool = False, max_digits: int = 5) -> Column:
+    """FN-5: first ``<project>-<1..max_digits digits>`` in the text, case-insensitive.
 
     ``''`` when absent, NULL for NULL input; the key keeps the case it has in
-    the text unless ``upper``.
+    the text unless ``upper``.  Digits beyond ``max_digits`` are left off.
     """
     c = F.col(title) if isinstance(title, str) else title
-    key = F.regexp_extract(c, f"(?i)({project}-[0-9]{{1,5}})", 1)
+    literal = re.sub(r"([^0-9A-Za-z])", r"\\\1", project)
+    key = F.regexp_extract(c, f"(?i)({literal}-[0-9]{{1,{max_digits}}})", 1)
     return F.upper(key) if upper else key
 
 

@@ -31,8 +31,9 @@ def parse_jira_ts(col) -> Column:
 
 
 def parse_iso_utc(col) -> Column:
-    """FN-6/12 (code host text ``2024-01-31T10:00:00Z``)."""
-    return _try_ts(col)
+    """FN-6/12 (code host text ``2024-01-31T10:00:00Z``).  Text that does not parse
+    fails the query (ANSI cast), so no row loses its time unnoticed."""
+    return _c(col).cast("timestamp").cast("timestamp_ntz")
 
 
 def try_parse_iso_utc(col) -> Column:
@@ -61,6 +62,8 @@ def truncate_minute(col) -> Column:
 
 def as_of_lit(as_of) -> Column:
     """FN-9: a fixed ``now()``; ``None`` means the current time."""
+    if isinstance(as_of, Column):
+        return as_of
     if as_of is None:
         return F.current_timestamp().cast("timestamp_ntz")
     if isinstance(as_of, str):

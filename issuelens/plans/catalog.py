@@ -22,9 +22,11 @@ from issuelens.operators.upsert import upsert
 from issuelens.plans import chains, issues as issue_q, params as P, proxies as X
 from issuelens.plans import pull_requests as pr_q, timeline, transitions
 from issuelens.session import apply_session_defaults, scratch_path
-from issuelens.sources.landed import NTZ_MICROS, parse_json_column
+from issuelens.sources.landed import NTZ_MICROS, parse_json_column, read_transition_lookup
+from issuelens.sources.sinks import write_csv
 from issuelens.sources.tables import SnapshotStore
 from issuelens.streaming.incremental import run_incremental
+from issuelens.streaming.ingest import ingest_issues, ingest_pull_requests
 
 Query = Callable[[SparkSession, str], DataFrame]
 
@@ -223,15 +225,89 @@ def q_normalized_commits(spark, sf):
     return normalize_commits(raw)
 
 
-def q_normalized_pull_requests(spark, sf):
-    _prep(spark)
-    prs = X.pull_requests(spark, sf)
-    obj = F.struct(
+def _landed_pr(prs: DataFrame) -> DataFrame:
+    """Landed PR objects (nested columns, times as text)."""
+    return prs.select(
         "id", "number", "title", F.struct(F.col("user_login").alias("login")).alias("user"), "state",
         iso_z("created_at").alias("created_at"), iso_z("updated_at").alias("updated_at"),
         iso_z("closed_at").alias("closed_at"), iso_z("merged_at").alias("merged_at"), "html_url")
-    raw = parse_json_column(prs.select(F.to_json(obj).alias("json")), "json", schemas.PR_RAW)
-    return normalize_pull_requests(raw)
+
+
+def q_normalized_pull_requests(spark, sf):
+    _prep(spark)
+    raw = _landed_pr(X.pull_requests(spark, sf)).select(F.to_json(F.struct("*")).alias("json"))
+    return normalize_pull_requests(parse_json_column(raw, "json", schemas.PR_RAW))
+
+
+def q_pull_request_ingest(spark, sf):
+    """All PRs, landed newest first in two runs from two folders, some again in a
+    later and some in an older version; the table holds each PR's latest version."""
+    _prep(spark)
+    root = scratch_path(spark, "pr-ingest")
+    prs = X.pull_requests(spark, sf)
+    later = prs.where(F.col("id") % P.RELANDED == 0).withColumns({
+        "state": F.lit("relanded"), "updated_at": F.timestamp_add("DAY", F.lit(1), F.col("updated_at"))})
+    older = prs.where(F.col("id") % P.RELANDED == 1).withColumns({
+        "state": F.lit("stale"), "updated_at": F.timestamp_add("DAY", F.lit(-1), F.col("updated_at"))})
+    split = F.lit(P.NEWER_THAN).cast("timestamp_ntz")
+    mine = F.col("id") % 2 == 0  # the other half lands in a second folder
+    runs = [prs.where(F.col("updated_at") > split), prs.where(F.col("updated_at") <= split).union(later).union(older)]
+    spark.createDataFrame([], schemas.COMMIT_RAW).write.json(f"{root}/commits")
+    for rows in runs:
+        for folder, part in (("a", rows.where(mine)), ("b", rows.where(~mine))):
+            _landed_pr(part).write.mode("append").json(f"{root}/{folder}")
+            store = ingest_pull_requests(spark, f"{root}/{folder}", f"{root}/commits", f"{root}/warehouse",
+                                         f"{root}/checkpoint-{folder}", multi_line=False)
+    return store.read("pull_requests")
+
+
+def _landed_issues(issues: DataFrame) -> DataFrame:
+    """Issue search envelopes of one issue each, as JSON text lines."""
+    return issues.select(F.format_string('{"issues": [{"key": "%s", "id": "%s", "fields": %s}]}', "key", "id", "fields")
+                         .alias("value"))
+
+
+def _issue_store(spark, sf):
+    root = scratch_path(spark, "issue-ingest")
+    issues, changelog = X.issues(spark, sf), _nested_changelog(spark, sf)
+    first = F.col("id").cast("long") % P.RELANDED != 0
+    changelog.select(F.col("json").alias("value")).write.text(f"{root}/changelog")
+    again = issues.where(F.col("id").cast("long") % P.RELANDED == 1)
+    for n, rows in enumerate((issues.where(first), issues.where(~first).union(again))):
+        _landed_issues(rows).write.mode("append").text(f"{root}/issues")
+        day = F.timestamp_add("DAY", F.lit(n), as_of_lit(X.LOAD_TIME))
+        store = ingest_issues(spark, f"{root}/issues", f"{root}/changelog", f"{root}/warehouse", f"{root}/checkpoint",
+                              as_of=day, multi_line_issues=False, project=X.PROJECT)
+    return store
+
+
+def q_issue_ingest(spark, sf):
+    """All issues of the project, landed in two runs, some again; load times tell the runs."""
+    _prep(spark)
+    store = _issue_store(spark, sf)
+    rows = store.read("jira_issues")
+    n = store.read("jira_links").groupBy(F.col("source_issue_key").alias("key")).agg(F.count(F.lit(1)).alias("n_links"))
+    return (timeline.issue_attributes(rows).select("key", "summary", "current_status")
+            .join(rows.select("key", "created_at", "updated_at"), "key").join(n, "key", "left")
+            .withColumn("n_links", F.coalesce("n_links", F.lit(0).cast("long"))))
+
+
+def q_timeline_csv(spark, sf):
+    """Q1 through the sorted CSV sink and back."""
+    i, c = _tables(spark, sf)
+    path = scratch_path(spark, "timeline-csv")
+    out = timeline.status_timeline(i, c)
+    write_csv(out.select("key", "current_status", "view_min", "view_max"), path, order_by=["key"])
+    return spark.read.schema("key string, current_status string, view_min timestamp_ntz, view_max timestamp_ntz") \
+        .option("header", True).option("timestampNTZFormat", NTZ_MICROS).csv(path)
+
+
+def q_transitions_csv_lookup(spark, sf):
+    """Q2 with the lookup written to and read from its CSV file."""
+    i, c = _tables(spark, sf)
+    path = scratch_path(spark, "lookup-csv")
+    write_csv(X.status_lookup(spark), path)
+    return transitions.status_transitions(i, c, read_transition_lookup(spark, path))
 
 
 def q_lookup_gaps(spark, sf):
@@ -342,6 +418,10 @@ QUERIES: dict[str, Query] = {
     "unparsable_dates": q_unparsable_dates,
     "normalized_commits": q_normalized_commits,
     "normalized_pull_requests": q_normalized_pull_requests,
+    "pull_request_ingest": q_pull_request_ingest,
+    "issue_ingest": q_issue_ingest,
+    "timeline_csv": q_timeline_csv,
+    "transitions_csv_lookup": q_transitions_csv_lookup,
     "lookup_gaps": q_lookup_gaps,
     "flatten_changelog": q_flatten_changelog,
     "incremental_upsert": q_incremental_upsert,

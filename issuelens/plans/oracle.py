@@ -318,6 +318,22 @@ WHERE author_date_text IS NOT NULL AND TRY_STRPTIME(author_date_text, '%Y-%m-%dT
        committer_name, committer_email, commit_date, message, html_url
 FROM commits_landed""")
     q["normalized_pull_requests"] = W(["pull_requests"], "SELECT * FROM pull_requests")
+    q["pull_request_ingest"] = W(["pull_requests"], f"""SELECT id, number, title, user_login,
+       CASE WHEN id % {P.RELANDED} = 0 THEN 'relanded' ELSE state END AS state, created_at,
+       CASE WHEN id % {P.RELANDED} = 0 THEN updated_at + INTERVAL 1 DAY ELSE updated_at END AS updated_at,
+       closed_at, merged_at, html_url FROM pull_requests""")
+    q["issue_ingest"] = f"""WITH links AS ({_links_body()}),
+n AS (SELECT source_issue_key AS key, COUNT(*) AS n FROM links GROUP BY source_issue_key),
+{CTE["jira_issues"]}
+SELECT i.key, i.summary, i.current_status, COALESCE(n.n, 0) AS n_links,
+       TIMESTAMP '{X.LOAD_TIME}' + to_days(CASE WHEN k % {P.RELANDED} = 0 THEN 1 ELSE 0 END) AS created_at,
+       TIMESTAMP '{X.LOAD_TIME}' + to_days(CASE WHEN k % {P.RELANDED} <= 1 THEN 1 ELSE 0 END) AS updated_at
+FROM (SELECT *, CAST(split_part(key, '-', 2) AS BIGINT) AS k FROM jira_issues) i LEFT JOIN n ON n.key = i.key"""
+    q["timeline_csv"] = W(["jira_changelog", "jira_issues"], """SELECT i.key, i.current_status,
+       MIN(h.created) FILTER (WHERE h.status = 'view') AS view_min,
+       MAX(h.created) FILTER (WHERE h.status = 'view') AS view_max
+FROM jira_issues i JOIN h ON h.issue_key = i.key GROUP BY i.key, i.current_status""", [_STATUS_ROWS])
+    q["transitions_csv_lookup"] = q["status_transitions"]
     q["lookup_gaps"] = W(["jira_changelog", "status_lookup"], """SELECT from_string AS source, to_string AS target, COUNT(*) AS n
 FROM jira_changelog c WHERE field = 'status' AND NOT EXISTS (
   SELECT 1 FROM status_lookup l WHERE l.source = c.from_string AND l.target = c.to_string)

@@ -15,3 +15,4 @@ BAD_DATE_FLAG = ("R", "F")                   # landed commits with this flag/sta
 NO_ITEMS_EVERY = 50                          # changelog entries with id % 50 == 0 have no items
 NO_AUTHOR_EVERY = 7                          # … with id % 7 == 0 have no author
 RUN_SPLITS = ("2024-01-11 00:00:00", "2024-01-21 00:00:00")  # incremental runs split events by ts
+RELANDED = 10                                # every 10th key lands again in a later run

@@ -8,10 +8,14 @@ from pyspark.sql import DataFrame, Observation
 from pyspark.sql import functions as F
 
 
+MICROS = "yyyy-MM-dd'T'HH:mm:ss.SSSSSS"
+
+
 def write_csv(df: DataFrame, path: str, order_by: Sequence[str] = ()) -> None:
-    """SNK-3/SNK-4: header CSV; the sort (SRT-2/3) happens only here."""
+    """SNK-3/SNK-4: header CSV with times to the microsecond; the sort (SRT-2/3)
+    happens only here."""
     out = df.orderBy(*order_by) if order_by else df
-    out.write.option("header", True).mode("overwrite").csv(path)
+    out.write.option("header", True).option("timestampNTZFormat", MICROS).mode("overwrite").csv(path)
 
 
 def with_counters(df: DataFrame, name: str) -> tuple[DataFrame, Observation]:
