@@ -1,6 +1,6 @@
 """Column expressions (all built-in Spark functions, codegen-friendly)."""
 
-from issuelens.functions.jsonpath import json_text, issue_field, ISSUE_PATHS  # noqa: F401
+from issuelens.functions.jsonpath import json_text, ISSUE_PATHS  # noqa: F401
 from issuelens.functions.text import (  # noqa: F401
     issue_key_in, strip_quotes, join_chain, or_empty)
 from issuelens.functions.timefmt import (  # noqa: F401

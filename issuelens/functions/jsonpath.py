@@ -24,10 +24,6 @@ def json_text(col: str | Column, path: str) -> Column:
     return F.get_json_object(c, path)
 
 
-def issue_field(name: str, fields: str | Column = "fields") -> Column:
-    return json_text(fields, ISSUE_PATHS[name]).alias(name)
-
-
 # The attributes the queries read from an issue's ``fields``, as one schema so
 # the JSON text is parsed once per row instead of once per path.
 ISSUE_FIELDS_SCHEMA = (

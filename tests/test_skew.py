@@ -5,6 +5,7 @@ picks it."""
 from pyspark.sql import functions as F
 
 from issuelens.operators.sequence import hot_groups, resolve_strategy
+from issuelens.operators.stage import materialize
 from issuelens.plans import chains, proxies as X, transitions
 from issuelens.plans.transitions import status_history
 
@@ -35,3 +36,38 @@ def test_transitions_and_chains_equal_under_skew(spark):
     assert ca.exceptAll(cb).count() == 0 and cb.exceptAll(ca).count() == 0
     hot = ca.filter("issue_key = 'PROJ-0'").select("chain_length").distinct().collect()
     assert len(hot) == 1 and hot[0][0] > 300
+
+
+SKEW = {"spark.sql.autoBroadcastJoinThreshold": "-1", "spark.sql.adaptive.autoBroadcastJoinThreshold": "-1",
+        "spark.sql.adaptive.coalescePartitions.enabled": "false", "spark.sql.shuffle.partitions": "32",
+        "spark.sql.adaptive.advisoryPartitionSizeInBytes": "8k",
+        "spark.sql.adaptive.skewJoin.skewedPartitionThresholdInBytes": "16k",
+        "spark.sql.adaptive.skewJoin.skewedPartitionFactor": "2"}
+
+
+def test_history_join_splits_the_hot_issue(spark):
+    """The history meets its issues in one join on plain shuffles, which adaptive
+    execution splits: no task gets the hot issue's rows whole."""
+    rows = spark.range(60_000).withColumn("k", F.when(F.col("id") % 3 == 0, 0).otherwise(F.col("id") % 997))
+    at = F.timestamp_add("SECOND", F.col("id"), F.lit("2024-01-01 00:00:00").cast("timestamp_ntz"))
+    changelog = rows.select(
+        F.col("id").cast("string").alias("id"), F.concat(F.lit("PROJ-"), F.col("k").cast("string")).alias("issue_key"),
+        at.alias("created"), F.lit("status").alias("field"), F.lit("a").alias("from_string"),
+        F.concat(F.lit("s"), (F.col("id") % 5).cast("string")).alias("to_string"))
+    issues = spark.range(997).select(
+        F.concat(F.lit("PROJ-"), F.col("id").cast("string")).alias("key"),
+        F.lit('{"created": "2023-12-01T00:00:00.000+0000"}').alias("fields"))
+    old = {k: spark.conf.get(k, None) for k in SKEW}
+    try:
+        for k, v in SKEW.items():
+            spark.conf.set(k, v)
+        df = transitions.transitions_unclassified(issues, changelog, strategy="ranged")
+        sizes = materialize(df.withColumn("p", F.spark_partition_id()), "skew-test")
+        per_task = [r["count"] for r in sizes.groupBy("p").count().collect()]
+        assert sum(per_task) == 60_000 and max(per_task) < 10_000
+        hot = sizes.where("issue_key = 'PROJ-0'").agg(F.count("*"), F.max("step"), F.min("chain_length")).first()
+        n = 20_000 + sum(1 for i in range(60_000) if i % 3 and i % 997 == 0)
+        assert tuple(hot) == (n, n, n + 1)
+    finally:
+        for k, v in old.items():
+            spark.conf.unset(k) if v is None else spark.conf.set(k, v)
