@@ -29,9 +29,12 @@ from pyspark.sql import types as T
 from issuelens.llm.common import ship_package, text_bytes
 
 MARK = "▁"
-#: Entries of the two lookup tables of a worker; beyond it they start anew.
+#: Entries of the lookup tables of a worker.  Of the stretches two generations are
+#: kept, so that what is met often stays; the pairs start anew.
 STRETCHES, PAIRS, LONGEST = 300_000, 600_000, 48
+_NO_PIECE = 1 << 24  # with the character's number: a character without a piece
 SLICE_BYTES = 2 << 20
+_NEVER = float("inf")
 
 
 def merge_all(symbols: list[str], cost: dict[str, float]) -> list[str]:
@@ -60,48 +63,66 @@ class PrefixEncoder:
         special = lambda i: sp.is_control(i) or sp.is_unknown(i) or sp.is_byte(i)
         pieces = {sp.id_to_piece(i): i for i in range(n) if not special(i)}
         self.cost = {p: -sp.get_score(i) for p, i in pieces.items()}
-        self.ids = pieces
         self.end_id = sp.eos_id()
         self.unknown = sp.unk_id()
         self.bytes = {sp.id_to_piece(i): i for i in range(n) if sp.is_byte(i)}
+        self.pieces = [sp.id_to_piece(i) for i in range(n)]
         self.automaton = ahocorasick.Automaton()
-        for p in pieces:
-            if len(p) == 1 or merge_all(list(p), self.cost) == [p]:
-                self.automaton.add_word(p, p)
+        for p, i in pieces.items():
+            if len(p) == 1 or merge_all(list(p), self.cost) == [p]:  # a piece that merging yields
+                self.automaton.add_word(p, (len(p), i))
         self.automaton.make_automaton()
         inner = any(MARK in p.lstrip(MARK) for p in pieces)
         self.split = (lambda s: [s]) if inner else re.compile(f"{MARK}+[^{MARK}]*|[^{MARK}]+").findall
-        self.pairs: dict[tuple[str, str], bool] = {}
+        self.pairs: dict[int, bool] = {}
         self.known: dict[str, bytes] = {}
+        self.older: dict[str, bytes] = {}
 
     def compatible(self, left: str, right: str) -> bool:
-        key = (left, right)
-        ok = self.pairs.get(key)
-        if ok is None:
-            if len(self.pairs) >= PAIRS:
-                self.pairs.clear()
-            ok = self.pairs[key] = merge_all([*left, *right], self.cost) == [left, right]
-        return ok
-
-    def last_tokens(self, s: str) -> list[str]:
-        """The last token of each prefix of ``s``; a character without a piece is its own."""
-        last: list = [None] * (len(s) + 1)
-        last[0] = ""
-        filled = 0
-        for end, piece in self.automaton.iter(s):
-            i = end + 1
-            if last[i] is not None:
-                continue
-            while filled < end:
-                filled += 1
-                if last[filled] is None:
-                    last[filled] = s[filled - 1]
-            start = i - len(piece)
-            if start == 0 or self.compatible(last[start], piece):
-                last[i] = piece
-        for i in range(filled + 1, len(s) + 1):
-            if last[i] is None:
-                last[i] = s[i - 1]
+        """True if merging the characters of both ends with these two tokens: no
+        merge ever takes characters from both."""
+        cost, symbols, border = self.cost, [*left, *right], len(left)
+        costs = [cost.get(symbols[i] + symbols[i + 1], _NEVER) for i in range(len(symbols) - 1)]
+        while costs:
+            least = min(costs)
+            if least == _NEVER:
+                break
+            i = costs.index(least)
+            if i == border - 1:
+                return False
+            symbols[i:i + 2] = [symbols[i] + symbols[i + 1]]
+            del costs[i]
+            if i < border:
+                border -= 1
+            if i < len(costs):
+                costs[i] = cost.get(symbols[i] + symbols[i + 1], _NEVER)
+            if i:
+                costs[i - 1] = cost.get(symbols[i - 1] + symbols[i], _NEVER)
+        return len(symbols) == 2
+
+    def last_tokens(self, s: str) -> list[int]:
+        """The id of the last token of each prefix of ``s``; -1 where that is a
+        character without a piece."""
+        last = [-1] * (len(s) + 1)
+        pairs = self.pairs
+        for end, (size, token) in self.automaton.iter(s):
+            end += 1
+            if last[end] < 0:
+                start = end - size
+                if start:
+                    left = last[start]
+                    if left < 0:
+                        left = _NO_PIECE + ord(s[start - 1])
+                    ok = pairs.get(left << 32 | token)
+                    if ok is None:
+                        if len(pairs) >= PAIRS:
+                            pairs.clear()
+                        known = self.pieces[left] if left < _NO_PIECE else s[start - 1]
+                        ok = pairs[left << 32 | token] = self.compatible(known, self.pieces[token])
+                    if ok:
+                        last[end] = token
+                else:
+                    last[end] = token
         return last
 
     def _char_ids(self, c: str) -> list[int]:
@@ -113,12 +134,12 @@ class PrefixEncoder:
         last, out, i = self.last_tokens(s), [], len(s)
         while i:
             token = last[i]
-            known = self.ids.get(token)
-            if known is None:
-                out.extend(reversed(self._char_ids(token)))
+            if token < 0:
+                out.extend(reversed(self._char_ids(s[i - 1])))
+                i -= 1
             else:
-                out.append(known)
-            i -= len(token)
+                out.append(token)
+                i -= len(self.pieces[token])
         out.reverse()
         return array("i", out).tobytes()
 
@@ -127,10 +148,11 @@ class PrefixEncoder:
         for s in self.split(self.library.normalize(text)) if text else ():
             ids = known.get(s)
             if ids is None:
-                ids = self.stretch(s)
+                ids = self.older.get(s) or self.stretch(s)
                 if len(s) <= LONGEST:
                     if len(known) >= STRETCHES:
-                        known.clear()
+                        self.older, self.known = known, {}
+                        known = self.known
                     known[s] = ids
             parts.append(ids)
         if end:
