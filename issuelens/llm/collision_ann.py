@@ -25,9 +25,9 @@ from pyspark.sql import functions as F
 from issuelens.llm.common import ship_package
 from issuelens.operators.stage import materialize
 
-PROJECTIONS = 96
+PROJECTIONS = 64
 THRESHOLD = 0.60        # part of the directions a candidate must collide in
-FIRST, GROWTH, LAST = 0.25, 1.25, 2.2   # half window: first, factor, last
+FIRST, GROWTH, LAST = 0.5, 1.35, 2.2   # half window: first, factor, last
 VERIFY = 0.20           # part of a block after which widening stops
 BLOCK_ROWS, QUERY_ROWS = 4096, 1024
 SEED = 20
@@ -38,66 +38,75 @@ def directions(dim: int, projections: int = PROJECTIONS, seed: int = SEED) -> np
 
 
 class Block:
-    """Sorted projection arrays of a block of vectors."""
+    """Sorted projection arrays of a block of vectors, kept as each vector's place in
+    each array: a window is a run of places, and a vector collides where its place
+    lies in the run."""
 
     def __init__(self, vectors: np.ndarray, projections: int = PROJECTIONS):
-        self.unit = vectors / np.linalg.norm(vectors, axis=1, keepdims=True)
+        self.vectors = vectors
+        self.norms = np.sqrt((vectors * vectors).sum(axis=1))
         self.dirs = directions(vectors.shape[1], projections)
-        proj = self.unit @ self.dirs
-        self.order = np.argsort(proj, axis=0, kind="stable").T.copy()
-        self.sorted = np.sort(proj, axis=0).T.copy()
-
-    def candidates(self, query: np.ndarray, least: int) -> np.ndarray:
-        """Rows that collide often enough, from windows widened until there are
-        ``least`` of them or the last width is reached."""
-        n, m = self.unit.shape[0], self.order.shape[0]
-        need = math.ceil(THRESHOLD * m)
-        centre = query @ self.dirs
-        counts = np.zeros(n, np.int64)
-        lo = hi = None
+        proj = (vectors / self.norms[:, None]) @ self.dirs
+        order = np.argsort(proj, axis=0, kind="stable")
+        self.sorted = np.ascontiguousarray(np.take_along_axis(proj, order, axis=0).T)
+        places = np.empty(order.shape, np.uint16)  # a block has fewer rows than that
+        np.put_along_axis(places, order, np.arange(len(vectors), dtype=np.uint16)[:, None], axis=0)
+        self.places = np.ascontiguousarray(places.T)
+
+    def windows(self, centres: np.ndarray, half: float) -> tuple[np.ndarray, np.ndarray]:
+        """First places and lengths of each query's windows of this half width."""
+        lo = np.stack([np.searchsorted(s, c - half, "left") for s, c in zip(self.sorted, centres.T)], axis=1)
+        hi = np.stack([np.searchsorted(s, c + half, "right") for s, c in zip(self.sorted, centres.T)], axis=1)
+        return lo.astype(np.uint16), (hi - lo).astype(np.uint16)
+
+    def candidates(self, queries: np.ndarray, least: int):
+        """(query, rows) for each query: the rows that collide often enough, in windows
+        widened until there are ``least`` of them or the last width is reached."""
+        need = math.ceil(THRESHOLD * len(self.places))
+        count = np.uint8 if len(self.places) < 256 else np.uint16
+        centres = queries @ self.dirs
+        open_ = np.arange(len(queries))
         half = FIRST
-        while True:
-            new_lo = np.array([np.searchsorted(s, c - half, "left") for s, c in zip(self.sorted, centre)])
-            new_hi = np.array([np.searchsorted(s, c + half, "right") for s, c in zip(self.sorted, centre)])
-            if lo is None:
-                opened = [o[a:b] for o, a, b in zip(self.order, new_lo, new_hi)]
-            else:  # only what the wider windows add
-                opened = [o[a:b] for o, a, b in zip(self.order, new_lo, lo)]
-                opened += [o[a:b] for o, a, b in zip(self.order, hi, new_hi)]
-            counts += np.bincount(np.concatenate(opened), minlength=n)
-            lo, hi = new_lo, new_hi
-            found = np.flatnonzero(counts >= need)
-            if found.size >= least or half >= LAST:
-                return found if found.size >= least or least < n else np.arange(n)
+        while open_.size:
+            starts, lengths = self.windows(centres[open_], half)
+            wait = []
+            for q, lo, n in zip(open_.tolist(), starts, lengths):
+                inside = (self.places - lo[:, None]) < n[:, None]  # unsigned: below the window wraps around
+                found = np.flatnonzero(np.add.reduce(inside.view(np.uint8), axis=0, dtype=count) >= need)
+                if found.size >= least:
+                    yield q, found
+                elif half >= LAST:
+                    yield q, np.arange(self.places.shape[1])
+                else:
+                    wait.append(q)
+            open_ = np.array(wait, np.int64)
             half *= GROWTH
 
 
 def search_block(queries: pd.DataFrame, rows: pd.DataFrame, k: int) -> pd.DataFrame:
     """Each query's ``k`` best verified rows of one block, other rows than its own."""
-    cols = ["query_id", "vec_id", "score"]
     if not len(queries) or not len(rows):
         return pd.DataFrame({"query_id": np.array([], np.int64), "vec_id": np.array([], np.int64),
                              "score": np.array([], float)})
     rows = rows.sort_values("vec_id", kind="stable")
     ids = rows["vec_id"].to_numpy(np.int64)
-    vectors = np.array(rows["vector"].tolist(), dtype=np.float64)
-    block = Block(vectors)
-    norms = np.sqrt((vectors * vectors).sum(axis=1))
+    block = Block(np.array(rows["vector"].tolist(), dtype=np.float64))
+    asked = np.array(queries["vector"].tolist(), dtype=np.float64)
+    lengths = np.sqrt((asked * asked).sum(axis=1))
+    query_ids = queries["vec_id"].tolist()
     least = min(len(ids), max(k + 1, math.ceil(VERIFY * len(ids)) + k))
     out = []
-    for qid, vector in zip(queries["vec_id"].tolist(), queries["vector"]):
-        q = np.asarray(vector, dtype=np.float64)
-        length = math.sqrt(float((q * q).sum()))
-        found = block.candidates(q / length, least)
-        found = found[ids[found] != qid]
-        score = (vectors[found] * q).sum(axis=1) / (norms[found] * length)
-        if found.size > k:  # ties go to the smaller id: ids ascend with the position
-            edge = np.partition(score, -k)[-k]
-            keep = np.flatnonzero(score >= edge)
-            keep = keep[np.lexsort((keep, -score[keep]))][:k]
-            found, score = found[keep], score[keep]
-        out.append(pd.DataFrame({"query_id": qid, "vec_id": ids[found], "score": score}))
-    return pd.concat(out)[cols]
+    for n, found in block.candidates(asked / lengths[:, None], least):
+        found = found[ids[found] != query_ids[n]]
+        score = (block.vectors[found] @ asked[n]) / (block.norms[found] * lengths[n])
+        if found.size > k:  # the best, and all that may tie with the last of them
+            near = score >= np.partition(score, -k)[-k] - 1e-9
+            found = found[near]
+        # Summed in one fixed order, so that equal vectors have equal scores.
+        score = (block.vectors[found] * asked[n]).sum(axis=1) / (block.norms[found] * lengths[n])
+        best = np.lexsort((found, -score))[:k]  # ids ascend with the row
+        out.append(pd.DataFrame({"query_id": query_ids[n], "vec_id": ids[found[best]], "score": score[best]}))
+    return pd.concat(out)
 
 
 def nearest(vectors: DataFrame, is_query: Column, k: int = 5, id_col: str = "vec_id",
