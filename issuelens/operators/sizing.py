@@ -3,9 +3,6 @@
 from __future__ import annotations
 
 from pyspark.sql import DataFrame
-from pyspark.sql import functions as F
-
-DEFAULT_MAX_BROADCAST_ROWS = 100_000
 
 
 def has_at_most(df: DataFrame, max_rows: int) -> bool:
@@ -15,10 +12,3 @@ def has_at_most(df: DataFrame, max_rows: int) -> bool:
     the source allows it), and only one number per task is shuffled.
     """
     return df.count() <= max_rows
-
-
-def sized_broadcast(df: DataFrame, max_rows: int = DEFAULT_MAX_BROADCAST_ROWS) -> DataFrame:
-    """``broadcast(df)`` when its row count is within ``max_rows``; otherwise ``df``
-    unchanged, so the planner falls back to a shuffle join (AQE may still pick a
-    broadcast from runtime sizes).  Counts ``df``, so give it a written table."""
-    return F.broadcast(df) if has_at_most(df, max_rows) else df

@@ -166,10 +166,3 @@ def read_text_file(spark: SparkSession, path: str) -> str | None:
         return "\n".join(lines)
     finally:
         stream.close()
-
-
-def default_partitions(spark: SparkSession) -> int:
-    try:
-        return int(spark.conf.get("spark.sql.shuffle.partitions"))
-    except Exception:
-        return int(os.environ.get("ISSUELENS_PARTITIONS", "200"))
