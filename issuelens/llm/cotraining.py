@@ -198,7 +198,8 @@ def train(docs: DataFrame, labels: DataFrame, label_col: str = "quality") -> CoT
     rows = _prepared(docs).withColumn("mark", F.xxhash64("doc_id", "lang", "source"))
     picked = sample(rows, labels, label_col)
     # The sample has at most LABELLED + UNLABELLED rows, so its ids may be broadcast.
-    texts = rows.join(F.broadcast(picked), ["doc_id", "mark"])
+    # Rows that share an id are one row of it.
+    texts = rows.join(F.broadcast(picked), ["doc_id", "mark"]).dropDuplicates(["doc_id"])
 
     def run(batches):
         for whole in batches:
@@ -211,8 +212,7 @@ def train(docs: DataFrame, labels: DataFrame, label_col: str = "quality") -> CoT
 
     features = materialize(texts.select(*_NAMES, "label").mapInArrow(
         run, "doc_id bigint, label int, content binary, metadata binary"), "quality-features")
-    # Rows that share an id are one row here, so the collected sample stays bounded.
-    got = features.dropDuplicates(["doc_id"]).orderBy(F.xxhash64("doc_id"), "doc_id").collect()
+    got = features.orderBy(F.xxhash64("doc_id"), "doc_id").collect()
     view = lambda c, n: (np.stack([np.frombuffer(r[c], np.float32) for r in got]) if got
                          else np.zeros((0, n), np.float32))
     return co_train(view("content", GRAMS + SHARES), view("metadata", META),
@@ -221,13 +221,13 @@ def train(docs: DataFrame, labels: DataFrame, label_col: str = "quality") -> CoT
 
 def score(docs: DataFrame, model: CoTrained) -> DataFrame:
     """One row per row of ``docs``: ``doc_id``, ``p_content``, ``p_metadata``, ``score``
-    (0 to 1) and ``good``.  A null text is an empty one; null language and source
+    (0 to 1, how good) and ``kept`` (from one half).  A null text is an empty one; null language and source
     are values of their own; an empty table gives an empty table."""
     ship_package(docs.sparkSession)
     share = docs.sparkSession.sparkContext.broadcast(model)
     schema = T.StructType([T.StructField("doc_id", T.LongType()), *[
         T.StructField(c, T.DoubleType()) for c in ("p_content", "p_metadata", "score")],
-        T.StructField("good", T.BooleanType())])
+        T.StructField("kept", T.BooleanType())])
 
     def run(batches):
         for whole in batches:

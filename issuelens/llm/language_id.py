@@ -151,14 +151,17 @@ def learn(rows: DataFrame, text_col: str, lang_col: str, id_col: str) -> Automat
     with the smallest hashes, ``ROWS_PER_LANGUAGE`` of each language."""
     known = rows.where(F.col(lang_col).isNotNull() & (F.length(text_col) > 0)).select(
         F.col(lang_col).cast("string").alias("lang"), F.col(text_col).alias("text"),
-        F.md5(F.concat_ws("|", F.col(id_col).cast("string"), F.lit("sample"))).alias("mark"))
-    counts = known.groupBy("lang").agg(F.count(F.lit(1)).alias("n"))
-    # A first cut by hash leaves some hundred rows of each language, so the ranking is small.
+        F.md5(F.concat_ws("|", F.col(id_col).cast("string"), F.xxhash64(text_col).cast("string"))).alias("mark"))
+    # Repeated rows count once; a first cut by hash leaves some hundred marks of each
+    # language, so the ranking is small.
+    marks = materialize(known.select("lang", "mark").distinct(), "language-marks")
+    counts = marks.groupBy("lang").agg(F.count(F.lit(1)).alias("n"))
     share = F.least(F.lit(1.0), F.lit(3.0 * ROWS_PER_LANGUAGE) / F.col("n"))
     part = F.conv(F.substring("mark", 1, 8), 16, 10).cast("double") / F.lit(float(1 << 32))
-    few = known.join(counts, "lang").where(part < share)
-    nth = F.row_number().over(Window.partitionBy("lang").orderBy("mark", "text"))
-    picked = few.withColumn("nth", nth).where(F.col("nth") <= ROWS_PER_LANGUAGE)
+    few = marks.join(counts, "lang").where(part < share)
+    nth = F.row_number().over(Window.partitionBy("lang").orderBy("mark"))
+    chosen = few.select("lang", "mark", nth.alias("nth")).where(F.col("nth") <= ROWS_PER_LANGUAGE)
+    picked = known.join(materialize(chosen, "language-chosen"), ["lang", "mark"]).dropDuplicates(["lang", "mark"])
     langs = max(counts.count(), 1)
     each = min(PER_LANGUAGE_BYTES, max(256, SAMPLE_BYTES // langs))
     per_row = max(64, each // 20)

@@ -169,8 +169,8 @@ def test_quality_classifier(spark):
     docs, labels = (spark.read.parquet(f"{sf}/{t}.parquet") for t in ("documents", "labels"))
     model = C.train(docs, labels)
     rows = C.score(docs, model).join(labels, "doc_id").collect()
-    good = [r["good"] for r in rows if r["quality"] == 1]
-    bad = [r["good"] for r in rows if r["quality"] == 0]
+    good = [r["kept"] for r in rows if r["quality"] == 1]
+    bad = [r["kept"] for r in rows if r["quality"] == 0]
     assert np.mean(good) > 0.97 and np.mean(bad) < 0.5
     odd = spark.createDataFrame([(None, None, None, None, None, 1), (1, "", "en", None, -5, 2), (1, "", "en", None, -5, 2)],
                                 "doc_id long, text string, lang string, source string, n_chars long, score int")
