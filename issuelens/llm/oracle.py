@@ -2,12 +2,29 @@
 
 from __future__ import annotations
 
+from issuelens.llm import quality_rules as Q
 from issuelens.llm.queries import SITE_RULES
 from issuelens.llm.url_filters import DEFAULT_PATTERNS
 
 _WHITE = "' ' || chr(9) || chr(10) || chr(11) || chr(12) || chr(13)"
 _UP, _LOW = "ABCDEFGHIJKLMNOPQRSTUVWXYZ", "abcdefghijklmnopqrstuvwxyz"
 
+NGRAM_JOIN = f"""
+WITH RECURSIVE w AS (SELECT doc_id, list_filter(regexp_split_to_array(
+    translate(coalesce(text, ''), '{_UP}', '{_LOW}'), '[\\x20\\x09-\\x0D]+'), lambda x: x <> '') AS ws FROM documents),
+s AS (SELECT doc_id, CASE WHEN len(ws) = 0 THEN [] WHEN len(ws) < 3 THEN [array_to_string(ws, ' ')]
+    ELSE list_distinct(list_transform(range(1, len(ws) - 1), lambda i: ws[i] || ' ' || ws[i + 1] || ' ' || ws[i + 2])) END AS sh FROM w),
+n AS (SELECT doc_id, len(sh)::BIGINT AS n_shingles FROM s),
+t AS (SELECT doc_id, unnest(sh) AS x FROM s),
+p AS (SELECT a.doc_id AS u, b.doc_id AS v, count(*) AS i FROM t a JOIN t b ON a.x = b.x AND a.doc_id < b.doc_id
+  GROUP BY a.doc_id, b.doc_id),
+l AS (SELECT u, v FROM p JOIN n a ON a.doc_id = u JOIN n b ON b.doc_id = v
+  WHERE 100 * i >= 90 * (a.n_shingles + b.n_shingles - i)),
+e AS (SELECT u, v FROM l UNION ALL SELECT v, u FROM l),
+r(doc_id, root) AS (SELECT doc_id, doc_id FROM n UNION SELECT e.v, r.root FROM r JOIN e ON r.doc_id = e.u)
+SELECT doc_id, n_shingles, min(root) AS component_id FROM r JOIN n USING (doc_id) GROUP BY doc_id, n_shingles
+"""
+
 LINE_DEDUP = f"""
 WITH cut AS (SELECT doc_id, string_split(coalesce(text, ''), chr(10)) AS ls FROM documents),
 l AS (SELECT doc_id, unnest(range(len(ls))) AS pos, unnest(ls) AS line FROM cut),
@@ -46,6 +63,78 @@ JOIN b ON d.source IS NOT DISTINCT FROM b.source
 """
 
 
+def _quality_sql() -> str:
+    """Limits, then the minimum-covariance-determinant steps as a chain of CTEs."""
+    dims = range(Q.DIMS)
+    cells = [(i, j) for i in dims for j in range(i + 1)]
+    xs = ", ".join(f"x{i}" for i in dims)
+    ys = ", ".join(f"(x{i} - m{i}" + "".join(f" - l{i}{k} * y{k}" for k in range(i)) + f") / l{i}{i} AS y{i}" for i in dims)
+    d2 = " + ".join(f"y{i} * y{i}" for i in dims) + " AS d2"
+    sums = ", ".join(["count(*) AS n", *[f"sum(x{i}) AS s{i}" for i in dims],
+                      *[f"sum(x{i} * x{j}) AS c{i}{j}" for i, j in cells]])
+    again = ", ".join(f"sum({c}) AS {c}" for c in ["n", *[f"s{i}" for i in dims], *[f"c{i}{j}" for i, j in cells]])
+
+    def estimate(factor: float) -> str:
+        cov = [f"(c{i}{j} / n - (s{i} / n) * (s{j} / n)) * {factor} + {(Q.FLOORS[i] * Q.GRAIN) ** 2 if i == j else 0.0} AS v{i}{j}"
+               for i, j in cells]
+        chol = []
+        for i, j in cells:
+            dot = "".join(f" - l{i}{k} * l{j}{k}" for k in range(j))
+            chol.append(f"sqrt(greatest(v{i}{i}{dot}, 1.0)) AS l{i}{i}" if i == j else f"(v{i}{j}{dot}) / l{j}{j} AS l{i}{j}")
+        return ", ".join(["g", *[f"s{i} / n AS m{i}" for i in dims], *cov, *chol])
+
+    steps = []
+    for k in range(Q.STEPS):
+        steps.append(f"""b{k} AS (SELECT g, bin, {sums} FROM (
+  SELECT g, {xs}, {ys}, {d2}, floor(ln(d2 + 1e-6) * 8) AS bin FROM fit JOIN e{k} USING (g)) GROUP BY g, bin),
+e{k + 1} AS MATERIALIZED (SELECT {estimate(Q.CONSISTENCY)} FROM (SELECT g, {again} FROM (
+  SELECT *, sum(n) OVER (PARTITION BY g ORDER BY bin) - n AS before, sum(n) OVER (PARTITION BY g) AS total FROM b{k})
+  WHERE before < total * {Q.PART} GROUP BY g))""")
+    start = ", ".join([*[f"max(m) FILTER (WHERE d = {i}) AS m{i}" for i in dims], *[
+        f"max(sqrt(sd * sd + {(Q.FLOORS[i] * Q.GRAIN) ** 2})) FILTER (WHERE d = {i}) AS l{i}{i}" if i == j
+        else f"0.0 AS l{i}{j}" for i, j in cells]])
+    each = " UNION ALL ".join(f"SELECT g, {i} AS d, floor(x{i} / 16) AS v FROM fit" for i in dims)
+    at = lambda q: f"(min(v) FILTER (WHERE upto >= {q} * total) * 16.0 + 8.0)"
+    white, symbols = "[\\x20\\x09-\\x0D]", "[#*$%&|<>]"
+    return f"""
+WITH doc AS MATERIALIZED (SELECT row_number() OVER () AS rid, doc_id, coalesce(text, '') AS t, lang, source,
+    list_filter(regexp_split_to_array(coalesce(text, ''), '{white}+'), lambda x: x <> '') AS ws FROM documents),
+win AS (SELECT rid, i, ws[i:i + 4] AS gram FROM (SELECT rid, ws, unnest(range(1, len(ws) - 3)) AS i FROM doc)),
+rep AS (SELECT rid, i FROM win QUALIFY count(*) OVER (PARTITION BY rid, gram) > 1),
+cov AS (SELECT rid, count(DISTINCT i + k) AS n FROM rep, range(5) AS r(k) GROUP BY rid),
+base AS (SELECT rid, doc_id, lang, source, t, len(ws)::BIGINT AS n_words,
+    length(regexp_replace(t, '{white}', '', 'g'))::BIGINT AS word_chars,
+    (length(t) - length(regexp_replace(t, '{symbols}', '', 'g')))::BIGINT AS n_symbols,
+    list_filter(string_split(t, chr(10)), lambda x: trim(x, {_WHITE}) <> '') AS ls,
+    (len(ls) - len(list_distinct(ls)))::BIGINT AS n_dup_lines, coalesce(cov.n, 0)::BIGINT AS n_repeat_words,
+    length(t) - length(regexp_replace(t, '[A-Z]', '', 'g')) AS n_upper,
+    n_words < 10 OR 100 * n_repeat_words > 20 * n_words AS base_failed
+  FROM doc LEFT JOIN cov USING (rid)),
+st AS (SELECT *, greatest(n_words, 1)::DOUBLE AS nw,
+    round(ln(greatest(word_chars, 1) / nw) * {Q.GRAIN}) AS x0, round(ln(1 + 10.0::DOUBLE * n_symbols / nw) * {Q.GRAIN}) AS x1,
+    round(ln(1 + 100.0::DOUBLE * n_dup_lines / nw) * {Q.GRAIN}) AS x2,
+    round(ln(1 + 10.0::DOUBLE * n_repeat_words / nw) * {Q.GRAIN}) AS x3,
+    round(ln(1 + 10.0::DOUBLE * n_upper / greatest(word_chars, 1)) * {Q.GRAIN}) AS x4 FROM base),
+sz AS (SELECT lang, source, count(*) FILTER (WHERE NOT base_failed) AS n FROM st GROUP BY lang, source),
+gr AS (SELECT *, sum(CASE WHEN n < {Q.MIN_GROUP} THEN n ELSE 0 END) OVER (PARTITION BY lang) AS rest FROM sz),
+nm AS (SELECT lang, source, CASE WHEN n >= {Q.MIN_GROUP} THEN {{k: 0, a: lang, b: source}}
+    WHEN rest >= {Q.MIN_GROUP} THEN {{k: 1, a: lang, b: NULL}} ELSE {{k: 2, a: NULL, b: NULL}} END AS g FROM gr),
+rs AS MATERIALIZED (SELECT st.*, nm.g FROM st JOIN nm ON st.lang IS NOT DISTINCT FROM nm.lang
+  AND st.source IS NOT DISTINCT FROM nm.source),
+fit AS MATERIALIZED (SELECT g, {xs} FROM rs WHERE NOT base_failed),
+ct AS (SELECT g, d, v, count(*) AS n FROM ({each}) GROUP BY g, d, v),
+up AS (SELECT *, sum(n) OVER (PARTITION BY g, d ORDER BY v) AS upto, sum(n) OVER (PARTITION BY g, d) AS total FROM ct),
+sp AS (SELECT g, d, {at(0.5)} AS m, ({at(0.75)} - {at(0.25)}) / 1.349 AS sd FROM up GROUP BY g, d),
+e0 AS MATERIALIZED (SELECT g, {start} FROM sp GROUP BY g),
+{", ".join(steps)},
+fin AS MATERIALIZED (SELECT {estimate(Q.REWEIGHTED)} FROM (SELECT g, {sums} FROM (
+  SELECT g, {xs}, {ys}, {d2} FROM fit JOIN e{Q.STEPS} USING (g)) WHERE d2 <= {Q.REWEIGHT_AT} GROUP BY g)),
+sc AS (SELECT rs.*, {ys}, {d2} FROM rs LEFT JOIN fin USING (g))
+SELECT doc_id, n_words, word_chars, n_symbols, n_dup_lines, n_repeat_words, base_failed,
+  NOT base_failed AND coalesce(d2, 0) <= {Q.REJECT_AT} AS kept FROM sc
+"""
+
+
 def _url_sql() -> str:
     q = lambda s: "'" + s.replace("'", "''") + "'"
     sites = ", ".join(f"({q(r.action)}, {q(r.name.partition('/')[0])}, {q('/' + r.name.partition('/')[2])}, {q(r.name)})"
@@ -65,4 +154,4 @@ SELECT page_id, host, path, rule, coalesce(action, CASE WHEN {blocks} THEN 'bloc
 
 
 def oracle_sql() -> dict[str, str]:
-    return {"op3_line_dedup": LINE_DEDUP, "op8_source_mixing": MIXING, "op10_url_filters": _url_sql()}
+    return {"op1_ngram_join": NGRAM_JOIN, "op3_line_dedup": LINE_DEDUP, "op6_quality_rules": _quality_sql(), "op8_source_mixing": MIXING, "op10_url_filters": _url_sql()}
