@@ -18,17 +18,24 @@ import zlib
 
 import numpy as np
 
-BLOCK = 4096           # ids of a block
-LANES = 512            # blocks that advance together
-SLOTS = 12             # bits of a context table
+BLOCK = 2048           # ids of a block
+LANES = 1024           # blocks that advance together
+SLOTS = 11             # bits of a context table
 CONF = 8               # confidence states of a prediction
 MAX_ID = 1 << 16
-_STEP = 8              # order-0 increment: 256 + BLOCK * _STEP stays below 2 ** 16
+_STEP = 16             # order-0 increment: 256 + BLOCK * _STEP stays below 2 ** 16
 _U = np.uint64
 _TOP, _BITS, _SHIFT, _WORD = _U(1 << 24), _U(56), _U(32), _U(24)
 _LOWMASK, _FULL = _U((1 << 24) - 1), _U((1 << 56) - 1)
 
 
+#: What the sums of a high half (or of what is within one) gain from one more id there.
+_RISE = ((np.arange(17)[None, :] > np.arange(16)[:, None]) * _STEP).astype(np.uint16)
+#: Next confidence: after a miss halved (1 at least), after a hit one more.
+_NEXT = np.array([[max(c >> 1, 1) for c in range(CONF)], [min(c + 1, CONF - 1) for c in range(CONF)]],
+                 np.uint32).reshape(-1)
+
+
 class _Model:
     """Predictions of all lanes for one step, and their update."""
 
@@ -36,19 +43,20 @@ class _Model:
         size = 1 << SLOTS
         self.first = np.zeros(lanes * size, np.uint32)    # id << 8 | confidence
         self.second = np.zeros(lanes * size, np.uint32)
-        self.hit1 = np.full(lanes * CONF, 16384, np.int32)  # chance of a hit, of 65536
-        self.hit2 = np.full(lanes * CONF, 16384, np.int32)
-        self.cum = np.tile(np.arange(257, dtype=np.uint16), (lanes, 1))
+        self.hit1 = np.full(lanes * CONF, 16384, np.int64)  # chance of a hit, of 65536
+        self.hit2 = np.full(lanes * CONF, 16384, np.int64)
+        # Frequencies of the high byte, summed by its high half and within each half.
+        self.coarse = np.tile(np.arange(0, 257, 16, dtype=np.uint16), (lanes, 1))
+        self.fine = np.tile(np.arange(17, dtype=np.uint16), (lanes * 16, 1))
         self.lane = np.arange(lanes, dtype=np.int64)
         self.base, self.conf_base = self.lane << SLOTS, self.lane * CONF
         self.prev = np.zeros(lanes, np.uint32)
         self.prev2 = np.zeros(lanes, np.uint32)
-        self.classes = np.arange(257, dtype=np.int16)
 
     def shrink(self, n: int) -> None:
         """Keep the first ``n`` lanes (the tables stay; only views get shorter)."""
         self.base, self.conf_base, self.lane = self.base[:n], self.conf_base[:n], self.lane[:n]
-        self.cum, self.prev, self.prev2 = self.cum[:n], self.prev[:n], self.prev2[:n]
+        self.prev, self.prev2 = self.prev[:n], self.prev2[:n]
 
     def predict(self):
         mul = np.uint32(2654435761)
@@ -56,37 +64,54 @@ class _Model:
         h2 = ((self.prev * mul) ^ (self.prev2 * np.uint32(2246822519)) + np.uint32(374761393)) * mul \
             >> np.uint32(32 - SLOTS)
         self.at1, self.at2 = self.base + h1, self.base + h2
-        e1, e2 = self.first[self.at1], self.second[self.at2]
+        e1, e2 = self.first.take(self.at1), self.second.take(self.at2)
         self.c1, self.c2 = (e1 & np.uint32(255)).astype(np.int64), (e2 & np.uint32(255)).astype(np.int64)
         self.p1, self.p2 = e1 >> np.uint32(8), e2 >> np.uint32(8)
         q1, q2 = self.conf_base + self.c1, self.conf_base + self.c2
         self.q1, self.q2 = q1, q2
-        a2 = np.where(self.c2 > 0, self.hit2[q2], 0)
-        a1 = np.where((self.c1 > 0) & ((self.p1 != self.p2) | (self.c2 == 0)),
-                      ((65536 - a2) * self.hit1[q1].astype(np.int64)) >> 16, 0)
+        a2 = self.hit2.take(q2) * (self.c2 > 0)
+        a1 = ((65536 - a2) * self.hit1.take(q1) >> 16) * ((self.c1 > 0) & ((self.p1 != self.p2) | (self.c2 == 0)))
+        self.tried1 = a1 > 0
         self.a2, self.a1 = a2.astype(np.uint64), a1.astype(np.uint64)
         return self.a2, self.a1
 
+    def class_span(self, e: np.ndarray, cls: np.ndarray):
+        """(sum below, frequency, total) of the high bytes ``cls`` in lanes ``e``."""
+        hi, lo = cls >> 4, cls & 15
+        row = (e << 4) + hi
+        low = self.fine[row, lo]
+        below = self.coarse[e, hi] + low
+        return below.astype(np.uint64), (self.fine[row, lo + 1] - low).astype(np.uint64), \
+            self.coarse[e, 16].astype(np.uint64)
+
+    def class_at(self, e: np.ndarray, v: np.ndarray):
+        """The high bytes whose spans hold ``v``."""
+        v = v.astype(np.uint16)
+        top = self.coarse[e]
+        hi = np.add.reduce((top[:, 1:] <= v[:, None]).view(np.uint8), axis=1, dtype=np.uint8).astype(np.int64)
+        v = v - top[np.arange(e.size), hi]
+        lo = np.add.reduce((self.fine[(e << 4) + hi][:, 1:] <= v[:, None]).view(np.uint8), axis=1, dtype=np.uint8)
+        return (hi << 4) | lo
+
+    def count_class(self, e: np.ndarray, cls: np.ndarray) -> None:
+        hi = cls >> 4
+        self.coarse[e] += _RISE.take(hi, axis=0)
+        self.fine[(e << 4) + hi] += _RISE.take(cls & 15, axis=0)
+
     def update(self, ids: np.ndarray, is2: np.ndarray, is1: np.ndarray) -> None:
-        esc = ~(is2 | is1)
-        cls = np.where(esc, ids >> np.uint32(8), np.uint32(256)).astype(np.int16)
-        self.cum += (self.classes > cls[:, None]).view(np.uint8) * np.uint8(_STEP)
-        h2 = self.hit2[self.q2]
-        self.hit2[self.q2] = np.where(self.c2 > 0, h2 + ((np.where(is2, 61440, 512) - h2) >> 4), h2)
-        h1 = self.hit1[self.q1]
-        tried = (self.a1 > 0) & ~is2
-        self.hit1[self.q1] = np.where(tried, h1 + ((np.where(is1, 61440, 512) - h1) >> 4), h1)
+        h2 = self.hit2.take(self.q2)
+        self.hit2[self.q2] = h2 + ((is2 * np.int64(60928) + 512 - h2) >> 4)  # (state 0 predicts nothing)
+        h1 = self.hit1.take(self.q1)
+        self.hit1[self.q1] = h1 + (((is1 * np.int64(60928) + 512 - h1) >> 4) * (self.tried1 & ~is2))
         self._learn(self.first, self.at1, self.p1, self.c1, ids)
         self._learn(self.second, self.at2, self.p2, self.c2, ids)
         self.prev2, self.prev = self.prev, ids
 
     @staticmethod
     def _learn(table, at, pred, conf, ids) -> None:
-        same = (pred == ids) & (conf > 0)
-        conf = np.where(same, np.minimum(conf + 1, CONF - 1), np.where(conf > 1, conf >> 1, 1))
-        kept = np.where(same | (conf > 1), pred, ids)
-        conf = np.where((kept == ids) & ~same, 1, conf)
-        table[at] = (kept << np.uint32(8)) | conf.astype(np.uint32)
+        # A hit adds confidence; a miss halves it, and replaces a prediction that has none left.
+        kept = np.where(conf > 1, pred, ids)
+        table[at] = (kept << np.uint32(8)) | _NEXT.take(conf + CONF * (pred == ids))
 
 
 def _lengths(n: int) -> np.ndarray:
@@ -146,12 +171,12 @@ def _encode_lanes(ids: np.ndarray) -> list[bytes]:
         e = np.flatnonzero(~(is2 | is1))
         if e.size:
             cls, byte = (s[e] >> np.uint32(8)).astype(np.int64), (s[e] & np.uint32(255)).astype(np.uint64)
-            below = model.cum[e, cls].astype(np.uint64)
-            freq = model.cum[e, cls + 1].astype(np.uint64) - below
-            r = rng[e] // (model.cum[e, 256].astype(np.uint64) << _U(8))
+            below, freq, total = model.class_span(e, cls)
+            r = rng[e] // (total << _U(8))
             low[e] += r * ((below << _U(8)) + byte * freq)
             rng[e] = r * freq
             renorm(e)
+            model.count_class(e, cls)
         model.update(s, is2, is1)
     if done:
         low, pos = np.concatenate([low, done[0][0]]), np.concatenate([pos, done[0][1]])
@@ -203,7 +228,8 @@ def _decode_lanes(blocks: list[bytes], total: int) -> np.ndarray:
         if m.size:
             if at is not None:
                 m = at[m]
-            val[m] = (val[m] << _SHIFT) | words[m, pos[m]]
+            # A broken block may ask for more words than there are; its checksum tells.
+            val[m] = (val[m] << _SHIFT) | words[m, np.minimum(pos[m], most - 1)]
             pos[m] += 1
             rng[m] <<= _SHIFT
 
@@ -225,18 +251,16 @@ def _decode_lanes(blocks: list[bytes], total: int) -> np.ndarray:
         s = np.where(is2, model.p2, model.p1)
         e = np.flatnonzero(~(is2 | is1))
         if e.size:
-            cum = model.cum[e]
-            total_freq = cum[:, 256].astype(np.uint64)
+            total_freq = model.coarse[e, 16].astype(np.uint64)
             r = rng[e] // (total_freq << _U(8))
             v = np.minimum(val[e] // r, (total_freq << _U(8)) - _U(1))
-            cls = (cum[:, 1:] <= (v >> _U(8)).astype(np.uint16)[:, None]).sum(axis=1)
-            k = np.arange(e.size)
-            below = cum[k, cls].astype(np.uint64)
-            freq = cum[k, cls + 1].astype(np.uint64) - below
+            cls = model.class_at(e, v >> _U(8))
+            below, freq, _ = model.class_span(e, cls)
             byte = np.minimum((v - (below << _U(8))) // freq, _U(255))
             val[e] -= r * ((below << _U(8)) + byte * freq)
             rng[e] = r * freq
             renorm(e)
+            model.count_class(e, cls)
             s[e] = ((cls.astype(np.uint64) << _U(8)) | byte).astype(np.uint32)
         cols[t, :len(s)] = s
         model.update(s, is2, is1)

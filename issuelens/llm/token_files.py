@@ -18,6 +18,7 @@ from __future__ import annotations
 
 import re
 import zlib
+from array import array
 from collections.abc import Sequence
 
 import numpy as np
@@ -32,8 +33,9 @@ from issuelens.llm.common import ship_package
 from issuelens.llm.piece_bpe import slices
 
 FRAME = range_coder.BLOCK * range_coder.LANES
-#: Entries of a worker's table of known stretches, and the longest one kept.
-STRETCHES, LONGEST = 300_000, 48
+#: Entries of a worker's table of known stretches (of two generations), the longest
+#: one kept, and the number that the library tokenizes at once.
+STRETCHES, LONGEST, AT_ONCE = 250_000, 48, 2_000
 # A single space between two of these characters always starts a new token of a byte-level vocabulary.
 _EDGE = "!-~À-ɏ"
 _CUT = re.compile(f"(?<=[{_EDGE}]) (?=[{_EDGE}])")
@@ -53,25 +55,32 @@ class StretchTokenizer:
     def __init__(self, path: str):
         self.library = Tokenizer.from_file(path)
         self.known: dict[str, bytes] = {}
+        self.older: dict[str, bytes] = {}
 
-    def _learn(self, new: list[str]) -> None:
-        # A stretch after the first keeps its leading space.
-        for s, e in zip(new, self.library.encode_batch_fast(new, add_special_tokens=False)):
-            self.known[s] = np.array(e.ids, dtype=np.uint16 if max(e.ids, default=0) < 65536 else np.uint32).tobytes()
+    def _learn(self, stretches: list[str]) -> None:
+        for a in range(0, len(stretches), AT_ONCE):
+            some = stretches[a:a + AT_ONCE]
+            for s, e in zip(some, self.library.encode_batch_fast(some, add_special_tokens=False)):
+                self.known[s] = array("H", e.ids).tobytes()  # a larger id raises
 
     def encode(self, texts: Sequence[str], end_id: int) -> list[np.ndarray]:
-        """Ids of each text, with ``end_id`` appended, as little-endian unsigned 16-bit numbers."""
+        """Ids of each text, with ``end_id`` appended, as unsigned 16-bit numbers."""
         end = np.array([end_id], np.uint16).tobytes()
         cut = []
-        for t in texts:
+        for t in texts:  # a stretch after the first keeps its leading space
             parts = _CUT.split(t)
             cut.append([parts[0], *[" " + p for p in parts[1:]]] if len(parts) > 1 else parts)
-        if len(self.known) > STRETCHES:
-            self.known.clear()
-        known = self.known
-        new = {s for parts in cut for s in parts if s not in known}
-        if new:
-            self._learn(list(new))
+        distinct = {s for parts in cut for s in parts}
+        if len(self.known) + len(distinct) > STRETCHES:
+            self.older, self.known = self.known, {}
+        known, older, new = self.known, self.older, []
+        for s in distinct:
+            if s not in known:
+                if s in older:
+                    known[s] = older[s]
+                else:
+                    new.append(s)
+        self._learn(new)
         out = [np.frombuffer(b"".join([known[s] for s in parts]) + end, dtype=np.uint16) for parts in cut]
         for s in new:
             if len(s) > LONGEST:
