@@ -11,6 +11,8 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from issuelens.session import delete_path, scratch_path
+
 # The white space that separates words, and the ASCII letters.
 WHITE = " \t\n\x0b\x0c\r"
 WHITE_RE = "[\\x20\\x09-\\x0D]+"
@@ -60,6 +62,26 @@ def text_bytes(column: pa.Array) -> tuple[np.ndarray, np.ndarray]:
     return raw[at[0]:at[-1]], at - at[0]
 
 
+class Stages:
+    """Written stages of one operator (below ``spark.checkpoint.dir``).  A stage that
+    later ones no longer read is dropped, so a long operator's disk is that of its
+    largest step: its files are deleted, and a collection on the driver lets
+    Spark remove the shuffle files of finished jobs."""
+
+    def __init__(self, spark: SparkSession):
+        self.spark, self.paths = spark, {}
+
+    def write(self, name: str, df: DataFrame) -> DataFrame:
+        path = self.paths[name] = scratch_path(self.spark, name)
+        df.write.mode("overwrite").parquet(path)
+        return self.spark.read.schema(df.schema).parquet(path)
+
+    def drop(self, *names: str) -> None:
+        for name in names:
+            delete_path(self.spark, self.paths.pop(name))
+        self.spark.sparkContext._jvm.System.gc()
+
+
 _SHIPPED: set[str] = set()
 
 

@@ -5,7 +5,9 @@ similarity is high enough; the result is each document's connected component.
 
 1. Equal sets become one class, so any number of exact copies is one row.
 2. Each set is signed by blocks of its hash range (``shingles.signatures``);
-   similar sets share a signature at least.  Signatures of one class only go.
+   similar sets share a signature at least.  Signatures are counted, without
+   their sets; the sets that hold one of those met again are found in a second
+   reading, behind a bitmap of fixed size that lets few others through.
 3. Every shared signature names its best-connected class as hub; the classes
    of its signatures are the hub's group.  Each is compared with the hub once,
    which leaves the tokens in which it differs from the hub.  Classes similar
@@ -33,7 +35,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from issuelens.llm.common import MIN_LONG, doc_key, ship_package, text_bytes
+from issuelens.llm.common import MIN_LONG, Stages, doc_key, ship_package, text_bytes
 from issuelens.llm.piece_bpe import slices
 from issuelens.llm.shingles import Bands, set_ids, shingle_sets, signatures
 from issuelens.operators.stage import materialize
@@ -41,58 +43,107 @@ from issuelens.operators.stage import materialize
 GROUP = 32            # members whose differences share one union
 BLOCK_ROWS = 4096     # members of a hub that meet in one task
 SMALL = 256           # hubs with fewer members share tasks
+BITMAP_BITS = 27
 
 
-def _sign(rows: DataFrame, words: int, percent: int) -> DataFrame:
-    """(key, row, n, c, sigs) of each row with (key, row, text)."""
+def _each(rows: DataFrame, schema: str, make, columns: tuple[str, ...]) -> DataFrame:
+    """``make(batch, raw, at)`` gives the output columns of each slice of texts."""
     def run(batches):
-        bands = Bands(percent)
         for whole in batches:
             for batch in slices(whole, "text"):
-                raw, at = text_bytes(batch.column("text"))
-                h, off = shingle_sets(raw, at, words)
-                who, sigs = signatures(h, off, bands)
-                order = np.argsort(who, kind="stable")
-                ends = np.zeros(len(at), np.int32)
-                ends[1:] = np.cumsum(np.bincount(who, minlength=len(at) - 1))
-                yield pa.RecordBatch.from_arrays([
-                    batch.column("key"), pa.array(np.diff(off)), pa.array(set_ids(h, off).view(np.int64)),
-                    pa.ListArray.from_arrays(pa.array(ends), pa.array(sigs[order].view(np.int64)))],
-                    ["key", "n", "c", "sigs"])
-    return rows.mapInArrow(run, "key bigint, n bigint, c bigint, sigs array<bigint>")
-
-
-def _sets(rows: DataFrame, words: int) -> DataFrame:
-    """(c, n, tokens) of each row with (text)."""
-    def run(batches):
-        for whole in batches:
-            for batch in slices(whole, "text"):
-                raw, at = text_bytes(batch.column("text"))
-                h, off = shingle_sets(raw, at, words)
-                yield pa.RecordBatch.from_arrays([
-                    pa.array(set_ids(h, off).view(np.int64)), pa.array(np.diff(off)),
-                    pa.ListArray.from_arrays(pa.array(off.astype(np.int32)), pa.array(h.view(np.int64)))],
-                    ["c", "n", "tokens"])
-    return rows.mapInArrow(run, "c bigint, n bigint, tokens array<bigint>")
+                yield pa.RecordBatch.from_arrays(make(batch, *text_bytes(batch.column("text"))), list(columns))
+    return rows.mapInArrow(run, schema)
+
+
+def _ids(rows: DataFrame, words: int) -> DataFrame:
+    """(key, n, c): size and id of each row's set."""
+    def make(batch, raw, at):
+        h, off = shingle_sets(raw, at, words)
+        return [batch.column("key"), pa.array(np.diff(off)), pa.array(set_ids(h, off).view(np.int64))]
+    return _each(rows, "key bigint, n bigint, c bigint", make, ("key", "n", "c"))
+
+
+def _signatures(rows: DataFrame, words: int, percent: int) -> DataFrame:
+    """(sig): all signatures of all rows."""
+    def make(batch, raw, at):
+        return [pa.array(signatures(*shingle_sets(raw, at, words), Bands(percent))[1].view(np.int64))]
+    return _each(rows, "sig bigint", make, ("sig",))
+
+
+def _signed(rows: DataFrame, words: int, percent: int, some) -> DataFrame:
+    """(c, sig): the signatures that the bitmap lets through, with their sets."""
+    def make(batch, raw, at):
+        h, off = shingle_sets(raw, at, words)
+        who, sig = signatures(h, off, Bands(percent))
+        sig = sig.view(np.int64)
+        keep = in_bitmap(some.value, sig)
+        return [pa.array(set_ids(h, off).view(np.int64)[who[keep]]), pa.array(sig[keep])]
+    return _each(rows, "c bigint, sig bigint", make, ("c", "sig"))
+
+
+def _wanted(batch, some):
+    """Bytes and offsets of the texts whose key the bitmap lets through."""
+    keys = np.asarray(batch.column("key").to_numpy(zero_copy_only=False), np.int64)
+    return text_bytes(batch.column("text").filter(pa.array(in_bitmap(some.value, keys))))
+
+
+def _tokens(rows: DataFrame, words: int, some) -> DataFrame:
+    """(token): the tokens of the rows whose key the bitmap lets through."""
+    def make(batch, raw, at):
+        return [pa.array(shingle_sets(*_wanted(batch, some), words)[0].view(np.int64))]
+    return _each(rows, "token bigint", make, ("token",))
+
+
+def _sets(rows: DataFrame, words: int, some, met) -> DataFrame:
+    """(c, n, tokens) of the same rows: the tokens that the second bitmap lets through
+    (those met more than once); the others only count in ``n``."""
+    def make(batch, raw, at):
+        h, off = shingle_sets(*_wanted(batch, some), words)
+        keep = in_bitmap(met.value, h.view(np.int64))
+        ends = np.concatenate([[0], np.cumsum(keep)])[off].astype(np.int32)
+        return [pa.array(set_ids(h, off).view(np.int64)), pa.array(np.diff(off)),
+                pa.ListArray.from_arrays(pa.array(ends), pa.array(h[keep].view(np.int64)))]
+    return _each(rows, "c bigint, n bigint, tokens array<bigint>", make, ("c", "n", "tokens"))
+
+
+def bitmap(rows: DataFrame, col: str) -> np.ndarray:
+    """Bits at the low ``BITMAP_BITS`` bits of a long column's values: 16 MB at most,
+    however many rows.  It only spares work: what it lets through is checked
+    again, and when it fills up everything passes."""
+    at = F.col(col).bitwiseAND(F.lit((1 << BITMAP_BITS) - 1))
+    bit = F.expr(f"shiftleft(1L, cast({col} & 63 as int))")
+    words = (rows.select(F.shiftright(at, 6).cast("int").alias("w"), bit.alias("b"))
+             .groupBy("w").agg(F.bit_or("b").alias("b")).toArrow())
+    out = np.zeros(1 << (BITMAP_BITS - 6), np.int64)
+    out[words.column("w").to_numpy()] = words.column("b").to_numpy()
+    return out.view(np.uint64)
+
+
+def in_bitmap(words: np.ndarray, values: np.ndarray) -> np.ndarray:
+    at = values & ((1 << BITMAP_BITS) - 1)
+    return (words[at >> 6] >> (at & 63).astype(np.uint64) & np.uint64(1)).astype(bool)
 
 
 def _hub_links(h: pd.DataFrame, up: int, down: int) -> list[tuple[int, int]]:
-    """Links among one hub's rows (c, n, linked, diff, a, b) that do not follow from
-    links to the hub, as a spanning forest.  ``a`` marks rows that ask (if not
+    """Links among one hub's rows (c, n, linked, alone, diff, a, b) that do not follow
+    from links to the hub, as a spanning forest.  ``diff`` holds the tokens in which
+    a row differs from the hub's and that others may share, ``alone`` the number
+    of its tokens that no other set holds.  ``a`` marks rows that ask (if not
     linked), ``b`` rows that are filed."""
     ask = h[h["a"] & ~h["linked"]]
     filed = h[h["b"]].copy()
     if not len(ask) or not len(filed):
         return []
-    filed["size"] = filed["diff"].map(len)
+    filed["size"] = filed["diff"].map(len) + filed["alone"]
     filed = filed.sort_values(["size", "c"], kind="stable")
     diffs, b_size = filed["diff"].tolist(), filed["size"].to_numpy(np.int64)
     b_n, b_c = filed["n"].to_numpy(np.int64), filed["c"].tolist()
     a_diff = [np.asarray(d) for d in ask["diff"]]
     a_c, a_n = ask["c"].tolist(), ask["n"].to_numpy(np.int64)
-    a_size = np.array([len(d) for d in a_diff], np.int64)
-    flat = np.concatenate(a_diff)
-    owner = np.repeat(np.arange(len(a_diff)), a_size)
+    a_len = np.array([len(d) for d in a_diff], np.int64)
+    a_size = a_len + ask["alone"].to_numpy(np.int64)
+    flat = np.concatenate(a_diff).astype(np.int64)
+    owner = np.repeat(np.arange(len(a_diff)), a_len)
     parent: dict[int, int] = {}
 
     def root(x):
@@ -107,7 +158,7 @@ def _hub_links(h: pd.DataFrame, up: int, down: int) -> list[tuple[int, int]]:
     links = []
     for g in range(0, len(diffs), GROUP):
         members = range(g, min(g + GROUP, len(diffs)))
-        union = np.unique(np.concatenate([diffs[m] for m in members]))
+        union = np.unique(np.concatenate([np.asarray(diffs[m], np.int64) for m in members]))
         inside = np.isin(flat, union)
         overlap = np.bincount(owner[inside], minlength=len(a_diff))
         low, most = b_size[members[0]], b_n[g:members[-1] + 1].max()
@@ -138,17 +189,17 @@ def _residual(diffs: DataFrame, up: int, down: int) -> DataFrame:
     rows = diffs.join(work, "hub")
     small = rows.where(F.col("members") < SMALL).select(
         F.pmod(F.xxhash64("hub"), F.lit(shared)).alias("g"), F.lit(-1).cast("long").alias("x"),
-        F.lit(-1).cast("long").alias("y"), "hub", "c", "n", "linked", "diff", F.lit(True).alias("a"),
+        F.lit(-1).cast("long").alias("y"), "hub", "c", "n", "linked", "alone", "diff", F.lit(True).alias("a"),
         F.lit(True).alias("b"))
     large = rows.where(F.col("members") >= SMALL).withColumns({
         "blocks": F.ceil(F.col("members") / BLOCK_ROWS).cast("long")})
     large = large.withColumn("own", F.pmod(F.xxhash64("c"), F.col("blocks")))
     every = F.explode(F.sequence(F.lit(0).cast("long"), F.col("blocks") - 1))
     asks = large.where(~F.col("linked")).withColumn("y", every).select(
-        F.col("hub").alias("g"), F.col("own").alias("x"), "y", "hub", "c", "n", "linked", "diff",
+        F.col("hub").alias("g"), F.col("own").alias("x"), "y", "hub", "c", "n", "linked", "alone", "diff",
         F.lit(True).alias("a"), F.lit(False).alias("b"))
     files = large.withColumn("x", every).select(
-        F.col("hub").alias("g"), "x", F.col("own").alias("y"), "hub", "c", "n", "linked", "diff",
+        F.col("hub").alias("g"), "x", F.col("own").alias("y"), "hub", "c", "n", "linked", "alone", "diff",
         F.lit(False).alias("a"), F.lit(True).alias("b"))
 
     def run(rows: pd.DataFrame) -> pd.DataFrame:
@@ -203,34 +254,53 @@ def jaccard_components(docs: DataFrame, words: int = 5, percent: int = 80, text_
     ship_package(spark)
     bands = Bands(percent)
     texts = docs.select(doc_key(id_col).alias("key"), F.col(text_col).alias("text"))
-    signed = materialize(_sign(texts, words, percent), "signed")
-    plain = signed.select("key", "n", "c")
-    classes = materialize(plain.where("n > 0").groupBy("c").agg(F.min("key").alias("rep")), "classes")
-
-    sig = signed.select("c", F.explode("sigs").alias("sig"))
-    shared = (sig.groupBy("sig").agg(F.min("c").alias("lo"), F.max("c").alias("hi"), F.count(F.lit(1)).alias("w"))
-              .where("lo <> hi").select("sig", "w"))
-    shared = materialize(shared, "shared-signatures")
-    members = materialize(sig.join(shared, "sig").distinct(), "members")
-    weight = members.groupBy("c").agg(F.sum("w").alias("pop"))
-    hubs = materialize(members.join(weight, "c").groupBy("sig").agg(F.max_by("c", "pop").alias("hub")), "hubs")
-    pairs = materialize(members.join(hubs, "sig").where("c <> hub").select("hub", "c").distinct(), "hub-members")
-
-    # The sets are made again for the classes that meet a hub, from one text each.
+    stages = Stages(spark)
+    plain = stages.write("set-ids", _ids(texts, words))
+    classes = stages.write("classes", plain.where("n > 0").groupBy("c").agg(F.min("key").alias("rep")))
+
+    # A signature met twice may still be of copies of one set; those go below.
+    met = stages.write("met", _signatures(texts, words, percent).groupBy("sig").agg(F.count(F.lit(1)).alias("w"))
+                       .where("w > 1").select("sig"))
+    some = spark.sparkContext.broadcast(bitmap(met, "sig"))
+    signed = stages.write("signed", _signed(texts, words, percent, some).distinct())
+    stages.drop("met")
+    shared = stages.write("shared", signed.groupBy("sig").agg(
+        F.min("c").alias("lo"), F.max("c").alias("hi"), F.count(F.lit(1)).alias("w")).where("lo <> hi").select("sig", "w"))
+    members = stages.write("members", signed.join(shared, "sig"))
+    stages.drop("signed", "shared")
+    # Classes in the order of their members' numbers of meetings, ties by a hash: every
+    # signature of a group that the first class holds has it as hub.
+    order = F.shiftleft(F.sum("w"), 20) + F.first("c").bitwiseAND(F.lit((1 << 20) - 1))
+    weight = stages.write("weight", members.groupBy("c").agg(order.alias("pop")))
+    hubs = stages.write("hubs", members.join(weight, "c").groupBy("sig").agg(F.max_by("c", "pop").alias("hub")))
+    pairs = stages.write("pairs", members.join(hubs, "sig").where("c <> hub").select("hub", "c").distinct())
+    stages.drop("members", "weight", "hubs")
+
+    # The sets are made again for the classes that meet a hub, from one id each.
     used = pairs.select("c").union(pairs.select(F.col("hub").alias("c"))).distinct()
-    wanted = materialize(used.join(classes, "c").select(F.col("rep").alias("key")).distinct(), "wanted")
-    again = (texts.join(wanted, "key", "left_semi").withColumn("mark", F.xxhash64("text"))
-             .dropDuplicates(["key", "mark"]).select("text"))
-    sets = materialize(_sets(again, words), "sets")
+    wanted = stages.write("wanted", used.join(classes, "c").select(F.col("rep").alias("key")).distinct())
+    some = spark.sparkContext.broadcast(bitmap(wanted, "key"))
+    # A token that only one of them holds differs from every other set: it need not travel.
+    tokens = stages.write("tokens", _tokens(texts, words, some).groupBy("token").agg(F.count(F.lit(1)).alias("w"))
+                          .where("w > 1").select("token"))
+    met = spark.sparkContext.broadcast(bitmap(tokens, "token"))
+    sets = stages.write("sets", _sets(texts, words, some, met).groupBy("c").agg(
+        F.first("n").alias("n"), F.first("tokens").alias("tokens"))
+        .withColumn("alone", F.col("n") - F.size("tokens")))
+    stages.drop("wanted", "tokens")
     left = pairs.join(sets, "c")
-    hub_sets = sets.select(F.col("c").alias("hub"), F.col("n").alias("hub_n"), F.col("tokens").alias("hub_tokens"))
+    hub_sets = sets.select(F.col("c").alias("hub"), F.col("n").alias("hub_n"), F.col("tokens").alias("hub_tokens"),
+                           F.col("alone").alias("hub_alone"))
     diff = F.concat(F.array_except("tokens", "hub_tokens"), F.array_except("hub_tokens", "tokens"))
-    diffs = left.join(hub_sets, "hub").select("hub", "c", "n", "hub_n", diff.alias("diff"))
-    near = F.size("diff") * F.lit(bands.up) <= (F.col("n") + F.col("hub_n")) * F.lit(bands.down)
-    diffs = materialize(diffs.select("hub", "c", "n", near.alias("linked"), "diff"), "differences")
+    diffs = left.join(hub_sets, "hub").select("hub", "c", "n", "hub_n", "alone", "hub_alone", diff.alias("diff"))
+    apart = F.size("diff") + F.col("alone") + F.col("hub_alone")
+    near = apart * F.lit(bands.up) <= (F.col("n") + F.col("hub_n")) * F.lit(bands.down)
+    diffs = stages.write("differences", diffs.select("hub", "c", "n", near.alias("linked"), "alone", "diff"))
+    stages.drop("sets", "pairs")
 
-    links = diffs.where("linked").select("c", F.col("hub").alias("other")).union(
-        _residual(diffs, bands.up, bands.down))
+    links = stages.write("links", diffs.where("linked").select("c", F.col("hub").alias("other")).union(
+        _residual(diffs, bands.up, bands.down)))
+    stages.drop("differences")
     one, two = classes.select("c", F.col("rep").alias("u")), classes.select(F.col("c").alias("other"), F.col("rep").alias("v"))
     edges = links.join(one, "c").join(two, "other").select("u", "v")
     # Several sets of one id: the sets' representatives are linked through the id.

@@ -110,8 +110,9 @@ def test_hub_links_open_what_the_bound_allows():
         members.append((c, (hub - gone) | new))
     up, down = 190, 10
     near = lambda a, b: len(a ^ b) * up <= (len(a) + len(b)) * down
-    rows = pd.DataFrame([(c, len(s), near(s, hub), np.array(sorted(s ^ hub), np.int64), True, True) for c, s in members],
-                        columns=["c", "n", "linked", "diff", "a", "b"])
+    often = {t for n, (_, s) in enumerate(members) for t in s if any(t in o for m, (_, o) in enumerate(members) if m != n)}
+    rows = pd.DataFrame([(c, len(s), near(s, hub), len(s - often), np.array(sorted((s & often) ^ hub), np.int64), True, True)
+                         for c, s in members], columns=["c", "n", "linked", "alone", "diff", "a", "b"])
     parent = {c: ("hub" if near(s, hub) else c) for c, s in members}
     root = lambda x: x if parent.get(x, x) == x else root(parent[x])
     for x, y in _hub_links(rows, up, down):
