@@ -21,7 +21,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from issuelens.llm.common import LOWER, UPPER, WHITE, doc_key, words
+from issuelens.llm.common import UPPER, WHITE, words
 from issuelens.operators.stage import materialize
 
 SYMBOLS = "#*$%&|<>"
@@ -180,24 +180,30 @@ def _concentrate(rows: DataFrame, est: DataFrame) -> DataFrame:
     return _estimate(sums, CONSISTENCY)
 
 
+ROW = "__qr_row"
+
+
 def score_rows(docs: DataFrame, text_col: str = "text", id_col: str = "doc_id", lang_col: str = "lang",
-               source_col: str = "source", min_group: int = MIN_GROUP) -> DataFrame:
-    """One narrow row per row of ``docs``: id, row hash, base counts, ``base_failed``,
-    ``distance2`` and ``kept`` (written table)."""
+               source_col: str = "source", min_group: int = MIN_GROUP, carry: bool = False) -> DataFrame:
+    """One row per row of ``docs``: id, base counts, ``base_failed``, ``distance2`` and
+    ``kept``; with ``carry`` also the whole row as a struct (``__qr_row``).
+
+    Texts are read once: their statistics are written (with the rows, if carried),
+    and the estimates read only the narrow columns of that."""
     p = "__qr_"
+    whole = [F.struct(*[F.col(f"`{c}`") for c in docs.columns]).alias(ROW)] if carry else []
     stats = base_statistics(docs.select(
-        F.col(id_col).alias("doc_id"), doc_key(id_col).alias("key"), F.col(text_col).alias("text"),
-        F.col(lang_col).cast("string").alias("lang"), F.col(source_col).cast("string").alias("source"),
-        row_mark(text_col, lang_col, source_col).alias("mark")), "text", p)
-    stats = stats.select("doc_id", "key", "mark", "lang", "source", *[F.col(p + b).alias(b) for b in BASE],
+        F.col(id_col).alias("doc_id"), F.col(text_col).alias("text"),
+        F.col(lang_col).cast("string").alias("lang"), F.col(source_col).cast("string").alias("source"), *whole),
+        "text", p)
+    stats = stats.select("doc_id", "lang", "source", *[F.col(p + b).alias(b) for b in BASE],
                          F.col(p + "base_failed").alias("base_failed"), (~F.col(p + "base_failed")).alias("ok"),
-                         *[x.alias(n) for x, n in zip(_statistics(p), X)])
+                         *[x.alias(n) for x, n in zip(_statistics(p), X)], *[ROW] * carry)
     stats = materialize(stats, "quality-stats")
     groups = materialize(_groups(stats, min_group), "quality-groups")
     same = stats["lang"].eqNullSafe(groups["lang"]) & stats["source"].eqNullSafe(groups["source"])
     rows = stats.join(groups, same).drop(groups["lang"]).drop(groups["source"])
-    rows = materialize(rows, "quality-rows")
-    fit = rows.where("ok").select("g", *X)
+    fit = materialize(rows.where("ok").select("g", *X), "quality-rows")
     est = materialize(_start(fit), "quality-start")
     for _ in range(STEPS):
         est = materialize(_concentrate(fit, est), "quality-step")
@@ -206,13 +212,8 @@ def score_rows(docs: DataFrame, text_col: str = "text", id_col: str = "doc_id",
     scored = rows.join(est, "g", "left").withColumn("distance2", F.when(F.col("ok"), _distance()))
     # A group without rows that pass the limits has no estimate, and no row to judge.
     kept = F.col("ok") & (F.coalesce("distance2", F.lit(0.0)) <= REJECT_AT)
-    return scored.select("doc_id", "key", "mark", "lang", "source", *BASE, "base_failed", "distance2",
-                         kept.alias("kept"))
-
-
-def row_mark(text_col: str, lang_col: str, source_col: str) -> Column:
-    """Hash that tells rows of one id with different contents apart."""
-    return F.xxhash64(F.col(text_col), F.lit(0), F.col(lang_col), F.lit(0), F.col(source_col))
+    return scored.select("doc_id", "lang", "source", *BASE, "base_failed", "distance2", kept.alias("kept"),
+                         *[ROW] * carry)
 
 
 def quality_rules(docs: DataFrame, text_col: str = "text", id_col: str = "doc_id", lang_col: str = "lang",
@@ -221,11 +222,8 @@ def quality_rules(docs: DataFrame, text_col: str = "text", id_col: str = "doc_id
 
     Null and empty texts have no words and go; null languages and sources are
     groups of their own; identical rows share their verdict; an empty table
-    gives an empty table.  Rejected rows are found first (narrow) and removed
-    by an anti join, which is a broadcast where few are rejected.
+    gives an empty table.  No text is shuffled: a row's verdict comes from its
+    own statistics and its group's estimate.
     """
-    verdicts = score_rows(docs, text_col, id_col, lang_col, source_col)
-    gone = materialize(verdicts.where(~F.col("kept")).select(
-        F.col("key").alias("__qr_key"), F.col("mark").alias("__qr_mark")).distinct(), "quality-rejected")
-    marked = docs.withColumns({"__qr_key": doc_key(id_col), "__qr_mark": row_mark(text_col, lang_col, source_col)})
-    return marked.join(gone, ["__qr_key", "__qr_mark"], "left_anti").drop("__qr_key", "__qr_mark")
+    scored = score_rows(docs, text_col, id_col, lang_col, source_col, carry=True)
+    return scored.where("kept").select(f"{ROW}.*")
