@@ -9,8 +9,9 @@ block stops when enough candidates are verified.
 
 Vectors and queries are dealt into blocks of bounded size; a task holds one
 block of each, and only each query's best rows leave it.  A vector block's
-arrays are built where it is searched.  Identical vectors share all windows, so
-a vector repeated in a third of all rows only fills its block's arrays.
+arrays are built where it is searched.  Equal vectors of a block are one row of
+its arrays with the smallest of their ids: they count once towards the verified
+part, so a vector repeated in a third of all rows ends no widening early.
 """
 
 from __future__ import annotations
@@ -28,7 +29,7 @@ from issuelens.operators.stage import materialize
 PROJECTIONS = 64
 THRESHOLD = 0.60        # part of the directions a candidate must collide in
 FIRST, GROWTH, LAST = 0.5, 1.35, 2.2   # half window: first, factor, last
-VERIFY = 0.20           # part of a block after which widening stops
+VERIFY = 0.20           # part of a block's distinct vectors after which widening stops
 BLOCK_ROWS, QUERY_ROWS = 4096, 1024
 SEED = 20
 
@@ -83,29 +84,44 @@ class Block:
             half *= GROWTH
 
 
+def collapse(vectors: np.ndarray, ids: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
+    """The distinct vectors; the ids by vector and, per vector, in the order given; each
+    vector's first place among them and their number."""
+    vectors = np.ascontiguousarray(vectors + 0.0)  # -0.0 equals 0.0
+    whole = vectors.view(np.dtype((np.void, vectors.shape[1] * vectors.itemsize))).ravel()
+    _, sample, which, count = np.unique(whole, return_index=True, return_inverse=True, return_counts=True)
+    return vectors[sample], ids[np.argsort(which, kind="stable")], np.cumsum(count) - count, count
+
+
 def search_block(queries: pd.DataFrame, rows: pd.DataFrame, k: int) -> pd.DataFrame:
     """Each query's ``k`` best verified rows of one block, other rows than its own."""
     if not len(queries) or not len(rows):
         return pd.DataFrame({"query_id": np.array([], np.int64), "vec_id": np.array([], np.int64),
                              "score": np.array([], float)})
     rows = rows.sort_values("vec_id", kind="stable")
-    ids = rows["vec_id"].to_numpy(np.int64)
-    block = Block(np.array(rows["vector"].tolist(), dtype=np.float64))
+    vectors, ids, first, count = collapse(np.array(rows["vector"].tolist(), dtype=np.float64),
+                                          rows["vec_id"].to_numpy(np.int64))
+    block = Block(vectors)
     asked = np.array(queries["vector"].tolist(), dtype=np.float64)
     lengths = np.sqrt((asked * asked).sum(axis=1))
     query_ids = queries["vec_id"].tolist()
-    least = min(len(ids), max(k + 1, math.ceil(VERIFY * len(ids)) + k))
+    least = min(len(vectors), max(k + 1, math.ceil(VERIFY * len(vectors)) + k))
     out = []
     for n, found in block.candidates(asked / lengths[:, None], least):
-        found = found[ids[found] != query_ids[n]]
+        found = found[(ids[first[found]] != query_ids[n]) | (count[found] > 1)]
         score = (block.vectors[found] @ asked[n]) / (block.norms[found] * lengths[n])
         if found.size > k:  # the best, and all that may tie with the last of them
             near = score >= np.partition(score, -k)[-k] - 1e-9
             found = found[near]
         # Summed in one fixed order, so that equal vectors have equal scores.
         score = (block.vectors[found] * asked[n]).sum(axis=1) / (block.norms[found] * lengths[n])
-        best = np.lexsort((found, -score))[:k]  # ids ascend with the row
-        out.append(pd.DataFrame({"query_id": query_ids[n], "vec_id": ids[found[best]], "score": score[best]}))
+        # Each vector's smallest ids; one more than k, as the query's own may be among them.
+        each = np.minimum(count[found], k + 1)
+        at = np.repeat(first[found], each) + np.arange(each.sum()) - np.repeat(np.cumsum(each) - each, each)
+        own, score = ids[at], np.repeat(score, each)
+        own, score = own[own != query_ids[n]], score[own != query_ids[n]]
+        best = np.lexsort((own, -score))[:k]
+        out.append(pd.DataFrame({"query_id": query_ids[n], "vec_id": own[best], "score": score[best]}))
     return pd.concat(out)
 
 

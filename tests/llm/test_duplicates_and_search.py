@@ -157,6 +157,42 @@ def test_search_against_brute_force(spark):
     assert hits / (5 * len(by)) >= 0.9
 
 
+def test_search_near_a_vector_of_a_third_of_the_rows(spark):
+    rng = np.random.default_rng(1)
+    x = rng.normal(size=(2000, 64)).astype(np.float32).astype(np.float64)
+    u = x / np.linalg.norm(x, axis=1, keepdims=True)
+    cos = u @ u.T
+    np.fill_diagonal(cos, -2)
+    hot = 7
+    asked = np.flatnonzero((cos[hot] > 0.2) & (cos[hot] < 0.45)).tolist()
+    rows = [(i, v, i in asked) for i, v in enumerate(x.tolist())] + [(2000 + i, x[hot].tolist(), False) for i in range(1000)]
+    df = spark.createDataFrame(rows, "vec_id long, embedding array<double>, asked boolean")
+    by = {}
+    for r in A.nearest(df, df["asked"]).collect():
+        by.setdefault(r["query_id"], {})[r["rank"]] = (r["vec_id"], r["score"])
+    assert sorted(by) == asked and len(asked) > 50
+    copies = [hot] + list(range(2000, 3000))
+    hits = 0
+    for q in asked:
+        every = np.concatenate([cos[q], np.full(1000, cos[q, hot])])
+        want = np.lexsort((np.arange(3000), -np.round(every, 12)))[:5].tolist()
+        found = [by[q][r][0] for r in range(1, 6)]
+        held = [i for i in found if i in copies]
+        assert held == copies[:len(held)]
+        hits += len(set(want) & set(found))
+    assert hits / (5 * len(asked)) >= 0.9
+
+
+def test_copies_keep_their_ids_and_ties():
+    import pandas as pd
+    v = [[1.0, 0.0], [0.0, 1.0], [1.0, 0.0], [1.0, 0.0], [-0.0, 1.0], [1.0, 1.0]]
+    rows = pd.DataFrame({"vec_id": [9, 4, 3, 5, 2, 8], "vector": v})
+    ask = pd.DataFrame({"vec_id": [3, 8], "vector": [v[2], v[5]]})
+    got = A.search_block(ask, rows, 4)
+    assert got[got["query_id"] == 3]["vec_id"].tolist() == [5, 9, 8, 2]
+    assert got[got["query_id"] == 8]["vec_id"].tolist() == [2, 3, 4, 5]
+
+
 def test_search_of_few_and_none(spark):
     schema = "vec_id long, embedding array<float>"
     few = spark.createDataFrame([(0, [1.0, 0.0]), (1, [0.0, 1.0]), (2, [1.0, 1.0])], schema)
