@@ -7,7 +7,7 @@ one's docs.  ``run`` applies them to the documents table.
 1. quality_rules: documents that fail the limits or are robust outliers go.
 2. line_dedup: lines that many documents hold stay only in the largest id.
 3. near_duplicates: of each group of documents linked by 5-word shingles with a
-   Jaccard similarity of 0.8 or more the smallest id stays.
+   Jaccard similarity of 0.8 or more the smallest id stays, as one row.
 4. source_mix: documents are taken as often as their source's target asks; one
    that is taken twice is two rows.
 5. sentencepiece: the texts' token ids and the decoded texts.
@@ -38,18 +38,28 @@ def line_dedup_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataF
 
 
 def near_duplicates_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Documents that are the smallest id of their component; of rows that share
-    the id and the text one stays."""
-    groups = ngram_join.jaccard_components(docs, words=5, percent=80)
-    gone = materialize(groups.where(F.col("component_id").isNotNull() & (F.col("component_id") < F.col("doc_id")))
-                       .select(F.col("doc_id").alias("__nd_gone")).distinct(), "near-duplicates")
-    kept = docs.join(gone, docs["doc_id"] == gone["__nd_gone"], "left_anti")
-    mark = kept.withColumns({"__nd_key": doc_key("doc_id"), "__nd_text": F.xxhash64("text")})
-    again = mark.groupBy("__nd_key", "__nd_text").agg(F.count(F.lit(1)).alias("__nd_n")).where("__nd_n > 1")
-    again = materialize(again, "repeated-rows")
-    once = mark.join(again, ["__nd_key", "__nd_text"], "left_anti")
-    first = mark.join(again, ["__nd_key", "__nd_text"], "left_semi").dropDuplicates(["__nd_key", "__nd_text"])
-    return once.select(*docs.columns).union(first.select(*docs.columns))
+    """One row of each group of rows linked by their texts: the smallest id's, where a
+    null id is below all others, and of equal ids the smallest hash's.  Rows are
+    linked by texts alone: those that share an id, or have none, stay apart unless
+    their texts are near.  Of rows that share the id and the text one stays."""
+    rows = docs.withColumn("__nd_row", F.xxhash64(doc_key("doc_id"), "text"))
+    groups = materialize(ngram_join.jaccard_components(rows, words=5, percent=80, id_col="__nd_row").select(
+        doc_key("doc_id").alias("__nd_row"), doc_key("component_id").alias("__nd_group")), "near-groups")
+    linked = groups.where("__nd_row <> __nd_group").select("__nd_group").distinct()
+    members = groups.join(linked, "__nd_group").distinct()
+    ids = rows.groupBy("__nd_row").agg(F.min(doc_key("doc_id")).alias("__nd_key"), F.count(F.lit(1)).alias("__nd_n"))
+    ids = materialize(ids, "near-rows")
+    first = F.struct("__nd_key", "__nd_row")
+    members = materialize(members.join(ids, "__nd_row").select("__nd_group", "__nd_row", first.alias("__nd_first")),
+                          "near-members")
+    stays = members.groupBy("__nd_group").agg(F.min("__nd_first").alias("__nd_stays"))
+    gone = materialize(members.join(stays, "__nd_group").where("__nd_first <> __nd_stays").select("__nd_row"),
+                       "near-duplicates")
+    kept = rows.join(gone, "__nd_row", "left_anti")
+    again = materialize(ids.where("__nd_n > 1").select("__nd_row"), "repeated-rows")
+    once = kept.join(again, "__nd_row", "left_anti")
+    one = kept.join(again, "__nd_row", "left_semi").dropDuplicates(["__nd_row"])
+    return once.select(*docs.columns).union(one.select(*docs.columns))
 
 
 def source_mix_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:

@@ -205,6 +205,29 @@ def test_pipeline_stages(spark):
     assert all(r["ids"] == lib.encode(texts[r["doc_id"]] or "", add_eos=True) for r in final)
 
 
+def test_near_duplicates_with_null_and_repeated_ids(spark):
+    rnd = random.Random(12)
+    text = lambda: [rnd.choice("bcdfg") + str(rnd.randint(0, 10 ** 6)) for _ in range(120)]
+    near = lambda t, i: " ".join(t[:i] + ["other"] + t[i + 1:])
+    a, b, c, d, e, f = (text() for _ in range(6))
+    rows = [(i, near(a, i)) for i in range(20, 60)] + [(None, " ".join(a))]     # a null id among near copies
+    rows += [(i, near(b, i)) for i in range(60, 80)]                            # a group of ids alone
+    rows += [(5, " ".join(c)), (5, near(c, 3)), (5, near(c, 9)), (6, near(c, 70))]   # near copies of one id
+    rows += [(None, " ".join(d)), (None, near(d, 8)), (200, near(d, 50))]       # another group with null ids
+    rows += [(None, " ".join(e)), (5, " ".join(f)), (5, " ".join(f)), (None, None), (None, None), (8, "")]
+    df = spark.createDataFrame([(i, t, "src") for i, t in rows], "doc_id long, text string, source string")
+    out = corpus_pipeline.near_duplicates_stage(spark, df.repartition(5), SF)
+    assert out.columns == df.columns
+    got = [(r["doc_id"], r["text"]) for r in out.collect()]
+    group = lambda t: [(i, x) for i, x in got if x and len(set(x.split()) & set(t)) > 100]
+    assert group(a) == [(None, " ".join(a))]
+    assert group(b) == [(60, near(b, 60))]
+    assert [i for i, _ in group(c)] == [5]
+    assert [i for i, _ in group(d)] == [None]
+    assert group(e) == [(None, " ".join(e))] and group(f) == [(5, " ".join(f))]
+    assert sorted((i is None, t) for i, t in got if not t) == [(False, ""), (True, None)] and len(got) == 8
+
+
 def test_pipeline_of_nothing(spark):
     docs = spark.read.parquet(f"{SF}/documents.parquet").limit(0)
     for _, stage in corpus_pipeline.STAGES:
