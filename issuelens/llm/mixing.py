@@ -75,7 +75,8 @@ def mix_sources(docs: DataFrame, weights: Sequence[int] = (5, 2, 1), budget: flo
                 max_repeat: float = 2.0, text_col: str = "text", id_col: str = "doc_id",
                 source_col: str = "source", out: Sequence[str] = ("size", "source_size", "target", "copies")) -> DataFrame:
     """``docs`` with four columns: the document's words, its source's words, the
-    source's target and how often the mix takes the document (0 to ``max_repeat``).
+    source's target and how often the mix takes the document (0 to ``max_repeat``,
+    rounded up).
 
     The columns replace input columns of the same names.  Null or empty texts
     have size 0; a null source is a source of its own; the pick depends on id
@@ -105,9 +106,11 @@ def mix_sources(docs: DataFrame, weights: Sequence[int] = (5, 2, 1), budget: flo
         sums = rows.groupBy(SRC, prefix).agg(F.sum(SIZE).alias(SUM))
         left = materialize(_cut(sums, prefix, left, level == LEVELS), "mix-cut")
 
-    # No cut: the budget beyond the whole copies holds no word.
+    # No cut: the budget beyond the whole copies holds no word.  Where nothing is left
+    # beyond them, documents without words before the cut get no further copy either.
+    cut = F.when(F.col(LEFT) > 0, F.col(CUT))
     picks = materialize(rules.join(left.select(SRC, CUT), SRC, "left")
-                        .select(SRC, F.col(SUM), "target", BASE, F.coalesce(CUT, F.lit(0)).alias(CUT)), "mix-rules")
+                        .select(SRC, F.col(SUM), "target", BASE, F.coalesce(cut, F.lit(0)).alias(CUT)), "mix-rules")
     names = dict(zip(("size", "source_size", "target", "copies"), out))
     picks = picks.select(SRC, F.col(SUM), F.col("target").alias("__mx_target"), BASE, CUT)
     extra = (F.shiftright(HASH, HASH_BITS - LEVEL_BITS * LEVELS) < F.col(CUT)).cast("int")

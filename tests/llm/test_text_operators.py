@@ -177,6 +177,14 @@ def test_mix_of_odd_tables(spark):
     assert (blank["size"], blank["target"], blank["copies"]) == (0, 0.0, 0)
 
 
+def test_mix_repeats_empty_texts_of_a_capped_source_twice_at_most(spark):
+    rows = [(i, ("", " \n", None)[i % 3], None, "a", 0, "x", 0, 0) for i in range(200)]
+    rows += [(200, "one two three", None, "a", 0, "x", 0, 0)]
+    rows += [(i, "w " * 50, None, "b", 0, "x", 0, 0) for i in range(300, 340)]
+    got = mixing.mix_sources(spark.createDataFrame(rows, SCHEMA)).where("source = 'a'").collect()
+    assert {r["target"] for r in got} == {6.0} and {r["copies"] for r in got} == {2}
+
+
 URLS = [None, "", "nonsense", "http://Example.COM/en/x", "https://www.example.com/en/1?x=/en/", "http://a.net/es/#f",
         "http://a.net/ES/", "http://net/fr/1", "http://notnet/fr/", "http://x.com", "http://x.com?y", "http://x.com/",
         "https://u@b.example.com/en/", "http://spam-farm.org/x", "http://a.spam-farm.example.org/", "ftp://casino.org/",
