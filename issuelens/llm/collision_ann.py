@@ -26,9 +26,9 @@ from pyspark.sql import functions as F
 from issuelens.llm.common import ship_package
 from issuelens.operators.stage import materialize
 
-PROJECTIONS = 64
+PROJECTIONS = 96
 THRESHOLD = 0.60        # part of the directions a candidate must collide in
-FIRST, GROWTH, LAST = 0.5, 1.35, 2.2   # half window: first, factor, last
+FIRST, GROWTH, LAST = 0.25, 1.25, 2.2   # half window: first, factor, last
 VERIFY = 0.20           # part of a block's distinct vectors after which widening stops
 BLOCK_ROWS, QUERY_ROWS = 4096, 1024
 SEED = 20

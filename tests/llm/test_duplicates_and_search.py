@@ -183,6 +183,21 @@ def test_search_near_a_vector_of_a_third_of_the_rows(spark):
     assert hits / (5 * len(asked)) >= 0.9
 
 
+def test_recall_of_the_registered_query():
+    import pandas as pd
+    rows = pd.read_parquet("/root/testdata/sf0.1/embeddings.parquet").rename(columns={"embedding": "vector"})
+    ask = rows[rows["vec_id"] % 50 == 0]
+    v = np.array(rows["vector"].tolist(), np.float64)
+    u = v / np.linalg.norm(v, axis=1, keepdims=True)
+    got = A.search_block(ask, rows, 5)
+    hits = 0
+    for place, i in zip(np.flatnonzero(rows["vec_id"] % 50 == 0), ask["vec_id"]):
+        cos = u @ u[place]
+        cos[place] = -2
+        hits += (got[got["query_id"] == i]["score"] >= np.sort(cos)[-5] - 1e-9).sum()
+    assert hits / (5 * len(ask)) >= 0.98
+
+
 def test_copies_keep_their_ids_and_ties():
     import pandas as pd
     v = [[1.0, 0.0], [0.0, 1.0], [1.0, 0.0], [1.0, 0.0], [-0.0, 1.0], [1.0, 1.0]]
