@@ -7,8 +7,8 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from issuelens.llm import (collision_ann, cotraining, language_id, line_dedup, mixing, ngram_join, piece_bpe,
-                           quality_rules, token_files, url_filters)
+from issuelens.llm import (collision_ann, cotraining, dialogue_repair, divergence, language_id, line_dedup, mixing,
+                           ngram_join, piece_bpe, quality_rules, simhash, token_files, url_filters)
 from issuelens.llm.common import read
 from issuelens.session import scratch_path
 
@@ -86,6 +86,24 @@ def op10_url_filters(spark: SparkSession, sf_dir: str) -> DataFrame:
     return url_filters.url_filter(pages, SITE_RULES).select("page_id", "host", "path", "rule", "verdict")
 
 
+def op11_conversation_repair(spark: SparkSession, sf_dir: str) -> DataFrame:
+    turns = read(spark, sf_dir, "conversations")
+    found, edits = dialogue_repair.repair(dialogue_repair.damage(turns))
+    every = turns.select("conv_id").distinct().withColumn("key", dialogue_repair.conversation_key("conv_id"))
+    out = every.join(found, "key", "left").join(dialogue_repair.digests(edits), "key", "left")
+    counts = [F.coalesce(c, F.lit(0)).cast("long").alias(c) for c in ("gaps", "blank", "duplicate", "truncated", "illegal", "cost")]
+    return out.select("conv_id", *counts, F.coalesce("audit", F.lit("")).alias("audit"),
+                      F.coalesce("repaired_sha256", F.sha2(F.lit(""), 256)).alias("repaired_sha256"))
+
+
+def op12_source_divergence(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return divergence.divergence(read(spark, sf_dir, "documents").select("text", "lang", "source"))
+
+
+def op13_simhash(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return simhash.simhash_components(read(spark, sf_dir, "documents").select("doc_id", "text"))
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_ngram_join": op1_ngram_join,
     "op2_collision_ann": op2_collision_ann,
@@ -97,4 +115,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op8_source_mixing": op8_source_mixing,
     "op9_token_files": op9_token_files,
     "op10_url_filters": op10_url_filters,
+    "op11_conversation_repair": op11_conversation_repair,
+    "op12_source_divergence": op12_source_divergence,
+    "op13_simhash": op13_simhash,
 }
