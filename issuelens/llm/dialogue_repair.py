@@ -34,6 +34,7 @@ from functools import lru_cache, reduce
 from itertools import accumulate
 
 import pandas as pd
+import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
@@ -333,11 +334,16 @@ def digests(edits: DataFrame) -> DataFrame:
     so one task reads a conversation's rows in order, and holds none but its audit."""
     rows = edits.repartition("key").sortWithinPartitions("key", "pos", "nth").select("key", "edit", "role", "text")
 
-    def run(frames: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+    names = ["key", "audit", "repaired_sha256"]
+
+    def batch(done):
+        return pa.RecordBatch.from_arrays([pa.array(x, pa.string()) for x in (zip(*done) if done else ([], [], []))], names)
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         key, audit, sha, lines = None, [], None, 0
-        for frame in frames:
+        for rows_ in batches:
             out = []
-            for k, letter, role, text in frame.itertuples(index=False):
+            for k, letter, role, text in zip(*(rows_.column(c).to_pylist() for c in ("key", "edit", "role", "text"))):
                 if k != key:
                     if key is not None:
                         out.append((key, "".join(audit), sha.hexdigest()))
@@ -346,10 +352,10 @@ def digests(edits: DataFrame) -> DataFrame:
                 if letter != "D":
                     sha.update(f"{chr(10) if lines else ''}{role}:{text}".encode())
                     lines += 1
-            yield pd.DataFrame(out, columns=["key", "audit", "repaired_sha256"])
+            yield batch(out)
         if key is not None:
-            yield pd.DataFrame([(key, "".join(audit), sha.hexdigest())], columns=["key", "audit", "repaired_sha256"])
-    return rows.mapInPandas(run, "key string, audit string, repaired_sha256 string")
+            yield batch([(key, "".join(audit), sha.hexdigest())])
+    return rows.mapInArrow(run, "key string, audit string, repaired_sha256 string")
 
 
 def damage(turns: DataFrame) -> DataFrame:

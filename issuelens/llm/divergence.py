@@ -183,7 +183,8 @@ def divergence(docs: DataFrame, min_docs: int = MIN_DOCS, top: int = TOP_TERMS,
     rows = shares.select("lang", (F.col("id") % cuts).alias("slice"), "id", "i", "p").union(marks)
     rows = rows.join(blocks, "lang").withColumn("__meets", meets).select(
         "lang", "slice", F.col("__meets.x").alias("x"), F.col("__meets.y").alias("y"), F.col("id").alias("term"), "i", "p")
-    apart = _pair_sums(rows).groupBy("lang", "a", "b").agg(F.sum("f").alias("f"), F.sum("seen").alias("seen"))
+    apart = stages.write("pair-sums", _pair_sums(rows).groupBy("lang", "a", "b").agg(
+        F.sum("f").alias("f"), F.sum("seen").alias("seen")))
     one = groups.select("lang", F.col("i").alias("a"), F.col("source").alias("s1"), F.col("blank").alias("p1"), "v")
     other = groups.select("lang", F.col("i").alias("b"), F.col("source").alias("s2"), F.col("blank").alias("p2"))
     pairs = apart.join(one, ["lang", "a"]).join(other, ["lang", "b"]).withColumn(
