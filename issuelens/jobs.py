@@ -14,7 +14,7 @@ from issuelens.plans.timeline import status_timeline
 from issuelens.session import apply_session_defaults, cluster_settings
 from issuelens.sources.landed import read_transition_lookup
 from issuelens.sources.sinks import write_csv
-from issuelens.sources.tables import SnapshotStore
+from issuelens.sources.tables import BUCKETS, Warehouse
 from issuelens.streaming.ingest import ingest_issues, ingest_pull_requests
 
 
@@ -25,18 +25,20 @@ def prepare(spark: SparkSession, input_bytes: int | None = None) -> None:
 
 
 def ingest(spark: SparkSession, landing: str, warehouse: str, checkpoints: str, provider: str = "github",
-           project: str | None = None, as_of=None, input_bytes: int | None = None) -> SnapshotStore:
-    """Load ``landing``'s ``pull_requests``, ``commits``, ``issues`` and ``changelog`` folders."""
+           project: str | None = None, as_of=None, input_bytes: int | None = None, buckets: int = BUCKETS) -> Warehouse:
+    """Load ``landing``'s ``pull_requests``, ``commits``, ``issues`` and ``changelog`` folders.
+    ``buckets`` counts for tables that are first written."""
     prepare(spark, input_bytes)
-    ingest_pull_requests(spark, f"{landing}/pull_requests", f"{landing}/commits", warehouse, checkpoints, provider)
+    ingest_pull_requests(spark, f"{landing}/pull_requests", f"{landing}/commits", warehouse, checkpoints, provider,
+                         buckets=buckets)
     return ingest_issues(spark, f"{landing}/issues", f"{landing}/changelog", warehouse, checkpoints, as_of=as_of,
-                         project=project)
+                         project=project, buckets=buckets)
 
 
 def timeline(spark: SparkSession, warehouse: str, out: str, input_bytes: int | None = None) -> None:
     """First and last time of each issue in each status, sorted by issue key (SNK-3)."""
     prepare(spark, input_bytes)
-    store = SnapshotStore(spark, warehouse)
+    store = Warehouse(spark, warehouse)
     write_csv(status_timeline(store.read("jira_issues"), store.read("jira_changelog")), out, ["key"])
 
 
@@ -44,7 +46,7 @@ def chains(spark: SparkSession, warehouse: str, lookup: str, out: str, input_byt
            lookup_how: str = "inner") -> None:
     """Classified transitions with their issue's chain, sorted by issue and step (SNK-4)."""
     prepare(spark, input_bytes)
-    store = SnapshotStore(spark, warehouse)
+    store = Warehouse(spark, warehouse)
     rows = status_chains(store.read("jira_issues"), store.read("jira_changelog"), read_transition_lookup(spark, lookup),
                          lookup_how=lookup_how)
     write_csv(rows, out, ["issue_key", "step"])

@@ -2,9 +2,9 @@
 
 Built-in Parquet tables have no ``MERGE INTO``, so the upsert is a
 full-outer join of the current table with the de-duplicated batch on the key:
-both sides hold one row per key, so no key can be hot in the join.  The
-result is written as a new snapshot (``sources.tables``); nothing is
-overwritten in place.
+both sides hold one row per key, so no key can be hot in the join.  What is
+done with the result, and how much of a table is merged, is the caller's
+business (``streaming.incremental`` merges and writes the touched buckets).
 """
 
 from __future__ import annotations
@@ -97,16 +97,25 @@ def upsert(target: DataFrame, source: DataFrame, keys: Sequence[str], *,
     batch) are merged with it — so the table is never shuffled.  Larger
     batches use one full outer join on the key (both sides unique per key).
     """
-    keys = list(keys)
-    cols = target.columns
-    missing = [c for c in cols if c not in source.columns]
+    missing = [c for c in target.columns if c not in source.columns]
     if missing:
         raise ValueError(f"source lacks columns {missing}")
+    src = newest_per_key(source, keys, order, latest).select(*target.columns)
+    return merge(target, materialize(src, "upsert-batch"), keys, keep_cols, on_conflict, version_col, broadcast_batch_rows)
+
+
+def newest_per_key(source: DataFrame, keys: Sequence[str], order: Sequence[str | Column] = (), latest: bool = True) -> DataFrame:
+    """One row per key: the last in ``order``, or the first."""
+    return (dedupe_last if latest else dedupe_first)(source, keys, order)
+
+
+def merge(target: DataFrame, src: DataFrame, keys: Sequence[str], keep_cols: Sequence[str] = (), on_conflict: str = "update",
+          version_col: str | None = None, broadcast_batch_rows: int = BROADCAST_BATCH_ROWS) -> DataFrame:
+    """The merge of ``upsert``, for a written batch that has one row per key."""
+    keys, keep = list(keys), set(keep_cols)
     if on_conflict not in ("update", "nothing"):
         raise ValueError(f"unknown on_conflict {on_conflict!r}")
-    src = materialize((dedupe_last if latest else dedupe_first)(source, keys, order).select(*cols), "upsert-batch")
     small = has_at_most(src, broadcast_batch_rows)
-    keep = set(keep_cols)
     if on_conflict == "nothing":
         if small:
             batch_keys = F.broadcast(src.select(*keys))
@@ -121,28 +130,41 @@ def upsert(target: DataFrame, source: DataFrame, keys: Sequence[str], *,
     return untouched.unionByName(_merge_rows(touched, src, keys, keep, version_col))
 
 
-# The five instances of the reference tables.
+# The rules of the five tables.
+RULES: dict[str, dict] = {
+    # UPS-1: every non-key column is updated, by a version not older.
+    "pull_requests": {"keys": ["id"], "version_col": "updated_at"},
+    # UPS-2.
+    "pull_request_commits": {"keys": ["sha", "pull_request_id"]},
+    # UPS-3: ``created_at`` keeps its first value; ``updated_at`` comes from the batch.
+    "jira_issues": {"keys": ["key"], "keep_cols": ["created_at"]},
+    # UPS-4: ``issue_key`` and ``field_type`` keep their first value.
+    "jira_changelog": {"keys": ["id", "field"], "keep_cols": ["issue_key", "field_type"]},
+    # UPS-5: DO NOTHING, an existing edge keeps its first ``created_at``.
+    "jira_links": {"keys": ["source_issue_key", "target_issue_key", "link_type"], "on_conflict": "nothing"},
+}
+
+
 def upsert_pull_requests(target: DataFrame, source: DataFrame, **kw) -> DataFrame:
-    """UPS-1: every non-key column is updated, by a version not older (``updated_at``)."""
-    return upsert(target, source, ["id"], **{"version_col": "updated_at", **kw})
+    """UPS-1."""
+    return upsert(target, source, **{**RULES["pull_requests"], **kw})
 
 
 def upsert_pull_request_commits(target: DataFrame, source: DataFrame, **kw) -> DataFrame:
     """UPS-2."""
-    return upsert(target, source, ["sha", "pull_request_id"], **kw)
+    return upsert(target, source, **{**RULES["pull_request_commits"], **kw})
 
 
 def upsert_issues(target: DataFrame, source: DataFrame, **kw) -> DataFrame:
-    """UPS-3: ``created_at`` keeps its first value; ``updated_at`` comes from the batch."""
-    return upsert(target, source, ["key"], keep_cols=["created_at"], **kw)
+    """UPS-3."""
+    return upsert(target, source, **{**RULES["jira_issues"], **kw})
 
 
 def upsert_changelog(target: DataFrame, source: DataFrame, **kw) -> DataFrame:
-    """UPS-4: ``issue_key`` and ``field_type`` keep their first value."""
-    return upsert(target, source, ["id", "field"], keep_cols=["issue_key", "field_type"], **kw)
+    """UPS-4."""
+    return upsert(target, source, **{**RULES["jira_changelog"], **kw})
 
 
 def upsert_links(target: DataFrame, source: DataFrame, **kw) -> DataFrame:
-    """UPS-5: DO NOTHING — an existing edge keeps its first ``created_at``."""
-    return upsert(target, source, ["source_issue_key", "target_issue_key", "link_type"],
-                  on_conflict="nothing", **kw)
+    """UPS-5."""
+    return upsert(target, source, **{**RULES["jira_links"], **kw})

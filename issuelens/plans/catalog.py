@@ -24,9 +24,10 @@ from issuelens.plans import pull_requests as pr_q, timeline, transitions
 from issuelens.session import apply_session_defaults, scratch_path
 from issuelens.sources.landed import NTZ_MICROS, parse_json_column, read_transition_lookup
 from issuelens.sources.sinks import write_csv
-from issuelens.sources.tables import SnapshotStore
-from issuelens.streaming.incremental import run_incremental
+from issuelens.sources.tables import Warehouse
+from issuelens.streaming.incremental import Load, run_incremental, run_latest
 from issuelens.streaming.ingest import ingest_issues, ingest_pull_requests
+from issuelens.streaming.quarantine import read_loads, read_quarantine
 
 Query = Callable[[SparkSession, str], DataFrame]
 
@@ -261,12 +262,99 @@ def q_pull_request_ingest(spark, sf):
     return store.read("pull_requests")
 
 
+def _landed_pages(prs: DataFrame) -> DataFrame:
+    """(page, text): PR pages as JSON arrays, one text each."""
+    raw = _landed_pr(prs)
+    page = F.call_function("div", F.col("id"), F.lit(P.PAGE_SIZE)).alias("page")
+    one = F.struct(*[F.col(c) for c in raw.columns])
+    return raw.groupBy(page).agg(F.to_json(F.array_sort(F.collect_list(one)), {"ignoreNullFields": "false"}).alias("text"))
+
+
+def _of(numbers):
+    return F.col("page") % numbers[0] == numbers[1]
+
+
+def q_landed_quarantine(spark, sf):
+    """PR pages of which some land cut off, and some of those later again whole: of each
+    page the rows in the table, and what the quarantine holds."""
+    _prep(spark)
+    root = scratch_path(spark, "quarantine")
+    pages = _landed_pages(X.pull_requests(spark, sf))
+    cut = F.expr(f"substr(text, 1, cast(length(text) * {P.CUT_PERCENT} div 100 as int))")
+    first = pages.select(F.when(_of(P.CUT_PAGES), cut).otherwise(F.col("text")).alias("value"))
+    spark.createDataFrame([], "value string").write.text(f"{root}/commits")
+    for texts in (first, pages.where(_of(P.REPAIRED_PAGES)).select(F.col("text").alias("value"))):
+        texts.write.mode("append").text(f"{root}/prs")
+        store = ingest_pull_requests(spark, f"{root}/prs", f"{root}/commits", f"{root}/warehouse", f"{root}/checkpoint",
+                                     multi_line=False)
+    page = lambda c: F.call_function("div", c, F.lit(P.PAGE_SIZE)).alias("page")
+    rows = store.read("pull_requests").select(page(F.col("id")), F.lit(1).alias("row"), F.lit(None).cast("string").alias("text"))
+    first_id = F.regexp_extract("text", '"id":(\\d+)', 1).cast("long")
+    aside = read_quarantine(store).select(page(first_id), F.lit(0).alias("row"), F.md5("text").alias("text"))
+    return rows.union(aside).groupBy("page").agg(
+        F.sum("row").alias("n_loaded"), F.count("text").alias("n_quarantined"), F.max("text").alias("text_md5"))
+
+
+def q_commit_ingest(spark, sf):
+    """All commits, landed as pages in two runs, those of every tenth PR again."""
+    _prep(spark)
+    store = _commit_store(spark, sf)
+    return store.read("pull_request_commits")
+
+
+def _commit_store(spark, sf):
+    root = scratch_path(spark, "commit-ingest")
+    commits = X.pull_request_commits(spark, sf)
+    spark.createDataFrame([], "value string").write.text(f"{root}/prs")
+    late = F.col("pull_request_id") % 2 == 1
+    relanded = commits.where(F.col("pull_request_id") % P.RELANDED == 0).withColumn("message", F.concat(F.lit("again: "), "message"))
+    for rows in (commits.where(~late), commits.where(late).union(relanded)):
+        _commit_pages(rows).write.mode("append").text(f"{root}/commits")
+        store = ingest_pull_requests(spark, f"{root}/prs", f"{root}/commits", f"{root}/warehouse", f"{root}/checkpoint",
+                                     multi_line=False)
+    return store
+
+
+def _commit_pages(commits: DataFrame) -> DataFrame:
+    """Commit pages as JSON arrays; one kind of commit has dates that do not parse."""
+    bad = F.col("message").contains(f"change {''.join(P.BAD_DATE_FLAG)}")
+    date_text = F.when(bad, F.date_format("author_date", "dd/MM/yyyy")).otherwise(iso_z("author_date"))
+
+    def person(kind, date):
+        return F.struct(F.col(f"{kind}_name").alias("name"), F.col(f"{kind}_email").alias("email"), date.alias("date")).alias(kind)
+    obj = F.struct("sha", "html_url", F.struct("message", person("author", date_text), person("committer", iso_z("commit_date")))
+                   .alias("commit"), "pull_request_id", "pull_request_number")
+    page = F.call_function("div", F.col("pull_request_id"), F.lit(P.PAGE_SIZE))
+    return commits.groupBy(page.alias("page")).agg(F.to_json(F.collect_list(obj)).alias("value")).select("value")
+
+
+def q_changelog_ingest(spark, sf):
+    """The changelog of both landings of ``issue_ingest``, in both API shapes."""
+    _prep(spark)
+    return _issue_store(spark, sf).read("jira_changelog")
+
+
+def q_load_counters(spark, sf):
+    """What the batches of the issue and the commit loads read, inserted and updated."""
+    _prep(spark)
+    loads = read_loads(_issue_store(spark, sf)).union(read_loads(_commit_store(spark, sf)))
+    return loads.where(F.col("table") != "jira_links").select(
+        F.col("table").alias("into_table"), "batch", "elements", "quarantined", "inserted", "updated")
+
+
 def _landed_issues(issues: DataFrame) -> DataFrame:
     """Issue search envelopes of one issue each, as JSON text lines."""
     return issues.select(F.format_string('{"issues": [{"key": "%s", "id": "%s", "fields": %s}]}', "key", "id", "fields")
                          .alias("value"))
 
 
+def _other_project(issues: DataFrame) -> DataFrame:
+    """Some of the issues once more, as those of a project that is not loaded."""
+    fields = F.replace("fields", F.lit(f'"project":{{"key":"{X.PROJECT}"}}'), F.lit('"project":{"key":"OTHER"}'))
+    return issues.where(F.col("id").cast("long") % P.OTHER_PROJECT_EVERY == 0).withColumns({
+        "key": F.replace("key", F.lit(X.PROJECT), F.lit("OTHER")), "fields": fields})
+
+
 def _issue_store(spark, sf):
     root = scratch_path(spark, "issue-ingest")
     issues, changelog = X.issues(spark, sf), _nested_changelog(spark, sf)
@@ -274,7 +362,7 @@ def _issue_store(spark, sf):
     changelog.select(F.col("json").alias("value")).write.text(f"{root}/changelog")
     again = issues.where(F.col("id").cast("long") % P.RELANDED == 1)
     for n, rows in enumerate((issues.where(first), issues.where(~first).union(again))):
-        _landed_issues(rows).write.mode("append").text(f"{root}/issues")
+        _landed_issues(rows.union(_other_project(rows))).write.mode("append").text(f"{root}/issues")
         day = F.timestamp_add("DAY", F.lit(n), as_of_lit(X.LOAD_TIME))
         store = ingest_issues(spark, f"{root}/issues", f"{root}/changelog", f"{root}/warehouse", f"{root}/checkpoint",
                               as_of=day, multi_line_issues=False, project=X.PROJECT)
@@ -282,7 +370,8 @@ def _issue_store(spark, sf):
 
 
 def q_issue_ingest(spark, sf):
-    """All issues of the project, landed in two runs, some again; load times tell the runs."""
+    """All issues of the project, landed in two runs among those of another one, some again;
+    load times tell the runs."""
     _prep(spark)
     store = _issue_store(spark, sf)
     rows = store.read("jira_issues")
@@ -361,7 +450,7 @@ def q_incremental_upsert(spark, sf):
     _prep(spark)
     root = scratch_path(spark, "incremental")
     landing, ckpt = f"{root}/landing", f"{root}/_checkpoint"
-    store = SnapshotStore(spark, f"{root}/warehouse")
+    store = Warehouse(spark, f"{root}/warehouse")
     ev = X.table(spark, sf, "events")
     raw_schema = ev.schema
     bounds = [None, *P.RUN_SPLITS, None]
@@ -376,18 +465,39 @@ def q_incremental_upsert(spark, sf):
         as_of = as_of_lit(X.LOAD_TIME)
         as_of = F.timestamp_add("DAY", F.lit(run), as_of)
 
-        def merge(current, batch, batch_id, as_of=as_of):
-            rows = batch.select(
+        def rows(batch, as_of=as_of):
+            return batch.select(
                 F.concat(F.lit(X.PROJECT + "-"), F.col("user_id").cast("string")).alias("issue_key"),
                 F.col("event_id").alias("last_event_id"), F.col("event_type").alias("status"), "value",
                 F.col("ts").alias("updated_at"), as_of.alias("created_at"), as_of.alias("loaded_at"))
-            return upsert(current, rows, ["issue_key"], keep_cols=["created_at"],
-                          order=["updated_at", "last_event_id"], latest=True)
-        run_incremental(spark, landing, store, "issue_status", raw_schema, merge, ckpt,
-                        table_schema=ISSUE_STATUS)
+        load = Load("issue_status", rows, ["issue_key"], ["updated_at", "last_event_id"], ["created_at"], schema=ISSUE_STATUS)
+        run_incremental(spark, landing, store, raw_schema, load, ckpt)
     return store.read("issue_status", ISSUE_STATUS)
 
 
+def q_latest_versions(spark, sf):
+    """Each issue's last event, kept in a stream's state over three runs that land the last
+    period first, and in each run part of what had landed before."""
+    _prep(spark)
+    root = scratch_path(spark, "latest")
+    store = Warehouse(spark, f"{root}/warehouse")
+    ev = X.table(spark, sf, "events")
+    one, two = (F.lit(t).cast("timestamp_ntz") for t in P.RUN_SPLITS)
+    periods = [F.col("ts") >= two, F.col("ts") < one, (F.col("ts") >= one) & (F.col("ts") < two)]
+    columns = [F.concat(F.lit(X.PROJECT + "-"), F.col("user_id").cast("string")).alias("issue_key"),
+               F.col("event_id").alias("last_event_id"), F.col("event_type").alias("status"), "value", F.col("ts").alias("updated_at")]
+    schema = T.StructType([f for f in ISSUE_STATUS if f.name not in ("created_at", "loaded_at")])
+    load = Load("issue_status", lambda rows: rows.select(*columns), ["issue_key"], ["updated_at", "last_event_id"],
+                version_col="updated_at", schema=schema)
+    landed = F.lit(False)
+    for n, period in enumerate(periods):
+        again = landed & (F.col("event_id") % len(periods) == n)
+        ev.where(period | again).write.mode("append").option("timestampNTZFormat", NTZ_MICROS).json(f"{root}/landing")
+        landed = landed | period
+        run_latest(spark, f"{root}/landing", store, ev.schema, load, f"{root}/checkpoint")
+    return store.read("issue_status", schema)
+
+
 QUERIES: dict[str, Query] = {
     "status_timeline": q_status_timeline,
     "status_values": q_status_values,
@@ -425,4 +535,9 @@ QUERIES: dict[str, Query] = {
     "lookup_gaps": q_lookup_gaps,
     "flatten_changelog": q_flatten_changelog,
     "incremental_upsert": q_incremental_upsert,
+    "landed_quarantine": q_landed_quarantine,
+    "commit_ingest": q_commit_ingest,
+    "changelog_ingest": q_changelog_ingest,
+    "load_counters": q_load_counters,
+    "latest_versions": q_latest_versions,
 }

@@ -340,4 +340,36 @@ FROM jira_changelog c WHERE field = 'status' AND NOT EXISTS (
 GROUP BY from_string, to_string""")
     q["flatten_changelog"] = _flatten_body()
     q["incremental_upsert"] = _incremental_body()
+    iso = lambda c: f"strftime({c}, '%Y-%m-%dT%H:%M:%SZ')"
+    cut = f"page % {P.CUT_PAGES[0]} = {P.CUT_PAGES[1]}"
+    q["landed_quarantine"] = W(["pull_requests"], f"""SELECT page,
+       CASE WHEN {cut} AND page % {P.REPAIRED_PAGES[0]} <> {P.REPAIRED_PAGES[1]} THEN 0 ELSE n END AS n_loaded,
+       CASE WHEN {cut} THEN 1 ELSE 0 END AS n_quarantined,
+       CASE WHEN {cut} THEN md5(substr(text, 1, CAST(length(text) * {P.CUT_PERCENT} // 100 AS BIGINT))) END AS text_md5
+FROM (SELECT id // {P.PAGE_SIZE} AS page, COUNT(*) AS n, CAST(to_json(list({{
+    'id': id, 'number': number, 'title': title, 'user': {{'login': user_login}}, 'state': state,
+    'created_at': {iso('created_at')}, 'updated_at': {iso('updated_at')}, 'closed_at': {iso('closed_at')},
+    'merged_at': {iso('merged_at')}, 'html_url': html_url}} ORDER BY id)) AS VARCHAR) AS text
+  FROM pull_requests GROUP BY id // {P.PAGE_SIZE}) p""")
+    again = f"pull_request_id % {P.RELANDED} = 0"
+    q["commit_ingest"] = W(["pull_request_commits"], f"""SELECT sha, pull_request_id, pull_request_number, author_name, author_email,
+       CASE WHEN NOT contains(message, 'change {"".join(P.BAD_DATE_FLAG)}') THEN author_date END AS author_date, committer_name,
+       committer_email, commit_date, CASE WHEN {again} THEN 'again: ' || message ELSE message END AS message, html_url
+FROM pull_request_commits""")
+    q["changelog_ingest"] = q["flatten_changelog"]
+    first, other = f"k % {P.RELANDED} <> 0", f"k % {P.OTHER_PROJECT_EVERY} = 0"
+    q["load_counters"] = W(["jira_issues", "pull_request_commits"], f"""SELECT 'jira_issues' AS into_table, 0 AS batch,
+       COUNT(*) FILTER (WHERE {first}) + COUNT(*) FILTER (WHERE {first} AND {other}) AS elements, 0 AS quarantined,
+       COUNT(*) FILTER (WHERE {first}) AS inserted, 0 AS updated FROM i
+UNION ALL SELECT 'jira_issues', 1, COUNT(*) FILTER (WHERE k % {P.RELANDED} <= 1)
+       + COUNT(*) FILTER (WHERE k % {P.RELANDED} <= 1 AND {other}), 0,
+       COUNT(*) FILTER (WHERE NOT ({first})), COUNT(*) FILTER (WHERE k % {P.RELANDED} = 1) FROM i
+UNION ALL SELECT 'jira_changelog', 0, (SELECT COUNT(*) FROM events), 0, COUNT(*), 0 FROM changes
+UNION ALL SELECT 'pull_request_commits', 0, COUNT(*), 0, COUNT(*), 0 FROM pull_request_commits WHERE pull_request_id % 2 = 0
+UNION ALL SELECT 'pull_request_commits', 1, COUNT(*) FILTER (WHERE pull_request_id % 2 = 1 OR {again}), 0,
+       COUNT(*) FILTER (WHERE pull_request_id % 2 = 1), COUNT(*) FILTER (WHERE {again}) FROM pull_request_commits""",
+                           ["i AS (SELECT CAST(split_part(key, '-', 2) AS BIGINT) AS k FROM jira_issues)",
+                            f"changes AS ({_flatten_body()})"])
+    q["latest_versions"] = f"""SELECT {KEY.format('user_id')} AS issue_key, event_id AS last_event_id, event_type AS status, value,
+       ts AS updated_at FROM events QUALIFY ROW_NUMBER() OVER (PARTITION BY user_id ORDER BY ts DESC, event_id DESC) = 1"""
     return q

@@ -15,4 +15,9 @@ BAD_DATE_FLAG = ("R", "F")                   # landed commits with this flag/sta
 NO_ITEMS_EVERY = 50                          # changelog entries with id % 50 == 0 have no items
 NO_AUTHOR_EVERY = 7                          # … with id % 7 == 0 have no author
 RUN_SPLITS = ("2024-01-11 00:00:00", "2024-01-21 00:00:00")  # incremental runs split events by ts
+PAGE_SIZE = 50                               # PRs of one landed page
+CUT_PAGES = (7, 3)                           # pages with page % 7 == 3 are cut off …
+REPAIRED_PAGES = (14, 3)                     # … and those with page % 14 == 3 land again whole
+CUT_PERCENT = 60                             # what is left of a cut page's characters
+OTHER_PROJECT_EVERY = 7                      # issues that another project has too
 RELANDED = 10                                # every 10th key lands again in a later run

@@ -1,7 +1,7 @@
 """Code-host provider registry (UDX-1).
 
-A provider is the pair of payload schemas plus the two DataFrame
-normalisers that turn its landed pages into ``pull_requests`` and
+A provider is the pair of page descriptions (payload schema and keys) plus the
+two DataFrame normalisers that turn its landed pages into ``pull_requests`` and
 ``pull_request_commits`` rows.  Another host plugs in by registering its own
 schemas and functions; the fetch half (HTTP clients) is out of scope — pages
 arrive as landed files.
@@ -13,17 +13,16 @@ from collections.abc import Callable
 from dataclasses import dataclass
 
 from pyspark.sql import DataFrame
-from pyspark.sql.types import StructType
 
-from issuelens import schemas
 from issuelens.operators.normalize import normalize_commits, normalize_pull_requests
+from issuelens.sources.landed import COMMIT_PAGES, PULL_REQUEST_PAGES, Pages
 
 
 @dataclass(frozen=True)
 class Provider:
     name: str
-    pull_request_schema: StructType
-    commit_schema: StructType
+    pull_request_pages: Pages
+    commit_pages: Pages
     normalize_pull_requests: Callable[[DataFrame], DataFrame]
     normalize_commits: Callable[[DataFrame], DataFrame]
 
@@ -46,5 +45,5 @@ def names() -> list[str]:
     return sorted(_REGISTRY)
 
 
-register(Provider("github", schemas.PR_RAW, schemas.COMMIT_RAW,
+register(Provider("github", PULL_REQUEST_PAGES, COMMIT_PAGES,
                   normalize_pull_requests, normalize_commits))

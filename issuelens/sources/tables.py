@@ -1,125 +1,107 @@
-"""Persisted tables as Parquet snapshots (SRC-5, SRC-7, SNK-1).
-
-Layout: ``<root>/<table>/v=<version>/`` holds one complete snapshot; a
-``_COMMITTED`` marker written after the data makes it visible.  A reader takes
-the highest committed version, so a half-written snapshot is never read and a
-retried write of the same version simply rewrites its own folder.  The marker
-also carries the last applied batch of every stream that feeds the table.
-After a commit, versions older than the last ``KEEP_VERSIONS`` are deleted.
+"""Persisted tables as partitioned Parquet (SRC-5, SRC-7, SNK-1).
+
+A table's rows lie in folders by ``bucket``, a hash of their key, so a load reads
+and replaces only the buckets that its keys fall into: Spark's dynamic partition
+overwrite stages the new files and then swaps the touched folders, all others
+keep their files.  Every row carries the stream and the batch that wrote it
+(``LOADED_BY``).  The number of buckets is fixed when a table is first written
+(its folder says ``of=<n>``); at about 1 GB a bucket, a table of 10 TB takes
+10,000.  A table has one writer at a time, and readers come between loads.
 """
 
 from __future__ import annotations
 
-import json
+from collections.abc import Sequence
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from issuelens import schemas
-from issuelens.session import delete_path, list_dirs, path_exists, read_text_file, write_text_file
-from issuelens.sources.sinks import with_counters
+from issuelens.session import list_dirs
 
-MARKER = "_COMMITTED"
-KEEP_VERSIONS = 3  # a reader of the version before the latest is not cut off
+BUCKETS = 16
+LOADED_BY = T.StructType([T.StructField("load_stream", T.StringType()), T.StructField("load_batch", T.LongType())])
 
-# Directory partitioning per table: the changelog by ``field``, so the
+# Further partitioning per table: the changelog by ``field``, so the
 # ``field = 'status'`` filter of every status query prunes whole folders.
 PARTITION_BY = {"jira_changelog": ["field"]}
 
 
-class SnapshotStore:
-    def __init__(self, spark: SparkSession, root: str, partition_by: dict | None = None):
+def bucket_of(keys: Sequence[str], buckets: int) -> Column:
+    return F.pmod(F.xxhash64(*keys), F.lit(buckets)).cast("int")
+
+
+class Warehouse:
+    """The tables below one folder."""
+
+    def __init__(self, spark: SparkSession, root: str, buckets: int = BUCKETS):
         self.spark = spark
         self.root = root.rstrip("/")
-        self.partition_by = PARTITION_BY if partition_by is None else partition_by
-
-    def _dir(self, name: str, version: int) -> str:
-        return f"{self.root}/{name}/v={version:08d}"
-
-    def versions(self, name: str) -> list[int]:
-        out = []
-        for d in list_dirs(self.spark, f"{self.root}/{name}"):
-            if d.startswith("v=") and path_exists(self.spark, f"{self.root}/{name}/{d}/{MARKER}"):
-                out.append(int(d[2:]))
-        return sorted(out)
-
-    def current_version(self, name: str, below: int | None = None) -> int | None:
-        vs = [v for v in self.versions(name) if below is None or v < below]
-        return vs[-1] if vs else None
-
-    def is_committed(self, name: str, version: int) -> bool:
-        return path_exists(self.spark, f"{self._dir(name, version)}/{MARKER}")
-
-    def read(self, name: str, schema=None, below: int | None = None) -> DataFrame:
-        """The latest committed snapshot; the typed empty table before the first run."""
-        schema = schema or schemas.TABLES.get(name)
-        v = self.current_version(name, below)
-        if v is None:
-            if schema is None:
-                raise ValueError(f"no snapshot of {name} and no schema")
-            return schemas.empty_frame(self.spark, schema)
-        path = self._dir(name, v)
-        reader = self.spark.read.option("basePath", path)
-        if schema is not None:
-            reader = reader.schema(schema)
-        df = reader.parquet(path)
-        return df.select(*schema.names) if schema is not None else df
-
-    def last_batch(self, name: str, stream: str) -> int:
-        """The last batch of ``stream`` that the table holds; -1 if none."""
-        v = self.current_version(name)
-        info = self.commit_info(name, v) if v is not None else None
-        return (info or {}).get("batches", {}).get(stream, -1)
-
-    def commit_batch(self, name: str, df: DataFrame, stream: str, batch_id: int) -> bool:
-        """Write ``df`` as the next version, holding ``stream`` up to ``batch_id``;
-        a batch that the table already holds is skipped."""
-        if self.last_batch(name, stream) >= batch_id:
-            return False
-        return self.commit(name, df, (self.current_version(name) or 0) + 1, {stream: batch_id})
-
-    def commit(self, name: str, df: DataFrame, version: int, batches: dict | None = None) -> bool:
-        """Write ``df`` as ``version`` unless that version is already committed.
-
-        The commit marker records the rows written (SNK-5), counted by an
-        ``Observation`` on the write itself — no extra job."""
-        if self.is_committed(name, version):
-            return False
-        path = self._dir(name, version)
-        before = self.current_version(name, below=version)
-        held = (self.commit_info(name, before) or {}).get("batches", {}) if before is not None else {}
-        df, obs = with_counters(df, f"{name}-v{version}")
-        writer = df.write.mode("overwrite")
-        parts = [c for c in self.partition_by.get(name, []) if c in df.columns]
-        if parts:
-            writer = writer.partitionBy(*parts)
-        writer.parquet(path)
-        info = {"version": version, "rows": int(obs.get["rows"]), "batches": {**held, **(batches or {})}}
-        write_text_file(self.spark, f"{path}/{MARKER}", json.dumps(info))
-        for old in self.versions(name)[:-KEEP_VERSIONS]:
-            delete_path(self.spark, self._dir(name, old))
-        return True
-
-    def commit_info(self, name: str, version: int) -> dict | None:
-        """What the commit marker of ``version`` recorded (version, rows written)."""
-        text = read_text_file(self.spark, f"{self._dir(name, version)}/{MARKER}")
-        return json.loads(text) if text else None
+        self.new_buckets = buckets
+
+    def _written(self, name: str) -> list[int]:
+        return [int(d[3:]) for d in list_dirs(self.spark, f"{self.root}/{name}") if d.startswith("of=")]
+
+    def exists(self, name: str) -> bool:
+        """SRC-7: has anything ever been written to the table?"""
+        return bool(self._written(name))
+
+    def buckets(self, name: str) -> int:
+        return next(iter(self._written(name)), self.new_buckets)
+
+    def path(self, name: str) -> str:
+        return f"{self.root}/{name}/of={self.buckets(name)}"
+
+    def rows(self, name: str, schema: T.StructType | None = None, buckets: Sequence[int] | None = None) -> DataFrame:
+        """The table with its ``bucket`` and ``LOADED_BY`` columns; with ``buckets`` only
+        theirs (other folders are not listed as input).  Typed and empty before the
+        first load."""
+        schema = schema or schemas.TABLES[name]
+        full = T.StructType([*schema.fields, *LOADED_BY.fields, T.StructField("bucket", T.IntegerType())])
+        if not self.exists(name):
+            return schemas.empty_frame(self.spark, full)
+        df = self.spark.read.schema(full).option("basePath", self.path(name)).parquet(self.path(name))
+        if buckets is not None:
+            df = df.where(F.col("bucket").isin(*buckets))
+        # An empty text is no folder name: Spark files it under its default partition.
+        empty = {c: F.coalesce(F.col(c), F.lit("")) for c in PARTITION_BY.get(name, []) if c in schema.names}
+        return df.select(*[empty.get(c, F.col(c)).alias(c) for c in full.names])
+
+    def read(self, name: str, schema: T.StructType | None = None) -> DataFrame:
+        """SRC-5: the table's own columns (pruning and pushdown apply)."""
+        schema = schema or schemas.TABLES[name]
+        return self.rows(name, schema).select(*schema.names)
+
+    def replace_buckets(self, name: str, rows: DataFrame) -> None:
+        """Write ``rows`` (as ``rows`` gives them) in place of what the folders they belong to
+        held.  The folders' files are of about the advisory partition size."""
+        parts = [c for c in PARTITION_BY.get(name, []) if c in rows.columns] + ["bucket"]
+        (rows.hint("rebalance", *parts).write.mode("overwrite").option("partitionOverwriteMode", "dynamic")
+         .partitionBy(*parts).parquet(self.path(name)))
+
+    def write(self, name: str, df: DataFrame, keys: Sequence[str] | None = None) -> None:
+        """Write a whole table at once, outside of any stream."""
+        keys = keys or schemas.KEYS[name]
+        none = [F.lit(None).cast(f.dataType).alias(f.name) for f in LOADED_BY.fields]
+        self.replace_buckets(name, df.select("*", *none, bucket_of(keys, self.buckets(name)).alias("bucket")))
 
 
 def read_table(spark: SparkSession, root: str, name: str) -> DataFrame:
-    """SRC-5: scan the current snapshot of a table (pruning and pushdown apply)."""
-    return SnapshotStore(spark, root).read(name)
+    """SRC-5."""
+    return Warehouse(spark, root).read(name)
 
 
 def table_exists(spark: SparkSession, root: str, name: str) -> bool:
-    """SRC-7: has the table ever been committed?"""
-    return SnapshotStore(spark, root).current_version(name) is not None
+    """SRC-7."""
+    return Warehouse(spark, root).exists(name)
 
 
-def register_views(store: SnapshotStore) -> list[str]:
-    """SNK-2: the current snapshots as temporary views, so SQL written against
-    the tables runs as is: the five tables, the derived ``commits`` /
-    ``pr_commits`` views, and ``json_extract_string(json, path)`` as a SQL
-    function (inlined to ``get_json_object``; no Python)."""
+def register_views(store: Warehouse) -> list[str]:
+    """SNK-2: the tables as temporary views, so SQL written against them runs as is:
+    the five tables, the derived ``commits`` / ``pr_commits`` views, and
+    ``json_extract_string(json, path)`` as a SQL function (inlined to
+    ``get_json_object``; no Python)."""
     from issuelens.plans.pull_requests import commit_views
     spark = store.spark
     names = []

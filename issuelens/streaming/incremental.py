@@ -1,29 +1,54 @@
 """Incremental upsert of landed files: ``readStream`` → ``availableNow`` →
-``foreachBatch(upsert)`` into Parquet snapshots.
+``foreachBatch`` → merge into the tables' buckets.
 
 The stream checkpoint decides which landed files are new (replacing the
 reference's "fetch only records newer than the last run").  Every micro-batch
-is merged into its tables by key and committed as the next snapshot of each.
-A commit marker carries, per stream (the id that its checkpoint keeps), the
-last batch it holds, so a batch replayed after a failure finds itself applied
-and does nothing, while another stream, landing folder or a fresh checkpoint on
-the same table is merged as new.  A half-written snapshot has no commit marker
-and is never read.  A table has one writer at a time.
+is reduced to one row per key, merged with the buckets its keys fall into, and
+those buckets are written; the rest of the table is neither read nor written.
+
+A batch that is replayed after a failure gives the same table: the merged
+buckets are first written next to the checkpoint (``staged``), then put in place;
+a replay that finds them complete puts the same files in place again, and one
+that does not has left the table as it was.  Landing folders, streams and fresh
+checkpoints on one table are merged by the table's own rule.
 """
 
 from __future__ import annotations
 
 import json
-from collections.abc import Callable, Mapping
+from collections.abc import Callable, Sequence
+from contextlib import contextmanager
+from dataclasses import dataclass, field, replace
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, Observation, SparkSession
+from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
+from issuelens import schemas
 from issuelens.operators.stage import materialize
-from issuelens.session import read_text_file
-from issuelens.sources.landed import NTZ_MICROS
-from issuelens.sources.tables import SnapshotStore
+from issuelens.operators.upsert import merge, newest_per_key
+from issuelens.session import delete_path, path_exists, read_text_file
+from issuelens.sources.landed import NTZ_MICROS, Pages, page_rows, page_texts, parse_pages
+from issuelens.sources.tables import Warehouse, bucket_of
+from issuelens.streaming.quarantine import log_load, put_aside
+
+#: Columns that say when a landed row came: file, page in the file, place in the page.
+LANDED = ["_file", "_pos", "_el"]
+
 
-MergeFn = Callable[[DataFrame, DataFrame, int], DataFrame]
+@dataclass(frozen=True)
+class Load:
+    """How a batch's rows go into one table: ``rows`` makes table rows of them (order
+    columns may follow), of which the last per key in ``order`` counts."""
+    table: str
+    rows: Callable[[DataFrame], DataFrame]
+    keys: Sequence[str]
+    order: Sequence = ()
+    keep_cols: Sequence[str] = ()
+    on_conflict: str = "update"
+    version_col: str | None = None
+    schema: T.StructType | None = None
+    latest: bool = field(default=True)
 
 
 def stream_id(spark: SparkSession, checkpoint: str) -> str:
@@ -34,44 +59,123 @@ def stream_id(spark: SparkSession, checkpoint: str) -> str:
     return json.loads(text)["id"]
 
 
-def batch_writer(store: SnapshotStore, checkpoint: str, merges: Mapping[str, MergeFn],
-                 prepare: Callable[[DataFrame], DataFrame] | None = None, schemas_: Mapping | None = None):
-    """The ``foreachBatch`` function: merge the batch into the latest snapshot of
-    each table.  The batch is parsed (and ``prepare``d) once and written, and
-    all merges read that."""
+def _staged(checkpoint: str, load: Load, batch_id: int) -> str:
+    return f"{checkpoint}/staged/{load.table}/{batch_id}"
+
+
+def stage_load(store: Warehouse, load: Load, batch: DataFrame, stream: str, batch_id: int, path: str) -> dict | None:
+    """Write the touched buckets as they will be; the counts of what changes, or None when
+    the batch has no row for the table."""
+    schema = load.schema or schemas.TABLES[load.table]
+    keyed = load.rows(batch).dropna(subset=list(load.keys))
+    src = newest_per_key(keyed, load.keys, load.order, load.latest).select(*schema.names)
+    src = materialize(src.select(
+        "*", F.lit(stream).alias("load_stream"), F.lit(batch_id).cast("long").alias("load_batch"),
+        bucket_of(load.keys, store.buckets(load.table)).alias("bucket")), "batch-rows")
+    # At most as many values as the table has buckets.
+    touched = sorted(r[0] for r in src.select("bucket").distinct().collect())
+    if not touched:
+        return None
+    current = store.rows(load.table, schema, touched)
+    merged = merge(current, src, load.keys, load.keep_cols, load.on_conflict, load.version_col)
+    ours = (F.col("load_stream") == stream) & (F.col("load_batch") == batch_id)
+    seen = Observation(f"{load.table}-{batch_id}")
+    merged = merged.observe(seen, F.count(F.lit(1)).alias("rows"), F.count(F.when(ours, 1)).alias("written"))
+    merged.write.mode("overwrite").parquet(path)
+    inserted = seen.get["rows"] - current.count()  # the files' own row counts
+    return {"inserted": inserted, "updated": seen.get["written"] - inserted}
+
+
+def batch_writer(store: Warehouse, checkpoint: str, loads: Sequence[Load],
+                 prepare: Callable[[DataFrame], DataFrame] | None = None, pages: Pages | None = None, landing: str = ""):
+    """The ``foreachBatch`` function.  The batch is parsed (and ``prepare``d) once and
+    written, and all tables are merged from that."""
     def write(batch: DataFrame, batch_id: int) -> None:
-        stream = stream_id(store.spark, checkpoint)
-        todo = {t: m for t, m in merges.items() if store.last_batch(t, stream) < batch_id}
-        if not todo:
-            return  # replayed batch: already applied
-        rows = materialize(prepare(batch) if prepare else batch, "batch")
-        if rows.isEmpty():
-            return
-        for table, merge in todo.items():
-            current = store.read(table, schema=(schemas_ or {}).get(table))
-            store.commit_batch(table, merge(current, rows, int(batch_id)), stream, int(batch_id))
+        spark, stream = store.spark, stream_id(store.spark, checkpoint)
+        todo = [x for x in loads if not path_exists(spark, f"{_staged(checkpoint, x, batch_id)}/_SUCCESS")]
+        if todo:
+            rows, read = batch, {}
+            if pages is not None:
+                parsed = parse_pages(batch.withColumn("_pos", F.monotonically_increasing_id()), pages)
+                value = F.when(F.col("reason").isNotNull(), F.col("value")).alias("value")
+                parsed = materialize(parsed.select("_file", "_pos", value, "page", "reason"), "pages")
+                read = put_aside(store, parsed, landing, stream, batch_id)
+                rows = page_rows(parsed, ["_file", "_pos"])
+            rows = materialize(prepare(rows) if prepare else rows, "batch")
+            counts = []
+            for load in todo:
+                changed = stage_load(store, load, rows, stream, batch_id, _staged(checkpoint, load, batch_id))
+                if changed is not None:
+                    counts.append({"table": load.table, **read, **changed})
+            if read.get("pages") and not counts:
+                counts = [{"table": loads[0].table, **read, "inserted": 0, "updated": 0}]
+            if counts:
+                log_load(store, counts, landing, stream, batch_id)
+        for load in loads:
+            path = _staged(checkpoint, load, batch_id)
+            if path_exists(spark, f"{path}/_SUCCESS"):
+                store.replace_buckets(load.table, spark.read.parquet(path))
+            # Only the last batch of a stream can come again.
+            delete_path(spark, _staged(checkpoint, load, batch_id - 1))
     return write
 
 
-def run_incremental(spark: SparkSession, landing: str, store: SnapshotStore, table: str | None,
-                    raw_schema, merge: MergeFn | Mapping[str, MergeFn], checkpoint: str, multi_line: bool = False,
-                    max_files_per_trigger: int | None = None, fmt: str = "json",
-                    table_schema=None, prepare: Callable[[DataFrame], DataFrame] | None = None) -> None:
-    """Process every landed file not yet seen by ``checkpoint`` and stop.
-
-    ``merge`` is one table's merge function, or one per table name where a
-    landing folder feeds several tables (``table`` is then None)."""
-    merges = dict(merge) if isinstance(merge, Mapping) else {table: merge}
-    reader = spark.readStream.schema(raw_schema)
-    if fmt == "json":
-        reader = reader.option("multiLine", multi_line).option("timestampNTZFormat", NTZ_MICROS)
-    if max_files_per_trigger:
-        reader = reader.option("maxFilesPerTrigger", int(max_files_per_trigger))
-    q = (reader.format(fmt).load(landing).writeStream
-         .foreachBatch(batch_writer(store, checkpoint, merges, prepare, {table: table_schema} if table else None))
-         .option("checkpointLocation", checkpoint)
-         .trigger(availableNow=True)
-         .start())
+def _run(stream: DataFrame, write, checkpoint: str, mode: str = "append") -> None:
+    q = (stream.writeStream.outputMode(mode).foreachBatch(write).option("checkpointLocation", checkpoint)
+         .trigger(availableNow=True).start())
     q.awaitTermination()
     if q.exception() is not None:
         raise RuntimeError(str(q.exception()))
+
+
+def load_pages(store: Warehouse, landing: str, pages: Pages, loads: Sequence[Load], checkpoint: str,
+               multi_line: bool = False, prepare: Callable[[DataFrame], DataFrame] | None = None,
+               max_files_per_trigger: int | None = None) -> None:
+    """Load every landed page not yet seen by ``checkpoint`` and stop; pages that cannot be
+    loaded go to the quarantine."""
+    reader = store.spark.readStream
+    if max_files_per_trigger:
+        reader = reader.option("maxFilesPerTrigger", int(max_files_per_trigger))
+    _run(page_texts(reader, landing, multi_line), batch_writer(store, checkpoint, loads, prepare, pages, landing), checkpoint)
+
+
+def run_incremental(spark: SparkSession, landing: str, store: Warehouse, raw_schema: T.StructType, load: Load,
+                    checkpoint: str, max_files_per_trigger: int | None = None, fmt: str = "json") -> None:
+    """Load landed rows of a fixed schema (JSON lines, Parquet, ...) into one table."""
+    _run(_row_stream(spark, landing, raw_schema, fmt, max_files_per_trigger), batch_writer(store, checkpoint, [load]), checkpoint)
+
+
+def run_latest(spark: SparkSession, landing: str, store: Warehouse, raw_schema: T.StructType, load: Load, checkpoint: str,
+               max_files_per_trigger: int | None = None, fmt: str = "json") -> None:
+    """Like ``run_incremental``, with each key's latest version kept in the stream's state:
+    the state store holds one row per key, a batch changes those of its own keys,
+    and only they go on to the table.  Landings that come again, late or out of
+    order, within a batch or across, so cost no read of the table's history and
+    give the latest by ``load.order`` (which has to be total, as a stream has no
+    order of its own)."""
+    rows = load.rows(_row_stream(spark, landing, raw_schema, fmt, max_files_per_trigger))
+    newest = newest_per_key(rows.dropna(subset=list(load.keys)), load.keys, load.order)
+    keyed = replace(load, rows=lambda batch: batch)
+    with _state_on_disk(spark):
+        _run(newest, batch_writer(store, checkpoint, [keyed]), checkpoint, "update")
+
+
+@contextmanager
+def _state_on_disk(spark: SparkSession):
+    """Keep state in RocksDB, which need not fit in memory, unless the session names a provider."""
+    key = "spark.sql.streaming.stateStore.providerClass"
+    chosen = any(k == key for k in spark.conf.getAll)
+    if not chosen:
+        spark.conf.set(key, "org.apache.spark.sql.execution.streaming.state.RocksDBStateStoreProvider")
+    try:
+        yield
+    finally:
+        if not chosen:
+            spark.conf.unset(key)
+
+
+def _row_stream(spark, landing, raw_schema, fmt, max_files_per_trigger):
+    reader = spark.readStream.schema(raw_schema).option("timestampNTZFormat", NTZ_MICROS)
+    if max_files_per_trigger:
+        reader = reader.option("maxFilesPerTrigger", int(max_files_per_trigger))
+    return reader.format(fmt).load(landing)
