@@ -9,6 +9,7 @@ from pyspark.sql import types as T
 from issuelens import schemas
 from issuelens.functions.text import or_empty, strip_quotes
 from issuelens.functions.timefmt import parse_iso_utc, parse_jira_ts, try_parse_iso_utc
+from issuelens.functions.variant import document, elements, text_or
 
 
 def normalize_pull_requests(raw: DataFrame, keep=()) -> DataFrame:
@@ -77,6 +78,28 @@ def flatten_changelog(raw: DataFrame, keep=()) -> DataFrame:
         "entry_pos", "item_pos", *keep)
 
 
+def changelog_members(records: DataFrame, col: str, keep=()) -> DataFrame:
+    """PRJ-5 on the records' JSON text, by VARIANT: a missing author, name or value is ``''``
+    and an explicit null is NULL (a value that was cleared), in every member.  Text
+    that is no JSON gives no rows."""
+    doc = records.select(document(F.col(col)).alias("_d"), *keep)
+    d = F.col("_d")
+    key = F.coalesce(F.try_variant_get(d, "$.issue_key", "string"), F.try_variant_get(d, "$.key", "string"))
+    entries = F.coalesce(elements(d, "$.changelog.histories"), elements(d, "$.values"))
+    hist = doc.select(key.alias("issue_key"), F.posexplode(entries).alias("entry_pos", "_h"), *keep)
+    items = hist.select("issue_key", "entry_pos", "_h", F.posexplode(elements(F.col("_h"), "$.items")).alias("item_pos", "_i"), *keep)
+    h, i, none = F.col("_h"), F.col("_i"), F.lit("")
+    return items.select(
+        F.try_variant_get(h, "$.id", "string").alias("id"), "issue_key",
+        parse_jira_ts(F.try_variant_get(h, "$.created", "string")).alias("created"),
+        text_or(h, "$.author.accountId", none).alias("author_account_id"),
+        text_or(h, "$.author.displayName", none).alias("author_display_name"),
+        *[text_or(i, f"$.{name}", none).alias(c) for c, name in (
+            ("field", "field"), ("field_type", "fieldtype"), ("from_value", "from"), ("from_string", "fromString"),
+            ("to_value", "to"), ("to_string", "toString"))],
+        "entry_pos", "item_pos", *keep)
+
+
 def first_item_per_key(flat: DataFrame, latest_by=()) -> DataFrame:
     """§2.14-9: two items of one field in one entry collide on (id, field);
     the first by position wins.  With ``latest_by`` (landing order columns)

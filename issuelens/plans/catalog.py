@@ -16,11 +16,12 @@ from issuelens import schemas
 from issuelens.functions.timefmt import as_of_lit, iso_z, try_parse_iso_utc
 from issuelens.operators import filters, quality
 from issuelens.operators.normalize import (
-    first_item_per_key, flatten_changelog, normalize_commits, normalize_pull_requests)
+    changelog_members, first_item_per_key, flatten_changelog, normalize_commits, normalize_pull_requests)
 from issuelens.operators.sequence import resolve_strategy
 from issuelens.operators.upsert import upsert
 from issuelens.plans import chains, issues as issue_q, params as P, proxies as X
-from issuelens.plans import pull_requests as pr_q, timeline, transitions
+from issuelens.plans import pull_requests as pr_q, sql_functions, timeline, transitions
+from issuelens.plans.chain_store import ChainStore, chain_places
 from issuelens.session import apply_session_defaults, scratch_path
 from issuelens.sources.landed import NTZ_MICROS, parse_json_column, read_transition_lookup
 from issuelens.sources.sinks import write_csv
@@ -498,6 +499,61 @@ def q_latest_versions(spark, sf):
     return store.read("issue_status", schema)
 
 
+def q_changelog_members(spark, sf):
+    """Changelog items whose from values are missing, null or present, from records of which
+    some are cut off."""
+    _prep(spark)
+    c = X.changelog(spark, sf)
+    n = F.col("id").cast("long")
+    member = lambda name, v: F.when(n % P.MEMBER_KINDS == 0, "").when(n % P.MEMBER_KINDS == 1, f',"{name}":null').otherwise(
+        F.concat(F.lit(f',"{name}":"'), v, F.lit('"')))
+    created = F.concat(F.date_format("created", "yyyy-MM-dd'T'HH:mm:ss.SSS"), F.lit("+0000"))
+    text = F.concat(F.lit('{"key":"'), "issue_key", F.lit('","values":[{"id":"'), "id", F.lit('","created":"'), created,
+                    F.lit('","items":[{"field":"status","fieldtype":"jira"'), member("from", F.col("from_value")),
+                    member("fromString", F.col("from_string")), F.lit(',"toString":"'), "to_string", F.lit('"}]}]}'))
+    cut = F.when(n % P.CUT_RECORD_EVERY == 0, F.substring(text, 1, 60)).otherwise(text)
+    return changelog_members(c.select(cut.alias("json")), "json").drop("entry_pos", "item_pos")
+
+
+def q_timeline_map(spark, sf):
+    """Q1 with the statuses as data; the map is written out as text."""
+    i, c = _tables(spark, sf)
+    out = timeline.status_timeline_map(i, c)
+    day = lambda t: F.date_format(t, "yyyy-MM-dd HH:mm:ss.SSSSSS")
+    times = F.transform(F.map_entries("times"), lambda e: F.concat(
+        e["key"], F.lit(" "), day(e["value"]["first"]), F.lit(" "), day(e["value"]["last"])))
+    return out.withColumns({"n_statuses": F.size("times").cast("long"), "times": F.array_join(times, "; ")})
+
+
+def q_chain_dictionary(spark, sf):
+    """Chain ids over two loads, of the changes up to a day and of all; with the chains'
+    texts and the number of issues that have each after the second."""
+    i, c = _tables(spark, sf)
+    store = ChainStore(spark, scratch_path(spark, "chains"))
+    lookup = X.status_lookup(spark)
+    early = c.where(F.col("created") < F.lit(P.RUN_SPLITS[1]).cast("timestamp_ntz"))
+    store.extend(chain_places(i, early, lookup), 1)
+    now = store.extend(chain_places(i, c, lookup), 2)
+    n = now.groupBy("chain_id").agg(F.count(F.lit(1)).alias("n_issues"))
+    return (store.ids().select("chain_id", "first_key", "n_steps", "load").join(store.texts(), "chain_id")
+            .join(n, "chain_id", "left").withColumn("n_issues", F.coalesce("n_issues", F.lit(0).cast("long"))))
+
+
+def q_sql_functions(spark, sf):
+    """Q5, Q6 and Q7 as SQL table functions with bound values."""
+    prs, commits = _prs_commits(spark, sf)
+    i, c = _tables(spark, sf)
+    by_commit, pr_commits = pr_q.commit_views(commits)
+    for name, df in {"jira_issues": i, "jira_changelog": c, "pull_requests": prs, "commits": by_commit, "pr_commits": pr_commits}.items():
+        df.createOrReplaceTempView(name)
+    sql_functions.register_functions(spark)
+    times = sql_functions.status_times(spark, P.SINGLE_ISSUE, list(P.SQL_STATUSES))
+    return (times.select(F.lit("status").alias("kind"), "key", F.col("status").alias("value"), F.col("first_seen").alias("at"))
+            .union(sql_functions.commits_of(spark, P.PR_NUMBER).select(F.lit("commit"), "sha", "message", F.lit(None)))
+            .union(sql_functions.updated_within(spark, P.RECENT_DAYS, P.RECENT_AS_OF).select(
+                F.lit("recent"), "key", "summary", F.lit(None))))
+
+
 QUERIES: dict[str, Query] = {
     "status_timeline": q_status_timeline,
     "status_values": q_status_values,
@@ -540,4 +596,8 @@ QUERIES: dict[str, Query] = {
     "changelog_ingest": q_changelog_ingest,
     "load_counters": q_load_counters,
     "latest_versions": q_latest_versions,
+    "changelog_members": q_changelog_members,
+    "timeline_map": q_timeline_map,
+    "chain_dictionary": q_chain_dictionary,
+    "sql_functions": q_sql_functions,
 }

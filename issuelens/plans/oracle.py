@@ -372,4 +372,33 @@ UNION ALL SELECT 'pull_request_commits', 1, COUNT(*) FILTER (WHERE pull_request_
                             f"changes AS ({_flatten_body()})"])
     q["latest_versions"] = f"""SELECT {KEY.format('user_id')} AS issue_key, event_id AS last_event_id, event_type AS status, value,
        ts AS updated_at FROM events QUALIFY ROW_NUMBER() OVER (PARTITION BY user_id ORDER BY ts DESC, event_id DESC) = 1"""
+    kind = lambda v: f"CASE n % {P.MEMBER_KINDS} WHEN 0 THEN '' WHEN 1 THEN NULL ELSE {v} END"
+    q["changelog_members"] = W(["jira_changelog"], f"""SELECT id, issue_key, date_trunc('millisecond', created) AS created,
+       '' AS author_account_id, '' AS author_display_name, field, field_type, {kind('from_value')} AS from_value,
+       {kind('from_string')} AS from_string, '' AS to_value, to_string
+FROM (SELECT *, CAST(id AS BIGINT) AS n FROM jira_changelog) c WHERE n % {P.CUT_RECORD_EVERY} <> 0""")
+    at = lambda c: f"strftime({c}, '%Y-%m-%d %H:%M:%S.%f')"
+    q["timeline_map"] = W(["jira_changelog", "jira_issues"], f"""SELECT {attrs},
+       string_agg(s.status || ' ' || {at('s.lo')} || ' ' || {at('s.hi')}, '; ' ORDER BY s.status) AS times, COUNT(*) AS n_statuses
+FROM jira_issues i JOIN (SELECT issue_key, status, MIN(created) AS lo, MAX(created) AS hi FROM h GROUP BY issue_key, status) s
+  ON s.issue_key = i.key GROUP BY {attrs}""", [_STATUS_ROWS])
+    labels = """SELECT issue_key, arg_min(source, step) || ' > ' || string_agg(target, ' > ' ORDER BY step) AS chain, COUNT(*) AS n
+    FROM kept GROUP BY issue_key"""
+    loads = [f"""load{n} AS (WITH jira_changelog AS (SELECT * FROM every_change WHERE {where}),
+  {", ".join(_Q3_CTES)}
+  {labels})""" for n, where in ((1, f"created < TIMESTAMP '{P.RUN_SPLITS[1]}'"), (2, "TRUE"))]
+    rank = lambda n: (f"SELECT chain, MIN(issue_key) AS first_key, MIN(n) AS n_steps, {n} AS load, "
+                      f"ROW_NUMBER() OVER (ORDER BY MIN(issue_key)) AS r FROM load{n}")
+    q["chain_dictionary"] = "WITH " + ",\n".join([
+        CTE["jira_changelog"].replace("jira_changelog AS (", "every_change AS (", 1), CTE["jira_issues"], CTE["status_lookup"], *loads,
+        f"one AS ({rank(1)} GROUP BY chain)",
+        f"two AS ({rank(2)} WHERE chain NOT IN (SELECT chain FROM one) GROUP BY chain)"]) + """
+SELECT d.chain_id, d.first_key, d.n_steps, d.load, d.chain, (SELECT COUNT(*) FROM load2 WHERE load2.chain = d.chain) AS n_issues
+FROM (SELECT chain, first_key, n_steps, load, r AS chain_id FROM one
+  UNION ALL SELECT chain, first_key, n_steps, load, r + (SELECT COUNT(*) FROM one) FROM two) d"""
+    asked = ", ".join(map(_q, P.SQL_STATUSES))
+    q["sql_functions"] = W(["jira_changelog", "jira_issues", "pull_request_commits"], f"""SELECT 'status' AS kind, i.key, h.status AS value, MIN(h.created) AS at
+FROM jira_issues i JOIN h ON h.issue_key = i.key WHERE i.key = {_q(P.SINGLE_ISSUE)} AND h.status IN ({asked}) GROUP BY i.key, h.status
+UNION ALL SELECT 'commit', c.sha, c.message, NULL FROM ({q["commits_of_pull_request"]}) c
+UNION ALL SELECT 'recent', r.key, r.summary, NULL FROM ({q["recent_issues"]}) r""", [_STATUS_ROWS])
     return q

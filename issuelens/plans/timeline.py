@@ -64,6 +64,23 @@ def status_timeline(issues: DataFrame, changelog: DataFrame,
     return _attach(issues, piv, ATTRS)
 
 
+def status_times(changelog: DataFrame) -> DataFrame:
+    """AGG-3..6 without columns per status: (issue_key, times), a map from each status of
+    the issue to the first and last time it was entered.  Two aggregates, per issue and
+    status and then per issue; no list of statuses is collected, statuses are data
+    (any number of them, also such that differ only by case), and an issue's map is
+    as large as its own statuses.  A NULL status has no entry."""
+    per_status = status_rows(changelog).where(F.col("status").isNotNull()).groupBy("issue_key", "status").agg(
+        F.struct(F.min("created").alias("first"), F.max("created").alias("last")).alias("seen"))
+    return per_status.groupBy("issue_key").agg(
+        F.map_from_entries(F.array_sort(F.collect_list(F.struct("status", "seen")))).alias("times"))
+
+
+def status_timeline_map(issues: DataFrame, changelog: DataFrame) -> DataFrame:
+    """Q1 with ``times`` in place of the columns per status."""
+    return _attach(issues, status_times(changelog), ATTRS)
+
+
 def status_first_seen(issues: DataFrame, changelog: DataFrame,
                       statuses: Sequence[str] | None = None) -> DataFrame:
     """AGG-4: first time each issue entered each status (columns named by status)."""
