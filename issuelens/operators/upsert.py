@@ -115,7 +115,7 @@ def merge(target: DataFrame, src: DataFrame, keys: Sequence[str], keep_cols: Seq
     keys, keep = list(keys), set(keep_cols)
     if on_conflict not in ("update", "nothing"):
         raise ValueError(f"unknown on_conflict {on_conflict!r}")
-    small = has_at_most(src, broadcast_batch_rows)
+    small = broadcast_batch_rows >= 0 and has_at_most(src, broadcast_batch_rows)
     if on_conflict == "nothing":
         if small:
             batch_keys = F.broadcast(src.select(*keys))

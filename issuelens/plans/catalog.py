@@ -6,6 +6,7 @@ runs a library query over them; ``plans/oracle.py`` has the matching SQL.
 
 from __future__ import annotations
 
+import uuid
 from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
@@ -15,6 +16,7 @@ from pyspark.sql import types as T
 from issuelens import schemas
 from issuelens.functions.timefmt import as_of_lit, iso_z, try_parse_iso_utc
 from issuelens.operators import filters, quality
+from issuelens.operators.bulk import merge_bucketed, write_bucketed
 from issuelens.operators.normalize import (
     changelog_members, first_item_per_key, flatten_changelog, normalize_commits, normalize_pull_requests)
 from issuelens.operators.sequence import resolve_strategy
@@ -554,6 +556,19 @@ def q_sql_functions(spark, sf):
                 F.lit("recent"), "key", "summary", F.lit(None))))
 
 
+def q_bulk_merge(spark, sf):
+    """``upsert_update`` by a merge join with a bucketed table, and the result saved like it."""
+    _prep(spark)
+    name = f"commits_{uuid.uuid4().hex[:12]}"
+    keys = schemas.KEYS["pull_request_commits"]
+    target = X.pull_request_commits(
+        spark, sf, F.col("l_shipdate") < F.lit(P.UPSERT_TARGET_BEFORE).cast("timestamp_ntz"), name="pull_request_commits_existing")
+    write_bucketed(target, name, keys, P.BULK_BUCKETS)
+    batch = X.commits_landed(spark, sf, F.col("l_shipdate") >= F.lit(P.UPSERT_SOURCE_FROM).cast("timestamp_ntz"))
+    merged = merge_bucketed(spark, name, batch, X.COMMIT_ORDER_COLS, latest=False)
+    return write_bucketed(merged, f"{name}_merged", keys, P.BULK_BUCKETS)
+
+
 QUERIES: dict[str, Query] = {
     "status_timeline": q_status_timeline,
     "status_values": q_status_values,
@@ -600,4 +615,5 @@ QUERIES: dict[str, Query] = {
     "timeline_map": q_timeline_map,
     "chain_dictionary": q_chain_dictionary,
     "sql_functions": q_sql_functions,
+    "bulk_merge": q_bulk_merge,
 }

@@ -372,6 +372,7 @@ UNION ALL SELECT 'pull_request_commits', 1, COUNT(*) FILTER (WHERE pull_request_
                             f"changes AS ({_flatten_body()})"])
     q["latest_versions"] = f"""SELECT {KEY.format('user_id')} AS issue_key, event_id AS last_event_id, event_type AS status, value,
        ts AS updated_at FROM events QUALIFY ROW_NUMBER() OVER (PARTITION BY user_id ORDER BY ts DESC, event_id DESC) = 1"""
+    q["bulk_merge"] = q["upsert_update"]
     kind = lambda v: f"CASE n % {P.MEMBER_KINDS} WHEN 0 THEN '' WHEN 1 THEN NULL ELSE {v} END"
     q["changelog_members"] = W(["jira_changelog"], f"""SELECT id, issue_key, date_trunc('millisecond', created) AS created,
        '' AS author_account_id, '' AS author_display_name, field, field_type, {kind('from_value')} AS from_value,

@@ -19,6 +19,7 @@ PAGE_SIZE = 50                               # PRs of one landed page
 CUT_PAGES = (7, 3)                           # pages with page % 7 == 3 are cut off …
 REPAIRED_PAGES = (14, 3)                     # … and those with page % 14 == 3 land again whole
 CUT_PERCENT = 60                             # what is left of a cut page's characters
+BULK_BUCKETS = 8                             # buckets of the bulk merge's table
 MEMBER_KINDS = 3                             # event_id % 3: from values missing (0), null (1), present (2)
 CUT_RECORD_EVERY = 40                        # changelog records with event_id % 40 == 0 are cut off
 SQL_STATUSES = ("view", "it's \"closed\"; --", "purchase")  # statuses asked for in SQL

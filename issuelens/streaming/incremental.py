@@ -87,12 +87,15 @@ def stage_load(store: Warehouse, load: Load, batch: DataFrame, stream: str, batc
 
 
 def batch_writer(store: Warehouse, checkpoint: str, loads: Sequence[Load],
-                 prepare: Callable[[DataFrame], DataFrame] | None = None, pages: Pages | None = None, landing: str = ""):
+                 prepare: Callable[[DataFrame], DataFrame] | None = None, pages: Pages | None = None, landing: str = "",
+                 stateful: bool = False):
     """The ``foreachBatch`` function.  The batch is parsed (and ``prepare``d) once and
     written, and all tables are merged from that."""
     def write(batch: DataFrame, batch_id: int) -> None:
         spark, stream = store.spark, stream_id(store.spark, checkpoint)
         todo = [x for x in loads if not path_exists(spark, f"{_staged(checkpoint, x, batch_id)}/_SUCCESS")]
+        if not todo and stateful:
+            batch.write.format("noop").mode("overwrite").save()  # the state's version of this batch is made by running it
         if todo:
             rows, read = batch, {}
             if pages is not None:
@@ -157,7 +160,7 @@ def run_latest(spark: SparkSession, landing: str, store: Warehouse, raw_schema:
     newest = newest_per_key(rows.dropna(subset=list(load.keys)), load.keys, load.order)
     keyed = replace(load, rows=lambda batch: batch)
     with _state_on_disk(spark):
-        _run(newest, batch_writer(store, checkpoint, [keyed]), checkpoint, "update")
+        _run(newest, batch_writer(store, checkpoint, [keyed], stateful=True), checkpoint, "update")
 
 
 @contextmanager
