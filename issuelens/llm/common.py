@@ -11,6 +11,7 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from issuelens.operators.stage import materialize
 from issuelens.session import delete_path, scratch_path
 
 # The white space that separates words, and the ASCII letters.
@@ -62,6 +63,23 @@ def text_bytes(column: pa.Array) -> tuple[np.ndarray, np.ndarray]:
     return raw[at[0]:at[-1]], at - at[0]
 
 
+FILTER_BITS = 25
+
+
+def split_by_keys(rows: DataFrame, keys: DataFrame, col: str) -> tuple[DataFrame, DataFrame]:
+    """(others, perhaps): the rows whose ``col`` (a 64-bit hash) is certainly none of ``keys``,
+    and the rest, which has all that are and few more.  The keys become a bitmap of
+    ``2 ** FILTER_BITS`` bits, as rows of 64 bits: some 20 MB at most, so it may be
+    broadcast, and only the second part has to be shuffled to meet the keys.  It only
+    spares work; when it fills up, all rows are in the second part."""
+    at = F.shiftright(F.col(col).bitwiseAND(F.lit((1 << FILTER_BITS) - 1)), 6).cast("int")
+    bit = F.expr(f"shiftleft(1L, cast({col} & 63 as int))")
+    words = keys.select(at.alias("__kf_w"), bit.alias("__kf_b")).groupBy("__kf_w").agg(F.bit_or("__kf_b").alias("__kf_b"))
+    marked = rows.withColumn("__kf_w", at).join(F.broadcast(materialize(words, "key-filter")), "__kf_w", "left")
+    hit = F.coalesce(F.col("__kf_b").bitwiseAND(bit) != 0, F.lit(False))
+    return tuple(marked.where(x).drop("__kf_w", "__kf_b") for x in (~hit, hit))
+
+
 class Stages:
     """Written stages of one operator (below ``spark.checkpoint.dir``).  A stage that
     later ones no longer read is dropped, so a long operator's disk is that of its

@@ -164,19 +164,26 @@ def _share(rows: int, of: int) -> float:
     return min(1.0, 1.5 * rows / max(of, 1) + 50 / max(of, 1))
 
 
+def _marked(rows: DataFrame) -> DataFrame:
+    """Rows with ``mark``, a hash of all that the features come from: rows of one mark are equal."""
+    told = F.to_json(F.struct("doc_id", "lang", "source", F.col("text").isNull().alias("no_text")))
+    return rows.withColumn("mark", F.xxhash64(told, "text"))
+
+
 def sample(docs: DataFrame, labels: DataFrame, label_col: str = "quality") -> DataFrame:
-    """The bounded sample: (row, doc_id, label), label -1 for rows without one."""
+    """The bounded sample: (doc_id, mark, label), label -1 for rows without one.  Of rows that
+    share an id the one with the smallest mark stands for it; of labels that contradict
+    each other the smaller counts."""
     one = (labels.where(F.col("doc_id").isNotNull() & F.col(label_col).isin(0, 1))
            .groupBy("doc_id").agg(F.min(label_col).cast("int").alias("label")))
     part = F.pmod(F.xxhash64("doc_id", F.lit("sample")), F.lit(1 << 20)) / F.lit(float(1 << 20))
-    ids = docs.select("doc_id", "mark").where(F.col("doc_id").isNotNull())
+    ids = materialize(docs.where(F.col("doc_id").isNotNull()).groupBy("doc_id").agg(F.min("mark").alias("mark")), "quality-ids")
     n_labels, n_docs = one.count(), ids.count()
     known = (one.where(part < _share(LABELLED, n_labels)).join(ids, "doc_id")
              .orderBy(F.xxhash64("mark", F.lit(1)), "doc_id").limit(LABELLED))
     other = (ids.where(part < _share(2 * UNLABELLED, n_docs)).join(one, "doc_id", "left_anti")
              .orderBy(F.xxhash64("mark", F.lit(1)), "doc_id").limit(UNLABELLED).withColumn("label", F.lit(-1)))
-    return materialize(known.select("doc_id", "mark", "label").union(other.select("doc_id", "mark", "label"))
-                       .distinct(), "quality-sample")
+    return materialize(known.select("doc_id", "mark", "label").union(other.select("doc_id", "mark", "label")), "quality-sample")
 
 
 _NAMES = ["doc_id", "text", "lang", "source", "size"]
@@ -195,10 +202,18 @@ def _prepared(docs: DataFrame) -> DataFrame:
 
 
 def train(docs: DataFrame, labels: DataFrame, label_col: str = "quality") -> CoTrained:
-    rows = _prepared(docs).withColumn("mark", F.xxhash64("doc_id", "lang", "source"))
+    """The two views, trained on a bounded sample of ``docs`` and their ``labels`` (0 or 1).
+
+    The sample and the model are the same whatever the order and the partitions of the
+    rows: rows are picked by hash, and of rows that share an id one stands for it (see
+    ``sample``).  Rows without an id are not learned from.  Other labels than 0 and 1,
+    and labels of ids that ``docs`` lacks, are not used; without labels of both kinds the
+    model is the base rate.  A very long text is read whole, in one task.
+    """
+    ship_package(docs.sparkSession)
+    rows = _marked(_prepared(docs))
     picked = sample(rows, labels, label_col)
     # The sample has at most LABELLED + UNLABELLED rows, so its ids may be broadcast.
-    # Rows that share an id are one row of it.
     texts = rows.join(F.broadcast(picked), ["doc_id", "mark"]).dropDuplicates(["doc_id"])
 
     def run(batches):
@@ -243,5 +258,7 @@ def score(docs: DataFrame, model: CoTrained) -> DataFrame:
 
 
 def classify(docs: DataFrame, labels: DataFrame, label_col: str = "quality") -> DataFrame:
-    ship_package(docs.sparkSession)
+    """Train on ``docs`` and ``labels`` and score all of ``docs``: see ``train`` and ``score``.
+    Repeated rows and rows that share an id are each scored by their own text; columns of
+    ``docs`` other than id, text, language and source are not read."""
     return score(docs, train(docs, labels, label_col))

@@ -4,9 +4,10 @@ For each language a bounded sample of labelled text becomes a suffix automaton
 over bytes.  A text is cut greedily into the longest phrases that occur in that
 sample; the language whose sample needs the fewest phrases per byte wins.
 
-The sample is fixed in size whatever the corpus (``rows_per_language`` rows and
-``sample_bytes`` bytes over all languages), so the automata are small tables of
-known size that are broadcast; every text is parsed whole.  In a task the texts
+The sample is fixed in size whatever the corpus: of each learned language the
+same number of rows (``ROWS_PER_LANGUAGE``) gives the same number of bytes
+(``EXCERPT_BYTES``), and at most ``LANGUAGES`` are learned.  So the automata are
+small tables of known size that are broadcast; every text is parsed whole.  In a task the texts
 are cut into runs of ``RUN`` bytes, and all runs walk the automata together as
 numpy lanes, so one very long text is many lanes.
 """
@@ -26,9 +27,10 @@ from issuelens.llm.piece_bpe import slices
 from issuelens.operators.stage import materialize
 
 RUN = 1024
-PER_LANGUAGE_BYTES = 30_000      # at most; keeps the automaton below 2 ** 16 states
-SAMPLE_BYTES = 3_000_000         # over all languages
 ROWS_PER_LANGUAGE = 200
+EXCERPT_BYTES = 150      # of each row; 30 kB a language keep its automaton below 2 ** 16 states
+LANGUAGES = 100          # learned ones: those with most rows, ties by name
+SALTS = 32               # parts of a language whose smallest marks are found apart
 UNKNOWN = "und"
 
 
@@ -146,33 +148,45 @@ def fold(id_col: str) -> Column:
     return F.crc32(F.coalesce(F.col(id_col).cast("string"), F.lit("")).cast("binary")) % 3
 
 
-def learn(rows: DataFrame, text_col: str, lang_col: str, id_col: str) -> Automata:
-    """Automata from a bounded sample of ``rows`` with text and language: the rows
-    with the smallest hashes, ``ROWS_PER_LANGUAGE`` of each language."""
+def learn(rows: DataFrame, text_col: str, lang_col: str, id_col: str, rows_per_language: int = ROWS_PER_LANGUAGE,
+          excerpt_bytes: int = EXCERPT_BYTES, languages: int = LANGUAGES) -> Automata:
+    """Automata from a bounded sample of ``rows`` with text and language.
+
+    Learned are the ``languages`` values that most distinct rows have (ties by name; the
+    others are never predicted).  Of each, the ``rows_per_language`` rows with the
+    smallest hashes give an excerpt of ``excerpt_bytes`` from their middle (all of a
+    shorter text), however many languages there are.  Rows without text or language
+    are not learned from, repeated rows count once, an empty table gives a model without
+    languages.
+    """
     known = rows.where(F.col(lang_col).isNotNull() & (F.length(text_col) > 0)).select(
         F.col(lang_col).cast("string").alias("lang"), F.col(text_col).alias("text"),
         F.md5(F.concat_ws("|", F.col(id_col).cast("string"), F.xxhash64(text_col).cast("string"))).alias("mark"))
     # Repeated rows count once; a first cut by hash leaves some hundred marks of each
     # language, so the ranking is small.
     marks = materialize(known.select("lang", "mark").distinct(), "language-marks")
-    counts = marks.groupBy("lang").agg(F.count(F.lit(1)).alias("n"))
-    share = F.least(F.lit(1.0), F.lit(3.0 * ROWS_PER_LANGUAGE) / F.col("n"))
+    counts = materialize(marks.groupBy("lang").agg(F.count(F.lit(1)).alias("n")).orderBy(F.desc("n"), "lang").limit(languages),
+                         "language-counts")
+    share = F.least(F.lit(1.0), F.lit(3.0 * rows_per_language) / F.col("n"))
     part = F.conv(F.substring("mark", 1, 8), 16, 10).cast("double") / F.lit(float(1 << 32))
-    few = marks.join(counts, "lang").where(part < share)
+    # At most ``languages`` rows: broadcast, so that the cut comes before any exchange.
+    few = marks.join(F.broadcast(counts), "lang").where(part < share)
+    # The smallest marks of each part of a language, then of these: no task sees all of a language.
+    salt = F.pmod(F.xxhash64("mark"), F.lit(SALTS)).alias("salt")
+    first = F.row_number().over(Window.partitionBy("lang", "salt").orderBy("mark"))
+    few = few.select("lang", "mark", salt).withColumn("nth", first).where(F.col("nth") <= rows_per_language)
     nth = F.row_number().over(Window.partitionBy("lang").orderBy("mark"))
-    chosen = few.select("lang", "mark", nth.alias("nth")).where(F.col("nth") <= ROWS_PER_LANGUAGE)
-    picked = known.join(materialize(chosen, "language-chosen"), ["lang", "mark"]).dropDuplicates(["lang", "mark"])
-    langs = max(counts.count(), 1)
-    each = min(PER_LANGUAGE_BYTES, max(256, SAMPLE_BYTES // langs))
-    per_row = max(64, each // 20)
-    # An excerpt from the middle of each row, where headers and shared lines are rare.
-    middle = F.greatest(F.lit(1), F.floor((F.length("text") - per_row) / 2).cast("int"))
-    picked = picked.select("lang", "nth", F.substring(F.col("text"), middle, F.lit(per_row)).alias("text"))
+    chosen = few.select("lang", "mark", nth.alias("nth")).where(F.col("nth") <= rows_per_language)
+    # At most ``languages * rows_per_language`` rows.
+    chosen = F.broadcast(materialize(chosen, "language-chosen"))
+    # An excerpt from the middle of each row, where headers and shared lines are rare; a
+    # character has a byte at least.
+    middle = F.greatest(F.lit(1), F.floor((F.length("text") - excerpt_bytes) / 2).cast("int"))
+    excerpt = F.substring(F.col("text"), middle, F.lit(excerpt_bytes)).alias("text")
+    picked = known.join(chosen, ["lang", "mark"]).select("lang", "mark", "nth", excerpt).dropDuplicates(["lang", "mark"])
     samples: dict[str, bytes] = {}
     for r in materialize(picked, "language-sample").orderBy("lang", "nth").collect():
-        have = samples.setdefault(r["lang"], b"")
-        if len(have) < each:
-            samples[r["lang"]] = (have + r["text"].encode("utf-8") + b"\n")[:each]
+        samples[r["lang"]] = samples.get(r["lang"], b"") + r["text"].encode("utf-8")[:excerpt_bytes] + b"\n"
     return build_automata(samples)
 
 

@@ -6,7 +6,8 @@ whose key is in too many documents go, except in the largest document id that
 holds it; the rest are put together again by position.
 
 Only narrow rows (document, position, hash) are exploded and shuffled for the
-counts.  The text is shuffled once, to meet the positions its document loses.
+counts.  Texts of documents that lose a line are shuffled once, to meet the
+positions they lose; the others stay where they are.
 A line held by a third of all documents is counted by partial aggregates, and
 the join back to its holders is a plain equi-join that adaptive execution
 splits (both sides are written tables).
@@ -17,11 +18,10 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from issuelens.llm.common import ascii_lower, doc_key, strip_white
-from issuelens.operators.stage import materialize
+from issuelens.llm.common import Stages, ascii_lower, doc_key, split_by_keys, strip_white
 
-DOC, ROW, LINES, POS, LINE, H1, H2, KEEPER, LOST, KEEP = (
-    "__ld_" + n for n in ("doc", "row", "lines", "pos", "line", "h1", "h2", "keeper", "lost", "keep"))
+DOC, ROW, KEY, LINES, POS, LINE, H1, H2, KEEPER, LOST, KEEP = (
+    "__ld_" + n for n in ("doc", "row", "key", "lines", "pos", "line", "h1", "h2", "keeper", "lost", "keep"))
 
 
 def line_dedup(docs: DataFrame, min_chars: int = 40, min_docs: int = 5, text_col: str = "text",
@@ -32,24 +32,30 @@ def line_dedup(docs: DataFrame, min_chars: int = 40, min_docs: int = 5, text_col
 
     A null or empty text is one empty line and comes back empty.  A null id
     counts as one document below all ids.  Rows that share an id count as one
-    document; each keeps or loses its own lines.  An empty table gives an
-    empty table.  Other columns pass through, whatever their names.
+    document; each keeps or loses its own lines.  A very long text is one array of
+    lines in one row.  An empty table gives an empty table.  Other columns pass through, whatever their names.
     """
     text = F.coalesce(F.col(text_col), F.lit(""))
+    stages = Stages(docs.sparkSession)
     base = docs.withColumns({DOC: doc_key(id_col), ROW: F.xxhash64(text), LINES: F.split(text, "\n")})
     key = ascii_lower(strip_white(F.col(LINE)))
     lines = (base.select(DOC, ROW, F.posexplode(LINES).alias(POS, LINE))
              .select(DOC, ROW, POS, key.alias(LINE))
              .where(F.length(LINE) >= min_chars)
              .select(DOC, ROW, POS, F.xxhash64(LINE).alias(H1), F.xxhash64(F.lit(1), F.col(LINE)).alias(H2)))
-    lines = materialize(lines, "lines")
+    lines = stages.write("lines", lines)
     repeated = (lines.select(H1, H2, DOC).distinct()
                 .groupBy(H1, H2).agg(F.count(F.lit(1)).alias(POS), F.max(DOC).alias(KEEPER))
                 .where(F.col(POS) >= min_docs).drop(POS))
-    repeated = materialize(repeated, "repeated-lines")
+    repeated = stages.write("repeated-lines", repeated)
     lost = (lines.join(repeated, [H1, H2]).where(F.col(DOC) < F.col(KEEPER))
-            .groupBy(DOC, ROW).agg(F.collect_set(POS).alias(LOST)))
-    joined = base.join(lost, [DOC, ROW], "left")
+            .groupBy(DOC, ROW).agg(F.collect_set(POS).alias(LOST)).withColumn(KEY, F.xxhash64(DOC, ROW)))
+    lost = stages.write("lost-lines", lost)
+    stages.drop("lines", "repeated-lines")
+    # Only documents that may lose a line are shuffled, to meet their positions.
+    whole, perhaps = split_by_keys(base.withColumn(KEY, F.xxhash64(DOC, ROW)), lost, KEY)
+    none = F.lit(None).cast(lost.schema[LOST].dataType).alias(LOST)
+    joined = whole.select("*", none).drop(KEY).unionByName(perhaps.drop(KEY).join(lost.drop(KEY), [DOC, ROW], "left"))
     every = F.sequence(F.lit(0), F.size(LINES) - 1)
     joined = joined.withColumn(KEEP, F.when(F.col(LOST).isNotNull(), F.array_except(every, F.col(LOST))))
     kept_text = F.array_join(F.transform(KEEP, lambda i: F.get(F.col(LINES), i)), "\n")

@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+from issuelens.llm import dialogue_repair as R
+from issuelens.llm import divergence as D
 from issuelens.llm import quality_rules as Q
 from issuelens.llm.queries import SITE_RULES
 from issuelens.llm.url_filters import DEFAULT_PATTERNS
@@ -153,5 +155,80 @@ SELECT page_id, host, path, rule, coalesce(action, CASE WHEN {blocks} THEN 'bloc
 """
 
 
+DIVERGENCE = f"""
+WITH d AS (SELECT row_number() OVER () AS rid, coalesce(lang, '') AS lang, coalesce(source, '') AS source,
+    regexp_extract_all(translate(coalesce(text, ''), '{_UP}', '{_LOW}'), '[^\\x00-\\x40\\x5B-\\x60\\x7B-\\x7F]+') AS ts FROM documents),
+t AS (SELECT rid, lang, source, unnest(ts) AS term FROM d),
+k AS (SELECT lang, term, count(*) OVER (PARTITION BY lang) AS v FROM (
+  SELECT lang, term FROM t GROUP BY lang, term HAVING count(DISTINCT rid) >= {D.MIN_DOCS})),
+g AS (SELECT DISTINCT lang, source FROM d),
+n AS (SELECT lang, source, term, count(*) AS n FROM t GROUP BY lang, source, term),
+c AS (SELECT g.lang, g.source, k.term, k.v, coalesce(n.n, 0)::HUGEINT AS n FROM g JOIN k USING (lang) LEFT JOIN n USING (lang, source, term)),
+p AS (SELECT lang, source, term, n,
+    1 + {D.SCALE}::HUGEINT * (n + 2) // (sum(n) OVER (PARTITION BY lang, source) + 2 * v) AS p,
+    1 + {D.SCALE}::HUGEINT * (sum(n) OVER (PARTITION BY lang, term) + 2) // (sum(n) OVER (PARTITION BY lang) + 2 * v) AS q FROM c),
+f AS (SELECT a.lang, a.source, b.source AS item, sum((a.p - b.p) * (a.p - b.p) // (a.p + b.p)) AS value
+  FROM p a JOIN p b ON a.lang = b.lang AND a.term = b.term AND a.source <> b.source GROUP BY a.lang, a.source, b.source),
+r AS (SELECT a.lang, a.source, 'pair' AS part, b.source AS item, coalesce(f.value, 0) AS value
+  FROM g a JOIN g b ON a.lang = b.lang AND a.source <> b.source
+  LEFT JOIN f ON f.lang = a.lang AND f.source = a.source AND f.item = b.source
+  UNION ALL SELECT lang, source, 'term', term, (p - q) * (p - q) // (p + q) FROM p WHERE n > 0 AND p > q)
+SELECT lang, source, part, item, value::BIGINT AS value,
+  (row_number() OVER (PARTITION BY lang, source, part ORDER BY value DESC, item))::INTEGER AS rank FROM r
+QUALIFY part = 'pair' OR rank <= {D.TOP_TERMS}
+"""
+
+
+def _repair_sql() -> str:
+    """Least label (cost, audit, text) for each end of the pattern, row by row."""
+    best = lambda *ways: f"list_min([{', '.join(ways)}])"
+    put = lambda v, cost, letter, line: f"{{c: {v}.c + {cost}, a: {v}.a || '{letter}', t: {v}.t || {line}}}"
+    gone = lambda v: put(v, R.DELETE, "D", "''")
+    added = lambda v, role: put(v, R.INSERT, "I", f"chr(10) || '{role}:'")
+
+    def into(v: str, initial: str, role: str) -> list[str]:
+        far = "NULL::STRUCT(c BIGINT, a VARCHAR, t VARCHAR)"
+        kept = f"CASE WHEN NOT bad AND initial = '{initial}' THEN {put(v, 'cut', 'K', 'chr(10) || line')} ELSE {far} END"
+        named = f"""CASE WHEN NOT bad THEN {put(v, f'cut + {R.RENAME}', 'R', f"chr(10) || '{role}:' || text")} ELSE {far} END"""
+        return [kept] if initial == "s" else [kept, named]
+
+    user = [w for v in ("v0", "vs", "va") for w in into(v, "u", "user")]
+    step = f"""SELECT key, pos, v0, vs, u AS vu, va FROM (
+  SELECT key, pos, v0, vs, {best("u", added("va", "user"))} AS u, va FROM (
+  SELECT key, pos, v0, vs, u, {best("a", added("u", "assistant"))} AS va FROM (
+  SELECT key, pos, v0, vs, {best("u", added("v0", "user"), added("vs", "user"), added("a", "user"))} AS u, a FROM (
+  SELECT w.key, x.pos, {gone("v0")} AS v0, {best(gone("vs"), *into("v0", "s", ""))} AS vs, {best(gone("vu"), *user)} AS u,
+    {best(gone("va"), *into("vu", "a", "assistant"))} AS a FROM w JOIN x ON x.key = w.key AND x.pos = w.pos + 1))))"""
+    start = "{c: %s::BIGINT, a: '%s', t: %s}"
+    lines = "chr(10) || 'user:'"
+    ends = ", ".join(start % x for x in ((0, "", "''"), (10 ** 9, "", "''"), (3, "I", lines), (6, "II", lines + " || chr(10) || 'assistant:'")))
+    crc = """xor(list_reduce(list_prepend(4294967295::BIGINT, list_transform(string_split(id, ''), lambda c: ascii(c)::BIGINT)),
+    lambda a, b: list_reduce(list_prepend(xor(a, b), range(1, 9)), lambda y, i: xor(y >> 1, (y & 1) * 3988292384::BIGINT))), 4294967295::BIGINT)"""
+    count = lambda what: f"count(*) FILTER (WHERE {what})"
+    return f"""
+WITH RECURSIVE r AS (SELECT conv_id, coalesce('=' || conv_id::VARCHAR, '') AS key, turn, coalesce(role, ' ') AS role, coalesce(text, ' ') AS text,
+    coalesce(conv_id::VARCHAR, ' ') || ':' || coalesce(turn::VARCHAR, ' ') AS id FROM conversations),
+h AS (SELECT *, {crc} % 20 AS fate FROM r),
+d AS (SELECT key, turn, CASE WHEN fate = 4 THEN 'user' ELSE role END AS role,
+    CASE fate WHEN 1 THEN '' WHEN 2 THEN regexp_replace(text, '[.!?]', '', 'g') ELSE text END AS text
+  FROM h, range(CASE WHEN fate = 3 THEN 2 ELSE 1 END) WHERE fate <> 0),
+o AS (SELECT *, left(role, 1) AS initial, trim(text, {_WHITE}) AS solid,
+    row_number() OVER (PARTITION BY key ORDER BY turn NULLS FIRST, role, text) AS pos FROM d),
+s AS (SELECT *, solid = '' AS blank, solid <> '' AND row_number() OVER (PARTITION BY key, role, text ORDER BY pos) > 1 AS again,
+    lag(initial) OVER (PARTITION BY key ORDER BY pos) || initial AS two FROM o),
+x AS (SELECT key, pos, turn, role || ':' || text AS line, text, initial, blank, again, blank OR again AS bad, two,
+    NOT blank AND NOT again AND right(solid, 1) NOT IN ('.', '!', '?') AS short, CASE WHEN short THEN {R.CUT} ELSE 0 END AS cut FROM s),
+z AS (SELECT key, count(*) AS n, coalesce(max(turn) - min(turn) + 1 - count(DISTINCT turn), 0) AS gaps, {count("blank")} AS blank,
+    {count("again")} AS duplicate, {count("short")} AS truncated, {count("two NOT IN ('su', 'ua', 'au')")} AS illegal FROM x GROUP BY key),
+w(key, pos, v0, vs, vu, va) AS (SELECT key, 0::BIGINT, {ends} FROM z UNION ALL {step}),
+e AS (SELECT w.key, list_min([v0, va]) AS v FROM w JOIN z ON z.key = w.key AND z.n = w.pos)
+SELECT c.conv_id, coalesce(z.gaps, 0)::BIGINT AS gaps, coalesce(z.blank, 0) AS blank, coalesce(z.duplicate, 0) AS duplicate,
+  coalesce(z.truncated, 0) AS truncated, coalesce(z.illegal, 0) AS illegal, coalesce(e.v.c, 0)::BIGINT AS cost,
+  coalesce(e.v.a, '') AS audit, sha256(coalesce(substr(e.v.t, 2), '')) AS repaired_sha256
+FROM (SELECT DISTINCT conv_id, key FROM r) c LEFT JOIN z USING (key) LEFT JOIN e USING (key)
+"""
+
+
 def oracle_sql() -> dict[str, str]:
-    return {"op1_ngram_join": NGRAM_JOIN, "op3_line_dedup": LINE_DEDUP, "op6_quality_rules": _quality_sql(), "op8_source_mixing": MIXING, "op10_url_filters": _url_sql()}
+    return {"op1_ngram_join": NGRAM_JOIN, "op3_line_dedup": LINE_DEDUP, "op6_quality_rules": _quality_sql(), "op8_source_mixing": MIXING,
+            "op10_url_filters": _url_sql(), "op11_conversation_repair": _repair_sql(), "op12_source_divergence": DIVERGENCE}

@@ -22,6 +22,7 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from issuelens.llm.common import UPPER, WHITE, words
+from issuelens.operators.sizing import has_at_most
 from issuelens.operators.stage import materialize
 
 SYMBOLS = "#*$%&|<>"
@@ -102,6 +103,23 @@ def _statistics(p: str) -> list[Column]:
     return [F.round(x * GRAIN) for x in raw]
 
 
+#: Rows of a table by group up to which it is broadcast (some 20 numbers each: 20 MB).
+BROADCAST_GROUPS = 100_000
+SALTS = 64
+
+
+def _by_group(rows: DataFrame, small: DataFrame, how: str = "inner") -> DataFrame:
+    """``rows`` with the columns of ``small``, a written table of one row per group ``g``.  It is
+    broadcast if its count allows; else every group meets its rows in ``SALTS`` parts, so
+    no task gets all rows of a group."""
+    if has_at_most(small, BROADCAST_GROUPS):
+        return rows.join(F.broadcast(small), "g", how)
+    part = F.monotonically_increasing_id() % SALTS
+    every = F.explode(F.sequence(F.lit(0).cast("long"), F.lit(SALTS - 1).cast("long")))
+    return (rows.withColumn("__qr_part", part).join(small.withColumn("__qr_part", every), ["g", "__qr_part"], how)
+            .drop("__qr_part"))
+
+
 def _groups(rows: DataFrame, min_group: int) -> DataFrame:
     """Each row's group: (language, source); for a small one the rest of its
     language; for a small rest all such rows."""
@@ -171,7 +189,7 @@ def _start(rows: DataFrame) -> DataFrame:
 
 def _concentrate(rows: DataFrame, est: DataFrame) -> DataFrame:
     d2 = F.floor(F.log(_distance() + 1e-6) * 8).cast("int").alias("bin")
-    binned = _moments(rows.join(est, "g").select("g", d2, *X), ["g", "bin"])
+    binned = _moments(_by_group(rows, est).select("g", d2, *X), ["g", "bin"])
     w = Window.partitionBy("g")
     before = F.sum("n").over(w.orderBy("bin").rowsBetween(Window.unboundedPreceding, 0)) - F.col("n")
     near = binned.withColumns({"before": before, "all": F.sum("n").over(w)}).where(
@@ -189,7 +207,13 @@ def score_rows(docs: DataFrame, text_col: str = "text", id_col: str = "doc_id",
     ``kept``; with ``carry`` also the whole row as a struct (``__qr_row``).
 
     Texts are read once: their statistics are written (with the rows, if carried),
-    and the estimates read only the narrow columns of that."""
+    and the estimates read only the narrow columns of that.  A group (language and source)
+    with fewer than ``min_group`` rows that pass the limits is judged with the rest of its
+    language, and a small rest with all such rows, as an estimate of few rows is none.
+
+    A null text has no words; null languages and sources are values of their own; rows that
+    are equal have equal results, each its own row; a very long text is some arrays in
+    one row; an empty table gives an empty table."""
     p = "__qr_"
     whole = [F.struct(*[F.col(f"`{c}`") for c in docs.columns]).alias(ROW)] if carry else []
     stats = base_statistics(docs.select(
@@ -201,15 +225,17 @@ def score_rows(docs: DataFrame, text_col: str = "text", id_col: str = "doc_id",
                          *[x.alias(n) for x, n in zip(_statistics(p), X)], *[ROW] * carry)
     stats = materialize(stats, "quality-stats")
     groups = materialize(_groups(stats, min_group), "quality-groups")
-    same = stats["lang"].eqNullSafe(groups["lang"]) & stats["source"].eqNullSafe(groups["source"])
-    rows = stats.join(groups, same).drop(groups["lang"]).drop(groups["source"])
+    # The group's name by language and source, itself a table of one row per group.
+    pair = F.to_json(F.struct("lang", "source"))
+    rows = _by_group(stats.withColumn("g", pair), groups.select(pair.alias("g"), F.col("g").alias("__qr_g"))).drop("g")
+    rows = rows.withColumnRenamed("__qr_g", "g")
     fit = materialize(rows.where("ok").select("g", *X), "quality-rows")
     est = materialize(_start(fit), "quality-start")
     for _ in range(STEPS):
         est = materialize(_concentrate(fit, est), "quality-step")
-    near = fit.join(est, "g").where(_distance() <= REWEIGHT_AT).select("g", *X)
+    near = _by_group(fit, est).where(_distance() <= REWEIGHT_AT).select("g", *X)
     est = materialize(_estimate(_moments(near, ["g"]), REWEIGHTED), "quality-estimate")
-    scored = rows.join(est, "g", "left").withColumn("distance2", F.when(F.col("ok"), _distance()))
+    scored = _by_group(rows, est, "left").withColumn("distance2", F.when(F.col("ok"), _distance()))
     # A group without rows that pass the limits has no estimate, and no row to judge.
     kept = F.col("ok") & (F.coalesce("distance2", F.lit(0.0)) <= REJECT_AT)
     return scored.select("doc_id", "lang", "source", *BASE, "base_failed", "distance2", kept.alias("kept"),

@@ -9,6 +9,7 @@ import re
 import numpy as np
 import pytest
 
+from issuelens.operators.stage import materialize
 from issuelens.llm import line_dedup, mixing, quality_rules as Q, url_filters as U
 from issuelens.llm.queries import SITE_RULES
 
@@ -222,7 +223,7 @@ def test_url_rules_without_tokens(spark):
 
 def test_native_operators_use_no_python(spark):
     df = spark.createDataFrame(rows_of(texts(1, 12)), SCHEMA).coalesce(2)
-    path = line_dedup.materialize(df, "native-test")
+    path = materialize(df, "native-test")
     for out in (line_dedup.line_dedup(path), Q.quality_rules(path)):
         plan = out._jdf.queryExecution().toString()
         assert not re.search("Python|Pandas|Arrow", plan)
