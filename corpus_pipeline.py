@@ -19,12 +19,14 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from issuelens.llm import line_dedup, mixing, ngram_join, piece_bpe, quality_rules
-from issuelens.llm.common import doc_key
+from issuelens.llm.common import doc_key, split_by_keys
 from issuelens.llm.queries import tokenizer_path
 from issuelens.operators.stage import materialize
 
 
 def quality_rules_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """The rows that pass the limits and are no outliers of their language and source.
+    Nulls, repeated and very long rows: see ``quality_rules.score_rows``."""
     return quality_rules.quality_rules(docs)
 
 
@@ -55,14 +57,18 @@ def near_duplicates_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) ->
     stays = members.groupBy("__nd_group").agg(F.min("__nd_first").alias("__nd_stays"))
     gone = materialize(members.join(stays, "__nd_group").where("__nd_first <> __nd_stays").select("__nd_row"),
                        "near-duplicates")
-    kept = rows.join(gone, "__nd_row", "left_anti")
     again = materialize(ids.where("__nd_n > 1").select("__nd_row"), "repeated-rows")
+    # Only rows that may go or be repeated are shuffled with their texts.
+    others, perhaps = split_by_keys(rows, gone.union(again), "__nd_row")
+    kept = materialize(perhaps, "near-rows-met").join(gone, "__nd_row", "left_anti")
     once = kept.join(again, "__nd_row", "left_anti")
     one = kept.join(again, "__nd_row", "left_semi").dropDuplicates(["__nd_row"])
-    return once.select(*docs.columns).union(one.select(*docs.columns))
+    return others.select(*docs.columns).union(once.select(*docs.columns)).union(one.select(*docs.columns))
 
 
 def source_mix_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Each row none, once or twice, as its source's target asks.  A null source is one of its
+    own, texts without words are taken at most twice too; no row is shuffled with its text."""
     names = [f"__mix_{n}" for n in ("size", "source_size", "target", "copies")]
     mixed = mixing.mix_sources(docs, out=names)
     times = F.explode(F.sequence(F.lit(1), F.col(names[3]).cast("int")))
@@ -70,6 +76,8 @@ def source_mix_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataF
 
 
 def sentencepiece_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Id, language, source, token ids and decoded text of each row, from its whole text; a
+    null text is an empty one."""
     return piece_bpe.encode_texts(docs, tokenizer_path("piece_bpe_32k.model"), carry=("doc_id", "lang", "source"))
 
 
