@@ -68,9 +68,11 @@ def test_ingest_one_project(spark, tmp_dir):
     with open(fixture_path("issues_page.json")) as f:
         page = json.load(f)
     projects = [(i["fields"].get("project") or {}).get("key") for i in page["issues"]]
-    store = ingest_issues(spark, f"{tmp_dir}/issues", f"{tmp_dir}/changelog", f"{tmp_dir}/wh", f"{tmp_dir}/ck",
-                          as_of="2024-02-01 00:00:00", project="NONE")
-    assert store.read("jira_issues").count() == projects.count("NONE") == 0
+    for name in ("NONE", "OTHER", "PROJ"):
+        store = ingest_issues(spark, f"{tmp_dir}/issues", f"{tmp_dir}/changelog", f"{tmp_dir}/wh-{name}", f"{tmp_dir}/ck-{name}",
+                              as_of="2024-02-01 00:00:00", project=name)
+        assert store.read("jira_issues").count() == projects.count(name)
+    assert projects.count("OTHER") and projects.count("PROJ")
 
 
 def test_provider_registry():
@@ -83,6 +85,34 @@ def test_provider_registry():
         raise AssertionError
 
 
+def test_second_provider(spark, tmp_dir):
+    """Another host's pages, with names and keys of their own, in the same tables."""
+    from pyspark.sql import functions as F
+    from pyspark.sql import types as T
+    from issuelens import schemas
+    from issuelens.sources.landed import Pages
+    mr = T.StructType([T.StructField(n, t) for n, t in (("iid", T.LongType()), ("subject", T.StringType()), ("changed", T.StringType()))])
+    ch = T.StructType([T.StructField("hash", T.StringType()), T.StructField("iid", T.LongType())])
+
+    def table_rows(schema, known):
+        return lambda raw, keep=(): raw.select(*[known.get(f.name, F.lit(None)).cast(f.dataType).alias(f.name) for f in schema], *keep)
+    requests = table_rows(schemas.PULL_REQUESTS, {"id": F.col("iid"), "title": F.col("subject"), "updated_at": F.to_timestamp_ntz("changed")})
+    commits = table_rows(schemas.PULL_REQUEST_COMMITS, {"sha": F.col("hash"), "pull_request_id": F.col("iid")})
+    providers.register(providers.Provider(
+        "other", Pages(mr, lambda e: e["iid"].isNotNull()), Pages(ch, lambda e: e["hash"].isNotNull()), requests, commits))
+    for folder, text in (("mrs", '[{"iid": 5, "subject": "s", "changed": "2024-01-01T00:00:00"}]'), ("changes", '[{"hash": "f", "iid": 5}]')):
+        os.makedirs(f"{tmp_dir}/{folder}")
+        with open(f"{tmp_dir}/{folder}/p.json", "w") as f:
+            f.write(text)
+    _copy(fixture_path("pull_requests_page.json"), f"{tmp_dir}/prs", "page-0001.json")
+    os.makedirs(f"{tmp_dir}/none")
+    ingest_pull_requests(spark, f"{tmp_dir}/prs", f"{tmp_dir}/none", f"{tmp_dir}/wh", f"{tmp_dir}/ck-a")
+    store = ingest_pull_requests(spark, f"{tmp_dir}/mrs", f"{tmp_dir}/changes", f"{tmp_dir}/wh", f"{tmp_dir}/ck-b", provider="other")
+    rows = {r["id"]: r["title"] for r in store.read("pull_requests").collect()}
+    assert len(rows) == 10 and rows[5] == "s"
+    assert [(r["sha"], r["pull_request_id"]) for r in store.read("pull_request_commits").collect()] == [("f", 5)]
+
+
 def test_sql_over_registered_views(spark, tmp_dir):
     from issuelens.sources.tables import register_views
     _copy(fixture_path("pull_requests_page.json"), f"{tmp_dir}/prs", "page-0001.json")

@@ -19,3 +19,10 @@ def test_landing_to_sorted_csv(spark, tmp_dir):
     jobs.chains(spark, f"{tmp_dir}/wh", fixture_path("status_transitions.csv"), f"{tmp_dir}/chains")
     rows = spark.read.option("header", True).csv(f"{tmp_dir}/chains").collect()
     assert rows and "chain_id" in rows[0].asDict()
+    # SNK-4: every row of the chains, with the values they have as a frame
+    from issuelens.plans.chains import status_chains
+    from issuelens.sources.landed import read_transition_lookup
+    frame = status_chains(store.read("jira_issues"), store.read("jira_changelog"),
+                          read_transition_lookup(spark, fixture_path("status_transitions.csv"))).orderBy("issue_key", "step").collect()
+    told = lambda r: tuple(str(r[c]) for c in ("issue_key", "step", "source", "target", "chain_length", "chain", "chain_id"))
+    assert [told(r) for r in rows] == [told(r) for r in frame]
