@@ -76,7 +76,8 @@ class Logistic:
     shift: float = 0.0
 
     def raw(self, x: np.ndarray) -> np.ndarray:
-        return ((x - self.mean) / self.scale) @ self.weights + self.bias
+        # Summed row by row, so that a score does not depend on the rows beside it.
+        return ((x - self.mean) / self.scale * self.weights).sum(axis=1) + self.bias
 
     def logit(self, x: np.ndarray) -> np.ndarray:
         return np.clip(self.slope * self.raw(x) + self.shift, -12, 12)
