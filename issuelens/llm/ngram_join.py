@@ -9,7 +9,11 @@ similarity is high enough; the result is each document's connected component.
    their sets; the sets that hold one of those met again are found in a second
    reading, behind a bitmap of fixed size that lets few others through.
 3. Every shared signature names its best-connected class as hub; the classes
-   of its signatures are the hub's group.  Each is compared with the hub once,
+   of its signatures are the hub's group.  Sets that only share a passage meet
+   there too; a sketch of ``CELLS`` counts of tokens by hash bounds how near two
+   sets can be from below (their counts' differences add up to no more than the
+   tokens in which they differ), and only classes that the bound lets be similar
+   to another of the group stay in it.  Each is compared with the hub once,
    which leaves the tokens in which it differs from the hub.  Classes similar
    to the hub are linked by that.
 4. Pairs of which one is not similar to the hub can only be similar if their
@@ -44,6 +48,7 @@ GROUP = 32            # members whose differences share one union
 BLOCK_ROWS = 4096     # members of a hub that meet in one task
 SMALL = 256           # hubs with fewer members share tasks
 BITMAP_BITS = 27
+CELLS = 64            # counts of a sketch, a byte each
 
 
 def _each(rows: DataFrame, schema: str, make, columns: tuple[str, ...]) -> DataFrame:
@@ -94,6 +99,22 @@ def _tokens(rows: DataFrame, words: int, some) -> DataFrame:
     return _each(rows, "token bigint", make, ("token",))
 
 
+def sketch(h: np.ndarray, off: np.ndarray) -> np.ndarray:
+    """Tokens of each set by the low bits of their hashes, 255 at most."""
+    n = len(off) - 1
+    cell = np.repeat(np.arange(n) * CELLS, np.diff(off)) + (h & np.uint64(CELLS - 1)).astype(np.int64)
+    return np.minimum(np.bincount(cell, minlength=n * CELLS), 255).astype(np.uint8).reshape(n, CELLS)
+
+
+def _sketches(rows: DataFrame, words: int, some) -> DataFrame:
+    """(c, n, sketch) of the rows whose key the bitmap lets through."""
+    def make(batch, raw, at):
+        h, off = shingle_sets(*_wanted(batch, some), words)
+        return [pa.array(set_ids(h, off).view(np.int64)), pa.array(np.diff(off)),
+                pa.array([x.tobytes() for x in sketch(h, off)], pa.binary())]
+    return _each(rows, "c bigint, n bigint, sketch binary", make, ("c", "n", "sketch"))
+
+
 def _sets(rows: DataFrame, words: int, some, met) -> DataFrame:
     """(c, n, tokens) of the same rows: the tokens that the second bitmap lets through
     (those met more than once); the others only count in ``n``."""
@@ -179,36 +200,70 @@ def _hub_links(h: pd.DataFrame, up: int, down: int) -> list[tuple[int, int]]:
     return links
 
 
-def _residual(diffs: DataFrame, up: int, down: int) -> DataFrame:
-    """Links (c, other) between members of a hub beyond those to the hub."""
-    counts = diffs.groupBy("hub").agg(F.count(F.lit(1)).alias("members"),
-                                      F.sum(F.when(F.col("linked"), 0).otherwise(1)).alias("open"))
+def _dealt(rows: DataFrame, carried: list[str]) -> DataFrame:
+    """Members (hub, c, linked, ``carried``) of hubs dealt to tasks (g, x, y): small hubs share
+    one; a large hub's unlinked members (``a``) meet all its members (``b``) block by block."""
+    counts = rows.groupBy("hub").agg(F.count(F.lit(1)).alias("members"),
+                                     F.sum(F.when(F.col("linked"), 0).otherwise(1)).alias("open"))
     work = materialize(counts.where((F.col("open") > 0) & (F.col("members") > 1)), "hub-sizes")
     total = work.agg(F.sum("members")).first()[0] or 0
     shared = max(1, total // BLOCK_ROWS)
-    rows = diffs.join(work, "hub")
+    rows = rows.join(work, "hub")
+    names = ["hub", "c", "linked", *carried]
     small = rows.where(F.col("members") < SMALL).select(
         F.pmod(F.xxhash64("hub"), F.lit(shared)).alias("g"), F.lit(-1).cast("long").alias("x"),
-        F.lit(-1).cast("long").alias("y"), "hub", "c", "n", "linked", "alone", "diff", F.lit(True).alias("a"),
-        F.lit(True).alias("b"))
+        F.lit(-1).cast("long").alias("y"), *names, F.lit(True).alias("a"), F.lit(True).alias("b"))
     large = rows.where(F.col("members") >= SMALL).withColumns({
         "blocks": F.ceil(F.col("members") / BLOCK_ROWS).cast("long")})
     large = large.withColumn("own", F.pmod(F.xxhash64("c"), F.col("blocks")))
     every = F.explode(F.sequence(F.lit(0).cast("long"), F.col("blocks") - 1))
     asks = large.where(~F.col("linked")).withColumn("y", every).select(
-        F.col("hub").alias("g"), F.col("own").alias("x"), "y", "hub", "c", "n", "linked", "alone", "diff",
-        F.lit(True).alias("a"), F.lit(False).alias("b"))
+        F.col("hub").alias("g"), F.col("own").alias("x"), "y", *names, F.lit(True).alias("a"), F.lit(False).alias("b"))
     files = large.withColumn("x", every).select(
-        F.col("hub").alias("g"), "x", F.col("own").alias("y"), "hub", "c", "n", "linked", "alone", "diff",
-        F.lit(False).alias("a"), F.lit(True).alias("b"))
+        F.col("hub").alias("g"), "x", F.col("own").alias("y"), *names, F.lit(False).alias("a"), F.lit(True).alias("b"))
+    return small.union(asks).union(files)
 
+
+def _residual(diffs: DataFrame, up: int, down: int) -> DataFrame:
+    """Links (c, other) between members of a hub beyond those to the hub."""
     def run(rows: pd.DataFrame) -> pd.DataFrame:
         links = []
         for _, h in rows.groupby("hub", sort=False):
             links.extend(_hub_links(h, up, down))
         return pd.DataFrame(links, columns=["c", "other"], dtype=np.int64)
 
-    return small.union(asks).union(files).groupBy("g", "x", "y").applyInPandas(run, "c bigint, other bigint")
+    return _dealt(diffs, ["n", "alone", "diff"]).groupBy("g", "x", "y").applyInPandas(run, "c bigint, other bigint")
+
+
+def _may_link(h: pd.DataFrame, up: int, down: int) -> np.ndarray:
+    """Of one hub's rows (c, n, sketch, a, b) the asking ones that may be similar to another."""
+    filed = h[h["b"]]
+    ask = h[h["a"]]
+    if not len(filed) or not len(ask):
+        return np.zeros(0, np.int64)
+    table = np.frombuffer(b"".join(filed["sketch"]), np.uint8).reshape(-1, CELLS).astype(np.int16)
+    f_c, f_n = filed["c"].to_numpy(np.int64), filed["n"].to_numpy(np.int64)
+    out = []
+    for c, n, own in zip(ask["c"].tolist(), ask["n"].tolist(), ask["sketch"]):
+        fits = np.flatnonzero((np.abs(f_n - n) * up <= (f_n + n) * down) & (f_c != c))
+        if fits.size:
+            apart = np.abs(table[fits] - np.frombuffer(own, np.uint8).astype(np.int16)).sum(axis=1)
+            if (apart * up <= (f_n[fits] + n) * down).any():
+                out.append(c)
+    return np.array(out, np.int64)
+
+
+def _near_members(pairs: DataFrame, sketches: DataFrame, up: int, down: int) -> DataFrame:
+    """The (hub, c) of ``pairs`` that may be similar to the hub or another of its members."""
+    hubs = pairs.select("hub", F.col("hub").alias("c")).distinct()
+    rows = pairs.union(hubs).join(sketches, "c").withColumn("linked", F.lit(False))
+
+    def run(rows: pd.DataFrame) -> pd.DataFrame:
+        out = [(hub, c) for hub, h in rows.groupby("hub", sort=False) for c in _may_link(h, up, down).tolist()]
+        return pd.DataFrame(out, columns=["hub", "c"], dtype=np.int64)
+
+    found = _dealt(rows, ["n", "sketch"]).groupBy("g", "x", "y").applyInPandas(run, "hub bigint, c bigint")
+    return found.where("c <> hub").distinct()
 
 
 def connected(edges: DataFrame) -> DataFrame:
@@ -239,6 +294,13 @@ def connected(edges: DataFrame) -> DataFrame:
     return materialize(edges.select(F.col("u").alias("node"), F.col("v").alias("component")).union(roots), "components")
 
 
+def _holders(pairs: DataFrame, classes: DataFrame, stages: Stages, name: str):
+    """Bitmap (broadcast) of the ids that stand for the classes of ``pairs``."""
+    used = pairs.select("c").union(pairs.select(F.col("hub").alias("c"))).distinct()
+    wanted = stages.write(name, used.join(classes, "c").select(F.col("rep").alias("key")).distinct())
+    return pairs.sparkSession.sparkContext.broadcast(bitmap(wanted, "key"))
+
+
 def jaccard_components(docs: DataFrame, words: int = 5, percent: int = 80, text_col: str = "text",
                        id_col: str = "doc_id") -> DataFrame:
     """One row per row of ``docs``: ``doc_id``, ``n_shingles`` and ``component_id``.
@@ -247,7 +309,8 @@ def jaccard_components(docs: DataFrame, words: int = 5, percent: int = 80, text_
     their sets of ``words``-word shingles.  Fewer words make one shingle; a null
     or blank text has none and is linked with nothing.  Rows that share an id are
     one document with several sets: their components are one.  A null id counts
-    as one id below all others and comes back as null.  An empty table gives an
+    as one id below all others and comes back as null.  A very long text is shingled
+    whole, in one task.  Only the two named columns are read.  An empty table gives an
     empty table.
     """
     spark = docs.sparkSession
@@ -276,10 +339,14 @@ def jaccard_components(docs: DataFrame, words: int = 5, percent: int = 80, text_
     pairs = stages.write("pairs", members.join(hubs, "sig").where("c <> hub").select("hub", "c").distinct())
     stages.drop("members", "weight", "hubs")
 
-    # The sets are made again for the classes that meet a hub, from one id each.
-    used = pairs.select("c").union(pairs.select(F.col("hub").alias("c"))).distinct()
-    wanted = stages.write("wanted", used.join(classes, "c").select(F.col("rep").alias("key")).distinct())
-    some = spark.sparkContext.broadcast(bitmap(wanted, "key"))
+    # The sets are made again for the classes that meet a hub, from one id each: first
+    # their sketches, then, for those that may be similar to another, their tokens.
+    some = _holders(pairs, classes, stages, "met-classes")
+    sketches = stages.write("sketches", _sketches(texts, words, some).groupBy("c").agg(
+        F.first("n").alias("n"), F.first("sketch").alias("sketch")))
+    pairs = stages.write("near-pairs", _near_members(pairs, sketches, bands.up, bands.down))
+    stages.drop("pairs", "met-classes", "sketches")
+    some = _holders(pairs, classes, stages, "wanted")
     # A token that only one of them holds differs from every other set: it need not travel.
     tokens = stages.write("tokens", _tokens(texts, words, some).groupBy("token").agg(F.count(F.lit(1)).alias("w"))
                           .where("w > 1").select("token"))
@@ -296,7 +363,7 @@ def jaccard_components(docs: DataFrame, words: int = 5, percent: int = 80, text_
     apart = F.size("diff") + F.col("alone") + F.col("hub_alone")
     near = apart * F.lit(bands.up) <= (F.col("n") + F.col("hub_n")) * F.lit(bands.down)
     diffs = stages.write("differences", diffs.select("hub", "c", "n", near.alias("linked"), "alone", "diff"))
-    stages.drop("sets", "pairs")
+    stages.drop("sets", "near-pairs")
 
     links = stages.write("links", diffs.where("linked").select("c", F.col("hub").alias("other")).union(
         _residual(diffs, bands.up, bands.down)))

@@ -215,3 +215,16 @@ def test_search_of_few_and_none(spark):
     assert got == [(0, 1, 2), (0, 2, 1)]
     none = spark.createDataFrame([], schema)
     assert A.nearest(none, none["vec_id"] % 50 == 0).count() == 0
+
+
+def test_sketches_bound_differences():
+    from issuelens.llm.ngram_join import CELLS, sketch
+    rnd = np.random.default_rng(3)
+    sets = [np.unique(rnd.integers(0, 1 << 63, n, dtype=np.uint64)) for n in (0, 1, 5, 300, 40_000)]
+    sets += [np.unique(np.concatenate([s[: len(s) // 2], rnd.integers(0, 1 << 63, 40, dtype=np.uint64)])) for s in sets]
+    off = np.concatenate([[0], np.cumsum([len(s) for s in sets])])
+    table = sketch(np.concatenate(sets), off).astype(int)
+    assert table.shape == (len(sets), CELLS)
+    for a, s in enumerate(sets):
+        for b, t in enumerate(sets):
+            assert np.abs(table[a] - table[b]).sum() <= len(np.setxor1d(s, t))
