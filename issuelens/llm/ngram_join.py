@@ -39,7 +39,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from issuelens.llm.common import MIN_LONG, Stages, doc_key, ship_package, text_bytes
+from issuelens.llm.common import MIN_LONG, Stages, doc_key, release_memory, ship_package, text_bytes
 from issuelens.llm.piece_bpe import slices
 from issuelens.llm.shingles import Bands, set_ids, shingle_sets, signatures
 from issuelens.operators.stage import materialize
@@ -57,6 +57,8 @@ def _each(rows: DataFrame, schema: str, make, columns: tuple[str, ...]) -> DataF
         for whole in batches:
             for batch in slices(whole, "text"):
                 yield pa.RecordBatch.from_arrays(make(batch, *text_bytes(batch.column("text"))), list(columns))
+        whole = batch = None
+        release_memory()
     return rows.mapInArrow(run, schema)
 
 

@@ -26,7 +26,7 @@ import sentencepiece
 from pyspark.sql import DataFrame
 from pyspark.sql import types as T
 
-from issuelens.llm.common import ship_package, text_bytes
+from issuelens.llm.common import release_memory, ship_package, text_bytes
 
 MARK = "▁"
 #: Entries of the lookup tables of a worker.  Of the stretches two generations are
@@ -159,6 +159,11 @@ class PrefixEncoder:
             parts.append(array("i", [self.end_id]).tobytes())
         return np.frombuffer(b"".join(parts), dtype=np.int32)
 
+    def rest(self) -> None:
+        """Between tasks only the newer generation of stretches is kept."""
+        self.older = {}
+        release_memory()
+
     def decode(self, ids: Sequence[np.ndarray]) -> list[str]:
         return self.library.decode([x.tolist() for x in ids]) if ids else []
 
@@ -211,5 +216,7 @@ def encode_texts(docs: DataFrame, model_file: str, carry: Sequence[str] = ("doc_
                 if decode:
                     cols.append(pa.array(enc.decode(ids), pa.string()))
                 yield pa.RecordBatch.from_arrays(cols, [*names, "ids", "decoded"][:len(cols)])
+        whole = batch = texts = ids = cols = None
+        enc.rest()
 
     return rows.mapInArrow(run, T.StructType(fields))
