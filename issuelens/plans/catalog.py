@@ -20,6 +20,7 @@ from issuelens.operators.bulk import merge_bucketed, write_bucketed
 from issuelens.operators.normalize import (
     changelog_members, first_item_per_key, flatten_changelog, normalize_commits, normalize_pull_requests)
 from issuelens.operators.sequence import resolve_strategy
+from issuelens.operators.stage import materialize
 from issuelens.operators.upsert import upsert
 from issuelens.plans import chains, issues as issue_q, params as P, proxies as X
 from issuelens.plans import pull_requests as pr_q, sql_functions, timeline, transitions
@@ -223,6 +224,28 @@ def q_unparsable_dates(spark, sf):
     return quality.unparsable(rows, "author_date_text", try_parse_iso_utc("author_date_text"))
 
 
+def q_load_profiles(spark, sf):
+    """Profiles of two loads of landed commits (by parity of the pull request; commits of one
+    line number lose their sha) and of both together, from one scan, beside the exact
+    counts of keys; ``sketch_near``: the sketch is within 5 percent of them."""
+    _prep(spark)
+    raw = parse_json_column(_landed_commit_json(spark, sf), "json", schemas.COMMIT_RAW)
+    rows = raw.select(
+        F.when(~F.col("sha").endswith(f"-{P.STRAY_LINE}"), F.col("sha")).alias("sha"), "pull_request_id",
+        F.pmod("pull_request_id", F.lit(2)).cast("string").alias("load"), F.col("commit.author.date").alias("date_text"))
+    keys = schemas.KEYS["pull_request_commits"]
+    bad = F.col("date_text").isNotNull() & try_parse_iso_utc("date_text").isNull()
+    loads = materialize(quality.profile(rows, keys, {"n_unparsable": bad}, ["load"]), "profiles")
+    both = quality.merge_profiles(loads).select(F.lit("all").alias("load"), *[c for c in loads.columns if c != "load"])
+    exact = materialize(quality.key_counts(rows, keys, ["load"]), "key-counts")
+    # A key's pull request names its load, so the loads share no key.
+    total = exact.agg(*[F.coalesce(F.sum(c), F.lit(0)).alias(c) for c in ("n_keys", "n_repeated")])
+    exact = exact.unionByName(total.withColumn("load", F.lit("all")))
+    near = F.abs(F.hll_sketch_estimate("keys") - F.col("n_keys")) * 20 <= F.col("n_keys")
+    return (loads.unionByName(both).join(exact, "load")
+            .select("load", "n_rows", "n_null_keys", "n_unparsable", "n_keys", "n_repeated", near.alias("sketch_near")))
+
+
 def q_normalized_commits(spark, sf):
     _prep(spark)
     raw = parse_json_column(_landed_commit_json(spark, sf), "json", schemas.COMMIT_RAW)
@@ -597,6 +620,7 @@ QUERIES: dict[str, Query] = {
     "key_duplicates": q_key_duplicates,
     "orphan_commits": q_orphan_commits,
     "unparsable_dates": q_unparsable_dates,
+    "load_profiles": q_load_profiles,
     "normalized_commits": q_normalized_commits,
     "normalized_pull_requests": q_normalized_pull_requests,
     "pull_request_ingest": q_pull_request_ingest,

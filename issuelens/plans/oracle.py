@@ -313,6 +313,15 @@ WHERE NOT EXISTS (SELECT 1 FROM pull_requests p WHERE p.id = c.parent)""")
   SELECT c.sha, c.pull_request_id, {_parsed_commit_text()} AS author_date_text
   FROM commits_landed c) x
 WHERE author_date_text IS NOT NULL AND TRY_STRPTIME(author_date_text, '%Y-%m-%dT%H:%M:%SZ') IS NULL""")
+    bad = "author_date_text IS NOT NULL AND TRY_STRPTIME(author_date_text, '%Y-%m-%dT%H:%M:%SZ') IS NULL"
+    q["load_profiles"] = W(["commits_landed"], f"""SELECT COALESCE(load, 'all') AS load, CAST(SUM(n) AS BIGINT) AS n_rows,
+       CAST(SUM(n) FILTER (WHERE sha IS NULL) AS BIGINT) AS n_null_keys, CAST(SUM(bad) AS BIGINT) AS n_unparsable,
+       COUNT(sha) AS n_keys, COUNT(sha) FILTER (WHERE n > 1) AS n_repeated, TRUE AS sketch_near
+FROM (SELECT load, sha, pull_request_id, COUNT(*) AS n, COUNT(*) FILTER (WHERE {bad}) AS bad FROM (
+  SELECT CAST(c.pull_request_id % 2 AS VARCHAR) AS load, c.pull_request_id,
+         CASE WHEN NOT ends_with(c.sha, '-{P.STRAY_LINE}') THEN c.sha END AS sha, {_parsed_commit_text()} AS author_date_text
+  FROM commits_landed c) x GROUP BY load, sha, pull_request_id) k
+GROUP BY ROLLUP (load)""")
     q["normalized_commits"] = W(["commits_landed"], f"""SELECT sha, pull_request_id, pull_request_number, author_name, author_email,
        CASE WHEN l_returnflag = {_q(P.BAD_DATE_FLAG[0])} AND l_linestatus = {_q(P.BAD_DATE_FLAG[1])} THEN NULL ELSE author_date END AS author_date,
        committer_name, committer_email, commit_date, message, html_url
