@@ -7,17 +7,17 @@ from pyspark.sql import DataFrame
 from issuelens.session import scratch_path
 
 
-def materialize(df: DataFrame, name: str = "stage") -> DataFrame:
+def materialize(df: DataFrame, name: str = "stage", compression: str | None = None) -> DataFrame:
     """Write ``df`` as Parquet below ``spark.checkpoint.dir`` and read it back.
 
     One job computes the stage once; later reads are columnar (pruning and
     pushdown apply) and a lost executor re-reads files instead of recomputing
     upstream shuffles, so anything derived from a non-deterministic step (range
-    sampling, partition ids) stays fixed.
+    sampling, partition ids) stays fixed.  ``compression``: the files' codec, if not the session's.
     """
     spark = df.sparkSession
     path = scratch_path(spark, name)
-    df.write.mode("overwrite").parquet(path)
+    df.write.mode("overwrite").parquet(path, compression=compression)
     return spark.read.schema(df.schema).parquet(path)
 
 

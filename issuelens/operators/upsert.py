@@ -10,6 +10,7 @@ business (``streaming.incremental`` merges and writes the touched buckets).
 from __future__ import annotations
 
 from collections.abc import Sequence
+from dataclasses import dataclass
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
@@ -18,34 +19,86 @@ from issuelens.operators.sizing import has_at_most
 from issuelens.operators.stage import materialize
 
 
-def _pick(df: DataFrame, keys: Sequence[str], order: Sequence[str | Column], largest: bool) -> DataFrame:
+#: Rows per key, on average, from which a partial aggregate before the shuffle pays.
+MANY_COPIES = 4
+#: Rows of one key that are too many to sort in one task, and how many such keys are told apart.
+HOT_ROWS, HOT_KEYS, TRACKED = 500_000, 100, 10_000
+
+
+@dataclass(frozen=True)
+class Copies:
+    """How a table's rows spread over its keys: number of rows, about how many keys, and the
+    hashes of the keys that very many rows hold."""
+    rows: int
+    keys: int
+    hot: tuple[int, ...]
+
+    @property
+    def few(self) -> bool:
+        return self.rows < MANY_COPIES * self.keys
+
+
+def count_copies(df: DataFrame, keys: Sequence[str]) -> Copies:
+    """One scan of the key columns; a sketch per task is all that is shuffled.  The figures
+    only choose a plan."""
+    cols = ", ".join(f"`{k}`" for k in keys)
+    row = df.select(F.expr(f"xxhash64({cols})").alias("_h")).agg(
+        F.count(F.lit(1)).alias("n"), F.approx_count_distinct("_h").alias("keys"),
+        F.expr(f"approx_top_k(_h, {HOT_KEYS}, {TRACKED})").alias("top")).first()
+    return Copies(row["n"], row["keys"], tuple(t["item"] for t in row["top"] or () if t["count"] > HOT_ROWS))
+
+
+def _pick(df: DataFrame, keys: Sequence[str], order: Sequence[str | Column], largest: bool,
+          copies: Copies | None = None, partitions: int | None = None) -> DataFrame:
     keys = list(keys)
-    order_cols = [F.col(o) if isinstance(o, str) else o for o in order]
-    order_names = {o for o in order if isinstance(o, str)}
+    order_names = sorted({o for o in order if isinstance(o, str)})
     rest = [c for c in df.columns if c not in keys and c not in order_names]
-    if not order_cols:
-        order_cols = [F.col(c) for c in rest]
-    # One struct (order first, then the row): min/max of it is the row with the
-    # smallest/largest order.  Partial aggregation runs before the shuffle.
-    both = F.struct(F.struct(*order_cols).alias("o"),
-                    F.struct(*[F.col(c) for c in rest + sorted(order_names)]).alias("v"))
-    agg = F.max(both) if largest else F.min(both)
-    picked = df.groupBy(*keys).agg(agg.alias("_row"))
-    return picked.select(*keys, *[F.col("_row.v")[c].alias(c) for c in rest + sorted(order_names)])
-
-
-def dedupe_first(df: DataFrame, keys: Sequence[str], order: Sequence[str | Column] = ()) -> DataFrame:
+    if not keys or not (order or rest):
+        return df.select(*keys).distinct()
+    # One struct (order first, then the other columns): min/max of it is the row with the
+    # smallest/largest order.
+    if df.isStreaming:  # streams that run have this layout in their state
+        order_cols = [F.col(o) if isinstance(o, str) else o for o in order] or [F.col(c) for c in rest]
+        both = F.struct(F.struct(*order_cols).alias("o"), F.struct(*[F.col(c) for c in rest + order_names]).alias("v"))
+        newest = df.groupBy(*keys).agg((F.max if largest else F.min)(both).alias("_row"))
+        return newest.select(*keys, *[F.col("_row.v")[c].alias(c) for c in rest + order_names])
+    fields = [(o, F.col(o) if isinstance(o, str) else o) for o in order] + [(c, F.col(c)) for c in rest]
+    at = {name: f"_{i}" for i, (name, _) in reversed(list(enumerate(fields))) if isinstance(name, str)}
+    whole = F.struct(*[c.alias(f"_{i}") for i, (_, c) in enumerate(fields)])
+
+    def picked(rows: DataFrame) -> DataFrame:
+        out = rows.groupBy(*keys).agg((F.max if largest else F.min)(whole).alias("_row"))
+        return out.select(*keys, *[F.col("_row")[at[c]].alias(c) for c in rest + order_names])
+
+    def together(rows: DataFrame) -> DataFrame:
+        return rows.repartition(*([partitions] if partitions else []), *keys)
+
+    if copies is None or not copies.few:
+        return together(picked(df)) if partitions else picked(df)
+    if not copies.hot:
+        return picked(together(df))
+    hot = F.xxhash64(*keys).isin(*copies.hot)
+    both = picked(together(df.where(~hot))).union(picked(df.where(hot)))
+    return together(both) if partitions else both
+
+
+def dedupe_first(df: DataFrame, keys: Sequence[str], order: Sequence[str | Column] = (), copies: Copies | None = None,
+                 partitions: int | None = None) -> DataFrame:
     """One row per key: the smallest in ``order`` (default: all other columns).
 
     An aggregate, not a window: partial aggregation collapses a hot key
-    map-side before the shuffle.
+    map-side before the shuffle.  That sorts every row before the shuffle and again
+    after it, so where ``copies`` (``count_copies``) tells that a key has few rows, rows go
+    to their key's task as they are and are sorted there once; only those of hot keys
+    are collapsed first.  ``partitions``: the number of tasks the result is spread over by key.
     """
-    return _pick(df, keys, order, largest=False)
+    return _pick(df, keys, order, False, copies, partitions)
 
 
-def dedupe_last(df: DataFrame, keys: Sequence[str], order: Sequence[str | Column] = ()) -> DataFrame:
+def dedupe_last(df: DataFrame, keys: Sequence[str], order: Sequence[str | Column] = (), copies: Copies | None = None,
+                partitions: int | None = None) -> DataFrame:
     """One row per key: the largest in ``order`` (the latest version)."""
-    return _pick(df, keys, order, largest=True)
+    return _pick(df, keys, order, True, copies, partitions)
 
 
 BROADCAST_BATCH_ROWS = 100_000  # ~5 MB of key hash table: within the usual broadcast sizes
@@ -90,28 +143,38 @@ def upsert(target: DataFrame, source: DataFrame, keys: Sequence[str], *,
     * unmatched target rows stay, unmatched source rows are inserted.
     Columns come out in the target's order; the source must have them all.
 
-    Plan: the de-duplicated batch is written once, so that its source is parsed
-    once and its size is known.  With at most ``broadcast_batch_rows`` rows
-    its keys are broadcast and the table is only scanned —
-    untouched rows pass through an anti join, touched rows (no more than the
-    batch) are merged with it — so the table is never shuffled.  Larger
-    batches use one full outer join on the key (both sides unique per key).
+    Plan: with at most ``broadcast_batch_rows`` rows the de-duplicated batch is
+    written once, so that its source is parsed once, its keys are broadcast and the
+    table is only scanned — untouched rows pass through an anti join, touched rows
+    (no more than the batch) are merged with it — so the table is never shuffled.
+    Larger batches use one full outer join on the key (both sides unique per
+    key), which finds the batch's rows where their de-duplication put them.
     """
     missing = [c for c in target.columns if c not in source.columns]
     if missing:
         raise ValueError(f"source lacks columns {missing}")
-    src = newest_per_key(source, keys, order, latest).select(*target.columns)
+    copies = count_copies(source, keys)
+    src = newest_per_key(source, keys, order, latest, copies).select(*target.columns)
+    if is_large(copies, broadcast_batch_rows):
+        return merge(target, src, keys, keep_cols, on_conflict, version_col, -1)
     return merge(target, materialize(src, "upsert-batch"), keys, keep_cols, on_conflict, version_col, broadcast_batch_rows)
 
 
-def newest_per_key(source: DataFrame, keys: Sequence[str], order: Sequence[str | Column] = (), latest: bool = True) -> DataFrame:
+def is_large(copies: Copies, broadcast_batch_rows: int = BROADCAST_BATCH_ROWS) -> bool:
+    """Are there surely more keys than are broadcast (beyond the estimate's error)?"""
+    return copies.keys > max(broadcast_batch_rows, 0) * 1.25
+
+
+def newest_per_key(source: DataFrame, keys: Sequence[str], order: Sequence[str | Column] = (), latest: bool = True,
+                   copies: Copies | None = None, partitions: int | None = None) -> DataFrame:
     """One row per key: the last in ``order``, or the first."""
-    return (dedupe_last if latest else dedupe_first)(source, keys, order)
+    return (dedupe_last if latest else dedupe_first)(source, keys, order, copies, partitions)
 
 
 def merge(target: DataFrame, src: DataFrame, keys: Sequence[str], keep_cols: Sequence[str] = (), on_conflict: str = "update",
           version_col: str | None = None, broadcast_batch_rows: int = BROADCAST_BATCH_ROWS) -> DataFrame:
-    """The merge of ``upsert``, for a written batch that has one row per key."""
+    """The merge of ``upsert``, for a batch that has one row per key: a written one, or
+    (``broadcast_batch_rows`` -1) one that is computed as it is joined."""
     keys, keep = list(keys), set(keep_cols)
     if on_conflict not in ("update", "nothing"):
         raise ValueError(f"unknown on_conflict {on_conflict!r}")

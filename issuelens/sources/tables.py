@@ -23,6 +23,9 @@ from issuelens.session import list_dirs
 BUCKETS = 16
 LOADED_BY = T.StructType([T.StructField("load_stream", T.StringType()), T.StructField("load_batch", T.LongType())])
 
+#: Codec of the tables' files: they are written once per load and hold mostly text.
+COMPRESSION = "zstd"
+
 # Further partitioning per table: the changelog by ``field``, so the
 # ``field = 'status'`` filter of every status query prunes whole folders.
 PARTITION_BY = {"jira_changelog": ["field"]}
@@ -78,7 +81,7 @@ class Warehouse:
         held.  The folders' files are of about the advisory partition size."""
         parts = [c for c in PARTITION_BY.get(name, []) if c in rows.columns] + ["bucket"]
         (rows.hint("rebalance", *parts).write.mode("overwrite").option("partitionOverwriteMode", "dynamic")
-         .partitionBy(*parts).parquet(self.path(name)))
+         .partitionBy(*parts).parquet(self.path(name), compression=COMPRESSION))
 
     def write(self, name: str, df: DataFrame, keys: Sequence[str] | None = None) -> None:
         """Write a whole table at once, outside of any stream."""
