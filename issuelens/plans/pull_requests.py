@@ -7,7 +7,8 @@ from pyspark.sql import functions as F
 
 from issuelens.functions.text import issue_key_in
 from issuelens.operators.filters import merged_only, one_pull_request, with_issue_key
-from issuelens.operators.upsert import dedupe_first
+from issuelens.operators.stage import materialize
+from issuelens.operators.upsert import count_copies, dedupe_first
 
 
 def pull_requests_with_commits(prs: DataFrame, commits: DataFrame,
@@ -48,8 +49,8 @@ def commit_views(pull_request_commits: DataFrame) -> tuple[DataFrame, DataFrame]
     derived from the denormalised table."""
     attrs = [c for c in pull_request_commits.columns
              if c not in ("sha", "pull_request_id", "pull_request_number")]
-    commits = dedupe_first(pull_request_commits.select("sha", "pull_request_id", *attrs),
-                           ["sha"], ["pull_request_id"]).drop("pull_request_id")
+    rows = pull_request_commits.select("sha", "pull_request_id", *attrs)
+    commits = dedupe_first(rows, ["sha"], ["pull_request_id"], count_copies(rows, ["sha"])).drop("pull_request_id")
     pr_commits = pull_request_commits.select(F.col("pull_request_id").alias("pr_id"),
                                              F.col("sha").alias("commit_sha"))
     return commits, pr_commits
@@ -74,11 +75,12 @@ def commits_of_pull_request_from_table(prs: DataFrame, pull_request_commits: Dat
     only then split into the ``commits`` / ``pr_commits`` views: the per-sha
     representative is chosen among all rows of the sha either way, so the
     result is the same, but the de-duplication touches only the PR's commits
-    instead of the whole table."""
-    pr = one_pull_request(prs, number).select(F.col("id").alias("_pr_id"))
+    instead of the whole table.  The PR's ids and shas are written first: Spark knows
+    their size then, and only scans the table where they are few."""
+    pr = materialize(one_pull_request(prs, number).select(F.col("id").alias("_pr_id")), "pr-ids")
     mine = pull_request_commits.join(pr, pull_request_commits["pull_request_id"] == pr["_pr_id"],
                                      "left_semi")
-    shas = mine.select(F.col("sha").alias("_sha")).distinct()
+    shas = materialize(mine.select(F.col("sha").alias("_sha")).distinct(), "pr-shas")
     narrowed = pull_request_commits.join(shas, pull_request_commits["sha"] == shas["_sha"], "left_semi")
     commits, pr_commits = commit_views(narrowed)
     return commits_of_pull_request(prs, pr_commits, commits, number)
