@@ -589,7 +589,7 @@ def q_bulk_merge(spark, sf):
     write_bucketed(target, name, keys, P.BULK_BUCKETS)
     batch = X.commits_landed(spark, sf, F.col("l_shipdate") >= F.lit(P.UPSERT_SOURCE_FROM).cast("timestamp_ntz"))
     merged = merge_bucketed(spark, name, batch, X.COMMIT_ORDER_COLS, latest=False)
-    return write_bucketed(merged, f"{name}_merged", keys, P.BULK_BUCKETS)
+    return write_bucketed(merged, f"{name}_merged", keys, P.BULK_BUCKETS, laid_out=True)
 
 
 QUERIES: dict[str, Query] = {
