@@ -28,13 +28,16 @@ from issuelens.plans.chain_store import ChainStore, chain_places
 from issuelens.session import apply_session_defaults, scratch_path
 from issuelens.sources.landed import NTZ_MICROS, parse_json_column, read_transition_lookup
 from issuelens.sources.sinks import write_csv
-from issuelens.sources.tables import Warehouse
+from issuelens.sources.tables import COMPRESSION, Warehouse
 from issuelens.streaming.incremental import Load, run_incremental, run_latest
 from issuelens.streaming.ingest import ingest_issues, ingest_pull_requests
 from issuelens.streaming.quarantine import read_loads, read_quarantine
 
 Query = Callable[[SparkSession, str], DataFrame]
 
+#: Codec of landed JSON texts (Spark reads them as they are).
+LANDED_CODEC = "gzip"
+
 
 def _prep(spark: SparkSession) -> None:
     apply_session_defaults(spark)
@@ -233,9 +236,11 @@ def q_load_profiles(spark, sf):
     rows = raw.select(
         F.when(~F.col("sha").endswith(f"-{P.STRAY_LINE}"), F.col("sha")).alias("sha"), "pull_request_id",
         F.pmod("pull_request_id", F.lit(2)).cast("string").alias("load"), F.col("commit.author.date").alias("date_text"))
-    keys = schemas.KEYS["pull_request_commits"]
     bad = F.col("date_text").isNotNull() & try_parse_iso_utc("date_text").isNull()
-    loads = materialize(quality.profile(rows, keys, {"n_unparsable": bad}, ["load"]), "profiles")
+    # Both passes read what is parsed once.
+    rows = materialize(rows.select("sha", "pull_request_id", "load", bad.alias("bad")), "profiled", COMPRESSION)
+    keys = schemas.KEYS["pull_request_commits"]
+    loads = materialize(quality.profile(rows, keys, {"n_unparsable": F.col("bad")}, ["load"]), "profiles")
     both = quality.merge_profiles(loads).select(F.lit("all").alias("load"), *[c for c in loads.columns if c != "load"])
     exact = materialize(quality.key_counts(rows, keys, ["load"]), "key-counts")
     # A key's pull request names its load, so the loads share no key.
