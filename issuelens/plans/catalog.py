@@ -340,7 +340,7 @@ def _commit_store(spark, sf):
     late = F.col("pull_request_id") % 2 == 1
     relanded = commits.where(F.col("pull_request_id") % P.RELANDED == 0).withColumn("message", F.concat(F.lit("again: "), "message"))
     for rows in (commits.where(~late), commits.where(late).union(relanded)):
-        _commit_pages(rows).write.mode("append").text(f"{root}/commits")
+        _commit_pages(rows).write.mode("append").text(f"{root}/commits", compression=LANDED_CODEC)
         store = ingest_pull_requests(spark, f"{root}/prs", f"{root}/commits", f"{root}/warehouse", f"{root}/checkpoint",
                                      multi_line=False)
     return store
@@ -390,10 +390,10 @@ def _issue_store(spark, sf):
     root = scratch_path(spark, "issue-ingest")
     issues, changelog = X.issues(spark, sf), _nested_changelog(spark, sf)
     first = F.col("id").cast("long") % P.RELANDED != 0
-    changelog.select(F.col("json").alias("value")).write.text(f"{root}/changelog")
+    changelog.select(F.col("json").alias("value")).write.text(f"{root}/changelog", compression=LANDED_CODEC)
     again = issues.where(F.col("id").cast("long") % P.RELANDED == 1)
     for n, rows in enumerate((issues.where(first), issues.where(~first).union(again))):
-        _landed_issues(rows.union(_other_project(rows))).write.mode("append").text(f"{root}/issues")
+        _landed_issues(rows.union(_other_project(rows))).write.mode("append").text(f"{root}/issues", compression=LANDED_CODEC)
         day = F.timestamp_add("DAY", F.lit(n), as_of_lit(X.LOAD_TIME))
         store = ingest_issues(spark, f"{root}/issues", f"{root}/changelog", f"{root}/warehouse", f"{root}/checkpoint",
                               as_of=day, multi_line_issues=False, project=X.PROJECT)

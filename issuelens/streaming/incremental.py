@@ -26,10 +26,10 @@ from pyspark.sql import types as T
 
 from issuelens import schemas
 from issuelens.operators.stage import materialize
-from issuelens.operators.upsert import merge, newest_per_key
+from issuelens.operators.upsert import BROADCAST_BATCH_ROWS, count_copies, is_large, merge, newest_per_key
 from issuelens.session import delete_path, path_exists, read_text_file
 from issuelens.sources.landed import NTZ_MICROS, Pages, page_rows, page_texts, parse_pages
-from issuelens.sources.tables import Warehouse, bucket_of
+from issuelens.sources.tables import COMPRESSION, Warehouse, bucket_of
 from issuelens.streaming.quarantine import log_load, put_aside
 
 #: Columns that say when a landed row came: file, page in the file, place in the page.
@@ -39,7 +39,8 @@ LANDED = ["_file", "_pos", "_el"]
 @dataclass(frozen=True)
 class Load:
     """How a batch's rows go into one table: ``rows`` makes table rows of them (order
-    columns may follow), of which the last per key in ``order`` counts."""
+    columns may follow), of which the last per key in ``order`` counts; with ``picked`` they
+    are one per key already."""
     table: str
     rows: Callable[[DataFrame], DataFrame]
     keys: Sequence[str]
@@ -49,6 +50,7 @@ class Load:
     version_col: str | None = None
     schema: T.StructType | None = None
     latest: bool = field(default=True)
+    picked: bool = False
 
 
 def stream_id(spark: SparkSession, checkpoint: str) -> str:
@@ -65,23 +67,29 @@ def _staged(checkpoint: str, load: Load, batch_id: int) -> str:
 
 def stage_load(store: Warehouse, load: Load, batch: DataFrame, stream: str, batch_id: int, path: str) -> dict | None:
     """Write the touched buckets as they will be; the counts of what changes, or None when
-    the batch has no row for the table."""
+    the batch has no row for the table.  A batch of few keys is written first, as one row per
+    key; that of many goes to its keys' tasks once and is reduced and merged there."""
     schema = load.schema or schemas.TABLES[load.table]
     keyed = load.rows(batch).dropna(subset=list(load.keys))
-    src = newest_per_key(keyed, load.keys, load.order, load.latest).select(*schema.names)
-    src = materialize(src.select(
-        "*", F.lit(stream).alias("load_stream"), F.lit(batch_id).cast("long").alias("load_batch"),
-        bucket_of(load.keys, store.buckets(load.table)).alias("bucket")), "batch-rows")
+    bucket = bucket_of(load.keys, store.buckets(load.table)).alias("bucket")
+    copies = None if load.picked else count_copies(keyed, load.keys)
+    src = keyed if load.picked else newest_per_key(keyed, load.keys, load.order, load.latest, copies)
+    src = src.select(*schema.names).select(
+        "*", F.lit(stream).alias("load_stream"), F.lit(batch_id).cast("long").alias("load_batch"), bucket)
+    large = copies is not None and is_large(copies)
+    if not large:
+        src = materialize(src, "batch-rows", COMPRESSION)
     # At most as many values as the table has buckets.
-    touched = sorted(r[0] for r in src.select("bucket").distinct().collect())
+    touched = sorted(r[0] for r in (keyed.select(bucket) if large else src.select("bucket")).distinct().collect())
     if not touched:
         return None
     current = store.rows(load.table, schema, touched)
-    merged = merge(current, src, load.keys, load.keep_cols, load.on_conflict, load.version_col)
+    merged = merge(current, src, load.keys, load.keep_cols, load.on_conflict, load.version_col,
+                   -1 if large else BROADCAST_BATCH_ROWS)
     ours = (F.col("load_stream") == stream) & (F.col("load_batch") == batch_id)
     seen = Observation(f"{load.table}-{batch_id}")
     merged = merged.observe(seen, F.count(F.lit(1)).alias("rows"), F.count(F.when(ours, 1)).alias("written"))
-    merged.write.mode("overwrite").parquet(path)
+    merged.write.mode("overwrite").parquet(path, compression=COMPRESSION)
     inserted = seen.get["rows"] - current.count()  # the files' own row counts
     return {"inserted": inserted, "updated": seen.get["written"] - inserted}
 
@@ -90,7 +98,8 @@ def batch_writer(store: Warehouse, checkpoint: str, loads: Sequence[Load],
                  prepare: Callable[[DataFrame], DataFrame] | None = None, pages: Pages | None = None, landing: str = "",
                  stateful: bool = False):
     """The ``foreachBatch`` function.  The batch is parsed (and ``prepare``d) once and
-    written, and all tables are merged from that."""
+    written, and all tables are merged from that; parsed pages that need no preparing are
+    taken as they were written."""
     def write(batch: DataFrame, batch_id: int) -> None:
         spark, stream = store.spark, stream_id(store.spark, checkpoint)
         todo = [x for x in loads if not path_exists(spark, f"{_staged(checkpoint, x, batch_id)}/_SUCCESS")]
@@ -101,10 +110,11 @@ def batch_writer(store: Warehouse, checkpoint: str, loads: Sequence[Load],
             if pages is not None:
                 parsed = parse_pages(batch.withColumn("_pos", F.monotonically_increasing_id()), pages)
                 value = F.when(F.col("reason").isNotNull(), F.col("value")).alias("value")
-                parsed = materialize(parsed.select("_file", "_pos", value, "page", "reason"), "pages")
+                parsed = materialize(parsed.select("_file", "_pos", value, "page", "reason"), "pages", COMPRESSION)
                 read = put_aside(store, parsed, landing, stream, batch_id)
                 rows = page_rows(parsed, ["_file", "_pos"])
-            rows = materialize(prepare(rows) if prepare else rows, "batch")
+            if prepare or pages is None:
+                rows = materialize(prepare(rows) if prepare else rows, "batch", COMPRESSION)
             counts = []
             for load in todo:
                 changed = stage_load(store, load, rows, stream, batch_id, _staged(checkpoint, load, batch_id))

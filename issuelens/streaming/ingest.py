@@ -65,7 +65,7 @@ def ingest_issues(spark: SparkSession, issue_landing: str, changelog_landing: st
     issues = Load("jira_issues", lambda rows: rows, order=[*LANDED, "_ipos"], **RULES["jira_issues"])
     links = Load("jira_links", lambda rows: extract_links(rows).withColumn("created_at", now), **RULES["jira_links"])
     changelog = Load("jira_changelog", lambda rows: first_item_per_key(flatten_changelog(rows, keep=LANDED), latest_by=LANDED),
-                     order=LANDED, **RULES["jira_changelog"])
+                     order=LANDED, picked=True, **RULES["jira_changelog"])
     load_pages(store, issue_landing, ISSUE_PAGES, [issues, links], f"{checkpoint_root}/jira_issues", multi_line_issues,
                prepare=issue_rows)
     load_pages(store, changelog_landing, CHANGELOG_PAGES, [changelog], f"{checkpoint_root}/jira_changelog")
