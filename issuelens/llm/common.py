@@ -73,6 +73,20 @@ def release_memory() -> None:
         trim(0)
 
 
+#: Rows of an Arrow batch of whole texts.
+BATCH_ROWS = 1_000
+
+
+def small_batches(spark: SparkSession) -> None:
+    """Let Arrow batches hold at most ``BATCH_ROWS`` rows (a session's lower limit stays).  An
+    executor holds a batch of each task in its own memory and again in the Python worker, and
+    Spark's 10,000 whole texts are tens of MB each time.  The results do not depend on it."""
+    name = "spark.sql.execution.arrow.maxRecordsPerBatch"
+    rows = int(spark.conf.get(name))
+    if rows <= 0 or rows > BATCH_ROWS:  # 0 or less: no limit
+        spark.conf.set(name, str(BATCH_ROWS))
+
+
 FILTER_BITS = 25
 
 

@@ -39,7 +39,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from issuelens.llm.common import MIN_LONG, Stages, doc_key, release_memory, ship_package, text_bytes
+from issuelens.llm.common import MIN_LONG, Stages, doc_key, release_memory, ship_package, small_batches, text_bytes
 from issuelens.llm.piece_bpe import slices
 from issuelens.llm.shingles import Bands, set_ids, shingle_sets, signatures
 from issuelens.operators.stage import materialize
@@ -317,6 +317,7 @@ def jaccard_components(docs: DataFrame, words: int = 5, percent: int = 80, text_
     """
     spark = docs.sparkSession
     ship_package(spark)
+    small_batches(spark)
     bands = Bands(percent)
     texts = docs.select(doc_key(id_col).alias("key"), F.col(text_col).alias("text"))
     stages = Stages(spark)

@@ -58,6 +58,26 @@ def test_encoding_rows(spark):
     assert encode_texts(df.limit(0), PIECES).count() == 0
 
 
+def test_worker_tables_stay_small(monkeypatch):
+    enc = PrefixEncoder(PIECES)
+    monkeypatch.setattr(enc, "stretch", lambda s: b"\0\0\0\0")
+    for a in range(0, 250_000, 1000):
+        enc.encode(" ".join(f"w{i}" for i in range(a, a + 1000)))
+        assert len(enc.known) + len(enc.older) <= 200_000
+
+
+@pytest.mark.parametrize("before, after", [("10000", 1000), ("0", 1000), ("7", 7)])
+def test_arrow_batches_of_whole_texts_are_small(spark, before, after):
+    name = "spark.sql.execution.arrow.maxRecordsPerBatch"
+    spark.conf.set(name, before)
+    try:
+        out = encode_texts(spark.range(2500).selectExpr("id AS doc_id", "'a b' AS text").coalesce(1), PIECES)
+        assert int(spark.conf.get(name)) == after
+        assert out.count() == 2500
+    finally:
+        spark.conf.unset(name)
+
+
 @pytest.mark.parametrize("n", [0, 1, 7, R.BLOCK - 1, R.BLOCK, R.BLOCK + 1, 3 * R.BLOCK + 11])
 def test_coder_round_trip(n):
     rng = np.random.default_rng(n)
