@@ -9,7 +9,7 @@ business (``streaming.incremental`` merges and writes the touched buckets).
 
 from __future__ import annotations
 
-from collections.abc import Sequence
+from collections.abc import Mapping, Sequence
 from dataclasses import dataclass
 
 from pyspark.sql import Column, DataFrame
@@ -128,7 +128,7 @@ def _merge_rows(target: DataFrame, src: DataFrame, keys: list[str], keep: set[st
 def upsert(target: DataFrame, source: DataFrame, keys: Sequence[str], *,
            keep_cols: Sequence[str] = (), on_conflict: str = "update",
            order: Sequence[str | Column] = (), latest: bool = False, version_col: str | None = None,
-           broadcast_batch_rows: int = BROADCAST_BATCH_ROWS) -> DataFrame:
+           broadcast_batch_rows: int = BROADCAST_BATCH_ROWS, late: Mapping[str, Column] | None = None) -> DataFrame:
     """``INSERT … ON CONFLICT (keys) DO UPDATE / DO NOTHING``.
 
     * ``source`` is de-duplicated first: the first row per key in ``order``
@@ -141,7 +141,10 @@ def upsert(target: DataFrame, source: DataFrame, keys: Sequence[str], *,
       not older than the target's (a NULL version is older than any other);
     * ``on_conflict="nothing"``: matched rows keep the target row;
     * unmatched target rows stay, unmatched source rows are inserted.
-    Columns come out in the target's order; the source must have them all.
+    Columns come out in the target's order; the source must have them all, or ``late``
+    gives those it lacks: expressions over the source's columns, evaluated for the rows that
+    the de-duplication keeps, so that it moves only what they are made of.  Rows of one
+    key that are alike in the source's columns must be alike in these too.
 
     Plan: with at most ``broadcast_batch_rows`` rows the de-duplicated batch is
     written once, so that its source is parsed once, its keys are broadcast and the
@@ -150,11 +153,13 @@ def upsert(target: DataFrame, source: DataFrame, keys: Sequence[str], *,
     Larger batches use one full outer join on the key (both sides unique per
     key), which finds the batch's rows where their de-duplication put them.
     """
-    missing = [c for c in target.columns if c not in source.columns]
+    late = late or {}
+    missing = [c for c in target.columns if c not in source.columns and c not in late]
     if missing:
         raise ValueError(f"source lacks columns {missing}")
     copies = count_copies(source, keys)
-    src = newest_per_key(source, keys, order, latest, copies).select(*target.columns)
+    src = newest_per_key(source, keys, order, latest, copies)
+    src = src.select(*[late[c].alias(c) if c in late else F.col(c) for c in target.columns])
     if is_large(copies, broadcast_batch_rows):
         return merge(target, src, keys, keep_cols, on_conflict, version_col, -1)
     return merge(target, materialize(src, "upsert-batch"), keys, keep_cols, on_conflict, version_col, broadcast_batch_rows)

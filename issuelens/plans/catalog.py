@@ -148,9 +148,9 @@ def _upsert(spark, sf, keep=(), on_conflict="update"):
     target = X.pull_request_commits(
         spark, sf, F.col("l_shipdate") < F.lit(P.UPSERT_TARGET_BEFORE).cast("timestamp_ntz"),
         name="pull_request_commits_existing")
-    source = X.commits_landed(spark, sf, F.col("l_shipdate") >= F.lit(P.UPSERT_SOURCE_FROM).cast("timestamp_ntz"))
+    source, late = X.commits_to_load(spark, sf, F.col("l_shipdate") >= F.lit(P.UPSERT_SOURCE_FROM).cast("timestamp_ntz"))
     return upsert(target, source, schemas.KEYS["pull_request_commits"], keep_cols=keep,
-                  on_conflict=on_conflict, order=X.COMMIT_ORDER_COLS)
+                  on_conflict=on_conflict, order=X.COMMIT_ORDER, late=late)
 
 
 def q_upsert_update(spark, sf):

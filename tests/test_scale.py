@@ -91,6 +91,28 @@ def test_a_large_batch_meets_the_table_where_it_was_reduced(spark):
         assert "upsert-batch" not in _plan(out)
 
 
+@pytest.mark.parametrize("rows", [10, 10**6])
+def test_upsert_of_commits_shuffles_the_batch_as_lineitem_rows(spark, tmp_dir, monkeypatch, rows):
+    li = spark.read.parquet(f"{_lineitem(spark, tmp_dir + '/one', 3000)}/lineitem.parquet")
+    new = F.col("l_shipdate") >= F.lit("1998-06-01").cast("timestamp_ntz")
+    sf = tmp_dir + "/two"
+    li.withColumn("l_orderkey", F.col("l_orderkey") + F.when(new, 20).otherwise(0)).write.parquet(f"{sf}/lineitem.parquet")
+    monkeypatch.setattr(U.upsert, "__kwdefaults__", {**U.upsert.__kwdefaults__, "broadcast_batch_rows": rows})
+    before, since = F.col("l_shipdate") < F.lit("1998-01-01"), F.col("l_shipdate") >= F.lit("1997-01-01")
+    target = X.build_pull_request_commits(spark, sf, before)
+    landed = X.commits_landed(spark, sf, since)
+    for query, rule in ((catalog.q_upsert_update, {}), (catalog.q_upsert_do_nothing, {"on_conflict": "nothing"}),
+                        (catalog.q_upsert_keep_columns, {"keep_cols": ["author_name", "author_date"]})):
+        want = U.upsert(target, landed, schemas.KEYS["pull_request_commits"], order=X.COMMIT_ORDER_COLS, **rule)
+        got = query(spark, sf)
+        assert got.schema.names == want.schema.names and _rows(got) == _rows(want)
+        assert got.count() > target.count()
+        if rows == 10:
+            plan = got._jdf.queryExecution().optimizedPlan().toString()
+            plan = plan[plan.index("Aggregate ["):]
+            assert "@example.org" not in plan and "commit/" not in plan
+
+
 def test_bulk_merge_shuffles_the_batch_once(spark):
     i = F.col("id")
     target = spark.range(300).select(i.alias("k"), F.lit("t").alias("v"))
