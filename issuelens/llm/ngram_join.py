@@ -6,14 +6,16 @@ similarity is high enough; the result is each document's connected component.
 1. Equal sets become one class, so any number of exact copies is one row.
 2. Each set is signed by blocks of its hash range (``shingles.signatures``);
    similar sets share a signature at least.  Signatures are counted, without
-   their sets; the sets that hold one of those met again are found in a second
-   reading, behind a bitmap of fixed size that lets few others through.
+   their sets and, but for few, once for each class, so that those of exact
+   copies are not met again; the sets that hold one of those met again are found
+   in a second reading, behind a bitmap that lets few others through.
 3. Every shared signature names its best-connected class as hub; the classes
    of its signatures are the hub's group.  Sets that only share a passage meet
-   there too; a sketch of ``CELLS`` counts of tokens by hash bounds how near two
+   there too; a sketch of counts of tokens by hash bounds how near two
    sets can be from below (their counts' differences add up to no more than the
    tokens in which they differ), and only classes that the bound lets be similar
-   to another of the group stay in it.  Each is compared with the hub once,
+   to another of the group stay in it.  A larger set has more counts, as few
+   would let large sets pass that share nothing.  Each is compared with the hub once,
    which leaves the tokens in which it differs from the hub.  Classes similar
    to the hub are linked by that.
 4. Pairs of which one is not similar to the hub can only be similar if their
@@ -47,8 +49,9 @@ from issuelens.operators.stage import materialize
 GROUP = 32            # members whose differences share one union
 BLOCK_ROWS = 4096     # members of a hub that meet in one task
 SMALL = 256           # hubs with fewer members share tasks
-BITMAP_BITS = 27
-CELLS = 64            # counts of a sketch, a byte each
+BITMAP_BITS, MOST_BITS = 27, 29   # of a bitmap: as many as have room for its values, 64 MB at most
+CELLS, MOST_CELLS = 64, 4096      # counts of a sketch, a byte each
+PER_CELL = 8          # tokens for which a sketch has a count
 
 
 def _each(rows: DataFrame, schema: str, make, columns: tuple[str, ...]) -> DataFrame:
@@ -70,17 +73,17 @@ def _ids(rows: DataFrame, words: int) -> DataFrame:
     return _each(rows, "key bigint, n bigint, c bigint", make, ("key", "n", "c"))
 
 
-def _signatures(rows: DataFrame, words: int, percent: int) -> DataFrame:
-    """(sig): all signatures of all rows."""
+def _signatures(rows: DataFrame, words: int, percent: int, reps) -> DataFrame:
+    """(sig): all signatures of the rows whose key the bitmap lets through."""
     def make(batch, raw, at):
-        return [pa.array(signatures(*shingle_sets(raw, at, words), Bands(percent))[1].view(np.int64))]
+        return [pa.array(signatures(*shingle_sets(*_wanted(batch, reps), words), Bands(percent))[1].view(np.int64))]
     return _each(rows, "sig bigint", make, ("sig",))
 
 
-def _signed(rows: DataFrame, words: int, percent: int, some) -> DataFrame:
-    """(c, sig): the signatures that the bitmap lets through, with their sets."""
+def _signed(rows: DataFrame, words: int, percent: int, reps, some) -> DataFrame:
+    """(c, sig): the signatures of the same rows that the second bitmap lets through, with their sets."""
     def make(batch, raw, at):
-        h, off = shingle_sets(raw, at, words)
+        h, off = shingle_sets(*_wanted(batch, reps), words)
         who, sig = signatures(h, off, Bands(percent))
         sig = sig.view(np.int64)
         keep = in_bitmap(some.value, sig)
@@ -101,11 +104,27 @@ def _tokens(rows: DataFrame, words: int, some) -> DataFrame:
     return _each(rows, "token bigint", make, ("token",))
 
 
-def sketch(h: np.ndarray, off: np.ndarray) -> np.ndarray:
+def sketch(h: np.ndarray, off: np.ndarray, cells: int = CELLS) -> np.ndarray:
     """Tokens of each set by the low bits of their hashes, 255 at most."""
     n = len(off) - 1
-    cell = np.repeat(np.arange(n) * CELLS, np.diff(off)) + (h & np.uint64(CELLS - 1)).astype(np.int64)
-    return np.minimum(np.bincount(cell, minlength=n * CELLS), 255).astype(np.uint8).reshape(n, CELLS)
+    cell = np.repeat(np.arange(n) * cells, np.diff(off)) + (h & np.uint64(cells - 1)).astype(np.int64)
+    return np.minimum(np.bincount(cell, minlength=n * cells), 255).astype(np.uint8).reshape(n, cells)
+
+
+def sized_sketches(h: np.ndarray, off: np.ndarray) -> list[bytes]:
+    """The sketch of each set, with a count for each ``PER_CELL`` tokens (a power of two)."""
+    out = []
+    for a, b in zip(off.tolist(), off[1:].tolist()):
+        cells = 1 << max(0, (b - a - 1) // PER_CELL).bit_length()
+        cells = min(max(cells, CELLS), MOST_CELLS)
+        out.append(sketch(h[a:b], np.array([0, b - a]), cells).tobytes())
+    return out
+
+
+def _folded(sketches: list[bytes], cells: int) -> np.ndarray:
+    """Sketches of one length as those of ``cells`` counts, a row each."""
+    table = np.frombuffer(b"".join(sketches), np.uint8).reshape(len(sketches), -1, cells)
+    return np.minimum(table.sum(axis=1, dtype=np.int32), 255).astype(np.int16)
 
 
 def _sketches(rows: DataFrame, words: int, some) -> DataFrame:
@@ -113,7 +132,7 @@ def _sketches(rows: DataFrame, words: int, some) -> DataFrame:
     def make(batch, raw, at):
         h, off = shingle_sets(*_wanted(batch, some), words)
         return [pa.array(set_ids(h, off).view(np.int64)), pa.array(np.diff(off)),
-                pa.array([x.tobytes() for x in sketch(h, off)], pa.binary())]
+                pa.array(sized_sketches(h, off), pa.binary())]
     return _each(rows, "c bigint, n bigint, sketch binary", make, ("c", "n", "sketch"))
 
 
@@ -130,20 +149,21 @@ def _sets(rows: DataFrame, words: int, some, met) -> DataFrame:
 
 
 def bitmap(rows: DataFrame, col: str) -> np.ndarray:
-    """Bits at the low ``BITMAP_BITS`` bits of a long column's values: 16 MB at most,
-    however many rows.  It only spares work: what it lets through is checked
-    again, and when it fills up everything passes."""
-    at = F.col(col).bitwiseAND(F.lit((1 << BITMAP_BITS) - 1))
+    """Bits at the low bits of a long column's values: eight for each of the (written) rows,
+    from 16 MB to 64 MB, however many rows.  It only spares work: what it lets through is
+    checked again, and when it fills up everything passes."""
+    bits = min(max(BITMAP_BITS, (8 * rows.count()).bit_length()), MOST_BITS)
+    at = F.col(col).bitwiseAND(F.lit((1 << bits) - 1))
     bit = F.expr(f"shiftleft(1L, cast({col} & 63 as int))")
     words = (rows.select(F.shiftright(at, 6).cast("int").alias("w"), bit.alias("b"))
              .groupBy("w").agg(F.bit_or("b").alias("b")).toArrow())
-    out = np.zeros(1 << (BITMAP_BITS - 6), np.int64)
+    out = np.zeros(1 << (bits - 6), np.int64)
     out[words.column("w").to_numpy()] = words.column("b").to_numpy()
     return out.view(np.uint64)
 
 
 def in_bitmap(words: np.ndarray, values: np.ndarray) -> np.ndarray:
-    at = values & ((1 << BITMAP_BITS) - 1)
+    at = values & (64 * len(words) - 1)
     return (words[at >> 6] >> (at & 63).astype(np.uint64) & np.uint64(1)).astype(bool)
 
 
@@ -243,16 +263,27 @@ def _may_link(h: pd.DataFrame, up: int, down: int) -> np.ndarray:
     ask = h[h["a"]]
     if not len(filed) or not len(ask):
         return np.zeros(0, np.int64)
-    table = np.frombuffer(b"".join(filed["sketch"]), np.uint8).reshape(-1, CELLS).astype(np.int16)
     f_c, f_n = filed["c"].to_numpy(np.int64), filed["n"].to_numpy(np.int64)
-    out = []
-    for c, n, own in zip(ask["c"].tolist(), ask["n"].tolist(), ask["sketch"]):
-        fits = np.flatnonzero((np.abs(f_n - n) * up <= (f_n + n) * down) & (f_c != c))
-        if fits.size:
-            apart = np.abs(table[fits] - np.frombuffer(own, np.uint8).astype(np.int16)).sum(axis=1)
-            if (apart * up <= (f_n[fits] + n) * down).any():
-                out.append(c)
-    return np.array(out, np.int64)
+    a_c, a_n = ask["c"].to_numpy(np.int64), ask["n"].to_numpy(np.int64)
+    f_sketch, a_sketch = filed["sketch"].tolist(), ask["sketch"].tolist()
+    f_len, a_len = np.array([len(x) for x in f_sketch]), np.array([len(x) for x in a_sketch])
+    found = np.zeros(len(a_c), bool)
+    for long in np.unique(f_len).tolist():
+        rows = np.flatnonzero(f_len == long)
+        low, high = f_n[rows].min(), f_n[rows].max()
+        near = ((low - a_n) * up <= (low + a_n) * down) & ((a_n - high) * up <= (a_n + high) * down)
+        for own in np.unique(a_len[near & ~found]).tolist():
+            asking = np.flatnonzero(near & ~found & (a_len == own))
+            cells = min(long, own)  # both sides as the shorter sketch
+            table = _folded([f_sketch[i] for i in rows.tolist()], cells)
+            mine = _folded([a_sketch[i] for i in asking.tolist()], cells)
+            c, n = f_c[rows], f_n[rows]
+            for i, counts in zip(asking.tolist(), mine):
+                fits = np.flatnonzero((np.abs(n - a_n[i]) * up <= (n + a_n[i]) * down) & (c != a_c[i]))
+                if fits.size:
+                    apart = np.abs(table[fits] - counts).sum(axis=1, dtype=np.int64)
+                    found[i] = (apart * up <= (n[fits] + a_n[i]) * down).any()
+    return a_c[found]
 
 
 def _near_members(pairs: DataFrame, sketches: DataFrame, up: int, down: int) -> DataFrame:
@@ -324,12 +355,16 @@ def jaccard_components(docs: DataFrame, words: int = 5, percent: int = 80, text_
     plain = stages.write("set-ids", _ids(texts, words))
     classes = stages.write("classes", plain.where("n > 0").groupBy("c").agg(F.min("key").alias("rep")))
 
-    # A signature met twice may still be of copies of one set; those go below.
-    met = stages.write("met", _signatures(texts, words, percent).groupBy("sig").agg(F.count(F.lit(1)).alias("w"))
+    # One row stands for a class (few others pass, and rows of its id).  A signature met
+    # twice may still be of copies of one set; those go below.
+    reps = spark.sparkContext.broadcast(bitmap(classes, "rep"))
+    met = stages.write("met", _signatures(texts, words, percent, reps).groupBy("sig").agg(F.count(F.lit(1)).alias("w"))
                        .where("w > 1").select("sig"))
     some = spark.sparkContext.broadcast(bitmap(met, "sig"))
-    signed = stages.write("signed", _signed(texts, words, percent, some).distinct())
+    signed = stages.write("signed", _signed(texts, words, percent, reps, some).distinct())
     stages.drop("met")
+    reps.destroy()
+    some.destroy()
     shared = stages.write("shared", signed.groupBy("sig").agg(
         F.min("c").alias("lo"), F.max("c").alias("hi"), F.count(F.lit(1)).alias("w")).where("lo <> hi").select("sig", "w"))
     members = stages.write("members", signed.join(shared, "sig"))

@@ -228,3 +228,56 @@ def test_sketches_bound_differences():
     for a, s in enumerate(sets):
         for b, t in enumerate(sets):
             assert np.abs(table[a] - table[b]).sum() <= len(np.setxor1d(s, t))
+
+
+def test_large_sets_that_share_a_passage_do_not_pass_the_sketches():
+    import pandas as pd
+    from issuelens.llm import ngram_join as J
+    rng = np.random.default_rng(9)
+    whole = lambda n: np.unique(rng.integers(0, 1 << 63, n, dtype=np.uint64))
+    passage, base = whole(200), whole(4_200)
+    unrelated = [np.union1d(passage, whole(n)) for n in (1_700, 2_500, 3_000, 4_000, 5_500, 40_000)]
+    sets = [*unrelated, base, np.union1d(base[:-200], whole(150)), base[:3_600]]
+    off = np.cumsum([0] + [len(s) for s in sets])
+    short = J.sketch(np.concatenate(sets), off)
+    sized = J.sized_sketches(np.concatenate(sets), off)
+    assert [len(x) for x in sized] == [256, 512, 512, 1024, 1024, 4096, 1024, 1024, 512]
+
+    def found(sketches):
+        rows = pd.DataFrame({"c": range(len(sets)), "n": [len(s) for s in sets], "sketch": sketches, "a": True, "b": True})
+        return sorted(J._may_link(rows, 180, 20).tolist())
+
+    assert found(sized) == [6, 7, 8]
+    assert {1, 2, 3} <= set(found([x.tobytes() for x in short]))  # what 64 counts let through
+
+
+def test_sketches_of_different_lengths_bound_differences():
+    from issuelens.llm import ngram_join as J
+    rng = np.random.default_rng(10)
+    hot = (np.arange(700, dtype=np.uint64) << np.uint64(20)) | np.uint64(5)  # one count beyond 255
+    for n in (513, 1_025, 3_000, 40_000):
+        a = np.unique(np.concatenate([hot, rng.integers(0, 1 << 63, n, dtype=np.uint64)]))
+        b = a[rng.random(len(a)) < 0.8]
+        both = [J.sized_sketches(x, np.array([0, len(x)]))[0] for x in (a, b)]
+        cells = min(map(len, both))
+        x, y = (J._folded([s], cells)[0].astype(int) for s in both)
+        assert (y == J.sketch(b, np.array([0, len(b)]), cells)[0]).all() and np.abs(x - y).sum() <= len(a) - len(b)
+
+
+def test_signatures_of_copies_are_not_met_again(spark, monkeypatch):
+    from issuelens.llm.common import Stages
+    written, write = {}, Stages.write
+
+    def counted(self, name, df):
+        out = write(self, name, df)
+        written[name] = out.count()
+        return out
+
+    monkeypatch.setattr(Stages, "write", counted)
+    one, two = (" ".join(f"{x}{i}" for i in range(300)) for x in "ab")
+    rows = [(i, one) for i in range(40)] + [(50 + i, two) for i in range(40)] + [(None, two), (None, None)]
+    got = jaccard_components(spark.createDataFrame(rows, "doc_id long, text string").repartition(5)).collect()
+    assert sorted(tuple(r) for r in got if r["doc_id"] is not None and r["doc_id"] < 50) == [(i, 296, 0) for i in range(40)]
+    assert {r["component_id"] for r in got if r["doc_id"] is None or r["doc_id"] >= 50} == {None}
+    # Only class two's null id stands for more than one row, whose sets differ.
+    assert written["met"] == 0
