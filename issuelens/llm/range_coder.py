@@ -3,10 +3,12 @@
 Ids are cut into blocks; each block starts from an empty model and has its own
 checksum, so any block can be read alone.  An id is predicted from the last two
 ids (order 2), from the last id (order 1) and by adaptive frequencies of its
-high byte (order 0).  The first two predictions get probability from how often
-predictions of the same confidence came true in this block; what they leave
-goes to order 0.  The mixed distribution drives an arithmetic coder with a
-56-bit low end, 32-bit output words and carries.
+high byte (order 0; its low byte takes eight bits, kept as a byte beside the
+code).  The first two predictions get probability from how often predictions of
+the same two confidences came true in this block; what they leave goes to order
+0.  Predictions are learnt with every id, the shares and frequencies after the
+ids of ``_REFIT``.  The mixed distribution drives an arithmetic coder, one
+interval an id, with a 56-bit low end, 24-bit output words and carries.
 
 All blocks of a call advance together, one id at a time, as the lanes of numpy
 arrays; there is no Python work per id.
@@ -19,21 +21,27 @@ import zlib
 import numpy as np
 
 BLOCK = 2048           # ids of a block
-LANES = 1024           # blocks that advance together
-SLOTS = 11             # bits of a context table
-CONF = 8               # confidence states of a prediction
+LANES = 2048           # blocks that advance together, about
+SLOTS = 10             # bits of a context table
 MAX_ID = 1 << 16
-_STEP = 16             # order-0 increment: 256 + BLOCK * _STEP stays below 2 ** 16
-_U = np.uint64
-_TOP, _BITS, _SHIFT, _WORD = _U(1 << 24), _U(56), _U(32), _U(24)
-_LOWMASK, _FULL = _U((1 << 24) - 1), _U((1 << 56) - 1)
-
-
-#: What the sums of a high half (or of what is within one) gain from one more id there.
-_RISE = ((np.arange(17)[None, :] > np.arange(16)[:, None]) * _STEP).astype(np.uint16)
-#: Next confidence: after a miss halved (1 at least), after a hit one more.
-_NEXT = np.array([[max(c >> 1, 1) for c in range(CONF)], [min(c + 1, CONF - 1) for c in range(CONF)]],
-                 np.uint32).reshape(-1)
+_U, _V = np.uint64, np.uint32
+_TOP, _BITS, _SHIFT, _WORD = _U(1 << 32), _U(56), _U(24), _U(32)
+_LOWMASK, _FULL, _WORDMASK = _U((1 << 32) - 1), _U((1 << 56) - 1), _U((1 << 24) - 1)
+_PART = 12             # bits of a share, and of a high byte's frequency within what is left to order 0
+_ONE = 1 << _PART
+_TOTAL = _U(2 * _PART)
+_LEAST = 16            # share of order 0 at least
+#: Numbers of ids after which shares and frequencies are fitted anew to all ids of the block so far.
+_REFIT = (16, 32, 64, 128, 256, *range(512, BLOCK, 256))
+#: Confidence (0: no prediction yet) after a miss and after a hit, at ``2 * confidence + hit``: after a miss it
+#: falls, and a prediction that has none left is replaced.
+_NEXT = np.array([1, 1, 1, 2, 1, 3, 1, 3], _V)
+#: States of the two predictions: 8 * confidence of order 2 + 2 * confidence of order 1 + whether they agree.
+_STATES = 32
+_C2, _C1, _SAME = np.arange(_STATES) >> 3, np.arange(_STATES) >> 1 & 3, np.arange(_STATES) & 1
+# Whether a prediction is asked (that of order 1 only where it differs), and its hits among ten made up ones.
+_ASK2, _ASK1 = (_C2 > 0).astype(np.int64), ((_C1 > 0) & ((_SAME == 0) | (_C2 == 0))).astype(np.int64)
+_PRIOR2, _PRIOR1 = 2 * _C2 * _ASK2, _C1 * _ASK1
 
 
 class _Model:
@@ -41,234 +49,234 @@ class _Model:
 
     def __init__(self, lanes: int):
         size = 1 << SLOTS
-        self.first = np.zeros(lanes * size, np.uint32)    # id << 8 | confidence
-        self.second = np.zeros(lanes * size, np.uint32)
-        self.hit1 = np.full(lanes * CONF, 16384, np.int64)  # chance of a hit, of 65536
-        self.hit2 = np.full(lanes * CONF, 16384, np.int64)
-        # Frequencies of the high byte, summed by its high half and within each half.
-        self.coarse = np.tile(np.arange(0, 257, 16, dtype=np.uint16), (lanes, 1))
-        self.fine = np.tile(np.arange(17, dtype=np.uint16), (lanes * 16, 1))
-        self.lane = np.arange(lanes, dtype=np.int64)
-        self.base, self.conf_base = self.lane << SLOTS, self.lane * CONF
-        self.prev = np.zeros(lanes, np.uint32)
-        self.prev2 = np.zeros(lanes, np.uint32)
-
-    def shrink(self, n: int) -> None:
-        """Keep the first ``n`` lanes (the tables stay; only views get shorter)."""
-        self.base, self.conf_base, self.lane = self.base[:n], self.conf_base[:n], self.lane[:n]
-        self.prev, self.prev2 = self.prev[:n], self.prev2[:n]
+        lane = np.arange(lanes, dtype=np.int64)
+        self.lanes = lanes
+        self.table = np.empty(2 * lanes * size, _V)  # id << 8 | confidence; order 1, then order 2
+        self.table.fill(0)
+        self.base = np.stack([lane, lane + lanes]) * size
+        self.state_base, self.class_base, self.slot_base = lane * _STATES, lane * 256, lane * _ONE
+        self.seen = np.empty((max(b - a for a, b in zip((0, *_REFIT), (*_REFIT, BLOCK))), lanes), np.int64)
+        self.outcomes = np.zeros((lanes, _STATES, 4), np.int64)
+        self.classes = np.zeros((lanes, 256), np.int64)
+        self.at, self.e = np.empty((2, lanes), np.int64), np.empty((2, lanes), _V)
+        self.pred, self.conf, self.ctx = np.empty_like(self.e), np.empty_like(self.e), np.empty_like(self.e)
+        self.prev, self.prev2 = np.zeros(lanes, _V), np.zeros(lanes, _V)
+        self.since = 0
+        self._fit()
+
+    def _fit(self) -> None:
+        n2, n1 = self.outcomes[:, :, 2] + self.outcomes[:, :, 3], self.outcomes[:, :, 1]
+        n = n2 + n1 + self.outcomes[:, :, 0] + 10
+        a2, a1 = (((k + prior) * (_ONE - _LEAST)) // n * ask for k, prior, ask in
+                  ((n2, _PRIOR2, _ASK2), (n1, _PRIOR1, _ASK1)))
+        self.chance = ((a2 << 16) | a1).astype(_V).reshape(-1)
+        # A frequency of one for each high byte, and the rest as they were seen.
+        ends = np.cumsum(self.classes, axis=1)
+        ends = ends * (_ONE - 256) // np.maximum(ends[:, -1:], 1) + np.arange(1, 257)
+        ends[:, -1] = _ONE
+        freq = np.diff(ends, axis=1, prepend=0)
+        self.spans = (((ends - freq) << 16) | freq).astype(_V).reshape(-1)
+        self.freq = freq
+
+    def slots(self) -> np.ndarray:
+        """High byte of each slot of a lane's frequencies."""
+        return np.repeat(np.tile(np.arange(256, dtype=np.uint8), self.lanes), self.freq.reshape(-1))
+
+    def refit(self, ids: np.ndarray) -> None:
+        """Fit shares and frequencies to what came since the last time too; ``ids`` by step and lane."""
+        self.outcomes += np.bincount(self.seen[:self.since].reshape(-1), minlength=self.outcomes.size) \
+            .reshape(self.outcomes.shape)
+        self.classes += np.bincount(((ids >> _V(8)) + self.class_base).reshape(-1), minlength=self.classes.size) \
+            .reshape(self.classes.shape)
+        self.since = 0
+        self._fit()
 
     def predict(self):
-        mul = np.uint32(2654435761)
-        h1 = (self.prev * mul) >> np.uint32(32 - SLOTS)
-        h2 = ((self.prev * mul) ^ (self.prev2 * np.uint32(2246822519)) + np.uint32(374761393)) * mul \
-            >> np.uint32(32 - SLOTS)
-        self.at1, self.at2 = self.base + h1, self.base + h2
-        e1, e2 = self.first.take(self.at1), self.second.take(self.at2)
-        self.c1, self.c2 = (e1 & np.uint32(255)).astype(np.int64), (e2 & np.uint32(255)).astype(np.int64)
-        self.p1, self.p2 = e1 >> np.uint32(8), e2 >> np.uint32(8)
-        q1, q2 = self.conf_base + self.c1, self.conf_base + self.c2
-        self.q1, self.q2 = q1, q2
-        a2 = self.hit2.take(q2) * (self.c2 > 0)
-        a1 = ((65536 - a2) * self.hit1.take(q1) >> 16) * ((self.c1 > 0) & ((self.p1 != self.p2) | (self.c2 == 0)))
-        self.tried1 = a1 > 0
-        self.a2, self.a1 = a2.astype(np.uint64), a1.astype(np.uint64)
-        return self.a2, self.a1
-
-    def class_span(self, e: np.ndarray, cls: np.ndarray):
-        """(sum below, frequency, total) of the high bytes ``cls`` in lanes ``e``."""
-        hi, lo = cls >> 4, cls & 15
-        row = (e << 4) + hi
-        low = self.fine[row, lo]
-        below = self.coarse[e, hi] + low
-        return below.astype(np.uint64), (self.fine[row, lo + 1] - low).astype(np.uint64), \
-            self.coarse[e, 16].astype(np.uint64)
-
-    def class_at(self, e: np.ndarray, v: np.ndarray):
-        """The high bytes whose spans hold ``v``."""
-        v = v.astype(np.uint16)
-        top = self.coarse[e]
-        hi = np.add.reduce((top[:, 1:] <= v[:, None]).view(np.uint8), axis=1, dtype=np.uint8).astype(np.int64)
-        v = v - top[np.arange(e.size), hi]
-        lo = np.add.reduce((self.fine[(e << 4) + hi][:, 1:] <= v[:, None]).view(np.uint8), axis=1, dtype=np.uint8)
-        return (hi << 4) | lo
-
-    def count_class(self, e: np.ndarray, cls: np.ndarray) -> None:
-        hi = cls >> 4
-        self.coarse[e] += _RISE.take(hi, axis=0)
-        self.fine[(e << 4) + hi] += _RISE.take(cls & 15, axis=0)
+        """Shares of order 2 and of order 1."""
+        x = self.prev * _V(2654435761)
+        self.ctx[0] = x
+        y = self.prev2 * _V(2246822519)
+        y += _V(374761393)
+        y ^= x
+        np.multiply(y, _V(2654435761), out=self.ctx[1])
+        self.ctx >>= _V(32 - SLOTS)
+        np.add(self.ctx, self.base, out=self.at)
+        self.table.take(self.at, out=self.e, mode="clip")
+        np.bitwise_and(self.e, _V(255), out=self.conf)
+        np.right_shift(self.e, _V(8), out=self.pred)
+        state = (self.conf[1] << _V(3)) | (self.conf[0] << _V(1)) | (self.pred[0] == self.pred[1])
+        self.state = state + self.state_base
+        a = self.chance.take(self.state, mode="clip")
+        return a >> _V(16), a & _V(65535)
 
     def update(self, ids: np.ndarray, is2: np.ndarray, is1: np.ndarray) -> None:
-        h2 = self.hit2.take(self.q2)
-        self.hit2[self.q2] = h2 + ((is2 * np.int64(60928) + 512 - h2) >> 4)  # (state 0 predicts nothing)
-        h1 = self.hit1.take(self.q1)
-        self.hit1[self.q1] = h1 + (((is1 * np.int64(60928) + 512 - h1) >> 4) * (self.tried1 & ~is2))
-        self._learn(self.first, self.at1, self.p1, self.c1, ids)
-        self._learn(self.second, self.at2, self.p2, self.c2, ids)
+        row = self.seen[self.since]
+        np.left_shift(self.state, 2, out=row)
+        row += is1
+        row += is2
+        row += is2
+        self.since += 1
+        turn = self.conf << _V(1)
+        turn |= self.pred == ids
+        kept = np.where(self.conf > _V(1), self.pred, ids)
+        kept <<= _V(8)
+        kept |= _NEXT.take(turn, mode="clip")
+        self.table[self.at] = kept
         self.prev2, self.prev = self.prev, ids
 
-    @staticmethod
-    def _learn(table, at, pred, conf, ids) -> None:
-        # A hit adds confidence; a miss halves it, and replaces a prediction that has none left.
-        kept = np.where(conf > 1, pred, ids)
-        table[at] = (kept << np.uint32(8)) | _NEXT.take(conf + CONF * (pred == ids))
 
-
-def _lengths(n: int) -> np.ndarray:
-    full, rest = divmod(n, BLOCK)
-    return np.array([BLOCK] * full + ([rest] if rest else []), np.int64)
+def _passes(n_blocks: int) -> list[int]:
+    """Blocks of each pass: all about equal, since a pass with few costs as many steps."""
+    if not n_blocks:
+        return []
+    k = max(1, round(n_blocks / LANES))
+    return [n_blocks // k + (i < n_blocks % k) for i in range(k)]
 
 
 def encode(ids: np.ndarray) -> list[bytes]:
-    """Blocks of ``ids`` in order; each is a checksum of its ids (4 bytes) and its code."""
+    """Blocks of ``ids`` in order; each is a checksum of its ids (4 bytes), its number of
+    words (2 bytes), its code and its low bytes."""
     ids = np.ascontiguousarray(ids, dtype=np.uint32)
     if ids.size and int(ids.max()) >= MAX_ID:
         raise ValueError(f"ids must be below {MAX_ID}")
     out: list[bytes] = []
-    for a in range(0, ids.size, BLOCK * LANES):
-        out.extend(_encode_lanes(ids[a:a + BLOCK * LANES]))
+    a = 0
+    for lanes in _passes(-(-ids.size // BLOCK)):
+        out.extend(_encode_lanes(ids[a:a + lanes * BLOCK], lanes))
+        a += lanes * BLOCK
     return out
 
 
-def _encode_lanes(ids: np.ndarray) -> list[bytes]:
-    lens = _lengths(ids.size)
-    lanes, steps = len(lens), int(lens[0])
-    grid = np.zeros((lanes, steps), np.uint32)
-    grid.reshape(-1)[:ids.size] = ids if lanes == 1 or lens[-1] == steps else ids  # the last lane may be short
-    cols = np.ascontiguousarray(grid.T)
+def _encode_lanes(ids: np.ndarray, lanes: int) -> list[bytes]:
+    steps = min(BLOCK, ids.size)
+    grid = np.zeros(lanes * steps, _V)  # a short last block is coded with zeros after it
+    grid[:ids.size] = ids
+    cols = np.ascontiguousarray(grid.reshape(lanes, steps).T)
     model = _Model(lanes)
-    low, rng = np.zeros(lanes, np.uint64), np.full(lanes, (1 << 56) - 1, np.uint64)
-    room = steps + steps // 4 + 8
-    words, pos = np.zeros((lanes, room), np.uint64), np.zeros(lanes, np.int64)
-
-    def renorm(at):
-        m = np.flatnonzero(rng[at] < _TOP) if at is not None else np.flatnonzero(rng < _TOP)
-        if m.size:
-            if at is not None:
-                m = at[m]
-            words[m, pos[m]] = low[m] >> _WORD
-            pos[m] += 1
-            low[m] = (low[m] & _LOWMASK) << _SHIFT
-            rng[m] <<= _SHIFT
-
-    done: list[tuple[np.ndarray, ...]] = []
+    low, rng = np.zeros(lanes, _U), np.full(lanes, (1 << 56) - 1, _U)
+    words, pos = np.zeros((lanes, steps), _V), np.zeros(lanes, np.int64)  # a step gives a word at most
+    escaped = np.empty((steps, lanes), bool)
     for t in range(steps):
-        if t == lens[-1] and lens[-1] < steps:  # the short last lane is done
-            n = lanes - 1
-            done.append((low[n:].copy(), pos[n:].copy()))
-            model.shrink(n)
-            low, rng, pos = low[:n], rng[:n], pos[:n]
-        s = cols[t][:len(low)]
+        if t in _REFIT:
+            model.refit(cols[t - model.since:t])
+        s = cols[t]
         a2, a1 = model.predict()
-        is2 = (model.p2 == s) & (a2 > 0)
-        is1 = (model.p1 == s) & (a1 > 0) & ~is2
-        start = np.where(is2, _U(0), np.where(is1, a2, a2 + a1))
-        size = np.where(is2, a2, np.where(is1, a1, _U(65536) - a2 - a1))
-        r = rng >> _U(16)
+        is2 = (model.pred[1] == s) & (a2 > 0)
+        is1 = (model.pred[0] == s) & (a1 > 0) & ~is2
+        hit = is2 | is1
+        np.logical_not(hit, out=escaped[t])
+        first = a2 + a1
+        rest = _V(_ONE) - first
+        span = model.spans.take((s >> _V(8)) + model.class_base, mode="clip")
+        start = (first << _V(_PART)) + rest * (span >> _V(16))
+        size = rest * (span & _V(65535))
+        if hit.any():
+            start = np.where(hit, np.where(is2, _V(0), a2 << _V(_PART)), start)
+            size = np.where(hit, np.where(is2, a2, a1) << _V(_PART), size)
+        r = rng >> _TOTAL
         low += r * start
         rng = r * size
-        renorm(None)
-        e = np.flatnonzero(~(is2 | is1))
-        if e.size:
-            cls, byte = (s[e] >> np.uint32(8)).astype(np.int64), (s[e] & np.uint32(255)).astype(np.uint64)
-            below, freq, total = model.class_span(e, cls)
-            r = rng[e] // (total << _U(8))
-            low[e] += r * ((below << _U(8)) + byte * freq)
-            rng[e] = r * freq
-            renorm(e)
-            model.count_class(e, cls)
+        m = np.flatnonzero(rng < _TOP)
+        if m.size:
+            at = pos[m]
+            x = low[m]
+            words[m, at] = x >> _WORD
+            pos[m] = at + 1
+            low[m] = (x & _LOWMASK) << _SHIFT
+            rng[m] <<= _SHIFT
         model.update(s, is2, is1)
-    if done:
-        low, pos = np.concatenate([low, done[0][0]]), np.concatenate([pos, done[0][1]])
-    return _flush(words, pos, low, ids, lens)
+    return _flush(words, pos, low, ids, cols, escaped)
 
 
-def _flush(words, pos, low, ids, lens) -> list[bytes]:
-    carry = low >> _BITS
+def _flush(words, pos, low, ids, cols, escaped) -> list[bytes]:
+    carry = (low >> _BITS).astype(_V)
     low = low & _FULL
     for j in range(int(pos.max(initial=0)) - 1, -1, -1):  # carries run from the last word to the first
         inside = pos > j
-        w = words[:, j] + np.where(inside, carry, _U(0))
-        words[:, j] = w & _U(0xFFFFFFFF)
-        carry = np.where(inside, w >> _SHIFT, carry)
+        w = words[:, j] + np.where(inside, carry, _V(0))
+        words[:, j] = w & _V(_WORDMASK)
+        carry = np.where(inside, w >> _V(_SHIFT), carry)
+    rest = (cols.T & _V(255)).astype(np.uint8)[escaped.T]
+    ends = np.cumsum(escaped.sum(axis=0)).tolist()
+    raw = np.ascontiguousarray(ids, "<u4")
     out, a = [], 0
-    for k, n in enumerate(lens):
-        block = ids[a:a + n].astype("<u4")
-        code = words[k, :pos[k]].astype(">u4").tobytes() + int(low[k]).to_bytes(7, "big")
-        out.append(zlib.crc32(block.tobytes()).to_bytes(4, "little") + code)
-        a += n
+    for k, end in enumerate(ends):
+        n = int(pos[k])
+        code = words[k, :n].astype(">u4").view(np.uint8).reshape(-1, 4)[:, 1:].tobytes()
+        check = zlib.crc32(raw[k * BLOCK:(k + 1) * BLOCK])
+        out.append(check.to_bytes(4, "little") + n.to_bytes(2, "little") + code
+                   + int(low[k]).to_bytes(7, "big") + rest[a:end].tobytes())
+        a = end
     return out
 
 
 def decode(blocks: list[bytes], n: int) -> np.ndarray:
     """The ``n`` ids of consecutive blocks; a block whose checksum differs raises."""
-    parts = []
-    for a in range(0, len(blocks), LANES):
-        here = min(n - a * BLOCK, LANES * BLOCK)
-        parts.append(_decode_lanes(blocks[a:a + LANES], here))
+    parts, a = [], 0
+    for lanes in _passes(len(blocks)):
+        parts.append(_decode_lanes(blocks[a:a + lanes], min(n - a * BLOCK, lanes * BLOCK)))
+        a += lanes
     return np.concatenate(parts) if parts else np.zeros(0, np.uint32)
 
 
 def _decode_lanes(blocks: list[bytes], total: int) -> np.ndarray:
-    lens = _lengths(total)
-    lanes, steps = len(lens), int(lens[0])
-    most = max(len(b) for b in blocks) // 4 + 2
-    words = np.zeros((lanes, most), np.uint64)
-    val, pos = np.zeros(lanes, np.uint64), np.zeros(lanes, np.int64)
-    for k, b in enumerate(blocks):
-        val[k] = int.from_bytes(b[4:11], "big")
-        rest = np.frombuffer(b, dtype=">u4", offset=11, count=(len(b) - 11) // 4)
-        words[k, :rest.size] = rest
+    lanes, steps = len(blocks), min(BLOCK, total)
+    counts = [int.from_bytes(b[4:6], "little") for b in blocks]
+    # A broken block may ask for more words or low bytes than there are; its checksum tells.
+    most, wide = max(counts) + 5, max(len(b) for b in blocks)
+    words, lows = np.zeros((lanes, most), _U), np.zeros((lanes, wide), np.uint8)
+    val = np.zeros(lanes, _U)
+    for k, (b, c) in enumerate(zip(blocks, counts)):
+        code = np.frombuffer(b, np.uint8, offset=6, count=min(3 * c + 7, len(b) - 6))
+        val[k] = int.from_bytes(b[6:13], "big")
+        code = code[7:7 + (code.size - 7) // 3 * 3].reshape(-1, 3).astype(_U)
+        words[k, :len(code)] = (code[:, 0] << _U(16)) | (code[:, 1] << _U(8)) | code[:, 2]
+        rest = np.frombuffer(b, np.uint8)[13 + 3 * c:]
+        lows[k, :rest.size] = rest
+    lows, low_at = lows.reshape(-1), np.arange(lanes, dtype=np.int64) * wide
     model = _Model(lanes)
-    rng = np.full(lanes, (1 << 56) - 1, np.uint64)
-    cols = np.zeros((steps, lanes), np.uint32)
-
-    def renorm(at):
-        m = np.flatnonzero(rng[at] < _TOP) if at is not None else np.flatnonzero(rng < _TOP)
-        if m.size:
-            if at is not None:
-                m = at[m]
-            # A broken block may ask for more words than there are; its checksum tells.
-            val[m] = (val[m] << _SHIFT) | words[m, np.minimum(pos[m], most - 1)]
-            pos[m] += 1
-            rng[m] <<= _SHIFT
-
+    slots = model.slots()
+    rng, pos = np.full(lanes, (1 << 56) - 1, _U), np.zeros(lanes, np.int64)
+    cols = np.empty((steps, lanes), _V)
     for t in range(steps):
-        if t == lens[-1] and lens[-1] < steps:
-            n = lanes - 1
-            model.shrink(n)
-            val, rng, pos = val[:n], rng[:n], pos[:n]
+        if t in _REFIT:
+            model.refit(cols[t - model.since:t])
+            slots = model.slots()
         a2, a1 = model.predict()
-        r = rng >> _U(16)
-        v = np.minimum(val // r, _U(65535))
-        is2 = v < a2
-        is1 = ~is2 & (v < a2 + a1)
-        start = np.where(is2, _U(0), np.where(is1, a2, a2 + a1))
-        size = np.where(is2, a2, np.where(is1, a1, _U(65536) - a2 - a1))
+        first = a2 + a1
+        rest = _V(_ONE) - first
+        r = rng >> _TOTAL
+        v = np.minimum(val // r, _U((1 << 24) - 1)).astype(_V)
+        below = first << _V(_PART)
+        hit = v < below
+        is2 = v < a2 << _V(_PART)
+        is1 = hit ^ is2
+        v -= below  # (of a hit: some number, not used)
+        v //= rest
+        cls = slots.take(np.minimum(v, _V(_ONE - 1)) + model.slot_base, mode="clip")
+        span = model.spans.take(cls + model.class_base, mode="clip")
+        start = below + rest * (span >> _V(16))
+        size = rest * (span & _V(65535))
+        s = cols[t]
+        np.left_shift(cls, _V(8), out=s, dtype=_V)
+        s |= lows.take(low_at, mode="clip")
+        if hit.any():
+            start = np.where(hit, np.where(is2, _V(0), a2 << _V(_PART)), start)
+            size = np.where(hit, np.where(is2, a2, a1) << _V(_PART), size)
+            np.copyto(s, np.where(is2, model.pred[1], model.pred[0]), where=hit)
+        low_at += ~hit
         val -= r * start
         rng = r * size
-        renorm(None)
-        s = np.where(is2, model.p2, model.p1)
-        e = np.flatnonzero(~(is2 | is1))
-        if e.size:
-            total_freq = model.coarse[e, 16].astype(np.uint64)
-            r = rng[e] // (total_freq << _U(8))
-            v = np.minimum(val[e] // r, (total_freq << _U(8)) - _U(1))
-            cls = model.class_at(e, v >> _U(8))
-            below, freq, _ = model.class_span(e, cls)
-            byte = np.minimum((v - (below << _U(8))) // freq, _U(255))
-            val[e] -= r * ((below << _U(8)) + byte * freq)
-            rng[e] = r * freq
-            renorm(e)
-            model.count_class(e, cls)
-            s[e] = ((cls.astype(np.uint64) << _U(8)) | byte).astype(np.uint32)
-        cols[t, :len(s)] = s
+        m = np.flatnonzero(rng < _TOP)
+        if m.size:
+            at = pos[m]
+            val[m] = (val[m] << _SHIFT) | words[m, np.minimum(at, most - 1)]
+            pos[m] = at + 1
+            rng[m] <<= _SHIFT
         model.update(s, is2, is1)
-    ids = np.ascontiguousarray(cols.T).reshape(-1)
-    ids = ids[:total]
-    a = 0
-    for k, n in enumerate(lens):
-        if zlib.crc32(ids[a:a + n].astype("<u4").tobytes()) != int.from_bytes(blocks[k][:4], "little"):
+    ids = np.ascontiguousarray(cols.T).reshape(-1)[:total]
+    raw = np.ascontiguousarray(ids, "<u4")
+    for k, b in enumerate(blocks):
+        if zlib.crc32(raw[k * BLOCK:(k + 1) * BLOCK]) != int.from_bytes(b[:4], "little"):
             raise ValueError(f"checksum of block {k} differs")
-        a += n
     return ids

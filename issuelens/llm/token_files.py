@@ -1,7 +1,7 @@
 """Token-id files: ids of all documents in id order, range coded in independent blocks.
 
 Format: a folder of Parquet files with one row per frame.  A frame holds whole
-documents, about ``FRAME`` ids: ``part`` and ``frame`` give its place (parts
+documents, at least ``FRAME`` ids but for a part's last: ``part`` and ``frame`` give its place (parts
 ascend with the document id, frames within a part), ``ids_before`` the ids of
 the part before it, ``docs`` and ``lengths`` its documents in order with their
 numbers of ids, and ``blocks`` the coded blocks, each with its own checksum.
@@ -16,7 +16,6 @@ from one row per frame.
 
 from __future__ import annotations
 
-import re
 import zlib
 from array import array
 from collections.abc import Sequence
@@ -29,63 +28,159 @@ from pyspark.sql import functions as F
 from tokenizers import Tokenizer
 
 from issuelens.llm import range_coder
-from issuelens.llm.common import ship_package
+from issuelens.llm.common import ship_package, text_bytes
 from issuelens.llm.piece_bpe import slices
 
 FRAME = range_coder.BLOCK * range_coder.LANES
-#: Entries of a worker's table of known stretches (of two generations), the longest
-#: one kept, and the number that the library tokenizes at once.
-STRETCHES, LONGEST, AT_ONCE = 250_000, 48, 2_000
-# A single space between two of these characters always starts a new token of a byte-level vocabulary.
-_EDGE = "!-~À-ɏ"
-_CUT = re.compile(f"(?<=[{_EDGE}]) (?=[{_EDGE}])")
+#: Entries of a worker's table of known stretches (of two generations), the bytes of the
+#: longest one kept, and the number that the library tokenizes as one text.
+STRETCHES, LONGEST, AT_ONCE = 500_000, 48, 16
+SLICE = 4 << 20        # bytes of text that a worker tokenizes at a time
+# Classes of bytes: characters beyond U+023F, controls and the signs of multiplication and
+# division are _ODD, and text is not cut beside them.
+_ODD, _LETTER, _DIGIT, _SIGN, _APOSTROPHE, _WHITE, _LINE, _MORE = range(8)
+
+
+def _byte_classes() -> np.ndarray:
+    out = np.full(256, _ODD, np.uint8)
+    out[33:127] = _SIGN
+    out[[*range(65, 91), *range(97, 123)]] = _LETTER
+    out[48:58], out[39] = _DIGIT, _APOSTROPHE
+    out[[9, 11, 12, 13, 32]], out[10] = _WHITE, _LINE
+    out[0x80:0xC0], out[0xC3:0xC9] = _MORE, _LETTER
+    return out
+
+
+def _cut_after() -> np.ndarray:
+    """Whether text is cut between a byte of class ``a`` and one of class ``b``, at ``8 * a + b``:
+    where byte-level pre-tokenization always starts a new token."""
+    out = np.zeros((8, 8), bool)
+    out[_LETTER:_WHITE, _WHITE:_MORE] = True
+    out[_LETTER, [_DIGIT, _SIGN, _APOSTROPHE]] = True
+    out[_DIGIT, [_LETTER, _SIGN, _APOSTROPHE]] = True
+    out[_SIGN, [_LETTER, _DIGIT]] = True  # (not after an apostrophe, which may belong to what follows)
+    return out.reshape(-1)
+
+
+_CLASSES, _CUTS = _byte_classes(), _cut_after()
 
-FRAME_SCHEMA = ("part int, frame int, ids_before bigint, n_ids bigint, docs array<bigint>, "
-                "lengths array<int>, blocks array<binary>")
+
+def _cut(raw: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """Whether a stretch may start at each byte, and whether the byte is of a known character
+    other than white space."""
+    kind = _CLASSES.take(raw)
+    high = np.flatnonzero(raw >= 0x80)
+    if high.size:
+        odd = high[(raw[high] == 0xC3) & np.isin(raw[np.minimum(high + 1, raw.size - 1)], (0x97, 0xB7))]
+        kind[odd] = _ODD
+        more = high[kind[high] == _MORE]
+        for _ in range(3):  # a byte within a character has the class of its first one
+            kind[more] = kind[more - 1]
+    out = np.zeros(raw.size, bool)
+    out[1:] = _CUTS.take((kind[:-1] << 3) | kind[1:])
+    # A line feed alone between two other characters is a token.
+    solid = (kind > _ODD) & (kind < _WHITE)
+    line = np.flatnonzero(kind[1:-1] == _LINE) + 1
+    out[line[solid[line - 1] & solid[line + 1]] + 1] = True
+    return out, solid
 
 
 class StretchTokenizer:
     """The library's tokenizer behind a table of known stretches.
 
-    Text is cut at single spaces between printable characters, where byte-level
-    pre-tokenisation cuts too, so the ids of the stretches in a row are the ids
-    of the text.
+    Text is cut where byte-level pre-tokenisation always cuts too (before white
+    space, between letters, digits and signs, around a line feed), so the ids of
+    the stretches in a row are the ids of the text.  Texts with an added token
+    of the vocabulary are not cut.  Stretches met for the first time go to the
+    library; words led by a space several at once, told apart again by the
+    bytes that their ids stand for.
     """
 
     def __init__(self, path: str):
         self.library = Tokenizer.from_file(path)
-        self.known: dict[str, bytes] = {}
-        self.older: dict[str, bytes] = {}
+        vocabulary = self.library.get_vocab(with_added_tokens=False)
+        self.bytes_of = np.zeros(range_coder.MAX_ID, np.int64)
+        for token, i in vocabulary.items():
+            self.bytes_of[i] = len(token)  # a byte-level token has one character a byte
+        self.added = [t.content.encode() for t in self.library.get_added_tokens_decoder().values()]
+        self.known: dict[bytes, bytes] = {}
+        self.older: dict[bytes, bytes] = {}
+
+    def _library(self, texts: list[bytes]) -> list[bytes]:
+        found = self.library.encode_batch_fast([t.decode() for t in texts], add_special_tokens=False)
+        return [array("H", e.ids).tobytes() for e in found]  # a larger id raises
 
-    def _learn(self, stretches: list[str]) -> None:
-        for a in range(0, len(stretches), AT_ONCE):
-            some = stretches[a:a + AT_ONCE]
-            for s, e in zip(some, self.library.encode_batch_fast(some, add_special_tokens=False)):
-                self.known[s] = array("H", e.ids).tobytes()  # a larger id raises
+    def _learn(self, words: list[bytes], alone: list[bytes]) -> None:
+        """``words``: stretches that may follow each other in one text."""
+        flat = b"".join(self._library([b"".join(words[a:a + AT_ONCE]) for a in range(0, len(words), AT_ONCE)]))
+        ends = np.cumsum(self.bytes_of[np.frombuffer(flat, np.uint16)])
+        want = np.cumsum(np.fromiter(map(len, words), np.int64, len(words)))
+        last = np.searchsorted(ends, want)
+        if words and ends[-1] == want[-1] and (ends[last] == want).all():
+            stop = (2 * (last + 1)).tolist()
+            self.known.update(zip(words, [flat[a:b] for a, b in zip([0, *stop], stop)]))
+        else:
+            alone = words + alone
+        self.known.update(zip(alone, self._library(alone)))
 
     def encode(self, texts: Sequence[str], end_id: int) -> list[np.ndarray]:
         """Ids of each text, with ``end_id`` appended, as unsigned 16-bit numbers."""
-        end = np.array([end_id], np.uint16).tobytes()
-        cut = []
-        for t in texts:  # a stretch after the first keeps its leading space
-            parts = _CUT.split(t)
-            cut.append([parts[0], *[" " + p for p in parts[1:]]] if len(parts) > 1 else parts)
-        distinct = {s for parts in cut for s in parts}
+        flat, counts = self.encode_column(pa.array(texts, pa.string()), end_id)
+        return np.split(flat, np.cumsum(counts)[:-1]) if len(counts) else []
+
+    def encode_column(self, texts: pa.Array, end_id: int) -> tuple[np.ndarray, np.ndarray]:
+        """Ids of all texts of a column, one after the other with ``end_id`` after each (a null
+        text has only that), and their numbers."""
+        raw, at = text_bytes(texts)
+        begins, solid = _cut(raw)
+        whole = raw.tobytes()
+        for token in self.added:
+            found = whole.find(token)
+            while found >= 0:
+                row = int(np.searchsorted(at, found, "right")) - 1
+                begins[at[row]:at[row + 1]] = False
+                found = whole.find(token, int(at[row + 1]))
+        begins[at[:-1][at[:-1] < raw.size]] = True
+        starts = np.flatnonzero(begins)
+        stops = np.append(starts, raw.size)
+        stretches = pa.Array.from_buffers(pa.large_binary(), starts.size, [
+            None, pa.py_buffer(stops), pa.py_buffer(whole)]).dictionary_encode()
+        distinct = stretches.dictionary.to_numpy(zero_copy_only=False).tolist()
+        which = stretches.indices.to_numpy()
         if len(self.known) + len(distinct) > STRETCHES:
             self.older, self.known = self.known, {}
         known, older, new = self.known, self.older, []
-        for s in distinct:
+        for k, s in enumerate(distinct):
             if s not in known:
                 if s in older:
                     known[s] = older[s]
                 else:
-                    new.append(s)
-        self._learn(new)
-        out = [np.frombuffer(b"".join([known[s] for s in parts]) + end, dtype=np.uint16) for parts in cut]
-        for s in new:
-            if len(s) > LONGEST:
-                del known[s]
-        return out
+                    new.append(k)
+        if new:
+            # Led by a space, with known characters after it and at the end: a token starts at its both ends.
+            at_first = np.empty(len(distinct), np.int64)
+            at_first[which[::-1]] = np.arange(which.size)[::-1]
+            a, b = starts[at_first[new]], stops[at_first[new] + 1]
+            word = (raw[a] == 32) & (b - a > 1) & solid[np.minimum(a + 1, raw.size - 1)] & solid[b - 1]
+            self._learn([distinct[k] for k, w in zip(new, word.tolist()) if w],
+                        [distinct[k] for k, w in zip(new, word.tolist()) if not w])
+        coded = [known[s] for s in distinct]
+        for k in new:
+            if len(distinct[k]) > LONGEST:
+                del known[distinct[k]]
+        coded.append(np.array([end_id], np.uint16).tobytes())
+        ids = np.frombuffer(b"".join(coded), np.uint16)
+        size = np.fromiter(map(len, coded), np.int64, len(coded)) >> 1
+        # The stretches of each text, and its end.
+        per_text = np.searchsorted(starts, at)
+        order = np.insert(which, per_text[1:], len(distinct))
+        n = size[order]
+        ends = np.cumsum(n)
+        places = np.repeat((np.cumsum(size) - size)[order] - (ends - n), n)
+        places += np.arange(places.size)
+        flat = ids.take(places)
+        done = ends[per_text[1:] + np.arange(len(texts))]
+        return flat, np.diff(done, prepend=0)
 
 
 _TOKENIZERS: dict[str, StretchTokenizer] = {}
@@ -97,6 +192,10 @@ def tokenizer(path: str) -> StretchTokenizer:
     return _TOKENIZERS[path]
 
 
+FRAME_SCHEMA = ("part int, frame int, ids_before bigint, n_ids bigint, docs array<bigint>, "
+                "lengths array<int>, blocks array<binary>")
+
+
 def write_token_files(docs: DataFrame, path: str, tokenizer_file: str, end_id: int = 0, text_col: str = "text",
                       id_col: str = "doc_id") -> None:
     """Write the ids of all rows of ``docs`` under ``path`` (a folder that all
@@ -112,11 +211,11 @@ def write_token_files(docs: DataFrame, path: str, tokenizer_file: str, end_id: i
     ordered = rows.repartitionByRange("id", "tie").sortWithinPartitions("id", "tie", "text")
 
     def frame_row(part, frame, before, ids, lens, parts):
-        flat = np.concatenate(parts)
+        ids, lens, flat = pa.concat_arrays(ids), np.concatenate(lens), np.concatenate(parts)
         return pa.RecordBatch.from_arrays([
             pa.array([part], pa.int32()), pa.array([frame], pa.int32()), pa.array([before], pa.int64()),
-            pa.array([flat.size], pa.int64()), pa.array([ids], pa.list_(pa.int64())),
-            pa.array([lens], pa.list_(pa.int32())),
+            pa.array([flat.size], pa.int64()), pa.ListArray.from_arrays([0, len(ids)], ids),
+            pa.ListArray.from_arrays([0, len(ids)], pa.array(lens, pa.int32())),
             pa.array([range_coder.encode(flat)], pa.list_(pa.binary()))],
             ["part", "frame", "ids_before", "n_ids", "docs", "lengths", "blocks"]), flat.size
 
@@ -125,17 +224,16 @@ def write_token_files(docs: DataFrame, path: str, tokenizer_file: str, end_id: i
         tok = tokenizer(tokenizer_file)
         ids, lens, parts, held = [], [], [], 0
         for whole in batches:
-            for batch in slices(whole, "text"):
-                coded = tok.encode([t or "" for t in batch.column("text").to_pylist()], end_id)
-                for i, x in zip(batch.column("id").to_pylist(), coded):
-                    ids.append(i)
-                    lens.append(x.size)
-                    parts.append(x)
-                    held += x.size
-                    if held >= FRAME:
-                        row, n = frame_row(part, frame, before, ids, lens, parts)
-                        yield row
-                        frame, before, ids, lens, parts, held = frame + 1, before + n, [], [], [], 0
+            for batch in slices(whole, "text", SLICE):
+                flat, n = tok.encode_column(batch.column("text"), end_id)
+                ids.append(batch.column("id"))
+                lens.append(n)
+                parts.append(flat)
+                held += flat.size
+                if held >= FRAME:
+                    row, n = frame_row(part, frame, before, ids, lens, parts)
+                    yield row
+                    frame, before, ids, lens, parts, held = frame + 1, before + n, [], [], [], 0
         if ids:
             yield frame_row(part, frame, before, ids, lens, parts)[0]
 
@@ -152,7 +250,7 @@ def read_token_files(spark: SparkSession, path: str) -> DataFrame:
     # One row per written part: the number of tasks of the writing job.
     order = Window.orderBy("part").rowsBetween(Window.unboundedPreceding, -1)
     begins = parts.select("part", F.coalesce(F.sum("n").over(order), F.lit(0)).alias("part_start"))
-    placed = frames.join(begins, "part").select(
+    placed = frames.join(F.broadcast(begins), "part").select(
         (F.col("part_start") + F.col("ids_before")).alias("start"), "n_ids", "docs", "lengths", "blocks")
 
     def run(batches):

@@ -108,6 +108,45 @@ def test_stretches_equal_library():
         assert ids.tolist() == lib.encode(t, add_special_tokens=False).ids + [0], t
 
 
+def test_stretches_of_mixed_characters_equal_library():
+    tok, lib = W.StretchTokenizer(BYTES), Tokenizer.from_file(BYTES)
+    rnd = random.Random(13)
+    parts = [*"abcXYZ  \n\n\t'’.,!?-_019×÷éǅɏɐ梦🙂\u0301\x1c\x00\x7f\x85\u00a0\u2003²٣\r\x0b", "'s", "'ll", " The",
+             "<|endoftext|>", "<|end", "oftext|>", "  ", " \n", "\r\n", " '"]
+    texts = ["".join(rnd.choice(parts) for _ in range(rnd.randint(0, 30))) for _ in range(3000)]
+    for t, ids in zip(texts, tok.encode(texts, 0)):
+        assert ids.tolist() == lib.encode(t, add_special_tokens=False).ids + [0], t
+    assert tok.encode([], 0) == []
+
+
+def test_known_words_go_to_the_library_once():
+    tok, lib = W.StretchTokenizer(BYTES), Tokenizer.from_file(BYTES)
+    asked = []
+
+    class Library:
+        def encode_batch_fast(self, texts, **options):
+            asked.append(sum(map(len, texts)))
+            return lib.encode_batch_fast(texts, **options)
+
+    tok.library = Library()
+    words = [f"{a}{b}{c}" for a in ("xo", "qua", "ler") for b in ("min", "dro", "vex") for c in ("a", "ik", "ost")]
+    tok.encode(["in " + " ".join(words)], 0)
+    first = sum(asked)
+    texts = [" " + f"{sign} ".join(words) for sign in (".", ",", "!", ").")]
+    got = tok.encode(texts, 0)
+    assert sum(asked) - first < 60
+    assert [g.tolist() for g in got] == [lib.encode(t, add_special_tokens=False).ids + [0] for t in texts]
+
+
+def test_coder_cuts_passes_evenly(monkeypatch):
+    monkeypatch.setattr(R, "LANES", 4)
+    sizes, whole = [], R._encode_lanes
+    monkeypatch.setattr(R, "_encode_lanes", lambda ids, lanes: sizes.append(lanes) or whole(ids, lanes))
+    ids = np.random.default_rng(1).zipf(1.3, 9 * R.BLOCK + 5) % 50_000
+    assert (R.decode(R.encode(ids), ids.size) == ids).all()
+    assert sizes == [5, 5]
+
+
 def test_token_files(spark, tmp_dir):
     lib = Tokenizer.from_file(BYTES)
     rows = [(i * 37 % 101 - 5, t, "docs") for i, t in enumerate(ODD + randomized(6, 80))] + [(None, "x", "y"), (3, "b", "")]
