@@ -21,7 +21,7 @@ import zlib
 import numpy as np
 
 BLOCK = 2048           # ids of a block
-LANES = 2048           # blocks that advance together, about
+LANES = 3072           # blocks that advance together, about
 SLOTS = 10             # bits of a context table
 MAX_ID = 1 << 16
 _U, _V = np.uint64, np.uint32
@@ -33,10 +33,8 @@ _TOTAL = _U(2 * _PART)
 _LEAST = 16            # share of order 0 at least
 #: Numbers of ids after which shares and frequencies are fitted anew to all ids of the block so far.
 _REFIT = (16, 32, 64, 128, 256, *range(512, BLOCK, 256))
-#: Confidence (0: no prediction yet) after a miss and after a hit, at ``2 * confidence + hit``: after a miss it
-#: falls, and a prediction that has none left is replaced.
-_NEXT = np.array([1, 1, 1, 2, 1, 3, 1, 3], _V)
 #: States of the two predictions: 8 * confidence of order 2 + 2 * confidence of order 1 + whether they agree.
+#: A prediction is the id that came last; its confidence how often it came in a row, three at most here.
 _STATES = 32
 _C2, _C1, _SAME = np.arange(_STATES) >> 3, np.arange(_STATES) >> 1 & 3, np.arange(_STATES) & 1
 # Whether a prediction is asked (that of order 1 only where it differs), and its hits among ten made up ones.
@@ -51,12 +49,14 @@ class _Model:
         size = 1 << SLOTS
         lane = np.arange(lanes, dtype=np.int64)
         self.lanes = lanes
-        self.table = np.empty(2 * lanes * size, _V)  # id << 8 | confidence; order 1, then order 2
+        self.table = np.empty(2 * lanes * size, _V)  # id << 16 | confidence; order 1, then order 2
         self.table.fill(0)
         self.base = np.stack([lane, lane + lanes]) * size
         self.state_base, self.class_base, self.slot_base = lane * _STATES, lane * 256, lane * _ONE
-        self.seen = np.empty((max(b - a for a, b in zip((0, *_REFIT), (*_REFIT, BLOCK))), lanes), np.int64)
-        self.outcomes = np.zeros((lanes, _STATES, 4), np.int64)
+        gap = max(b - a for a, b in zip((0, *_REFIT), (*_REFIT, BLOCK)))
+        self.seen = np.empty((gap, lanes), np.int64)  # states of the steps since the last fit
+        self.is2, self.is1 = np.empty((2, gap, lanes), bool)
+        self.tries, self.hits2, self.hits1 = np.zeros((3, lanes, _STATES), np.int64)
         self.classes = np.zeros((lanes, 256), np.int64)
         self.at, self.e = np.empty((2, lanes), np.int64), np.empty((2, lanes), _V)
         self.pred, self.conf, self.ctx = np.empty_like(self.e), np.empty_like(self.e), np.empty_like(self.e)
@@ -65,18 +65,22 @@ class _Model:
         self._fit()
 
     def _fit(self) -> None:
-        n2, n1 = self.outcomes[:, :, 2] + self.outcomes[:, :, 3], self.outcomes[:, :, 1]
-        n = n2 + n1 + self.outcomes[:, :, 0] + 10
+        n = self.tries + 10
         a2, a1 = (((k + prior) * (_ONE - _LEAST)) // n * ask for k, prior, ask in
-                  ((n2, _PRIOR2, _ASK2), (n1, _PRIOR1, _ASK1)))
+                  ((self.hits2, _PRIOR2, _ASK2), (self.hits1, _PRIOR1, _ASK1)))
         self.chance = ((a2 << 16) | a1).astype(_V).reshape(-1)
         # A frequency of one for each high byte, and the rest as they were seen.
-        ends = np.cumsum(self.classes, axis=1)
-        ends = ends * (_ONE - 256) // np.maximum(ends[:, -1:], 1) + np.arange(1, 257)
+        ends = np.cumsum(self.classes, axis=1, dtype=np.float64)
+        ends *= (_ONE - 256) / np.maximum(ends[:, -1:], 1)
+        ends = ends.astype(_V)
+        ends += np.arange(1, 257, dtype=_V)
         ends[:, -1] = _ONE
-        freq = np.diff(ends, axis=1, prepend=0)
-        self.spans = (((ends - freq) << 16) | freq).astype(_V).reshape(-1)
-        self.freq = freq
+        self.freq = ends.copy()
+        self.freq[:, 1:] -= ends[:, :-1]
+        ends -= self.freq
+        ends <<= _V(16)
+        ends |= self.freq
+        self.spans = ends.reshape(-1)
 
     def slots(self) -> np.ndarray:
         """High byte of each slot of a lane's frequencies."""
@@ -84,8 +88,10 @@ class _Model:
 
     def refit(self, ids: np.ndarray) -> None:
         """Fit shares and frequencies to what came since the last time too; ``ids`` by step and lane."""
-        self.outcomes += np.bincount(self.seen[:self.since].reshape(-1), minlength=self.outcomes.size) \
-            .reshape(self.outcomes.shape)
+        seen = self.seen[:self.since]
+        for counts, which in ((self.tries, seen.reshape(-1)), (self.hits2, seen[self.is2[:self.since]]),
+                              (self.hits1, seen[self.is1[:self.since]])):
+            counts += np.bincount(which, minlength=counts.size).reshape(counts.shape)
         self.classes += np.bincount(((ids >> _V(8)) + self.class_base).reshape(-1), minlength=self.classes.size) \
             .reshape(self.classes.shape)
         self.since = 0
@@ -102,26 +108,25 @@ class _Model:
         self.ctx >>= _V(32 - SLOTS)
         np.add(self.ctx, self.base, out=self.at)
         self.table.take(self.at, out=self.e, mode="clip")
-        np.bitwise_and(self.e, _V(255), out=self.conf)
-        np.right_shift(self.e, _V(8), out=self.pred)
-        state = (self.conf[1] << _V(3)) | (self.conf[0] << _V(1)) | (self.pred[0] == self.pred[1])
-        self.state = state + self.state_base
-        a = self.chance.take(self.state, mode="clip")
+        np.bitwise_and(self.e, _V(65535), out=self.conf)
+        np.right_shift(self.e, _V(16), out=self.pred)
+        c = np.minimum(self.conf, _V(3))
+        state = c[1] << _V(2)
+        state |= c[0]
+        state <<= _V(1)
+        state |= self.pred[0] == self.pred[1]
+        row = self.seen[self.since]
+        np.add(state, self.state_base, out=row)
+        a = self.chance.take(row, mode="clip")
         return a >> _V(16), a & _V(65535)
 
     def update(self, ids: np.ndarray, is2: np.ndarray, is1: np.ndarray) -> None:
-        row = self.seen[self.since]
-        np.left_shift(self.state, 2, out=row)
-        row += is1
-        row += is2
-        row += is2
+        self.is2[self.since], self.is1[self.since] = is2, is1
         self.since += 1
-        turn = self.conf << _V(1)
-        turn |= self.pred == ids
-        kept = np.where(self.conf > _V(1), self.pred, ids)
-        kept <<= _V(8)
-        kept |= _NEXT.take(turn, mode="clip")
-        self.table[self.at] = kept
+        self.conf *= self.pred == ids
+        self.conf += _V(1)
+        self.conf |= ids << _V(16)
+        self.table[self.at] = self.conf
         self.prev2, self.prev = self.prev, ids
 
 
@@ -134,7 +139,7 @@ def _passes(n_blocks: int) -> list[int]:
 
 
 def encode(ids: np.ndarray) -> list[bytes]:
-    """Blocks of ``ids`` in order; each is a checksum of its ids (4 bytes), its number of
+    """Blocks of ``ids`` in order; each is a checksum of its 16-bit ids (4 bytes), its number of
     words (2 bytes), its code and its low bytes."""
     ids = np.ascontiguousarray(ids, dtype=np.uint32)
     if ids.size and int(ids.max()) >= MAX_ID:
@@ -147,18 +152,29 @@ def encode(ids: np.ndarray) -> list[bytes]:
     return out
 
 
+def _put_hits(m, is2, a2, a1, start, size) -> np.ndarray:
+    """Intervals of the lanes ``m``, where a prediction came true; whether it was that of order 2."""
+    second, b2 = is2[m], a2[m]
+    start[m] = np.where(second, _V(0), b2 << _V(_PART))
+    size[m] = np.where(second, b2, a1[m]) << _V(_PART)
+    return second
+
+
 def _encode_lanes(ids: np.ndarray, lanes: int) -> list[bytes]:
     steps = min(BLOCK, ids.size)
-    grid = np.zeros(lanes * steps, _V)  # a short last block is coded with zeros after it
-    grid[:ids.size] = ids
-    cols = np.ascontiguousarray(grid.reshape(lanes, steps).T)
+    # A short last block is coded with zeros after it.
+    cols = np.ascontiguousarray(np.pad(ids, (0, lanes * steps - ids.size)).reshape(lanes, steps).T)
     model = _Model(lanes)
     low, rng = np.zeros(lanes, _U), np.full(lanes, (1 << 56) - 1, _U)
-    words, pos = np.zeros((lanes, steps), _V), np.zeros(lanes, np.int64)  # a step gives a word at most
+    room = len(model.seen)  # a step gives a word at most
+    words, pos = np.zeros((lanes, room), _V), np.zeros(lanes, np.int64)
     escaped = np.empty((steps, lanes), bool)
     for t in range(steps):
         if t in _REFIT:
             model.refit(cols[t - model.since:t])
+            more = int(pos.max()) + room - words.shape[1]
+            if more > 0:
+                words = np.pad(words, ((0, 0), (0, more)))
         s = cols[t]
         a2, a1 = model.predict()
         is2 = (model.pred[1] == s) & (a2 > 0)
@@ -170,9 +186,7 @@ def _encode_lanes(ids: np.ndarray, lanes: int) -> list[bytes]:
         span = model.spans.take((s >> _V(8)) + model.class_base, mode="clip")
         start = (first << _V(_PART)) + rest * (span >> _V(16))
         size = rest * (span & _V(65535))
-        if hit.any():
-            start = np.where(hit, np.where(is2, _V(0), a2 << _V(_PART)), start)
-            size = np.where(hit, np.where(is2, a2, a1) << _V(_PART), size)
+        _put_hits(np.flatnonzero(hit), is2, a2, a1, start, size)
         r = rng >> _TOTAL
         low += r * start
         rng = r * size
@@ -189,16 +203,15 @@ def _encode_lanes(ids: np.ndarray, lanes: int) -> list[bytes]:
 
 
 def _flush(words, pos, low, ids, cols, escaped) -> list[bytes]:
-    carry = (low >> _BITS).astype(_V)
+    carried = np.flatnonzero(low >> _BITS)
+    words[carried, pos[carried] - 1] += _V(1)
     low = low & _FULL
-    for j in range(int(pos.max(initial=0)) - 1, -1, -1):  # carries run from the last word to the first
-        inside = pos > j
-        w = words[:, j] + np.where(inside, carry, _V(0))
-        words[:, j] = w & _V(_WORDMASK)
-        carry = np.where(inside, w >> _V(_SHIFT), carry)
-    rest = (cols.T & _V(255)).astype(np.uint8)[escaped.T]
+    while (carry := words[:, 1:] >> _V(_SHIFT)).any():  # from each word to the one before, seldom further
+        words &= _V(_WORDMASK)
+        words[:, :-1] += carry
+    rest = cols.astype(np.uint8).T[escaped.T]
     ends = np.cumsum(escaped.sum(axis=0)).tolist()
-    raw = np.ascontiguousarray(ids, "<u4")
+    raw = ids.astype("<u2")
     out, a = [], 0
     for k, end in enumerate(ends):
         n = int(pos[k])
@@ -224,13 +237,13 @@ def _decode_lanes(blocks: list[bytes], total: int) -> np.ndarray:
     counts = [int.from_bytes(b[4:6], "little") for b in blocks]
     # A broken block may ask for more words or low bytes than there are; its checksum tells.
     most, wide = max(counts) + 5, max(len(b) for b in blocks)
-    words, lows = np.zeros((lanes, most), _U), np.zeros((lanes, wide), np.uint8)
+    words, lows = np.zeros((lanes, most), _V), np.zeros((lanes, wide), np.uint8)
     val = np.zeros(lanes, _U)
     for k, (b, c) in enumerate(zip(blocks, counts)):
         code = np.frombuffer(b, np.uint8, offset=6, count=min(3 * c + 7, len(b) - 6))
         val[k] = int.from_bytes(b[6:13], "big")
-        code = code[7:7 + (code.size - 7) // 3 * 3].reshape(-1, 3).astype(_U)
-        words[k, :len(code)] = (code[:, 0] << _U(16)) | (code[:, 1] << _U(8)) | code[:, 2]
+        code = code[7:7 + (code.size - 7) // 3 * 3].reshape(-1, 3).astype(_V)
+        words[k, :len(code)] = (code[:, 0] << _V(16)) | (code[:, 1] << _V(8)) | code[:, 2]
         rest = np.frombuffer(b, np.uint8)[13 + 3 * c:]
         lows[k, :rest.size] = rest
     lows, low_at = lows.reshape(-1), np.arange(lanes, dtype=np.int64) * wide
@@ -246,24 +259,23 @@ def _decode_lanes(blocks: list[bytes], total: int) -> np.ndarray:
         first = a2 + a1
         rest = _V(_ONE) - first
         r = rng >> _TOTAL
-        v = np.minimum(val // r, _U((1 << 24) - 1)).astype(_V)
+        v = (val // r).astype(_V)
         below = first << _V(_PART)
         hit = v < below
         is2 = v < a2 << _V(_PART)
         is1 = hit ^ is2
         v -= below  # (of a hit: some number, not used)
         v //= rest
-        cls = slots.take(np.minimum(v, _V(_ONE - 1)) + model.slot_base, mode="clip")
+        cls = slots.take(v + model.slot_base, mode="clip")
         span = model.spans.take(cls + model.class_base, mode="clip")
         start = below + rest * (span >> _V(16))
         size = rest * (span & _V(65535))
         s = cols[t]
         np.left_shift(cls, _V(8), out=s, dtype=_V)
         s |= lows.take(low_at, mode="clip")
-        if hit.any():
-            start = np.where(hit, np.where(is2, _V(0), a2 << _V(_PART)), start)
-            size = np.where(hit, np.where(is2, a2, a1) << _V(_PART), size)
-            np.copyto(s, np.where(is2, model.pred[1], model.pred[0]), where=hit)
+        m = np.flatnonzero(hit)
+        second = _put_hits(m, is2, a2, a1, start, size)
+        s[m] = np.where(second, model.pred[1][m], model.pred[0][m])
         low_at += ~hit
         val -= r * start
         rng = r * size
@@ -275,7 +287,8 @@ def _decode_lanes(blocks: list[bytes], total: int) -> np.ndarray:
             rng[m] <<= _SHIFT
         model.update(s, is2, is1)
     ids = np.ascontiguousarray(cols.T).reshape(-1)[:total]
-    raw = np.ascontiguousarray(ids, "<u4")
+    del cols, slots, words, lows
+    raw = ids.astype("<u2")
     for k, b in enumerate(blocks):
         if zlib.crc32(raw[k * BLOCK:(k + 1) * BLOCK]) != int.from_bytes(b[:4], "little"):
             raise ValueError(f"checksum of block {k} differs")

@@ -28,7 +28,7 @@ from pyspark.sql import functions as F
 from tokenizers import Tokenizer
 
 from issuelens.llm import range_coder
-from issuelens.llm.common import ship_package, text_bytes
+from issuelens.llm.common import release_memory, ship_package, small_batches, text_bytes
 from issuelens.llm.piece_bpe import slices
 
 FRAME = range_coder.BLOCK * range_coder.LANES
@@ -149,11 +149,12 @@ class StretchTokenizer:
         which = stretches.indices.to_numpy()
         if len(self.known) + len(distinct) > STRETCHES:
             self.older, self.known = self.known, {}
-        known, older, new = self.known, self.older, []
+        known, older = self.known, self.older
+        coded, new = list(map(known.get, distinct)), []
         for k, s in enumerate(distinct):
-            if s not in known:
+            if coded[k] is None:
                 if s in older:
-                    known[s] = older[s]
+                    coded[k] = known[s] = older[s]
                 else:
                     new.append(k)
         if new:
@@ -164,10 +165,8 @@ class StretchTokenizer:
             word = (raw[a] == 32) & (b - a > 1) & solid[np.minimum(a + 1, raw.size - 1)] & solid[b - 1]
             self._learn([distinct[k] for k, w in zip(new, word.tolist()) if w],
                         [distinct[k] for k, w in zip(new, word.tolist()) if not w])
-        coded = [known[s] for s in distinct]
         for k in new:
-            if len(distinct[k]) > LONGEST:
-                del known[distinct[k]]
+            coded[k] = known[distinct[k]] if len(distinct[k]) <= LONGEST else known.pop(distinct[k])
         coded.append(np.array([end_id], np.uint16).tobytes())
         ids = np.frombuffer(b"".join(coded), np.uint16)
         size = np.fromiter(map(len, coded), np.int64, len(coded)) >> 1
@@ -203,9 +202,11 @@ def write_token_files(docs: DataFrame, path: str, tokenizer_file: str, end_id: i
 
     A null or empty text is only its end id.  Rows of one id follow each other,
     ordered by their text.  An empty table writes a folder without frames.  The
-    vocabulary must fit unsigned 16-bit ids.  Other columns are not read.
+    vocabulary must fit unsigned 16-bit ids.  Other columns are not read.  The
+    session's Arrow batches get small (``small_batches``).
     """
     ship_package(docs.sparkSession)
+    small_batches(docs.sparkSession)
     rows = docs.select(F.col(id_col).cast("long").alias("id"), F.col(text_col).alias("text"),
                        F.xxhash64(F.col(text_col)).alias("tie"))
     ordered = rows.repartitionByRange("id", "tie").sortWithinPartitions("id", "tie", "text")
@@ -236,6 +237,7 @@ def write_token_files(docs: DataFrame, path: str, tokenizer_file: str, end_id: i
                     frame, before, ids, lens, parts, held = frame + 1, before + n, [], [], [], 0
         if ids:
             yield frame_row(part, frame, before, ids, lens, parts)[0]
+        release_memory()
 
     ordered.mapInArrow(run, FRAME_SCHEMA).write.mode("overwrite").parquet(path)
 
@@ -255,15 +257,17 @@ def read_token_files(spark: SparkSession, path: str) -> DataFrame:
 
     def run(batches):
         for batch in batches:
-            for row in batch.to_pylist():
-                ids = range_coder.decode(row["blocks"], row["n_ids"])
+            for k in range(batch.num_rows):
+                row = batch.slice(k, 1).to_pylist()[0]
+                ids = np.ascontiguousarray(range_coder.decode(row["blocks"], row["n_ids"]), "<u4")
                 lens = np.asarray(row["lengths"], np.int64)
                 ends = np.cumsum(lens)
-                raw = memoryview(ids.astype("<u4").tobytes())
+                raw = memoryview(ids).cast("B")
                 crcs = [zlib.crc32(raw[4 * (b - n):4 * b]) for b, n in zip(ends.tolist(), lens.tolist())]
                 yield pa.RecordBatch.from_arrays([
                     pa.array(row["docs"], pa.int64()), pa.array(row["start"] + ends - lens, pa.int64()),
                     pa.array(lens, pa.int64()), pa.array(crcs, pa.int64())],
                     ["doc_id", "start", "n_tokens", "ids_crc32"])
+        release_memory()
 
     return placed.mapInArrow(run, "doc_id bigint, start bigint, n_tokens bigint, ids_crc32 bigint")
