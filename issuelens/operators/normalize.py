@@ -100,14 +100,18 @@ def changelog_members(records: DataFrame, col: str, keep=()) -> DataFrame:
         "entry_pos", "item_pos", *keep)
 
 
+def item_order(latest_by=()) -> list[Column]:
+    """The order of a key's items, the last of which counts: by landing, then the first by position."""
+    return [F.col(c) for c in latest_by] + [-F.col("entry_pos"), -F.col("item_pos")]
+
+
 def first_item_per_key(flat: DataFrame, latest_by=()) -> DataFrame:
     """§2.14-9: two items of one field in one entry collide on (id, field);
     the first by position wins.  With ``latest_by`` (landing order columns)
     a later landed copy of the entry wins over an earlier one."""
     from issuelens.operators.upsert import dedupe_first, dedupe_last
     if latest_by:
-        order = [F.col(c) for c in latest_by] + [-F.col("entry_pos"), -F.col("item_pos")]
-        out = dedupe_last(flat, ["id", "field"], order)
+        out = dedupe_last(flat, ["id", "field"], item_order(latest_by))
     else:
         out = dedupe_first(flat, ["id", "field"], ["entry_pos", "item_pos"])
     return out.drop("entry_pos", "item_pos")

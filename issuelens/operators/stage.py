@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame
 
-from issuelens.session import scratch_path
+from issuelens.session import delete_path, scratch_path
 
 
 def materialize(df: DataFrame, name: str = "stage", compression: str | None = None) -> DataFrame:
@@ -21,6 +21,12 @@ def materialize(df: DataFrame, name: str = "stage", compression: str | None = No
     return spark.read.schema(df.schema).parquet(path)
 
 
+def discard(written: DataFrame) -> None:
+    """Delete what ``materialize`` has written, once nothing reads it any more."""
+    for folder in {f.rsplit("/", 1)[0] for f in written.inputFiles()}:
+        delete_path(written.sparkSession, folder)
+
+
 def spread(df: DataFrame) -> DataFrame:
     """Spread an input that arrives in fewer splits than the cluster has task
     slots (e.g. one small file with a single row group) over all slots, so the

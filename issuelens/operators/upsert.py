@@ -27,30 +27,46 @@ HOT_ROWS, HOT_KEYS, TRACKED = 500_000, 100, 10_000
 
 @dataclass(frozen=True)
 class Copies:
-    """How a table's rows spread over its keys: number of rows, about how many keys, and the
-    hashes of the keys that very many rows hold."""
+    """How a table's rows spread over its keys: number of rows, about how many keys, the
+    hashes of the keys that very many rows hold, and what else was asked for."""
     rows: int
     keys: int
     hot: tuple[int, ...]
+    also: tuple = ()
 
     @property
     def few(self) -> bool:
         return self.rows < MANY_COPIES * self.keys
 
 
-def count_copies(df: DataFrame, keys: Sequence[str]) -> Copies:
+@dataclass(frozen=True)
+class Layout:
+    """Which task a key's rows go to: by ``column``, which the rows hold and their key gives.
+    With ``tasks`` to so many; ``numbered``: the column is the task's number."""
+    column: str
+    tasks: int | None = None
+    numbered: bool = False
+
+    def __call__(self, rows: DataFrame) -> DataFrame:
+        if self.numbered:
+            return rows.repartitionById(self.tasks, F.col(self.column))
+        return rows.repartition(*([self.tasks] if self.tasks else []), self.column)
+
+
+def count_copies(df: DataFrame, keys: Sequence[str], also: Sequence[Column] = ()) -> Copies:
     """One scan of the key columns; a sketch per task is all that is shuffled.  The figures
-    only choose a plan."""
+    only choose a plan.  ``also``: aggregates over ``df`` that the same scan is to give."""
     cols = ", ".join(f"`{k}`" for k in keys)
-    row = df.select(F.expr(f"xxhash64({cols})").alias("_h")).agg(
+    row = df.withColumn("_h", F.expr(f"xxhash64({cols})")).agg(
         F.count(F.lit(1)).alias("n"), F.approx_count_distinct("_h").alias("keys"),
-        F.expr(f"approx_top_k(_h, {HOT_KEYS}, {TRACKED})").alias("top")).first()
-    return Copies(row["n"], row["keys"], tuple(t["item"] for t in row["top"] or () if t["count"] > HOT_ROWS))
+        F.expr(f"approx_top_k(_h, {HOT_KEYS}, {TRACKED})").alias("top"),
+        *[c.alias(f"_also{i}") for i, c in enumerate(also)]).first()
+    return Copies(row["n"], row["keys"], tuple(t["item"] for t in row["top"] or () if t["count"] > HOT_ROWS), tuple(row[3:]))
 
 
 def _pick(df: DataFrame, keys: Sequence[str], order: Sequence[str | Column], largest: bool,
-          copies: Copies | None = None, partitions: int | None = None) -> DataFrame:
-    keys = list(keys)
+          copies: Copies | None = None, partitions: int | None = None, layout: Layout | None = None) -> DataFrame:
+    of_key, keys = list(keys), list(keys) if layout is None else [layout.column, *keys]
     order_names = sorted({o for o in order if isinstance(o, str)})
     rest = [c for c in df.columns if c not in keys and c not in order_names]
     if not keys or not (order or rest):
@@ -71,34 +87,37 @@ def _pick(df: DataFrame, keys: Sequence[str], order: Sequence[str | Column], lar
         return out.select(*keys, *[F.col("_row")[at[c]].alias(c) for c in rest + order_names])
 
     def together(rows: DataFrame) -> DataFrame:
-        return rows.repartition(*([partitions] if partitions else []), *keys)
+        return layout(rows) if layout else rows.repartition(*([partitions] if partitions else []), *keys)
 
     if copies is None or not copies.few:
-        return together(picked(df)) if partitions else picked(df)
+        return together(picked(df)) if partitions or layout else picked(df)
     if not copies.hot:
         return picked(together(df))
-    hot = F.xxhash64(*keys).isin(*copies.hot)
+    hot = F.xxhash64(*of_key).isin(*copies.hot)
+    if layout:
+        return picked(together(df.where(~hot).unionByName(picked(df.where(hot)))))
     both = picked(together(df.where(~hot))).union(picked(df.where(hot)))
     return together(both) if partitions else both
 
 
 def dedupe_first(df: DataFrame, keys: Sequence[str], order: Sequence[str | Column] = (), copies: Copies | None = None,
-                 partitions: int | None = None) -> DataFrame:
+                 partitions: int | None = None, layout: Layout | None = None) -> DataFrame:
     """One row per key: the smallest in ``order`` (default: all other columns).
 
     An aggregate, not a window: partial aggregation collapses a hot key
     map-side before the shuffle.  That sorts every row before the shuffle and again
     after it, so where ``copies`` (``count_copies``) tells that a key has few rows, rows go
     to their key's task as they are and are sorted there once; only those of hot keys
-    are collapsed first.  ``partitions``: the number of tasks the result is spread over by key.
+    are collapsed first.  ``partitions``: the number of tasks the result is spread over by key;
+    ``layout``: what it is laid out by instead.
     """
-    return _pick(df, keys, order, False, copies, partitions)
+    return _pick(df, keys, order, False, copies, partitions, layout)
 
 
 def dedupe_last(df: DataFrame, keys: Sequence[str], order: Sequence[str | Column] = (), copies: Copies | None = None,
-                partitions: int | None = None) -> DataFrame:
+                partitions: int | None = None, layout: Layout | None = None) -> DataFrame:
     """One row per key: the largest in ``order`` (the latest version)."""
-    return _pick(df, keys, order, True, copies, partitions)
+    return _pick(df, keys, order, True, copies, partitions, layout)
 
 
 BROADCAST_BATCH_ROWS = 100_000  # ~5 MB of key hash table: within the usual broadcast sizes
@@ -171,16 +190,18 @@ def is_large(copies: Copies, broadcast_batch_rows: int = BROADCAST_BATCH_ROWS) -
 
 
 def newest_per_key(source: DataFrame, keys: Sequence[str], order: Sequence[str | Column] = (), latest: bool = True,
-                   copies: Copies | None = None, partitions: int | None = None) -> DataFrame:
+                   copies: Copies | None = None, partitions: int | None = None, layout: Layout | None = None) -> DataFrame:
     """One row per key: the last in ``order``, or the first."""
-    return (dedupe_last if latest else dedupe_first)(source, keys, order, copies, partitions)
+    return (dedupe_last if latest else dedupe_first)(source, keys, order, copies, partitions, layout)
 
 
 def merge(target: DataFrame, src: DataFrame, keys: Sequence[str], keep_cols: Sequence[str] = (), on_conflict: str = "update",
-          version_col: str | None = None, broadcast_batch_rows: int = BROADCAST_BATCH_ROWS) -> DataFrame:
+          version_col: str | None = None, broadcast_batch_rows: int = BROADCAST_BATCH_ROWS,
+          layout: Layout | None = None) -> DataFrame:
     """The merge of ``upsert``, for a batch that has one row per key: a written one, or
-    (``broadcast_batch_rows`` -1) one that is computed as it is joined."""
-    keys, keep = list(keys), set(keep_cols)
+    (``broadcast_batch_rows`` -1) one that is computed as it is joined; that may be laid out
+    by a ``layout``, whose column both sides hold, and the merged rows are too."""
+    keys, keep = list(keys) if layout is None else [layout.column, *keys], set(keep_cols)
     if on_conflict not in ("update", "nothing"):
         raise ValueError(f"unknown on_conflict {on_conflict!r}")
     small = broadcast_batch_rows >= 0 and has_at_most(src, broadcast_batch_rows)
@@ -189,9 +210,10 @@ def merge(target: DataFrame, src: DataFrame, keys: Sequence[str], keep_cols: Seq
             batch_keys = F.broadcast(src.select(*keys))
             existing = target.select(*keys).join(batch_keys, keys, "left_semi")
             return target.unionByName(src.join(existing, keys, "left_anti"))
-        return target.unionByName(src.join(target.select(*keys), keys, "left_anti"))
+        held = target.select(*keys)
+        return target.unionByName(src.join(layout(held) if layout else held, keys, "left_anti"))
     if not small:
-        return _merge_rows(target, src, keys, keep, version_col)
+        return _merge_rows(layout(target) if layout else target, src, keys, keep, version_col)
     batch_keys = F.broadcast(src.select(*keys))
     untouched = target.join(batch_keys, keys, "left_anti")
     touched = target.join(batch_keys, keys, "left_semi")

@@ -25,7 +25,7 @@ from issuelens.operators.upsert import upsert
 from issuelens.plans import chains, issues as issue_q, params as P, proxies as X
 from issuelens.plans import pull_requests as pr_q, sql_functions, timeline, transitions
 from issuelens.plans.chain_store import ChainStore, chain_places
-from issuelens.session import apply_session_defaults, scratch_path
+from issuelens.session import apply_session_defaults, scratch_path, shuffles_freed
 from issuelens.sources.landed import NTZ_MICROS, parse_json_column, read_transition_lookup
 from issuelens.sources.sinks import write_csv
 from issuelens.sources.tables import COMPRESSION, Warehouse
@@ -335,19 +335,21 @@ def q_commit_ingest(spark, sf):
 
 def _commit_store(spark, sf):
     root = scratch_path(spark, "commit-ingest")
-    commits = X.pull_request_commits(spark, sf)
     spark.createDataFrame([], "value string").write.text(f"{root}/prs")
-    late = F.col("pull_request_id") % 2 == 1
-    relanded = commits.where(F.col("pull_request_id") % P.RELANDED == 0).withColumn("message", F.concat(F.lit("again: "), "message"))
-    for rows in (commits.where(~late), commits.where(late).union(relanded)):
-        _commit_pages(rows).write.mode("append").text(f"{root}/commits", compression=LANDED_CODEC)
+    pr = F.col("l_orderkey")
+    late, again = pr % 2 == 1, pr % P.RELANDED == 0  # RELANDED is even: of these none is late
+    message = F.when(F.col("pull_request_id") % 2 == 1, F.col("message")).otherwise(F.concat(F.lit("again: "), "message"))
+    for where, text in ((~late, F.col("message")), (late | again, message)):
+        with shuffles_freed(spark):
+            rows = X.commits_by_page(spark, sf, where, P.PAGE_SIZE).withColumn("message", text)
+            _commit_pages(rows).write.mode("append").text(f"{root}/commits", compression=LANDED_CODEC)
         store = ingest_pull_requests(spark, f"{root}/prs", f"{root}/commits", f"{root}/warehouse", f"{root}/checkpoint",
                                      multi_line=False)
     return store
 
 
 def _commit_pages(commits: DataFrame) -> DataFrame:
-    """Commit pages as JSON arrays; one kind of commit has dates that do not parse."""
+    """Commit pages as JSON arrays, by ``page``; one kind of commit has dates that do not parse."""
     bad = F.col("message").contains(f"change {''.join(P.BAD_DATE_FLAG)}")
     date_text = F.when(bad, F.date_format("author_date", "dd/MM/yyyy")).otherwise(iso_z("author_date"))
 
@@ -355,8 +357,7 @@ def _commit_pages(commits: DataFrame) -> DataFrame:
         return F.struct(F.col(f"{kind}_name").alias("name"), F.col(f"{kind}_email").alias("email"), date.alias("date")).alias(kind)
     obj = F.struct("sha", "html_url", F.struct("message", person("author", date_text), person("committer", iso_z("commit_date")))
                    .alias("commit"), "pull_request_id", "pull_request_number")
-    page = F.call_function("div", F.col("pull_request_id"), F.lit(P.PAGE_SIZE))
-    return commits.groupBy(page.alias("page")).agg(F.to_json(F.collect_list(obj)).alias("value")).select("value")
+    return commits.groupBy("page").agg(F.to_json(F.collect_list(obj)).alias("value")).select("value")
 
 
 def q_changelog_ingest(spark, sf):

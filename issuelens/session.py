@@ -6,6 +6,7 @@ import os
 import re
 import tempfile
 import uuid
+from contextlib import contextmanager
 
 from pyspark.sql import SparkSession
 
@@ -92,6 +93,28 @@ def ensure_checkpoint_dir(spark: SparkSession) -> str:
     return sc.getCheckpointDir() or local
 
 
+@contextmanager
+def settings_held(spark: SparkSession, settings: dict[str, str]):
+    """SQL settings that hold within, and then are what they were."""
+    before = {k: spark.conf.get(k, None) for k in settings}
+    for k, v in settings.items():
+        spark.conf.set(k, v)
+    try:
+        yield
+    finally:
+        for k, v in before.items():
+            if v is None:
+                spark.conf.unset(k)
+            else:
+                spark.conf.set(k, v)
+
+
+def shuffles_freed(spark: SparkSession):
+    """Within, the shuffle files of a query go when it ends, not when the driver happens to
+    collect its garbage."""
+    return settings_held(spark, {"spark.sql.classic.shuffleDependency.fileCleanup.enabled": "true"})
+
+
 def scratch_path(spark: SparkSession, name: str) -> str:
     """A fresh folder below the checkpoint folder (shared on a cluster)."""
     root = ensure_checkpoint_dir(spark).rstrip("/")

@@ -12,13 +12,14 @@ keep their files.  Every row carries the stream and the batch that wrote it
 from __future__ import annotations
 
 from collections.abc import Sequence
+from contextlib import nullcontext
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from issuelens import schemas
-from issuelens.session import list_dirs
+from issuelens.session import list_dirs, settings_held
 
 BUCKETS = 16
 LOADED_BY = T.StructType([T.StructField("load_stream", T.StringType()), T.StructField("load_batch", T.LongType())])
@@ -35,6 +36,21 @@ def bucket_of(keys: Sequence[str], buckets: int) -> Column:
     return F.pmod(F.xxhash64(*keys), F.lit(buckets)).cast("int")
 
 
+#: Folders that a task writes to side by side; with more, its rows are sorted by folder first.
+OPEN_FOLDERS = 32
+
+
+def folders_side_by_side(spark: SparkSession):
+    """Within, a task whose rows lie in few folders writes them as they come, unsorted."""
+    return settings_held(spark, {"spark.sql.maxConcurrentOutputFileWriters": str(OPEN_FOLDERS)})
+
+
+def lie_by_bucket(rows: DataFrame) -> bool:
+    """Are the rows read from files that hold a bucket each?"""
+    files = rows.inputFiles()
+    return bool(files) and all("/bucket=" in f for f in files)
+
+
 class Warehouse:
     """The tables below one folder."""
 
@@ -78,10 +94,14 @@ class Warehouse:
 
     def replace_buckets(self, name: str, rows: DataFrame) -> None:
         """Write ``rows`` (as ``rows`` gives them) in place of what the folders they belong to
-        held.  The folders' files are of about the advisory partition size."""
+        held.  The folders' files are of about the advisory partition size; rows that lie by
+        bucket already are not shuffled, and their files are those they come in."""
         parts = [c for c in PARTITION_BY.get(name, []) if c in rows.columns] + ["bucket"]
-        (rows.hint("rebalance", *parts).write.mode("overwrite").option("partitionOverwriteMode", "dynamic")
-         .partitionBy(*parts).parquet(self.path(name), compression=COMPRESSION))
+        laid_out = lie_by_bucket(rows)
+        rows = rows if laid_out else rows.hint("rebalance", *parts)
+        with folders_side_by_side(rows.sparkSession) if laid_out else nullcontext():
+            (rows.write.mode("overwrite").option("partitionOverwriteMode", "dynamic")
+             .partitionBy(*parts).parquet(self.path(name), compression=COMPRESSION))
 
     def write(self, name: str, df: DataFrame, keys: Sequence[str] | None = None) -> None:
         """Write a whole table at once, outside of any stream."""

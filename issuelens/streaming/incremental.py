@@ -19,28 +19,32 @@ import json
 from collections.abc import Callable, Sequence
 from contextlib import contextmanager
 from dataclasses import dataclass, field, replace
+from functools import reduce
 
-from pyspark.sql import DataFrame, Observation, SparkSession
+from pyspark.sql import Column, DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from issuelens import schemas
-from issuelens.operators.stage import materialize
-from issuelens.operators.upsert import BROADCAST_BATCH_ROWS, count_copies, is_large, merge, newest_per_key
-from issuelens.session import delete_path, path_exists, read_text_file
+from issuelens.operators.stage import discard, materialize
+from issuelens.operators.upsert import Layout, count_copies, is_large, merge, newest_per_key
+from issuelens.session import delete_path, path_exists, read_text_file, shuffles_freed
 from issuelens.sources.landed import NTZ_MICROS, Pages, page_rows, page_texts, parse_pages
-from issuelens.sources.tables import COMPRESSION, Warehouse, bucket_of
+from issuelens.sources.tables import COMPRESSION, Warehouse, bucket_of, folders_side_by_side
 from issuelens.streaming.quarantine import log_load, put_aside
 
 #: Columns that say when a landed row came: file, page in the file, place in the page.
 LANDED = ["_file", "_pos", "_el"]
 
+#: Bytes of rows, before compression, that a task reduces and merges; the column of the task's number.
+TASK_BYTES = 256 << 20
+PART = "_part"
+
 
 @dataclass(frozen=True)
 class Load:
     """How a batch's rows go into one table: ``rows`` makes table rows of them (order
-    columns may follow), of which the last per key in ``order`` counts; with ``picked`` they
-    are one per key already."""
+    columns may follow), of which the last per key in ``order`` counts."""
     table: str
     rows: Callable[[DataFrame], DataFrame]
     keys: Sequence[str]
@@ -50,7 +54,6 @@ class Load:
     version_col: str | None = None
     schema: T.StructType | None = None
     latest: bool = field(default=True)
-    picked: bool = False
 
 
 def stream_id(spark: SparkSession, checkpoint: str) -> str:
@@ -65,32 +68,53 @@ def _staged(checkpoint: str, load: Load, batch_id: int) -> str:
     return f"{checkpoint}/staged/{load.table}/{batch_id}"
 
 
+def _bytes(rows: DataFrame) -> Column:
+    """About how many bytes ``rows`` are, before compression."""
+    texts = [F.coalesce(F.octet_length(f.name), F.lit(0)) for f in rows.schema.fields if isinstance(f.dataType, T.StringType)]
+    return F.sum(reduce(lambda x, y: x + y, texts, F.lit(16 * len(rows.columns))).cast("long"))
+
+
 def stage_load(store: Warehouse, load: Load, batch: DataFrame, stream: str, batch_id: int, path: str) -> dict | None:
     """Write the touched buckets as they will be; the counts of what changes, or None when
     the batch has no row for the table.  A batch of few keys is written first, as one row per
-    key; that of many goes to its keys' tasks once and is reduced and merged there."""
-    schema = load.schema or schemas.TABLES[load.table]
-    keyed = load.rows(batch).dropna(subset=list(load.keys))
-    bucket = bucket_of(load.keys, store.buckets(load.table)).alias("bucket")
-    copies = None if load.picked else count_copies(keyed, load.keys)
-    src = keyed if load.picked else newest_per_key(keyed, load.keys, load.order, load.latest, copies)
-    src = src.select(*schema.names).select(
-        "*", F.lit(stream).alias("load_stream"), F.lit(batch_id).cast("long").alias("load_batch"), bucket)
-    large = copies is not None and is_large(copies)
-    if not large:
-        src = materialize(src, "batch-rows", COMPRESSION)
+    key; that of many goes to its keys' tasks once, where it is reduced and merged.  These
+    tasks hold a bucket or a part of one each, so the staged files lie by bucket and are put in
+    place without another shuffle."""
+    schema, keys = load.schema or schemas.TABLES[load.table], list(load.keys)
+    buckets = store.buckets(load.table)
+    keyed = load.rows(batch).dropna(subset=keys)
+    bucket = bucket_of(keys, buckets).alias("bucket")
     # At most as many values as the table has buckets.
-    touched = sorted(r[0] for r in (keyed.select(bucket) if large else src.select("bucket")).distinct().collect())
+    copies = count_copies(keyed, keys, [F.collect_set(bucket), _bytes(keyed)])
+    touched, size = sorted(copies.also[0]), copies.also[1]
     if not touched:
         return None
     current = store.rows(load.table, schema, touched)
-    merged = merge(current, src, load.keys, load.keep_cols, load.on_conflict, load.version_col,
-                   -1 if large else BROADCAST_BATCH_ROWS)
+    held = current.count()  # the files' own row counts
+    written_by = [F.lit(stream).alias("load_stream"), F.lit(batch_id).cast("long").alias("load_batch")]
+    rule = (load.keep_cols, load.on_conflict, load.version_col)
+    large, src = is_large(copies), None
+    if large:
+        whole = size * (copies.rows + held) // copies.rows
+        parts = -(-whole // (TASK_BYTES * len(touched)))  # of a bucket: part p is of bucket p % buckets
+        layout = Layout(PART, parts * buckets, numbered=True)
+        part = bucket_of(keys, layout.tasks).alias(PART)
+        newest = newest_per_key(keyed.select("*", part), keys, load.order, load.latest, copies, layout=layout)
+        newest = newest.select(*schema.names, *written_by, bucket, PART)
+        merged = merge(current.select("*", part), newest, keys, *rule, -1, layout).drop(PART)
+    else:
+        src = newest_per_key(keyed, keys, load.order, load.latest, copies).select(*schema.names)
+        src = materialize(src.select("*", *written_by, bucket), "batch-rows", COMPRESSION)
+        merged = merge(current, src, keys, *rule)
     ours = (F.col("load_stream") == stream) & (F.col("load_batch") == batch_id)
     seen = Observation(f"{load.table}-{batch_id}")
     merged = merged.observe(seen, F.count(F.lit(1)).alias("rows"), F.count(F.when(ours, 1)).alias("written"))
-    merged.write.mode("overwrite").parquet(path, compression=COMPRESSION)
-    inserted = seen.get["rows"] - current.count()  # the files' own row counts
+    writer = merged.write.mode("overwrite").option("partitionOverwriteMode", "static")
+    with folders_side_by_side(merged.sparkSession):
+        (writer.partitionBy("bucket") if large else writer).parquet(path, compression=COMPRESSION)
+    if src is not None:
+        discard(src)
+    inserted = seen.get["rows"] - held
     return {"inserted": inserted, "updated": seen.get["written"] - inserted}
 
 
@@ -106,15 +130,17 @@ def batch_writer(store: Warehouse, checkpoint: str, loads: Sequence[Load],
         if not todo and stateful:
             batch.write.format("noop").mode("overwrite").save()  # the state's version of this batch is made by running it
         if todo:
-            rows, read = batch, {}
+            rows, read, between = batch, {}, []
             if pages is not None:
                 parsed = parse_pages(batch.withColumn("_pos", F.monotonically_increasing_id()), pages)
                 value = F.when(F.col("reason").isNotNull(), F.col("value")).alias("value")
                 parsed = materialize(parsed.select("_file", "_pos", value, "page", "reason"), "pages", COMPRESSION)
+                between.append(parsed)
                 read = put_aside(store, parsed, landing, stream, batch_id)
                 rows = page_rows(parsed, ["_file", "_pos"])
             if prepare or pages is None:
                 rows = materialize(prepare(rows) if prepare else rows, "batch", COMPRESSION)
+                between.append(rows)
             counts = []
             for load in todo:
                 changed = stage_load(store, load, rows, stream, batch_id, _staged(checkpoint, load, batch_id))
@@ -124,6 +150,8 @@ def batch_writer(store: Warehouse, checkpoint: str, loads: Sequence[Load],
                 counts = [{"table": loads[0].table, **read, "inserted": 0, "updated": 0}]
             if counts:
                 log_load(store, counts, landing, stream, batch_id)
+            for written in between:
+                discard(written)
         for load in loads:
             path = _staged(checkpoint, load, batch_id)
             if path_exists(spark, f"{path}/_SUCCESS"):
@@ -149,7 +177,8 @@ def load_pages(store: Warehouse, landing: str, pages: Pages, loads: Sequence[Loa
     reader = store.spark.readStream
     if max_files_per_trigger:
         reader = reader.option("maxFilesPerTrigger", int(max_files_per_trigger))
-    _run(page_texts(reader, landing, multi_line), batch_writer(store, checkpoint, loads, prepare, pages, landing), checkpoint)
+    with shuffles_freed(store.spark):
+        _run(page_texts(reader, landing, multi_line), batch_writer(store, checkpoint, loads, prepare, pages, landing), checkpoint)
 
 
 def run_incremental(spark: SparkSession, landing: str, store: Warehouse, raw_schema: T.StructType, load: Load,

@@ -25,7 +25,7 @@ from pyspark.sql import functions as F
 from issuelens.functions.timefmt import as_of_lit
 from issuelens.operators.filters import for_project
 from issuelens.operators.normalize import (
-    explode_issue_page, extract_links, first_item_per_key, flatten_changelog, normalize_issues)
+    explode_issue_page, extract_links, flatten_changelog, item_order, normalize_issues)
 from issuelens.operators.upsert import RULES
 from issuelens.sources import providers
 from issuelens.sources.landed import CHANGELOG_PAGES, ISSUE_PAGES
@@ -64,8 +64,9 @@ def ingest_issues(spark: SparkSession, issue_landing: str, changelog_landing: st
 
     issues = Load("jira_issues", lambda rows: rows, order=[*LANDED, "_ipos"], **RULES["jira_issues"])
     links = Load("jira_links", lambda rows: extract_links(rows).withColumn("created_at", now), **RULES["jira_links"])
-    changelog = Load("jira_changelog", lambda rows: first_item_per_key(flatten_changelog(rows, keep=LANDED), latest_by=LANDED),
-                     order=LANDED, picked=True, **RULES["jira_changelog"])
+    # The load's own pick by this order is that of ``first_item_per_key``.
+    changelog = Load("jira_changelog", lambda rows: flatten_changelog(rows, keep=LANDED), order=item_order(LANDED),
+                     **RULES["jira_changelog"])
     load_pages(store, issue_landing, ISSUE_PAGES, [issues, links], f"{checkpoint_root}/jira_issues", multi_line_issues,
                prepare=issue_rows)
     load_pages(store, changelog_landing, CHANGELOG_PAGES, [changelog], f"{checkpoint_root}/jira_changelog")
